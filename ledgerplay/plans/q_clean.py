@@ -240,7 +240,7 @@ def g5_describe(spark, d):
     return finish(G.describe(houses(spark, d), DESC_COLS))
 
 
-@register("g6_quantiles", " UNION ALL ".join(f"SELECT {q} AS q, " + r6(f"quantile_cont(o_totalprice, {q})") + " AS value FROM orders" for q in (0.1, 0.5, 0.9)))
+@register("g6_quantiles", " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS q, " + r6(f"quantile_cont(o_totalprice, {q})") + " AS value FROM orders" for q in (0.1, 0.5, 0.9)))
 def g6_quantiles(spark, d):
     return finish(G.quantiles(read_table(spark, d, "orders", ["o_totalprice"]), "o_totalprice", [0.1, 0.5, 0.9]))
 
