@@ -32,9 +32,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def with_views(*names: str, extra: str = "") -> str:
-    """``WITH <views>[, <extra CTEs>]`` prefix for an oracle statement."""
+def with_views(*names: str, extra: str = "", recursive: bool = False) -> str:
+    """``WITH [RECURSIVE] <views>[, <extra CTEs>]`` prefix for an oracle statement."""
     parts = [VIEW_SQL[n] for n in names]
     if extra:
         parts.append(extra)
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
