@@ -170,19 +170,20 @@ def exclude_targeted(planets: DataFrame, fleets: DataFrame, me: int = 1) -> Data
     return planets.join(t, [*SNAP, "planet_id"], "left_anti")
 
 
-def best_target(scored: DataFrame, group: Sequence[str], score: str, item: str, n: int = 1,
+def best_target(scored: DataFrame, group: Sequence[str], score: str, item: str | Sequence[str], n: int = 1,
                 highest: bool = True) -> DataFrame:
-    """Per group the row with the n-th best score (ties: smaller item).
+    """Per group the row with the n-th best score (ties: smaller items).
 
-    For n = 1 this is ``max_by``/``min_by`` (partial aggregate); for n > 1 a
-    window partitioned by the group.
+    For n = 1 this is ``max_by`` (a partial aggregate, safe for a hot group);
+    for n > 1 a window partitioned by the group.
     """
+    items = [item] if isinstance(item, str) else list(item)
     if n == 1:
-        key = F.struct(F.col(score) if highest else -F.col(score), -F.col(item))
-        return scored.groupBy(*group).agg(F.max_by(F.struct(*[c for c in scored.columns if c not in group]), key).alias("__b")
-                                          ).select(*group, "__b.*")
+        key = F.struct(F.col(score) if highest else -F.col(score), *[-F.col(i) for i in items])
+        payload = F.struct(*[c for c in scored.columns if c not in group])
+        return scored.groupBy(*group).agg(F.max_by(payload, key).alias("__b")).select(*group, "__b.*")
     o = F.col(score).desc() if highest else F.col(score).asc()
-    w = Window.partitionBy(*group).orderBy(o, F.col(item))
+    w = Window.partitionBy(*group).orderBy(o, *[F.col(i) for i in items])
     return scored.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == n).drop("__rn")
 
 
@@ -197,7 +198,7 @@ def greedy_fill(supply: DataFrame, group: Sequence[str], order: str, avail: str,
     return supply.withColumn("give", F.greatest(F.lit(0), F.least(F.col(avail), nd - before)))
 
 
-def validate_orders(orders: DataFrame, planets: DataFrame) -> DataFrame:
+def validate_orders(orders: DataFrame, planets: DataFrame, order: Sequence[str] = ("order_seq",)) -> DataFrame:
     """Rule checks of (snapshot, player, source, destination, ships) orders.
 
     Reason is the first failing rule: unknown source / destination, same
@@ -209,7 +210,7 @@ def validate_orders(orders: DataFrame, planets: DataFrame) -> DataFrame:
                    F.col("num_ships").alias("src_ships"))
     dst = p.select(*SNAP, F.col("planet_id").alias("destination_planet_id"), F.lit(True).alias("dst_ok"))
     j = orders.join(src, [*SNAP, "source_planet_id"], "left").join(dst, [*SNAP, "destination_planet_id"], "left")
-    w = Window.partitionBy(*SNAP, "source_planet_id").orderBy("order_seq").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*SNAP, "source_planet_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     j = j.withColumn("__sent", F.sum("num_ships").over(w))
     reason = (F.when(F.col("src_owner").isNull(), "unknown source")
               .when(F.col("dst_ok").isNull(), "unknown destination")

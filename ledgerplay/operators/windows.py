@@ -200,7 +200,8 @@ def top_fraction(df: DataFrame, score: str, frac: float, by: Sequence[str], tie:
     """The best ceil(frac*n) rows of each group (groups are snapshots: bounded)."""
     w = Window.partitionBy(*by).orderBy(F.col(score).desc(), F.col(tie))
     n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= F.ceil(n * frac)).drop("__rn")
+    out = df.withColumn("__rn", F.row_number().over(w)).withColumn("__n", n)
+    return out.where(F.col("__rn") <= F.ceil(F.col("__n") * frac)).drop("__rn", "__n")
 
 
 # --- set operations ----------------------------------------------------------

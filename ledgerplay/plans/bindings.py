@@ -16,7 +16,8 @@ from ledgerplay.sources.tables import read_table
 TERM_MONTHS = 7          # l_linenumber runs 1..7 at every scale
 RATE_LO, RATE_SPAN = 5, 26   # yearly rate in percent: 5 .. 30
 PLAYER_MOD = 100         # second player id = l_partkey % 100
-GAMES = 50               # planets: game_id = vec_id % 50
+PLANETS_PER_GAME = 10    # planets: game_id = vec_id DIV 10 (a game has 10 planets at every scale)
+GAMES = 50               # fleets fly in games 0..49 (embeddings has >= 500 rows at every scale)
 # -----------------------------------------------------------------------------
 
 
@@ -150,31 +151,31 @@ BATTLES_SQL = f"""battles AS (SELECT l_orderkey * 16 + l_linenumber AS battle_id
 
 
 def planets(spark: SparkSession, d: str) -> DataFrame:
-    """Planet snapshots: one game per vec_id % 50, turn 0; x, y from the vector."""
+    """Planet snapshots: games of 10 planets (vec_id DIV 10), turn 0; x, y from the vector."""
     e = read_table(spark, d, "embeddings", ["vec_id", "embedding", "label"])
     return e.select(
-        (F.col("vec_id") % GAMES).alias("game_id"),
+        F.floor(F.col("vec_id") / PLANETS_PER_GAME).cast("long").alias("game_id"),
         F.lit(0).alias("turn"),
         F.col("vec_id").alias("planet_id"),
         (F.col("label") % 3).alias("owner"),
-        (F.abs(F.col("embedding")[2]) * 1000).cast("int").alias("num_ships"),
-        (F.abs(F.col("embedding")[3]) * 20).cast("int").alias("growth_rate"),
-        (F.col("embedding")[0] * 100).cast("double").alias("x"),
-        (F.col("embedding")[1] * 100).cast("double").alias("y"),
+        (F.abs(F.col("embedding")[2].cast("double")) * 1000).cast("int").alias("num_ships"),
+        (F.abs(F.col("embedding")[3].cast("double")) * 20).cast("int").alias("growth_rate"),
+        (F.col("embedding")[0].cast("double") * 100).alias("x"),
+        (F.col("embedding")[1].cast("double") * 100).alias("y"),
     )
 
 
 # DuckDB lists are 1-based.
-PLANETS_SQL = f"""planets AS (SELECT vec_id % {GAMES} AS game_id, 0 AS turn, vec_id AS planet_id, label % 3 AS owner,
-  CAST(trunc(abs(embedding[3]) * 1000) AS INTEGER) AS num_ships,
-  CAST(trunc(abs(embedding[4]) * 20) AS INTEGER) AS growth_rate,
-  CAST(embedding[1] * 100 AS DOUBLE) AS x, CAST(embedding[2] * 100 AS DOUBLE) AS y FROM embeddings)"""
+PLANETS_SQL = f"""planets AS (SELECT CAST(vec_id // {PLANETS_PER_GAME} AS BIGINT) AS game_id, 0 AS turn, vec_id AS planet_id, label % 3 AS owner,
+  CAST(trunc(abs(CAST(embedding[3] AS DOUBLE)) * 1000) AS INTEGER) AS num_ships,
+  CAST(trunc(abs(CAST(embedding[4] AS DOUBLE)) * 20) AS INTEGER) AS growth_rate,
+  CAST(embedding[1] AS DOUBLE) * 100 AS x, CAST(embedding[2] AS DOUBLE) * 100 AS y FROM embeddings)"""
 
 
 def fleets(spark: SparkSession, d: str) -> DataFrame:
     """Fleets in flight: one per line item; source and target lie in the same game.
 
-    Planet ids g + 50*k (k < 10) exist at every scale (embeddings has >= 500 rows).
+    Planet ids 10*g + k (k < 10) of game g < 50 exist at every scale.
     """
     li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"])
     g = F.col("l_orderkey") % GAMES
@@ -184,16 +185,16 @@ def fleets(spark: SparkSession, d: str) -> DataFrame:
         (F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("fleet_id"),
         (F.col("l_suppkey") % 3).alias("owner"),
         F.col("l_quantity").cast("int").alias("num_ships"),
-        ((F.col("l_suppkey") % 10) * GAMES + g).alias("source_planet_id"),
-        ((F.col("l_partkey") % 10) * GAMES + g).alias("destination_planet_id"),
-        (F.col("l_linenumber") + 3).cast("int").alias("total_trip_length"),
+        (g * PLANETS_PER_GAME + F.col("l_suppkey") % 10).alias("source_planet_id"),
+        (g * PLANETS_PER_GAME + F.col("l_partkey") % 10).alias("destination_planet_id"),
+        (F.col("l_linenumber") + F.col("l_orderkey") % 3).cast("int").alias("total_trip_length"),
         (F.col("l_linenumber") - 1).cast("int").alias("turns_remaining"),
     )
 
 
 FLEETS_SQL = f"""fleets AS (SELECT l_orderkey % {GAMES} AS game_id, 0 AS turn, l_orderkey * 16 + l_linenumber AS fleet_id,
   l_suppkey % 3 AS owner, CAST(l_quantity AS INTEGER) AS num_ships,
-  (l_suppkey % 10) * {GAMES} + l_orderkey % {GAMES} AS source_planet_id,
-  (l_partkey % 10) * {GAMES} + l_orderkey % {GAMES} AS destination_planet_id,
-  CAST(l_linenumber + 3 AS INTEGER) AS total_trip_length, CAST(l_linenumber - 1 AS INTEGER) AS turns_remaining
+  (l_orderkey % {GAMES}) * {PLANETS_PER_GAME} + l_suppkey % 10 AS source_planet_id,
+  (l_orderkey % {GAMES}) * {PLANETS_PER_GAME} + l_partkey % 10 AS destination_planet_id,
+  CAST(l_linenumber + l_orderkey % 3 AS INTEGER) AS total_trip_length, CAST(l_linenumber - 1 AS INTEGER) AS turns_remaining
   FROM lineitem)"""
