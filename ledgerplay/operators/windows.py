@@ -153,14 +153,14 @@ def rolling_mean(curve: DataFrame, x: str, col: str, k: int, by: Sequence[str] =
     return curve.withColumn(f"{col}_smooth", F.avg(col).over(w))
 
 
-def is_monotonic(df: DataFrame, order: str, col: str, decimals: int | None = None) -> DataFrame:
+def is_monotonic(df: DataFrame, order: str, col: str, decimals: int | None = None, tie: Sequence[str] = ()) -> DataFrame:
     """Is the (rounded) series non-decreasing in ``order``?
 
     Each value is compared with the running maximum of the values before it.
     """
     v = F.round(F.col(col), decimals) if decimals is not None else F.col(col)
-    d = df.select(order, v.alias("__v"))
-    cum = prefix_agg(d, order, ["__v"], how="max", inclusive=False)
+    d = df.select(order, *tie, v.alias("__v"))
+    cum = prefix_agg(d, order, ["__v"], how="max", inclusive=False, tie_cols=list(tie))
     ok = F.col("__v_cum").isNull() | (F.col("__v") >= F.col("__v_cum"))
     return cum.agg(F.coalesce(F.bool_and(ok), F.lit(True)).alias("monotonic"))
 

@@ -1,3 +1,3 @@
 """Imports every query module so that all queries are registered."""
 
-from ledgerplay.plans import q_abtest, q_clean, q_game, q_payments  # noqa: F401
+from ledgerplay.plans import q_abtest, q_clean, q_eval, q_game, q_payments  # noqa: F401

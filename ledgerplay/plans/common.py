@@ -9,12 +9,19 @@ from pyspark.sql import types as T
 from ledgerplay.functions.formulas import norm_cdf_sql
 
 
+def round_half_away(c, digits: int = 6):
+    """round(x * 10^d) / 10^d with halves away from zero: the same double that
+    ``round(x, d)`` gives in engines that round the scaled binary value."""
+    m = float(10 ** digits)
+    return F.round(c.cast("double") * m, 0) / m + F.lit(0.0)
+
+
 def finish(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column (and fold -0.0) so results compare exactly."""
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out[f.name] = F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0)
+            out[f.name] = round_half_away(F.col(f"`{f.name}`"), digits)
     return df.withColumns(out) if out else df
 
 
