@@ -114,11 +114,11 @@ SEGMENTS_SQL = ENRICHED_SQL + f""",
 pop AS (SELECT * REPLACE (CASE WHEN credit_score BETWEEN 0 AND 10000 THEN credit_score END AS credit_score) FROM enriched),
 e1 AS (SELECT list_sort(list_distinct(quantile_cont(credit_score, {QL}))) AS edges FROM pop),
 b1 AS (SELECT pop.*, CASE WHEN credit_score IS NOT NULL AND credit_score >= edges[1] AND credit_score <= edges[-1]
-  THEN greatest(len(list_filter(edges, lambda e: e < credit_score)), 1) END AS bin1 FROM pop, e1),
+  THEN CAST(greatest(len(list_filter(edges, lambda e: e < credit_score)), 1) AS INTEGER) END AS bin1 FROM pop, e1),
 e2 AS (SELECT bin1, list_sort(list_distinct(quantile_cont(requested_amount, {QL}))) AS edges FROM b1
   WHERE bin1 IS NOT NULL GROUP BY bin1),
 b2 AS (SELECT b1.*, CASE WHEN requested_amount IS NOT NULL AND requested_amount >= e2.edges[1] AND requested_amount <= e2.edges[-1]
-  THEN greatest(len(list_filter(e2.edges, lambda e: e < requested_amount)), 1) END AS bin2 FROM b1 LEFT JOIN e2 USING (bin1)),
+  THEN CAST(greatest(len(list_filter(e2.edges, lambda e: e < requested_amount)), 1) AS INTEGER) END AS bin2 FROM b1 LEFT JOIN e2 USING (bin1)),
 seg AS (SELECT * FROM b2 WHERE bin1 IS NOT NULL AND bin2 IS NOT NULL)"""
 
 

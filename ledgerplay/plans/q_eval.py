@@ -245,7 +245,7 @@ def g19_binned_rate(spark, d):
 G20_SQL = EV + """,
 e AS (SELECT list_sort(list_distinct(quantile_cont(requested_amount, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS edges FROM ev),
 b AS (SELECT ev.*, requested_amount / 500000.0 AS pred, CASE WHEN requested_amount >= edges[1] AND requested_amount <= edges[-1]
-  THEN greatest(len(list_filter(edges, lambda x: x < requested_amount)), 1) END AS bin FROM ev, e)"""
+  THEN CAST(greatest(len(list_filter(edges, lambda x: x < requested_amount)), 1) AS INTEGER) END AS bin FROM ev, e)"""
 
 
 @register("g20_binned_scatter", with_views("offers", "bureau", extra=G20_SQL) + f"""SELECT bin, {r6('avg(pred)')} AS mean_pred, {r6('avg(CAST(y AS DOUBLE))')} AS mean_true, count(*) AS n FROM b GROUP BY bin""")

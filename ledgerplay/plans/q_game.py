@@ -166,7 +166,7 @@ def t7_top_fraction(spark, d):
 
 @register("w15_greedy_fill", with_views("planets", extra=f"""o AS (SELECT game_id, turn, planet_id, num_ships,
   coalesce(sum(num_ships) OVER (PARTITION BY game_id, turn ORDER BY planet_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM planets WHERE owner = {ME})""") + "SELECT game_id, turn, planet_id, num_ships, greatest(0, least(num_ships, 500 - before)) AS give FROM o")
+  FROM planets WHERE owner = {ME})""") + "SELECT game_id, turn, planet_id, num_ships, CAST(greatest(0, least(num_ships, 500 - before)) AS BIGINT) AS give FROM o")
 def w15_greedy_fill(spark, d):
     p = B.planets(spark, d).where(F.col("owner") == ME).select("game_id", "turn", "planet_id", "num_ships")
     out = GL.greedy_fill(p, ["game_id", "turn"], "planet_id", "num_ships", F.lit(500))

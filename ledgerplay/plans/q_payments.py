@@ -163,7 +163,7 @@ QL = "[" + ", ".join(str(i / NB) for i in range(NB + 1)) + "]"
 BINS_SQL = SCORE_SQL + f""",
 e AS (SELECT list_sort(list_distinct(quantile_cont(score, {QL}))) AS edges FROM scored),
 binned AS (SELECT scored.*, CASE WHEN score IS NOT NULL AND score >= edges[1] AND score <= edges[-1]
-  THEN greatest(len(list_filter(edges, lambda x: x < score)), 1) END AS bin FROM scored, e)"""
+  THEN CAST(greatest(len(list_filter(edges, lambda x: x < score)), 1) AS INTEGER) END AS bin FROM scored, e)"""
 
 
 def binned(spark, d):
@@ -252,7 +252,7 @@ def m7_late_vs_population(spark, d):
 # --- secondary pool (F13-F16) --------------------------------------------------------
 
 SEC_SQL = MONTHLY_SQL + """,
-pool AS (SELECT sched.*, (year(TIMESTAMP '""" + BUY_DATE + """') - year(l.issue_date)) * 12 + (month(TIMESTAMP '""" + BUY_DATE + """') - month(l.issue_date)) AS purchase_mob
+pool AS (SELECT sched.*, CAST((year(TIMESTAMP '""" + BUY_DATE + """') - year(l.issue_date)) * 12 + (month(TIMESTAMP '""" + BUY_DATE + """') - month(l.issue_date)) AS INTEGER) AS purchase_mob
   FROM sched JOIN loans l USING (loan_id)),
 bought AS (SELECT * FROM pool WHERE purchase_mob > 0 AND purchase_mob < term)"""
 

@@ -23,11 +23,34 @@ VIEW_SQL = {
 }
 
 
+def _bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)`` (the check engine
+    returns a 128-bit integer for it; the engine's type is 64-bit)."""
+    out, i, tok = [], 0, "count_if("
+    while True:
+        j = sql.find(tok, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(tok) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _bigint_counts(sql[j + len(tok):k])
+        out.append(sql[i:j] + f"CAST(count_if({inner}) AS BIGINT)")
+        i = k + 1
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, sql)
+        REGISTRY[name] = (fn, _bigint_counts(sql) if sql else sql)
         return fn
     return deco
 
