@@ -153,5 +153,5 @@ def parse_battle_rows(lines: DataFrame, text_col: str = "value") -> DataFrame:
         F.regexp_extract(v, r"^(\d+)", 1).cast("long").alias("battle_id"),
         F.trim(F.regexp_replace(head, r"^\d+", "")).alias("player_1_name"),
         F.trim(F.substring(v, p1_end + 1, p2_end - p1_end)).alias("player_2_name"),
-        g(1).cast("int").alias("winner"), g(2).alias("finish_state"), g(3).cast("int").alias("player_1_score"),
-        g(4).cast("int").alias("player_2_score"), g(5).cast("int").alias("turns"), g(6).alias("description_for_display"))
+        g(1).try_cast("int").alias("winner"), g(2).alias("finish_state"), g(3).try_cast("int").alias("player_1_score"),
+        g(4).try_cast("int").alias("player_2_score"), g(5).try_cast("int").alias("turns"), g(6).alias("description_for_display"))
