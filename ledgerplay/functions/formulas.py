@@ -102,10 +102,11 @@ def unit_hash(key, seed: int = 0) -> Column:
 
 
 def pmt_sql(rate: str, n: str, pv: str) -> str:
-    """Level payment of an annuity; rate 0 -> pv/n."""
+    """Level payment of an annuity; rate 0 -> pv/n.  Computed in DOUBLE."""
+    r = f"CAST(({rate}) AS DOUBLE)"
     return (
-        f"(CASE WHEN ({rate}) = 0 THEN ({pv})/({n}) "
-        f"ELSE ({pv})*({rate})/(1.0-power(1.0+({rate}), -({n}))) END)"
+        f"(CASE WHEN {r} = 0 THEN ({pv})/({n}) "
+        f"ELSE ({pv})*{r}/(1.0-power(1.0+{r}, -({n}))) END)"
     )
 
 

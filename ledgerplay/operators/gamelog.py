@@ -36,8 +36,13 @@ def standings(sides: DataFrame) -> DataFrame:
 
     One aggregate; partial aggregation map-side keeps a dominant player cheap.
     """
+    return standings_by(sides, [])
+
+
+def standings_by(sides: DataFrame, by: Sequence[str]) -> DataFrame:
+    """G25 per extra key (e.g. round_id): all rounds in one aggregate."""
     i = lambda c: F.col(c).cast("int")
-    return sides.groupBy("player_name").agg(
+    return sides.groupBy(*by, "player_name").agg(
         F.count(F.lit(1)).alias("battle_count"),
         F.sum(i("won")).cast("long").alias("won"), F.sum(i("lost")).cast("long").alias("lost"),
         F.sum(i("tie")).cast("long").alias("tie"),

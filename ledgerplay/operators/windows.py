@@ -183,11 +183,14 @@ def sort(df: DataFrame, *cols: str | Column, ascending: bool = True) -> DataFram
     return df.orderBy(*cols, ascending=ascending)
 
 
-def head(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
-    """N rows for display; with ``key`` a deterministic hash-ordered sample."""
+def head(df: DataFrame, n: int, key: str | None = None, seed: int = 0) -> DataFrame:
+    """N rows for display; with ``key`` a deterministic sample (portable key
+    hash order, so the same rows in any engine).  ``limit`` after ``orderBy``
+    is a top-k: each partition keeps n rows, no global sort."""
     if key is None:
         return df.limit(n)
-    return df.orderBy(F.xxhash64(key), key).limit(n)
+    from ledgerplay.functions.formulas import unit_hash
+    return df.orderBy(unit_hash(key, seed), F.col(key)).limit(n)
 
 
 def top_columns(stat: DataFrame, value: str, k: int, by_abs: bool = True) -> DataFrame:

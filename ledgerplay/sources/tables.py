@@ -59,15 +59,18 @@ def read_parquet_fraction(spark: SparkSession, path: str, frac: float = 1.0, pat
 
 
 def read_csv_glob(spark: SparkSession, directory: str, name_filter: str, schema: StructType | str,
-                  header: bool = True) -> DataFrame:
-    """S3: all CSV files whose name matches a glob (e.g. ``*town*``), with lineage."""
-    df = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("pathGlobFilter", name_filter)
-        .csv(directory)
-    )
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+                  header: bool = True, match: str = "file") -> DataFrame:
+    """S3: all CSV files whose name matches a glob (e.g. ``*town*``), with lineage.
+
+    ``match="file"`` filters file names inside ``directory`` (listing only);
+    ``match="path"`` globs the path below ``directory`` (e.g. partition folders).
+    """
+    reader = spark.read.schema(schema).option("header", header)
+    if match == "file":
+        df = reader.option("pathGlobFilter", name_filter).csv(directory)
+    else:
+        df = reader.csv(os.path.join(directory, name_filter))
+    return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
