@@ -6,7 +6,7 @@ import pytest
 from tests.conftest import SF_SMALL
 
 PY_ALLOWED = {"f3_loan_irr", "f4_portfolio_irr", "f5_volume_irr_curve", "f7_irr_at_share", "f8_irr_by_group",
-              "f14_secondary_irr", "f16_discount_sweep"}
+              "f14_secondary_irr", "f16_discount_sweep", "f6_compare_curves", "s6_parse_maps"}
 
 
 def _plan(df):
