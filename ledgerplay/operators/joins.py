@@ -79,10 +79,11 @@ def bin_join(df: DataFrame, col: str, bins: DataFrame, out: str = "bin", by: str
     """Assign each row its interval from a small bin table.
 
     ``bins`` has an ``edges`` array column (ascending), and, for nested bins, the
-    key ``by`` of the outer bin.  The table holds one row per outer bin, so the
-    broadcast is bounded by the number of bins.
+    key ``by`` of the outer bin.  The table holds one row per outer bin (or one
+    row), so the broadcast is bounded by the number of bins.
     """
     if by is None:
+        # one edge list (bounded by the bin count) becomes a literal
         edges = bins.select("edges").collect()[0][0]
         return df.withColumn(out, edges_index(F.col(col), F.lit(edges)))
     b = bins.select(F.col(by).alias("__by"), F.col("edges").alias("__edges"))

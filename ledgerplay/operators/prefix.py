@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
 _B = "__range_bucket"
+_G = "__one_group"
 
 
 def _edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
@@ -74,11 +75,13 @@ def prefix_agg(
     by = list(by)
     key = "__order_key"
     d = df.withColumn(key, (-F.col(order_col) if desc else F.col(order_col)).cast("double"))
+    # one group: edges are a bounded literal (a constant join key would be
+    # folded by the optimizer into a nested-loop join)
     d = _group_bucket(d, key, by, n_buckets) if by else range_bucket(d, key, n_buckets)
     agg = F.sum if how == "sum" else F.max
     zero = F.lit(0.0) if how == "sum" else F.lit(None)
     tot = d.groupBy(*by, _B).agg(*[agg(c).alias(f"{c}__t") for c in cols])
-    wb = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    wb = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     # (groups x buckets) rows: small
     off = tot.select(*by, _B, *[agg(f"{c}__t").over(wb).alias(f"{c}__o") for c in cols])
     inner_end = Window.currentRow if inclusive else -1
@@ -87,7 +90,7 @@ def prefix_agg(
         .orderBy(F.col(key).asc_nulls_last(), *[F.col(t) for t in tie_cols])
         .rowsBetween(Window.unboundedPreceding, inner_end)
     )
-    res = d.join(F.broadcast(off), [*by, _B], "left")
+    res = d.join(F.broadcast(off), [*by, _B], "left")  # (groups x buckets) rows
     for c in cols:
         inner = agg(c).over(wi)
         if how == "sum":
@@ -110,7 +113,8 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
 
     Distributed order statistics: distinct values with counts, running counts
     (range-bucketed), then each group's needed ranks are picked with a
-    broadcast table of target positions - no task holds a whole group.
+    broadcast table of target positions - no task holds a whole group.  For
+    one group the bounded rank list and order statistics pass the driver.
     """
     by = list(by)
     vc = value_counts(df, col, by=by)
@@ -122,6 +126,7 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
         "__lo", F.floor("__pos").cast("long")).withColumn(
         "__hi", F.least(F.col("__lo") + 1, F.col("__N").cast("long") - 1)).withColumn(
         "__frac", F.col("__pos") - F.col("__lo"))
+    # one row per group with at most 2*len(qs) ranks: bounded, broadcast
     need = targets.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("__lo", "__hi")))).alias("__ks"))
     start = F.col("n_cum") - F.col("n")
     if by:
@@ -131,10 +136,20 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
         ks = need.collect()
         src = cum.withColumn("__ks", F.lit([int(k) for k in ks[0][0]] if ks else []).cast("array<long>"))
     hits = src.select(*by, col, F.explode(F.filter("__ks", lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
-    lo = hits.select(*by, F.col("__k").alias("__lo"), F.col(col).alias("__vlo"))
-    hi = hits.select(*by, F.col("__k").alias("__hi"), F.col(col).alias("__vhi"))
-    res = targets.join(lo, [*by, "__lo"], "left").join(hi, [*by, "__hi"], "left")
-    val = F.col("__vlo") + F.col("__frac") * (F.col("__vhi") - F.col("__vlo"))
+    if not by:
+        # one group: the (at most 2*len(qs)) order statistics come to the driver
+        got = {r["__k"]: float(r[col]) for r in hits.select("__k", col).collect()}
+        rows = []
+        for t in targets.select("q", "__lo", "__hi", "__frac").collect():
+            a, b = got.get(t["__lo"]), got.get(t["__hi"])
+            rows.append((float(t["q"]), None if a is None or b is None else a + t["__frac"] * (b - a)))
+        return df.sparkSession.createDataFrame(rows, "q double, value double")
+    # at most 2*len(qs) order statistics per group: one small map per group
+    stats = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", F.col(col).cast("double")))).alias("__m"))
+    res = targets.join(stats, by, "left")
+    vlo = F.element_at("__m", F.col("__lo"))
+    vhi = F.element_at("__m", F.col("__hi"))
+    val = vlo + F.col("__frac") * (vhi - vlo)
     return res.select(*by, "q", val.cast("double").alias("value"))
 
 

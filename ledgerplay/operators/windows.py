@@ -67,10 +67,9 @@ def _bin_multi(df: DataFrame, col: str, edges: DataFrame, out: str, by: Sequence
 def nested_qcut(df: DataFrame, c1: str, q1: int, c2: str, q2: int, apply_to: DataFrame | None = None) -> DataFrame:
     """Bins of c1, then bins of c2 inside each c1 bin; ``apply_to`` gets the same edges."""
     e1 = quantile_edges(df, c1, q1)
-    edges1 = e1.collect()[0]["edges"]
-    ref = df.withColumn("bin1", edges_index(F.col(c1), F.lit(edges1)))
+    ref = bin_join(df, c1, e1, "bin1")
     e2 = quantile_edges(ref.where(F.col("bin1").isNotNull()), c2, q2, ["bin1"])
-    target = (apply_to if apply_to is not None else df).withColumn("bin1", edges_index(F.col(c1), F.lit(edges1)))
+    target = bin_join(apply_to if apply_to is not None else df, c1, e1, "bin1")
     return bin_join(target, c2, e2, "bin2", by="bin1")
 
 

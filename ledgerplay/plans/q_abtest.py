@@ -12,6 +12,7 @@ from ledgerplay.operators import windows as W
 from ledgerplay.plans import bindings as B
 from ledgerplay.plans.common import ENRICHED_SQL, finish, p2_sql, phi, r6, z2_sql
 from ledgerplay.plans.registry import register, with_views
+from ledgerplay.session import cut_lineage
 
 TOWN_A, TOWN_B = "AMERICA", "EUROPE"
 Q = [i / 10 for i in range(11)]
@@ -105,7 +106,9 @@ def m3_power_table(spark, d):
 # --- segmented test: nested quantile bins of the population, then a test per segment ----
 
 def segments(spark, d):
-    e = P.range_to_null(enriched(spark, d), "credit_score", 0, 10000)
+    # the population is scanned by every quantile pass and by the binning:
+    # materialise it once in the shared checkpoint folder
+    e = cut_lineage(P.range_to_null(enriched(spark, d), "credit_score", 0, 10000))
     binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10)
     return binned.where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
 
