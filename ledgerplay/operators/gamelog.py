@@ -90,6 +90,23 @@ def inflight_by_target(fleets: DataFrame, me: int = 1) -> DataFrame:
     ).withColumn("net_incoming", F.col("own_incoming") - F.col("enemy_incoming"))
 
 
+def score_density(planets: DataFrame, fleets: DataFrame, me: int = 1) -> DataFrame:
+    """Per planet |growth / d| with d = ships adjusted by ships in flight to it
+    (own planet: + own - enemy; other: - own + enemy), d = 0 -> 1, times 4 for
+    own and neutral planets.  Per target only: G28 joined on the snapshot key,
+    no planet pairs.  ``density_rank`` orders ascending per snapshot."""
+    inc = inflight_by_target(fleets, me).select(*SNAP, "planet_id", "own_incoming", "enemy_incoming")
+    j = planets.join(inc, [*SNAP, "planet_id"], "left").fillna({"own_incoming": 0, "enemy_incoming": 0})
+    adj = F.when(F.col("owner") == me, F.col("own_incoming") - F.col("enemy_incoming")).otherwise(
+        F.col("enemy_incoming") - F.col("own_incoming"))
+    d = F.col("num_ships") + adj
+    d = F.when(d == 0, F.lit(1)).otherwise(d)
+    d = F.when(F.col("owner").isin(0, me), d * 4).otherwise(d)
+    out = j.withColumn("score", F.abs(F.col("growth_rate") / d.cast("double")))
+    w = Window.partitionBy(*SNAP).orderBy("score", "planet_id")
+    return out.withColumn("density_rank", F.row_number().over(w)).select(*SNAP, "planet_id", "score", "density_rank")
+
+
 def contest_resolve(planets: DataFrame, fleets: DataFrame, arriving_only: bool = True) -> DataFrame:
     """Resolve arrivals per (snapshot, planet) by the engine's rule.
 

@@ -214,3 +214,16 @@ def s7_decode_replays(spark, d):
                                                   F.lit(0).alias("total_trip_length"), F.lit(0).alias("turns_remaining")))
     _maps, states, _fl = GF.decode_replays(rep)
     return states.withColumn("planet_id", F.col("planet_id").cast("int")).withColumn("turn", F.col("turn").cast("int"))
+
+
+@register("b6_score_density", with_views("planets", "fleets", extra=f"""inc AS (SELECT game_id, turn, destination_planet_id AS planet_id,
+  sum(CASE WHEN owner = {ME} THEN num_ships ELSE 0 END) AS own_incoming, sum(CASE WHEN owner <> {ME} THEN num_ships ELSE 0 END) AS enemy_incoming
+  FROM fleets GROUP BY 1, 2, 3),
+j AS (SELECT p.*, coalesce(own_incoming, 0) AS oi, coalesce(enemy_incoming, 0) AS ei FROM planets p LEFT JOIN inc USING (game_id, turn, planet_id)),
+d AS (SELECT *, num_ships + CASE WHEN owner = {ME} THEN oi - ei ELSE ei - oi END AS d0 FROM j),
+e AS (SELECT *, CASE WHEN owner IN (0, {ME}) THEN (CASE WHEN d0 = 0 THEN 1 ELSE d0 END) * 4 ELSE (CASE WHEN d0 = 0 THEN 1 ELSE d0 END) END AS dd FROM d),
+s AS (SELECT game_id, turn, planet_id, abs(growth_rate / CAST(dd AS DOUBLE)) AS score FROM e)""") +
+    f"""SELECT game_id, turn, planet_id, {r6('score')} AS score,
+  CAST(row_number() OVER (PARTITION BY game_id, turn ORDER BY score, planet_id) AS INTEGER) AS density_rank FROM s""")
+def b6_score_density(spark, d):
+    return finish(GL.score_density(B.planets(spark, d), B.fleets(spark, d), ME))

@@ -218,3 +218,26 @@ def console_lines(spark, d):
   count(*) AS n FROM lines GROUP BY ALL""")
 def s8_g31_log_counts(spark, d):
     return GL.log_counts(GF.parse_console_log(console_lines(spark, d)))
+
+
+@register("p1_where", with_views("offers") + f"SELECT offer_key, id, {r6('requested_amount')} AS requested_amount FROM offers WHERE offer_accepted AND requested_amount > 100000")
+def p1_where(spark, d):
+    from ledgerplay.operators import clean as P
+    o = B.offers(spark, d)
+    return finish(P.where(P.where(o, "offer_accepted"), F.col("requested_amount") > 100000).select("offer_key", "id", "requested_amount"))
+
+
+@register("t1_sort", f"SELECT o_orderkey, {r6('o_totalprice')} AS o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
+def t1_sort(spark, d):
+    o = S.read_table(spark, d, "orders", ["o_orderkey", "o_totalprice"])
+    return finish(W.sort(o, F.col("o_totalprice").desc(), F.col("o_orderkey")))
+
+
+@register("f2_annualize", with_views("loans") + f"""SELECT loan_id, {r6('pow(1.0 + int_rate / 1200.0, 12) - 1')} AS yearly,
+  {r6('pow(1.0 + int_rate / 100.0, 1.0 / 12.0) - 1')} AS monthly FROM loans""")
+def f2_annualize(spark, d):
+    from ledgerplay.operators import cashflow as C
+    from ledgerplay.functions.formulas import deannualize
+    l = B.loans(spark, d)
+    return finish(l.select("loan_id", C.annualize(F.col("int_rate") / 1200.0).alias("yearly"),
+                           deannualize(F.col("int_rate") / 100.0).alias("monthly")))
