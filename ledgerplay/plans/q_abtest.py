@@ -19,14 +19,22 @@ Q = [i / 10 for i in range(11)]
 QL = "[" + ", ".join(str(q) for q in Q) + "]"
 
 
-def enriched(spark, d):
-    """Last offer per client, enriched with the bureau row (J1 keeps the row count)."""
-    last = W.latest_per_key(B.offers(spark, d), "id", "offer_date", "offer_key")
+def enriched(spark, d, cols=None):
+    """Last offer per client, enriched with the bureau row (J1 keeps the row count).
+
+    ``cols`` narrows the offer columns carried through the last-row aggregate:
+    a struct in an aggregate hides unused fields from column pruning, so the
+    projection is done before it.
+    """
+    o = B.offers(spark, d)
+    if cols:
+        o = o.select(*dict.fromkeys(["id", "offer_date", "offer_key", *cols]))
+    last = W.latest_per_key(o, "id", "offer_date", "offer_key")
     return J.enrich(last, B.bureau(spark, d), "id")
 
 
 def ab_town_vs_rest(spark, d):
-    e = enriched(spark, d)
+    e = enriched(spark, d, ["offer_accepted"])
     return finish(M.one_vs_rest(e, "town", "offer_accepted").select(
         "town", "n_a", "x_a", "n_b", "x_b", "rate_a", "rate_b", "z", "p_value"))
 
@@ -63,7 +71,7 @@ def g1_mean_overall_and_where(spark, d):
 @register("g2_activation_rate", with_views("offers", "bureau", extra=ENRICHED_SQL) + f"""
 SELECT town, {r6('avg(CAST(offer_accepted AS INTEGER))')} AS rate, count(*) AS n FROM enriched GROUP BY town""")
 def g2_activation_rate(spark, d):
-    return finish(G.rate(enriched(spark, d), "offer_accepted", ["town"]))
+    return finish(G.rate(enriched(spark, d, ["offer_accepted"]), "offer_accepted", ["town"]))
 
 
 @register("m1_prop_ztest_1", with_views("offers", "bureau", extra=ENRICHED_SQL + """,
@@ -72,7 +80,7 @@ b AS (SELECT *, x / n AS p_hat FROM a),
 c AS (SELECT *, CASE WHEN p_hat*(1-p_hat)/n > 0 THEN (p_hat - 0.3333)/sqrt(p_hat*(1-p_hat)/n) END AS z FROM b)""") + f"""
 SELECT town, x, n, {r6('p_hat')} AS p_hat, {r6('z')} AS z, {r6(p2_sql('z'))} AS p_value FROM c""")
 def m1_prop_ztest_1(spark, d):
-    return finish(M.prop_ztest_1(enriched(spark, d), "offer_accepted", 0.3333, by=["town"]))
+    return finish(M.prop_ztest_1(enriched(spark, d, ["offer_accepted"]), "offer_accepted", 0.3333, by=["town"]))
 
 
 @register("m2_two_towns", with_views("offers", "bureau", extra=ENRICHED_SQL + f""",
@@ -84,7 +92,7 @@ z AS (SELECT *, """ + z2_sql("n_a", "x_a", "n_b", "x_b") + """ AS z FROM a)""")
 SELECT n_a, x_a, n_b, x_b, {r6('x_a/n_a')} AS rate_a, {r6('x_b/n_b')} AS rate_b, {r6('z')} AS z,
   {r6(p2_sql('z'))} AS p_value FROM z""")
 def m2_two_towns(spark, d):
-    return finish(M.prop_ztest_2(enriched(spark, d), "town", "offer_accepted", TOWN_A, TOWN_B))
+    return finish(M.prop_ztest_2(enriched(spark, d, ["offer_accepted"]), "town", "offer_accepted", TOWN_A, TOWN_B))
 
 
 @register("m3_power_table", with_views("offers", "bureau", extra=ENRICHED_SQL + f""",
@@ -108,7 +116,7 @@ def m3_power_table(spark, d):
 def segments(spark, d):
     # the population is scanned by every quantile pass and by the binning:
     # materialise it once in the shared checkpoint folder
-    e = cut_lineage(P.range_to_null(enriched(spark, d), "credit_score", 0, 10000))
+    e = cut_lineage(P.range_to_null(enriched(spark, d, ["offer_accepted", "requested_amount"]), "credit_score", 0, 10000))
     binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10)
     return binned.where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
 
