@@ -30,8 +30,11 @@ def volume_irr_curve(binned: DataFrame, cf: DataFrame, bin_col: str = "bin", key
     """
     b = binned.where(F.col(bin_col).isNotNull())
     per = cf.join(b.select(key, bin_col), key, "inner").groupBy(bin_col, "period").agg(F.sum("cf").alias("cf"))
-    maxp = per.agg(F.max("period")).collect()[0][0] or 0
-    grid = b.select(bin_col).distinct().withColumn("period", F.explode(F.sequence(F.lit(0), F.lit(int(maxp)))))
+    # full bins x periods grid, built from the small (bin, period) table itself:
+    # the last period comes from a window over that table, then each bin row
+    # expands to 0..last (no join of bins with periods)
+    lastp = per.withColumn("__last", F.max("period").over(Window.partitionBy())).groupBy(bin_col).agg(F.max("__last").alias("__last"))
+    grid = lastp.select(bin_col, F.explode(F.sequence(F.lit(0), F.col("__last"))).alias("period"))
     full = grid.join(per, [bin_col, "period"], "left").fillna({"cf": 0.0})
     w = Window.partitionBy("period").orderBy(F.col(bin_col).desc()).rowsBetween(Window.unboundedPreceding, 0)
     cum = full.withColumn("cf", F.sum("cf").over(w))

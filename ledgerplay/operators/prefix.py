@@ -117,6 +117,8 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     one group the bounded rank list and order statistics pass the driver.
     """
     by = list(by)
+    if not by:
+        return _global_quantiles(df, col, qs, n_buckets)
     vc = value_counts(df, col, by=by)
     cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=n_buckets, by=by)
     tot = vc.groupBy(*by).agg(F.sum("n").alias("__N"))
@@ -129,21 +131,8 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     # one row per group with at most 2*len(qs) ranks: bounded, broadcast
     need = targets.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("__lo", "__hi")))).alias("__ks"))
     start = F.col("n_cum") - F.col("n")
-    if by:
-        src = cum.join(F.broadcast(need), by, "inner")
-    else:
-        # one group: its (at most 2*len(qs)) target ranks become a literal
-        ks = need.collect()
-        src = cum.withColumn("__ks", F.lit([int(k) for k in ks[0][0]] if ks else []).cast("array<long>"))
+    src = cum.join(F.broadcast(need), by, "inner")
     hits = src.select(*by, col, F.explode(F.filter("__ks", lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
-    if not by:
-        # one group: the (at most 2*len(qs)) order statistics come to the driver
-        got = {r["__k"]: float(r[col]) for r in hits.select("__k", col).collect()}
-        rows = []
-        for t in targets.select("q", "__lo", "__hi", "__frac").collect():
-            a, b = got.get(t["__lo"]), got.get(t["__hi"])
-            rows.append((float(t["q"]), None if a is None or b is None else a + t["__frac"] * (b - a)))
-        return df.sparkSession.createDataFrame(rows, "q double, value double")
     # at most 2*len(qs) order statistics per group: one small map per group
     stats = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", F.col(col).cast("double")))).alias("__m"))
     res = targets.join(stats, by, "left")
@@ -153,6 +142,32 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     return res.select(*by, "q", val.cast("double").alias("value"))
 
 
+def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int) -> DataFrame:
+    """One group: value counts are materialised once in the shared checkpoint
+    folder (every later pass reads two columns instead of re-running the input
+    plan); the total, the ranks and the order statistics are bounded values."""
+    from ledgerplay.session import cut_lineage
+    vc = cut_lineage(value_counts(df, col))
+    total = vc.agg(F.sum("n")).collect()[0][0]
+    spark = df.sparkSession
+    if not total:
+        return spark.createDataFrame([(float(q), None) for q in qs], "q double, value double")
+    n = int(total)
+    plan = []
+    for q in qs:
+        pos = float(q) * (n - 1)
+        lo = int(pos // 1)
+        plan.append((float(q), lo, min(lo + 1, n - 1), pos - lo))
+    ks = sorted({k for _, a, b, _ in plan for k in (a, b)})
+    cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=n_buckets)
+    start = F.col("n_cum") - F.col("n")
+    hits = cum.select(col, F.explode(F.filter(F.lit(ks).cast("array<long>"),
+                                              lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
+    got = {r["__k"]: float(r[col]) for r in hits.collect()}
+    rows = [(q, got[a] + fr * (got[b] - got[a])) for q, a, b, fr in plan]
+    return spark.createDataFrame(rows, "q double, value double")
+
+
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int = DEFAULT_BUCKETS) -> list[float | None]:
     """Global exact quantiles; only len(qs) rows reach the driver."""
     rows = grouped_quantiles(df, col, qs, (), n_buckets).collect()
