@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import rnd
-from ledgerplay.operators.prefix import exact_quantiles
+from ledgerplay.operators.prefix import exact_quantiles, grouped_quantiles
 
 
 def _c(c: str | Column) -> Column:
@@ -33,12 +33,18 @@ def rate(df: DataFrame, flag: str | Column, by: Sequence[str] = (), out: str = "
 
 
 def value_shares(df: DataFrame, col: str, dropna: bool = True, by: Sequence[str] = ()) -> DataFrame:
-    """Count and share of each value (share within ``by``)."""
+    """Count and share of each value (share within ``by``).
+
+    Without ``by`` the total is one scalar aggregate; with ``by`` the per-group
+    totals (one row per group) are joined back.
+    """
     d = df.where(F.col(col).isNotNull()) if dropna else df
     cnt = d.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
-    # the count table is small (one row per value); its total is a window over it
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return cnt.withColumn("share", F.col("n") / F.sum("n").over(w))
+    if not by:
+        total = cnt.agg(F.sum("n")).collect()[0][0] or 0
+        return cnt.withColumn("share", F.col("n") / F.lit(float(total)))
+    tot = cnt.groupBy(*by).agg(F.sum("n").alias("__t"))
+    return cnt.join(tot, list(by)).withColumn("share", F.col("n") / F.col("__t")).drop("__t")
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
@@ -48,25 +54,23 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, std (n-1), min, quartiles, max per column, exact quartiles.
+    """Count, mean, std (n-1), min, quartiles, max per column.
 
-    Quartiles use ``percentile`` (exact; keeps a value->count map, fine for
-    bounded domains).  For unbounded domains use ``describe_exact_scalable``.
+    Moments in one aggregate pass; quartiles are exact distributed order
+    statistics (no task holds a column's value map).
     """
-    aggs = []
+    mom = []
+    for c in cols:
+        mom += [F.count(c).cast("double").alias(f"{c}|count"), F.avg(c).alias(f"{c}|mean"),
+                F.stddev_samp(c).alias(f"{c}|std"), F.min(c).cast("double").alias(f"{c}|min"),
+                F.max(c).cast("double").alias(f"{c}|max")]
+    m = df.agg(*mom).collect()[0]
+    rows = []
     for c in cols:
-        aggs += [
-            F.count(c).cast("double").alias(f"{c}|count"), F.avg(c).alias(f"{c}|mean"),
-            F.stddev_samp(c).alias(f"{c}|std"), F.min(c).cast("double").alias(f"{c}|min"),
-            F.percentile(c, 0.25).alias(f"{c}|q25"), F.percentile(c, 0.5).alias(f"{c}|q50"),
-            F.percentile(c, 0.75).alias(f"{c}|q75"), F.max(c).cast("double").alias(f"{c}|max"),
-        ]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(f"`{c}|{s}`").alias(s) for s in stats]) for c in cols
-    ])).alias("r")).select("r.*")
-    return long
+        q25, q50, q75 = exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.25, 0.5, 0.75])
+        rows.append((c, m[f"{c}|count"], m[f"{c}|mean"], m[f"{c}|std"], m[f"{c}|min"], q25, q50, q75, m[f"{c}|max"]))
+    return df.sparkSession.createDataFrame(rows, "column string, count double, mean double, std double, min double, "
+                                                 "q25 double, q50 double, q75 double, max double")
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
@@ -77,9 +81,14 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
 
 
 def group_stat(df: DataFrame, key: str | Sequence[str], col: str, stat: str = "mean") -> DataFrame:
-    """Mean or median per group."""
-    f = {"mean": F.avg(col), "median": F.percentile(col, 0.5), "std": F.stddev_samp(col)}[stat]
-    return df.groupBy(key).agg(f.alias(stat), F.count(col).alias("n"))
+    """Mean, std or median per group (median: exact, per-group order statistics)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    n = df.groupBy(*keys).agg(F.count(col).alias("n"))
+    if stat == "median":
+        med = grouped_quantiles(df, col, [0.5], keys).select(*keys, F.col("value").alias("median"))
+        return n.join(med, keys, "left")
+    f = {"mean": F.avg(col), "std": F.stddev_samp(col)}[stat]
+    return df.groupBy(*keys).agg(f.alias(stat), F.count(col).alias("n"))
 
 
 def target_encode(fit: DataFrame, cat: str, y: str) -> DataFrame:

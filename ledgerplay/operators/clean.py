@@ -154,8 +154,11 @@ def fill_group_stat(df: DataFrame, fit: DataFrame, key: str, col: str, stat: str
     The statistics table has one row per group; it is joined on the key (a
     broadcast when the optimizer sees it is small).
     """
-    a = F.avg(col) if stat == "mean" else F.percentile(col, 0.5)
-    stats = fit.groupBy(key).agg(a.alias("__fill"))
+    if stat == "mean":
+        stats = fit.groupBy(key).agg(F.avg(col).alias("__fill"))
+    else:
+        from ledgerplay.operators.prefix import grouped_quantiles
+        stats = grouped_quantiles(fit, col, [0.5], [key]).select(key, F.col("value").alias("__fill"))
     return df.join(stats, key, "left").withColumn(col, F.coalesce(F.col(col), F.col("__fill"))).drop("__fill")
 
 

@@ -196,17 +196,19 @@ def best_target(scored: DataFrame, group: Sequence[str], score: str, item: str |
                 highest: bool = True) -> DataFrame:
     """Per group the row with the n-th best score (ties: smaller items).
 
-    For n = 1 this is ``max_by`` (a partial aggregate, safe for a hot group);
-    for n > 1 a window partitioned by the group.
+    ``max_by`` is a partial aggregate (safe for a hot group); for n > 1 the
+    better rows are removed by anti joins first (n is small).
     """
     items = [item] if isinstance(item, str) else list(item)
-    if n == 1:
-        key = F.struct(F.col(score) if highest else -F.col(score), *[-F.col(i) for i in items])
-        payload = F.struct(*[c for c in scored.columns if c not in group])
-        return scored.groupBy(*group).agg(F.max_by(payload, key).alias("__b")).select(*group, "__b.*")
-    o = F.col(score).desc() if highest else F.col(score).asc()
-    w = Window.partitionBy(*group).orderBy(o, *[F.col(i) for i in items])
-    return scored.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == n).drop("__rn")
+    key = F.struct(F.col(score) if highest else -F.col(score), *[-F.col(i) for i in items])
+    payload = F.struct(*[c for c in scored.columns if c not in group])
+    rest = scored
+    for _ in range(n - 1):
+        # drop the current best of every group (an anti join on group + items),
+        # then take the best of what is left: n small aggregates, skew-safe
+        top = rest.groupBy(*group).agg(F.max_by(payload, key).alias("__b")).select(*group, *[F.col(f"__b.{i}").alias(i) for i in items])
+        rest = rest.join(top, [*group, *items], "left_anti")
+    return rest.groupBy(*group).agg(F.max_by(payload, key).alias("__b")).select(*group, "__b.*")
 
 
 def greedy_fill(supply: DataFrame, group: Sequence[str], order: str, avail: str, need: Column | str) -> DataFrame:
@@ -232,8 +234,12 @@ def validate_orders(orders: DataFrame, planets: DataFrame, order: Sequence[str]
                    F.col("num_ships").alias("src_ships"))
     dst = p.select(*SNAP, F.col("planet_id").alias("destination_planet_id"), F.lit(True).alias("dst_ok"))
     j = orders.join(src, [*SNAP, "source_planet_id"], "left").join(dst, [*SNAP, "destination_planet_id"], "left")
-    w = Window.partitionBy(*SNAP, "source_planet_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    j = j.withColumn("__sent", F.sum("num_ships").over(w))
+    # running ships sent per source in order sequence: range-bucketed per
+    # (snapshot, source), so one busy source is not sorted in one task
+    from ledgerplay.operators.prefix import prefix_agg
+    j = prefix_agg(j.withColumn("__ns", F.col("num_ships").cast("double")), order[0], ["__ns"],
+                   tie_cols=list(order[1:]), by=[*SNAP, "source_planet_id"])
+    j = j.withColumn("__sent", F.col("__ns_cum")).drop("__ns", "__ns_cum")
     reason = (F.when(F.col("src_owner").isNull(), "unknown source")
               .when(F.col("dst_ok").isNull(), "unknown destination")
               .when(F.col("source_planet_id") == F.col("destination_planet_id"), "same planet")
