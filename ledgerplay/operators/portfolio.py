@@ -69,28 +69,46 @@ def expected_volume(df: DataFrame, p: str, amount: str, by: Sequence[str] = ())
     return df.groupBy(*by).agg(F.sum(F.col(p) * F.col(amount)).alias("expected_volume"))
 
 
-def reprice(grid: DataFrame, key: str, rate: str, p: str, irr: str, amount: str, objective: str = "volume") -> DataFrame:
+def _best_option(opts: str, objective) -> F.Column:
+    """Best struct of a per-loan option array by ``objective(option)``; ties: lower rate.
+
+    ``array_max`` over (objective, -rate, option): the choice is made inside the
+    loan's row, so choosing needs no shuffle at all.
+    """
+    ranked = F.transform(opts, lambda o: F.struct(objective(o).alias("__obj"), (-o["rate"]).alias("__r"), o.alias("o")))
+    return F.array_max(ranked)["o"]
+
+
+def reprice(loans: DataFrame, opts: str, amount: str, objective: str = "volume") -> DataFrame:
     """per loan the rate with the largest expected volume (or IRR), then totals.
 
-    ``grid`` has one row per (loan, rate) with p(activate) and predicted IRR.
-    Ties: the lower rate.
+    ``opts`` is an array<struct<rate, p, irr>> per loan (one entry per rate of
+    the grid).  One aggregate for the totals.
     """
-    obj = F.col(p) * F.col(amount) if objective == "volume" else F.col(irr)
-    best = grid.groupBy(key).agg(F.max_by(F.struct(rate, p, irr, amount), F.struct(obj, -F.col(rate))).alias("b")).select(key, "b.*")
-    return best.agg(F.sum(F.col(p) * F.col(amount)).alias("expected_volume"),
-                    (F.sum(F.col(p) * F.col(amount) * F.col(irr)) / F.sum(F.col(p) * F.col(amount))).alias("mean_irr"),
-                    F.avg(rate).alias("mean_rate"), F.count(F.lit(1)).alias("n_loans"))
+    if objective == "volume":
+        best = _best_option(opts, lambda o: o["p"] * F.col(amount))
+    else:
+        best = _best_option(opts, lambda o: o["irr"])
+    b = loans.select(F.col(amount).alias("__a"), best.alias("b")).select("__a", "b.*")
+    pv = F.col("p") * F.col("__a")
+    return b.agg(F.sum(pv).alias("expected_volume"), (F.sum(pv * F.col("irr")) / F.sum(pv)).alias("mean_irr"),
+                 F.avg("rate").alias("mean_rate"), F.count(F.lit(1)).alias("n_loans"))
 
 
-def price_sweep(grid: DataFrame, key: str, rate: str, p: str, irr: str, amount: str, lambdas: Sequence[float]) -> DataFrame:
+def price_sweep(loans: DataFrame, opts: str, amount: str, lambdas: Sequence[float]) -> DataFrame:
     """for each weight l choose per loan the rate maximising
-    l * p*amount/scale + (1-l) * p*irr; totals per l.  One shuffle for all l."""
-    scale = grid.agg(F.avg(amount)).collect()[0][0] or 1.0
-    g = grid.withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in lambdas])))
-    obj = F.col("lam") * F.col(p) * F.col(amount) / scale + (1 - F.col("lam")) * F.col(p) * F.col(irr)
-    best = g.groupBy("lam", key).agg(F.max_by(F.struct(rate, p, irr, amount), F.struct(obj, -F.col(rate))).alias("b")).select("lam", key, "b.*")
-    return best.groupBy("lam").agg(F.sum(F.col(p) * F.col(amount)).alias("volume"),
-                                   (F.sum(F.col(p) * F.col(amount) * F.col(irr)) / F.sum(F.col(p) * F.col(amount))).alias("mean_irr"))
+    l * p*amount/scale + (1-l) * p*irr; totals per l.
+
+    Each loan row is expanded by the weight list only; the choice per
+    (loan, weight) is an array operation in the row, and the totals per weight
+    are one partially aggregated group-by (as many groups as weights).
+    """
+    scale = loans.agg(F.avg(amount)).collect()[0][0] or 1.0
+    g = loans.select(F.col(amount).alias("__a"), opts).withColumn("lam", F.explode(F.array(*[F.lit(float(x)) for x in lambdas])))
+    best = _best_option(opts, lambda o: F.col("lam") * o["p"] * F.col("__a") / scale + (1 - F.col("lam")) * o["p"] * o["irr"])
+    b = g.select("lam", "__a", best.alias("b")).select("lam", "__a", "b.*")
+    pv = F.col("p") * F.col("__a")
+    return b.groupBy("lam").agg(F.sum(pv).alias("volume"), (F.sum(pv * F.col("irr")) / F.sum(pv)).alias("mean_irr"))
 
 
 def nearest_to_volume(sweep: DataFrame, target: float) -> DataFrame:

@@ -28,15 +28,27 @@ grid AS (SELECT loan_id, loan_amnt, occupation, CAST(r.range AS DOUBLE) AS rate,
 
 
 def rate_grid(spark, d):
-    g = J.scenario_grid(scored(spark, d), rate=[float(r) for r in RATES])
-    return g.select("loan_id", "loan_amnt", "occupation", "rate", "int_rate", "score",
-                    F.expr(P_SQL).alias("p"), F.expr(IRR_SQL).alias("irr"))
+    """One row per loan with its options: array<struct<rate, p, irr>> over 5..30."""
+    rates = F.array(*[F.lit(float(r)) for r in RATES])
+    s = scored(spark, d)
+    opts = F.transform(rates, lambda r: F.struct(
+        r.alias("rate"),
+        (1.0 / (1.0 + F.exp(0.3 * (r - 10.0 - F.col("score") / 1000.0)))).alias("p"),
+        ((r - (F.col("loan_id") % 9).cast("double")) / 100.0).alias("irr")))
+    return s.select("loan_id", "loan_amnt", "occupation", "int_rate", "score", opts.alias("opts"))
+
+
+def rate_rows(spark, d):
+    """The same grid as rows (loan, rate): an explode of the option array."""
+    g = rate_grid(spark, d)
+    return g.select("loan_id", "loan_amnt", "occupation", "int_rate", "score", F.explode("opts").alias("o")).select(
+        "loan_id", "loan_amnt", "occupation", "int_rate", "score", "o.rate", "o.p", "o.irr")
 
 
 @register("f9_expected_volume", with_views("loans", extra=GRID_SQL) + f"""SELECT grid.occupation, {r6("sum(p * grid.loan_amnt)", 2)} AS expected_volume
   FROM grid JOIN loans USING (loan_id) WHERE grid.rate = loans.int_rate GROUP BY grid.occupation""")
 def f9_expected_volume(spark, d):
-    g = rate_grid(spark, d).where(F.col("rate") == F.col("int_rate"))
+    g = rate_rows(spark, d).where(F.col("rate") == F.col("int_rate"))
     return finish(PF.expected_volume(g, "p", "loan_amnt", ["occupation"]), 2)
 
 
@@ -49,13 +61,13 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER
 
 @register("f10_reprice_volume", _reprice_sql("p * loan_amnt"))
 def f10_reprice_volume(spark, d):
-    r = PF.reprice(rate_grid(spark, d), "loan_id", "rate", "p", "irr", "loan_amnt", "volume")
+    r = PF.reprice(rate_grid(spark, d), "opts", "loan_amnt", "volume")
     return finish(r.withColumn("expected_volume", F.round("expected_volume", 2)))
 
 
 @register("f10_reprice_irr", _reprice_sql("irr"))
 def f10_reprice_irr(spark, d):
-    r = PF.reprice(rate_grid(spark, d), "loan_id", "rate", "p", "irr", "loan_amnt", "irr")
+    r = PF.reprice(rate_grid(spark, d), "opts", "loan_amnt", "irr")
     return finish(r.withColumn("expected_volume", F.round("expected_volume", 2)))
 
 
@@ -68,7 +80,7 @@ sweep AS (SELECT lam, sum(p * loan_amnt) AS volume, sum(p * loan_amnt * irr) / s
 
 
 def sweep(spark, d):
-    return PF.price_sweep(rate_grid(spark, d), "loan_id", "rate", "p", "irr", "loan_amnt", LAMBDAS)
+    return PF.price_sweep(rate_grid(spark, d), "opts", "loan_amnt", LAMBDAS)
 
 
 @register("f12_price_sweep", with_views("loans", extra=SWEEP_SQL) + f"SELECT lam, {r6('volume', 2)} AS volume, {r6('mean_irr')} AS mean_irr FROM sweep")
@@ -90,7 +102,7 @@ pts AS (SELECT loan_id, p * loan_amnt AS volume, irr FROM grid WHERE rate = 12),
 c AS (SELECT *, max(irr) OVER (ORDER BY volume DESC, irr DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM pts)""") +
           f"SELECT loan_id, {r6('volume', 4)} AS volume, {r6('irr')} AS irr FROM c WHERE best_before IS NULL OR irr > best_before")
 def f11_pareto_front(spark, d):
-    pts = rate_grid(spark, d).where(F.col("rate") == 12.0).select("loan_id", (F.col("p") * F.col("loan_amnt")).alias("volume"), "irr")
+    pts = rate_rows(spark, d).where(F.col("rate") == 12.0).select("loan_id", (F.col("p") * F.col("loan_amnt")).alias("volume"), "irr")
     return finish(PF.pareto_front(pts, "volume", "irr").select("loan_id", F.round("volume", 4).alias("volume"), "irr"))
 
 
