@@ -284,3 +284,88 @@ def arrival_projection(planets: DataFrame, fleets: DataFrame) -> DataFrame:
     folded = F.aggregate(F.coalesce("arr", F.array().cast(arr.schema["arr"].dataType)), init, step)
     return j.select(*SNAP, "planet_id", folded["o"].alias("final_owner"), folded["s"].alias("final_ships"),
                     folded["t"].alias("last_arrival"))
+
+
+# --- target scoring from one acting source per snapshot (re-aimed B1-B5, B7, J10) ---
+
+def acting_source(planets: DataFrame, me: int = 1) -> DataFrame:
+    """The snapshot's strongest own planet (ties: smaller id): one row per snapshot."""
+    own = planets.where(F.col("owner") == me)
+    key = F.struct(F.col("num_ships"), -F.col("planet_id"))
+    b = own.groupBy(*SNAP).agg(F.max_by(F.struct("planet_id", "num_ships", "growth_rate", "x", "y"), key).alias("s"))
+    return b.select(*SNAP, F.col("s.planet_id").alias("src_id"), F.col("s.num_ships").alias("src_ships"),
+                    F.col("s.growth_rate").alias("src_growth"), F.col("s.x").alias("src_x"), F.col("s.y").alias("src_y"))
+
+
+def score_targets(planets: DataFrame, fleets: DataFrame, kind: str, me: int = 1, enemy: int = 2,
+                  turns_left: int = 100) -> DataFrame:
+    """Score every target planet of a snapshot from the acting source.
+
+    The bots score (source, target) pairs; here the source is the one that acts
+    (the strongest own planet), so each target meets one source row through an
+    equi-join on the snapshot key - linear in the planets, no pairs.
+    dist = ceil(Euclidean distance).  Kinds:
+    linear  growth - required - 10 dist, required = ships (+ growth*dist for enemy)
+    cost    ships (+ growth*dist for enemy); affordable = cost < source ships
+    yield   growth*(1 + 4*[enemy]) / max(dist*total, 1), total = ships + owner*growth*dist/2
+    mix     foreign + 4/dist + 2(g_t - g_s)/max(g_s, g_t, 1) + 1 - (ships + dist*g_t)/source ships
+    payoff  growth*(turns_left - dist) - ships - net enemy ships in flight (neutral: no dist term;
+            own planet: negated)
+    match   ships + 4 dist - 3 growth; affordable = value < source ships
+    """
+    src = acting_source(planets, me)
+    t = planets.join(src, SNAP, "inner").where(F.col("planet_id") != F.col("src_id"))
+    dist = F.ceil(F.sqrt((F.col("x") - F.col("src_x")) ** 2 + (F.col("y") - F.col("src_y")) ** 2)).cast("double")
+    t = t.withColumn("dist", dist)
+    g, n, o, dd = F.col("growth_rate").cast("double"), F.col("num_ships").cast("double"), F.col("owner"), F.col("dist")
+    is_enemy = o == enemy
+    affordable = F.lit(True)
+    if kind == "linear":
+        req = F.when(is_enemy, g * dd + n).otherwise(n)
+        score = g - req - 10.0 * dd
+    elif kind == "cost":
+        score = F.when(is_enemy, n + g * dd).otherwise(n)
+        affordable = score < F.col("src_ships")
+    elif kind == "yield":
+        total = n + o.cast("double") * 0.5 * g * dd
+        score = g * (1 + 4 * is_enemy.cast("double")) / F.greatest(dd * total, F.lit(1.0))
+        affordable = total < F.col("src_ships")
+    elif kind == "mix":
+        gs = F.col("src_growth").cast("double")
+        foreign = F.when(o == 0, 1.0).otherwise(2.0)
+        ok = (F.col("src_ships") != 0) & (dd != 0)
+        score = F.when(ok, foreign + F.lit(4.0) / F.when(ok, dd) + 2.0 * (g - gs) / F.greatest(gs, g, F.lit(1.0))
+                       + (1.0 - (n + dd * g) / F.when(ok, F.col("src_ships").cast("double"))))
+        affordable = F.col("src_ships") > 0
+    elif kind == "payoff":
+        inc = inflight_by_target(fleets, me).select(*SNAP, "planet_id", "net_incoming")
+        t = t.join(inc, [*SNAP, "planet_id"], "left").fillna({"net_incoming": 0})
+        enemy_net = -F.col("net_incoming").cast("double")
+        base = F.when(o == 0, g * turns_left - n - enemy_net).otherwise(g * (turns_left - dd) - n - enemy_net)
+        score = F.when(o == me, -base).otherwise(base)
+    elif kind == "match":
+        score = n + 4.0 * dd - 3.0 * g
+        affordable = score < F.col("src_ships")
+    else:
+        raise ValueError(kind)
+    return t.select(*SNAP, F.col("src_id").alias("source_planet_id"), "planet_id", "owner", "dist",
+                    score.alias("score"), affordable.alias("affordable"))
+
+
+def nearest_to_anchor(planets: DataFrame, anchor: DataFrame, k: int = 1, owner_in: Sequence[int] = (2,)) -> DataFrame:
+    """J10 (re-aimed): the k planets of the given owners nearest to one anchor point
+    per snapshot (e.g. the own centroid or the acting source); ties: smaller id.
+
+    ``anchor`` has one row per snapshot (ax, ay); each planet meets one anchor
+    row, and the k nearest are taken by repeated ``min_by`` (k small).
+    """
+    c = planets.where(F.col("owner").isin(*owner_in)).join(anchor, SNAP, "inner")
+    c = c.withColumn("dist", F.sqrt((F.col("x") - F.col("ax")) ** 2 + (F.col("y") - F.col("ay")) ** 2))
+    out = None
+    rest = c
+    for i in range(1, k + 1):
+        b = rest.groupBy(*SNAP).agg(F.min_by(F.struct("planet_id", "dist"), F.struct("dist", "planet_id")).alias("b")).select(
+            *SNAP, F.col("b.planet_id").alias("planet_id"), F.col("b.dist").alias("dist"), F.lit(i).alias("k"))
+        out = b if out is None else out.unionByName(b)
+        rest = rest.join(b.select(*SNAP, "planet_id"), [*SNAP, "planet_id"], "left_anti")
+    return out

@@ -227,3 +227,57 @@ s AS (SELECT game_id, turn, planet_id, abs(growth_rate / CAST(dd AS DOUBLE)) AS
   CAST(row_number() OVER (PARTITION BY game_id, turn ORDER BY score, planet_id) AS INTEGER) AS density_rank FROM s""")
 def b6_score_density(spark, d):
     return finish(GL.score_density(B.planets(spark, d), B.fleets(spark, d), ME))
+
+
+SRC_SQL = f"""src AS (SELECT game_id, turn, planet_id AS src_id, num_ships AS src_ships, growth_rate AS src_growth, x AS src_x, y AS src_y
+  FROM (SELECT *, row_number() OVER (PARTITION BY game_id, turn ORDER BY num_ships DESC, planet_id) AS rn FROM planets WHERE owner = {ME}) WHERE rn = 1),
+t AS (SELECT p.*, s.src_id, s.src_ships, s.src_growth, CAST(ceil(sqrt(pow(p.x - s.src_x, 2) + pow(p.y - s.src_y, 2))) AS DOUBLE) AS dist,
+  CAST(p.growth_rate AS DOUBLE) AS g, CAST(p.num_ships AS DOUBLE) AS n
+  FROM planets p JOIN src s USING (game_id, turn) WHERE p.planet_id <> s.src_id)"""
+
+B_SCORE_SQL = {
+    "linear": ("g - CASE WHEN owner = 2 THEN g * dist + n ELSE n END - 10.0 * dist", "true"),
+    "cost": ("CASE WHEN owner = 2 THEN n + g * dist ELSE n END", "CASE WHEN owner = 2 THEN n + g * dist ELSE n END < src_ships"),
+    "yield": ("g * (1 + 4 * CAST(owner = 2 AS DOUBLE)) / greatest(dist * (n + CAST(owner AS DOUBLE) * 0.5 * g * dist), 1.0)",
+              "n + CAST(owner AS DOUBLE) * 0.5 * g * dist < src_ships"),
+    "mix": ("CASE WHEN src_ships = 0 OR dist = 0 THEN NULL ELSE (CASE WHEN owner = 0 THEN 1.0 ELSE 2.0 END) + 4.0 / dist"
+            " + 2.0 * (g - CAST(src_growth AS DOUBLE)) / greatest(CAST(src_growth AS DOUBLE), g, 1.0) + (1.0 - (n + dist * g) / src_ships) END",
+            "src_ships > 0"),
+    "match": ("n + 4.0 * dist - 3.0 * g", "n + 4.0 * dist - 3.0 * g < src_ships"),
+}
+B_IDS = {"linear": "b1", "cost": "b2", "yield": "b3", "mix": "b4", "match": "b7"}
+
+
+def _b_query(kind):
+    score, aff = B_SCORE_SQL[kind]
+
+    def q(spark, d):
+        return finish(GL.score_targets(B.planets(spark, d), B.fleets(spark, d), kind, ME))
+    sql = with_views("planets", extra=SRC_SQL) + f"""SELECT game_id, turn, src_id AS source_planet_id, planet_id, owner, dist,
+  {r6(score)} AS score, {aff} AS affordable FROM t"""
+    register(f"{B_IDS[kind]}_score_{kind}", sql)(q)
+
+
+for _k in ("linear", "cost", "yield", "mix", "match"):
+    _b_query(_k)
+
+
+@register("b5_score_payoff", with_views("planets", "fleets", extra=SRC_SQL + f""",
+inc AS (SELECT game_id, turn, destination_planet_id AS planet_id,
+  sum(CASE WHEN owner = {ME} THEN num_ships ELSE 0 END) - sum(CASE WHEN owner <> {ME} THEN num_ships ELSE 0 END) AS net_incoming FROM fleets GROUP BY 1, 2, 3),
+u AS (SELECT t.*, -CAST(coalesce(inc.net_incoming, 0) AS DOUBLE) AS enemy_net FROM t LEFT JOIN inc USING (game_id, turn, planet_id)),
+v AS (SELECT *, CASE WHEN owner = 0 THEN g * 100 - n - enemy_net ELSE g * (100 - dist) - n - enemy_net END AS base FROM u)""") +
+    f"""SELECT game_id, turn, src_id AS source_planet_id, planet_id, owner, dist, {r6(f'CASE WHEN owner = {ME} THEN -base ELSE base END')} AS score,
+  true AS affordable FROM v""")
+def b5_score_payoff(spark, d):
+    return finish(GL.score_targets(B.planets(spark, d), B.fleets(spark, d), "payoff", ME))
+
+
+@register("j10_nearest_to_centroid_enemy", with_views("planets", extra=f"""c AS (SELECT game_id, turn, avg(x) AS ax, avg(y) AS ay FROM planets WHERE owner = {ME} GROUP BY 1, 2),
+o AS (SELECT p.game_id, p.turn, p.planet_id, sqrt(pow(p.x - c.ax, 2) + pow(p.y - c.ay, 2)) AS dist FROM planets p JOIN c USING (game_id, turn) WHERE p.owner = 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY game_id, turn ORDER BY dist, planet_id) AS k FROM o)""") +
+    f"SELECT game_id, turn, planet_id, {r6('dist')} AS dist, CAST(k AS INTEGER) AS k FROM r WHERE k <= 2")
+def j10_nearest_to_centroid_enemy(spark, d):
+    p = B.planets(spark, d)
+    anchor = GL.centroid(p, ME).select("game_id", "turn", F.col("cx").alias("ax"), F.col("cy").alias("ay"))
+    return finish(GL.nearest_to_anchor(p, anchor, 2, (2,)))
