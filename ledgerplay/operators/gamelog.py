@@ -369,3 +369,29 @@ def nearest_to_anchor(planets: DataFrame, anchor: DataFrame, k: int = 1, owner_i
         out = b if out is None else out.unionByName(b)
         rest = rest.join(b.select(*SNAP, "planet_id"), [*SNAP, "planet_id"], "left_anti")
     return out
+
+
+def intercept_join(planets: DataFrame, fleets: DataFrame, me: int = 1) -> DataFrame:
+    """J15 (re-aimed): enemy fleets whose target the acting source can reach just
+    after them (distance == turns_remaining + 1) or before them (distance <
+    turns_remaining).  Each fleet meets its target's coordinates and the one
+    acting source of its snapshot through equi-joins - no planet pairs."""
+    src = acting_source(planets, me)
+    tgt = planets.select(*SNAP, F.col("planet_id").alias("destination_planet_id"), F.col("x").alias("tx"), F.col("y").alias("ty"))
+    f = fleets.where((F.col("owner") != me) & (F.col("owner") != 0)).join(tgt, [*SNAP, "destination_planet_id"], "inner")
+    f = f.join(src, SNAP, "inner")
+    dist = F.ceil(F.sqrt((F.col("tx") - F.col("src_x")) ** 2 + (F.col("ty") - F.col("src_y")) ** 2))
+    f = f.withColumn("dist", dist.cast("long"))
+    return f.select(*SNAP, "fleet_id", "destination_planet_id", F.col("src_id").alias("source_planet_id"), "dist",
+                    "turns_remaining", (F.col("dist") == F.col("turns_remaining") + 1).alias("just_after"),
+                    (F.col("dist") < F.col("turns_remaining")).alias("before"))
+
+
+def distance_from_source(planets: DataFrame, me: int = 1) -> DataFrame:
+    """J9 (re-aimed): distance of every planet to the acting source of its
+    snapshot - plain, ceiling and floor forms - one source row per snapshot."""
+    src = acting_source(planets, me)
+    t = planets.join(src, SNAP, "inner")
+    dist = F.sqrt((F.col("x") - F.col("src_x")) ** 2 + (F.col("y") - F.col("src_y")) ** 2)
+    return t.select(*SNAP, F.col("src_id").alias("source_planet_id"), "planet_id", dist.alias("dist"),
+                    F.ceil(dist).alias("dist_ceil"), F.floor(dist).alias("dist_floor"))

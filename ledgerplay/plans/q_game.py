@@ -281,3 +281,25 @@ def j10_nearest_to_centroid_enemy(spark, d):
     p = B.planets(spark, d)
     anchor = GL.centroid(p, ME).select("game_id", "turn", F.col("cx").alias("ax"), F.col("cy").alias("ay"))
     return finish(GL.nearest_to_anchor(p, anchor, 2, (2,)))
+
+
+@register("j15_intercept_join", with_views("planets", "fleets", extra=f"""src AS (SELECT game_id, turn, planet_id AS src_id, x AS src_x, y AS src_y
+  FROM (SELECT *, row_number() OVER (PARTITION BY game_id, turn ORDER BY num_ships DESC, planet_id) AS rn FROM planets WHERE owner = {ME}) WHERE rn = 1),
+f AS (SELECT fl.game_id, fl.turn, fl.fleet_id, fl.destination_planet_id, fl.turns_remaining, s.src_id,
+  CAST(ceil(sqrt(pow(p.x - s.src_x, 2) + pow(p.y - s.src_y, 2))) AS BIGINT) AS dist
+  FROM fleets fl JOIN planets p ON p.game_id = fl.game_id AND p.turn = fl.turn AND p.planet_id = fl.destination_planet_id
+  JOIN src s ON s.game_id = fl.game_id AND s.turn = fl.turn WHERE fl.owner <> {ME} AND fl.owner <> 0)""") +
+    """SELECT game_id, turn, fleet_id, destination_planet_id, src_id AS source_planet_id, dist, turns_remaining,
+  dist = turns_remaining + 1 AS just_after, dist < turns_remaining AS before FROM f""")
+def j15_intercept_join(spark, d):
+    return GL.intercept_join(B.planets(spark, d), B.fleets(spark, d), ME)
+
+
+@register("j9_distance_from_source", with_views("planets", extra=f"""src AS (SELECT game_id, turn, planet_id AS src_id, x AS src_x, y AS src_y
+  FROM (SELECT *, row_number() OVER (PARTITION BY game_id, turn ORDER BY num_ships DESC, planet_id) AS rn FROM planets WHERE owner = {ME}) WHERE rn = 1),
+t AS (SELECT p.game_id, p.turn, s.src_id, p.planet_id, sqrt(pow(p.x - s.src_x, 2) + pow(p.y - s.src_y, 2)) AS dist
+  FROM planets p JOIN src s USING (game_id, turn))""") +
+    f"""SELECT game_id, turn, src_id AS source_planet_id, planet_id, {r6('dist')} AS dist, CAST(ceil(dist) AS BIGINT) AS dist_ceil,
+  CAST(floor(dist) AS BIGINT) AS dist_floor FROM t""")
+def j9_distance_from_source(spark, d):
+    return finish(GL.distance_from_source(B.planets(spark, d), ME))
