@@ -52,7 +52,7 @@ def map_lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
     ``table`` has one row per category (bounded by the category count).
     """
     t = table.select(F.col(key).alias("__k"), F.col(value).alias(out or f"{col}_enc"))
-    return df.join(F.broadcast(t), df[col].eqNullSafe(t["__k"]), "left").drop("__k")
+    return df.join(broadcast_if_small(t), df[col].eqNullSafe(t["__k"]), "left").drop("__k")
 
 
 def anti_rows(df: DataFrame, part: DataFrame, keys: str | Sequence[str]) -> DataFrame:

@@ -136,8 +136,9 @@ def binned_logistic(df: DataFrame, bin_col: str, x: str, y: str, iters: int = 25
     bins at once; the per-bin 2x2 solve is column arithmetic on the small
     (bins) table, which is broadcast back for the next step.
     """
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(bin_col, F.col(x).cast("double").alias("__x"),
-                                                                      F.col(y).cast("double").alias("__y"))
+    # every Newton step reads the data again: materialise the three columns once
+    d = cut_lineage(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        bin_col, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")))
     params = d.groupBy(bin_col).agg(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
     for _ in range(iters):
         j = d.join(F.broadcast(params), bin_col)

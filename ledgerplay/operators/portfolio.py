@@ -143,7 +143,7 @@ def balance_selection(df: DataFrame, bin_cols: Sequence[str], score: str, amount
     by = list(bin_cols)
     tot = df.groupBy(*by).agg(F.sum(amount).alias("__tot"))
     cum = prefix_agg(df, score, [amount], desc=True, tie_cols=[key], inclusive=False, by=by)
-    return cum.join(F.broadcast(tot), by).where(F.col(f"{amount}_cum") < share * F.col("__tot")).drop(f"{amount}_cum", "__tot")
+    return cum.join(tot, by).where(F.col(f"{amount}_cum") < share * F.col("__tot")).drop(f"{amount}_cum", "__tot")
 
 
 def constrained_selection(df: DataFrame, score: str, amount: str, share: float, guards: Sequence[str],

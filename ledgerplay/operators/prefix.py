@@ -44,12 +44,13 @@ def range_bucket(df: DataFrame, col: str, n_buckets: int = DEFAULT_BUCKETS, out:
 def _group_bucket(df: DataFrame, key: str, by: Sequence[str], n_buckets: int) -> DataFrame:
     """Bucket id by value range inside each group (edges from a grouped sketch).
 
-    The edge table has one row per group (n_buckets values each) and is
-    broadcast; its size is bounded by groups x n_buckets.
+    The edge table has one row per group (n_buckets values each); the number of
+    groups is not bounded in general, so AQE picks the join (broadcast when the
+    runtime size is small).
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = df.groupBy(*by).agg(F.percentile_approx(key, probs, 1000).alias("__edges"))
-    j = df.join(F.broadcast(edges), list(by), "left")
+    j = df.join(edges, list(by), "left")
     x = F.col(key)
     return j.withColumn(_B, F.size(F.filter(F.array_distinct("__edges"), lambda e: e < x))).drop("__edges")
 
@@ -90,7 +91,8 @@ def prefix_agg(
         .orderBy(F.col(key).asc_nulls_last(), *[F.col(t) for t in tie_cols])
         .rowsBetween(Window.unboundedPreceding, inner_end)
     )
-    res = d.join(F.broadcast(off), [*by, _B], "left")  # (groups x buckets) rows
+    # (groups x buckets) rows: broadcast by AQE when small, else a shuffle join
+    res = d.join(off if by else F.broadcast(off), [*by, _B], "left")
     for c in cols:
         inner = agg(c).over(wi)
         if how == "sum":
@@ -113,7 +115,8 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
 
     Distributed order statistics: distinct values with counts, running counts
     (range-bucketed), then each group's needed ranks are picked with a
-    broadcast table of target positions - no task holds a whole group.  For
+    table of target positions (one short row per group) - no task holds a
+    whole group.  For
     one group the bounded rank list and order statistics pass the driver.
     """
     by = list(by)
@@ -128,10 +131,10 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
         "__lo", F.floor("__pos").cast("long")).withColumn(
         "__hi", F.least(F.col("__lo") + 1, F.col("__N").cast("long") - 1)).withColumn(
         "__frac", F.col("__pos") - F.col("__lo"))
-    # one row per group with at most 2*len(qs) ranks: bounded, broadcast
+    # one row per group with at most 2*len(qs) ranks (AQE picks the join)
     need = targets.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("__lo", "__hi")))).alias("__ks"))
     start = F.col("n_cum") - F.col("n")
-    src = cum.join(F.broadcast(need), by, "inner")
+    src = cum.join(need, by, "inner")
     hits = src.select(*by, col, F.explode(F.filter("__ks", lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
     # at most 2*len(qs) order statistics per group: one small map per group
     stats = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", F.col(col).cast("double")))).alias("__m"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerplay.operators.joins import bin_join, edges_index
+from ledgerplay.operators.joins import bin_join, broadcast_if_small, edges_index
 from ledgerplay.operators.prefix import prefix_agg, quantile_edges, value_counts
 
 
@@ -60,7 +60,9 @@ def qcut(df: DataFrame, col: str, q: int, out: str = "bin", by: Sequence[str] =
 
 
 def _bin_multi(df: DataFrame, col: str, edges: DataFrame, out: str, by: Sequence[str]) -> DataFrame:
-    j = df.join(F.broadcast(edges), list(by), "left")
+    # one row per group; groups are not bounded in general, so the join
+    # strategy is left to AQE (broadcast only when the runtime size is small)
+    j = df.join(edges, list(by), "left")
     return j.withColumn(out, edges_index(F.col(col), F.col("edges"))).drop("edges")
 
 
@@ -119,7 +121,7 @@ def roc_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> Data
         F.sum(yc).cast("double").alias("tp"), F.sum(1 - yc).cast("double").alias("fp"))
     cum = prefix_agg(per, "threshold", ["tp", "fp"], desc=True, by=by)
     tot = per.groupBy(*by).agg(F.sum("tp").alias("__P"), F.sum("fp").alias("__N"))
-    out = cum.join(F.broadcast(tot), by, "left") if by else cum.withColumns(
+    out = cum.join(tot, by, "left") if by else cum.withColumns(
         dict(zip(["__P", "__N"], [F.lit(v) for v in per.agg(F.sum("tp"), F.sum("fp")).collect()[0]])))
     return out.select(*by, "threshold", (F.col("tp_cum") / F.col("__P")).alias("tpr"),
                       (F.col("fp_cum") / F.col("__N")).alias("fpr"))
@@ -172,7 +174,7 @@ def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame
     cats = df.select(col).where(F.col(col).isNotNull()).distinct()
     # one row per category (a bounded domain): a single ordered window is fine
     ranked = cats.withColumn("__code", F.row_number().over(Window.orderBy(col)) - 1)
-    return df.join(F.broadcast(ranked), col, "left").withColumnRenamed("__code", out or f"{col}_code")
+    return df.join(broadcast_if_small(ranked), col, "left").withColumnRenamed("__code", out or f"{col}_code")
 
 
 # --- sort, limit, top-k ------------------------------------------------------
