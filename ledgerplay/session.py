@@ -33,6 +33,31 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+# Settings meant for a large cluster (about 100 TB of input, ~1000 executors).
+# They are suggestions for the platform's session, applied only on request.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set the runtime SQL settings of ``CLUSTER_CONF`` (static ones belong in the
+    platform's session builder)."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001  (static configs cannot change at runtime)
+            pass
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
