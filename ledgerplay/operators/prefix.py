@@ -32,8 +32,20 @@ def _edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     return out
 
 
-def range_bucket(df: DataFrame, col: str, n_buckets: int = DEFAULT_BUCKETS, out: str = _B) -> DataFrame:
+def default_buckets(df: DataFrame) -> int:
+    """Value ranges for one ordered table: the session's shuffle parallelism, so
+    the per-range windows use the whole cluster (8 locally, thousands on a
+    cluster) while the offset table stays one small row per range."""
+    try:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS)))
+    except ValueError:
+        n = DEFAULT_BUCKETS
+    return max(8, min(n, 100_000))
+
+
+def range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, out: str = _B) -> DataFrame:
     """Bucket id by value range of a numeric column (binary search in the JVM)."""
+    n_buckets = n_buckets or default_buckets(df)
     tmp = f"{out}_in"
     d = df.withColumn(tmp, F.col(col).cast("double"))
     splits = [float("-inf")] + _edges(d, tmp, n_buckets) + [float("inf")]
@@ -63,7 +75,7 @@ def prefix_agg(
     desc: bool = False,
     tie_cols: Sequence[str] = (),
     inclusive: bool = True,
-    n_buckets: int = DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
     suffix: str = "_cum",
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -78,7 +90,8 @@ def prefix_agg(
     d = df.withColumn(key, (-F.col(order_col) if desc else F.col(order_col)).cast("double"))
     # one group: edges are a bounded literal (a constant join key would be
     # folded by the optimizer into a nested-loop join)
-    d = _group_bucket(d, key, by, n_buckets) if by else range_bucket(d, key, n_buckets)
+    # per group: up to 64 ranges (the sketch per group costs one probe per range)
+    d = _group_bucket(d, key, by, n_buckets or min(64, default_buckets(df))) if by else range_bucket(d, key, n_buckets)
     agg = F.sum if how == "sum" else F.max
     zero = F.lit(0.0) if how == "sum" else F.lit(None)
     tot = d.groupBy(*by, _B).agg(*[agg(c).alias(f"{c}__t") for c in cols])
@@ -110,7 +123,7 @@ def value_counts(df: DataFrame, col: str, weight: str | None = None, by: Sequenc
 
 
 def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (type 7) per group: (by..., q, value).
 
     Distributed order statistics: distinct values with counts, running counts
@@ -145,7 +158,7 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     return res.select(*by, "q", val.cast("double").alias("value"))
 
 
-def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int) -> DataFrame:
+def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None) -> DataFrame:
     """One group: value counts are materialised once in the shared checkpoint
     folder (every later pass reads two columns instead of re-running the input
     plan); the total, the ranks and the order statistics are bounded values."""
@@ -171,7 +184,7 @@ def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: i
     return spark.createDataFrame(rows, "q double, value double")
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int = DEFAULT_BUCKETS) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None = None) -> list[float | None]:
     """Global exact quantiles; only len(qs) rows reach the driver."""
     rows = grouped_quantiles(df, col, qs, (), n_buckets).collect()
     got = {r["q"]: r["value"] for r in rows}
