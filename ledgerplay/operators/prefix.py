@@ -43,12 +43,16 @@ def default_buckets(df: DataFrame) -> int:
     return max(8, min(n, 100_000))
 
 
-def range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, out: str = _B) -> DataFrame:
-    """Bucket id by value range of a numeric column (binary search in the JVM)."""
+def range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, out: str = _B,
+                 edges: Sequence[float] | None = None) -> DataFrame:
+    """Bucket id by value range of a numeric column (binary search in the JVM).
+
+    ``edges`` (ascending inner cut points) may be given when already known."""
     n_buckets = n_buckets or default_buckets(df)
     tmp = f"{out}_in"
     d = df.withColumn(tmp, F.col(col).cast("double"))
-    splits = [float("-inf")] + _edges(d, tmp, n_buckets) + [float("inf")]
+    inner = _edges(d, tmp, n_buckets) if edges is None else sorted(set(float(e) for e in edges if e is not None))
+    splits = [float("-inf")] + inner + [float("inf")]
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return b.transform(d).drop(tmp)
 
@@ -78,6 +82,7 @@ def prefix_agg(
     n_buckets: int | None = None,
     suffix: str = "_cum",
     by: Sequence[str] = (),
+    edges: Sequence[float] | None = None,
 ) -> DataFrame:
     """Running ``sum`` or ``max`` of ``cols`` in order of ``order_col`` (per ``by``).
 
@@ -91,7 +96,10 @@ def prefix_agg(
     # one group: edges are a bounded literal (a constant join key would be
     # folded by the optimizer into a nested-loop join)
     # per group: up to 64 ranges (the sketch per group costs one probe per range)
-    d = _group_bucket(d, key, by, n_buckets or min(64, default_buckets(df))) if by else range_bucket(d, key, n_buckets)
+    if by:
+        d = _group_bucket(d, key, by, n_buckets or min(64, default_buckets(df)))
+    else:
+        d = range_bucket(d, key, n_buckets, edges=None if edges is None else [(-e if desc else e) for e in edges])
     agg = F.sum if how == "sum" else F.max
     zero = F.lit(0.0) if how == "sum" else F.lit(None)
     tot = d.groupBy(*by, _B).agg(*[agg(c).alias(f"{c}__t") for c in cols])
@@ -123,7 +131,7 @@ def value_counts(df: DataFrame, col: str, weight: str | None = None, by: Sequenc
 
 
 def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                      n_buckets: int | None = None) -> DataFrame:
+                      n_buckets: int | None = None, materialize: bool = True) -> DataFrame:
     """Exact linear-interpolated quantiles (type 7) per group: (by..., q, value).
 
     Distributed order statistics: distinct values with counts, running counts
@@ -134,7 +142,7 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     """
     by = list(by)
     if not by:
-        return _global_quantiles(df, col, qs, n_buckets)
+        return _global_quantiles(df, col, qs, n_buckets, materialize)
     vc = value_counts(df, col, by=by)
     cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=n_buckets, by=by)
     tot = vc.groupBy(*by).agg(F.sum("n").alias("__N"))
@@ -158,13 +166,21 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     return res.select(*by, "q", val.cast("double").alias("value"))
 
 
-def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None) -> DataFrame:
-    """One group: value counts are materialised once in the shared checkpoint
-    folder (every later pass reads two columns instead of re-running the input
-    plan); the total, the ranks and the order statistics are bounded values."""
+def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None,
+                      materialize: bool = True) -> DataFrame:
+    """One group.  Value counts are materialised once in the shared checkpoint
+    folder (later passes read two columns instead of re-running the input plan;
+    skipped when the caller's input is already materialised).  One aggregate
+    gives the total and the range cut points; one more pass gives the order
+    statistics.  Only bounded values reach the driver."""
     from ledgerplay.session import cut_lineage
-    vc = cut_lineage(value_counts(df, col))
-    total = vc.agg(F.sum("n")).collect()[0][0]
+    vc = value_counts(df, col)
+    if materialize:
+        vc = cut_lineage(vc)
+    nb = n_buckets or default_buckets(df)
+    probs = [i / nb for i in range(1, nb)]
+    row = vc.agg(F.sum("n").alias("t"), F.percentile_approx(F.col(col).cast("double"), probs, 1000).alias("e")).collect()[0]
+    total, cuts = row["t"], row["e"] or []
     spark = df.sparkSession
     if not total:
         return spark.createDataFrame([(float(q), None) for q in qs], "q double, value double")
@@ -175,7 +191,7 @@ def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: i
         lo = int(pos // 1)
         plan.append((float(q), lo, min(lo + 1, n - 1), pos - lo))
     ks = sorted({k for _, a, b, _ in plan for k in (a, b)})
-    cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=n_buckets)
+    cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=nb, edges=cuts)
     start = F.col("n_cum") - F.col("n")
     hits = cum.select(col, F.explode(F.filter(F.lit(ks).cast("array<long>"),
                                               lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
@@ -191,9 +207,9 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int
     return [got.get(float(q)) for q in qs]
 
 
-def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = ()) -> DataFrame:
+def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = (), materialize: bool = True) -> DataFrame:
     """Edges of ``q`` quantile bins per group: (by..., edges array, ascending, duplicates dropped)."""
     qs = [i / q for i in range(q + 1)]
-    gq = grouped_quantiles(df, col, qs, by)
+    gq = grouped_quantiles(df, col, qs, by, materialize=materialize)
     return gq.groupBy(*by).agg(
         F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda s: s["value"])).alias("edges"))

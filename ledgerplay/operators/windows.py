@@ -66,9 +66,12 @@ def _bin_multi(df: DataFrame, col: str, edges: DataFrame, out: str, by: Sequence
     return j.withColumn(out, edges_index(F.col(col), F.col("edges"))).drop("edges")
 
 
-def nested_qcut(df: DataFrame, c1: str, q1: int, c2: str, q2: int, apply_to: DataFrame | None = None) -> DataFrame:
-    """Bins of c1, then bins of c2 inside each c1 bin; ``apply_to`` gets the same edges."""
-    e1 = quantile_edges(df, c1, q1)
+def nested_qcut(df: DataFrame, c1: str, q1: int, c2: str, q2: int, apply_to: DataFrame | None = None,
+                materialized: bool = False) -> DataFrame:
+    """Bins of c1, then bins of c2 inside each c1 bin; ``apply_to`` gets the same edges.
+
+    ``materialized`` tells that ``df`` is already a checkpoint (no second copy)."""
+    e1 = quantile_edges(df, c1, q1, materialize=not materialized)
     ref = bin_join(df, c1, e1, "bin1")
     e2 = quantile_edges(ref.where(F.col("bin1").isNotNull()), c2, q2, ["bin1"])
     target = bin_join(apply_to if apply_to is not None else df, c1, e1, "bin1")

@@ -117,7 +117,7 @@ def segments(spark, d):
     # the population is scanned by every quantile pass and by the binning:
     # materialise it once in the shared checkpoint folder
     e = cut_lineage(P.range_to_null(enriched(spark, d, ["offer_accepted", "requested_amount"]), "credit_score", 0, 10000))
-    binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10)
+    binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10, materialized=True)
     return binned.where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
 
 
