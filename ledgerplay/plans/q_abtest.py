@@ -172,3 +172,34 @@ def m5_m6_corrections(spark, d):
     t = M.bonferroni(t)
     t = M.benjamini_hochberg(t.withColumn("__tie", F.col("bin1") * 100 + F.col("bin2")), tie="__tie").drop("__tie")
     return finish(t)
+
+
+@register("m3_power_two_sample", with_views("offers", "bureau", extra=ENRICHED_SQL + f""",
+a AS (SELECT CAST(count_if(town = '{TOWN_A}') AS DOUBLE) AS n_a,
+  CAST(sum(CASE WHEN town = '{TOWN_A}' THEN CAST(offer_accepted AS INTEGER) END) AS DOUBLE) AS x_a,
+  CAST(count_if(town = '{TOWN_B}') AS DOUBLE) AS n_b,
+  CAST(sum(CASE WHEN town = '{TOWN_B}' THEN CAST(offer_accepted AS INTEGER) END) AS DOUBLE) AS x_b FROM enriched),
+t AS (SELECT x_a / n_a - x_b / n_b AS diff,
+  sqrt((x_a + x_b) / (n_a + n_b) * (1 - (x_a + x_b) / (n_a + n_b)) * (1.0 / n_a + 1.0 / n_b)) AS sd, 0.0 AS mean0 FROM a)""") +
+    """SELECT {d} AS diff, {sd} AS sd, {lo} AS crit_low, {hi} AS crit_high, {b} AS type2, {pw} AS power FROM t""".format(
+        d=r6("diff"), sd=r6("sd"), lo=r6(f"mean0 - {M.norm_ppf(0.975)!r}*sd"), hi=r6(f"mean0 + {M.norm_ppf(0.975)!r}*sd"),
+        b=r6(f"{phi(f'((mean0 + {M.norm_ppf(0.975)!r}*sd) - diff)/sd')} - {phi(f'((mean0 - {M.norm_ppf(0.975)!r}*sd) - diff)/sd')}"),
+        pw=r6(f"1 - ({phi(f'((mean0 + {M.norm_ppf(0.975)!r}*sd) - diff)/sd')} - {phi(f'((mean0 - {M.norm_ppf(0.975)!r}*sd) - diff)/sd')})")))
+def m3_power_two_sample(spark, d):
+    """M3, two samples: under H0 the difference is 0 with the pooled standard
+    error; the alternative is the observed difference."""
+    t = M.prop_ztest_2(enriched(spark, d, ["offer_accepted"]), "town", "offer_accepted", TOWN_A, TOWN_B)
+    ph = (F.col("x_a") + F.col("x_b")) / (F.col("n_a") + F.col("n_b"))
+    t = t.select((F.col("x_a") / F.col("n_a") - F.col("x_b") / F.col("n_b")).alias("diff"),
+                 F.sqrt(ph * (1 - ph) * (1.0 / F.col("n_a") + 1.0 / F.col("n_b"))).alias("sd"), F.lit(0.0).alias("mean0"))
+    return finish(M.power_table(t, "mean0", "sd", "diff").select("diff", "sd", "crit_low", "crit_high", "type2", "power"))
+
+
+@register("m5_fwer", with_views("offers", "bureau", extra=TESTS_SQL) + f"""SELECT count(*) AS m, {r6('1 - pow(0.95, count(*))')} AS fwer,
+  count_if(p_value < 0.05) AS n_raw_reject FROM tests WHERE p_value IS NOT NULL""")
+def m5_fwer(spark, d):
+    """M5: family-wise error of the segment tests at alpha 0.05, next to the
+    number of unadjusted rejections."""
+    t = seg_tests(spark, d).where(F.col("p_value").isNotNull())
+    r = t.agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("p_value") < 0.05).alias("n_raw_reject"))
+    return finish(r.withColumn("fwer", F.lit(1.0) - F.pow(F.lit(0.95), F.col("m").cast("double"))))
