@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerplay.functions.formulas import rnd
 from ledgerplay.operators.prefix import exact_quantiles, grouped_quantiles
 
 

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import PCA, Imputer, PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import norm_ppf, unit_hash, unit_hash_sql

@@ -17,7 +17,7 @@ from ledgerplay.operators import windows as W
 from ledgerplay.plans import bindings as B
 from ledgerplay.plans.common import finish, r6
 from ledgerplay.plans.q_clean import CORR_COLS, LI_NUM, TRAIN, houses
-from ledgerplay.plans.q_game import SIDES_SQL, STANDINGS_SQL, sides
+from ledgerplay.plans.q_game import SIDES_SQL
 from ledgerplay.plans.registry import register, with_views
 from ledgerplay.session import checkpoint_dir
 from ledgerplay.sources import gamefiles as GF

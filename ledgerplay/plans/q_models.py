@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import unit_hash
 from ledgerplay.operators import models as ML
-from ledgerplay.operators import windows as W
-from ledgerplay.plans import bindings as B
 from ledgerplay.plans.common import finish, r6
 from ledgerplay.plans.q_clean import houses
 from ledgerplay.plans.q_eval import ev

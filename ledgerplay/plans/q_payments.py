@@ -3,17 +3,15 @@ G21-G23, M7, F1-F8, F13-F16."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import pmt, pmt_sql
 from ledgerplay.operators import aggregates as G
 from ledgerplay.operators import cashflow as C
 from ledgerplay.operators import joins as J
-from ledgerplay.operators import stats as M
 from ledgerplay.operators import windows as W
 from ledgerplay.plans import bindings as B
-from ledgerplay.plans.common import finish, p2_sql, phi, r6
+from ledgerplay.plans.common import finish, phi, r6
 from ledgerplay.plans.registry import register, with_views
 from ledgerplay.sources.tables import read_table
 

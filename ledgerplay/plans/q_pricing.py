@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerplay.operators import portfolio as PF
-from ledgerplay.operators import joins as J
 from ledgerplay.plans.common import finish, r6
-from ledgerplay.plans.q_payments import (BINS_SQL, BUY_DATE, CF_SQL, DISCOUNTS, PAID_MOB_SQL, SEC_SQL, irr_sql,
+from ledgerplay.plans.q_payments import (BUY_DATE, CF_SQL, DISCOUNTS, PAID_MOB_SQL, SEC_SQL, irr_sql,
                                          loan_cf, paid_mob, sched, scored)
 from ledgerplay.plans.registry import register, with_views
 
