@@ -148,31 +148,29 @@ def balance_selection(df: DataFrame, bin_cols: Sequence[str], score: str, amount
 
 def constrained_selection(df: DataFrame, score: str, amount: str, share: float, guards: Sequence[str],
                           mus: Sequence[float], key: str = "loan_id") -> DataFrame:
-    """best ``share`` by penalised score s - mu * sum_j z_j over a grid of mu;
-    keep grid points whose *rest* has guard means not worse (not lower) than the
-    pool's; report each point with its feasibility and selected IRR proxy.
+    """best ``share`` of volume by the penalised score s - mu * sum_j z_j,
+    for every mu of a grid at once; a grid point is feasible when the guard
+    means of the rows *not* chosen are not below the pool's.
 
-    z_j are the standardised guards; every mu is one more column of the same
-    pass (scenario expansion by ``explode``)."""
+    z_j are the standardised guards (one statistics row).  Each row is expanded
+    by the mu list; running volume per mu comes from range-bucketed prefix sums
+    partitioned by mu, so all grid points are one pass.
+    """
     st = df.agg(*[F.avg(g).alias(f"m_{g}") for g in guards], *[F.stddev_pop(g).alias(f"s_{g}") for g in guards]).collect()[0]
     z = sum(((F.col(g) - st[f"m_{g}"]) / (st[f"s_{g}"] or 1.0) for g in guards), F.lit(0.0))
-    outs = []
-    for mu in mus:
-        d = df.withColumn("__pen", F.col(score) - F.lit(float(mu)) * z)
-        top = W.top_by_volume(d.select(key, "__pen", amount), "__pen", amount, share, key).select(key).withColumn("__sel", F.lit(True))
-        j = d.join(top, key, "left").withColumn("__sel", F.coalesce("__sel", F.lit(False)))
-        agg = j.agg(F.lit(float(mu)).alias("mu"),
-                    F.avg(F.when(F.col("__sel"), F.col(score))).alias("mean_score_selected"),
-                    *[F.avg(F.when(~F.col("__sel"), F.col(g))).alias(f"rest_{g}") for g in guards])
-        feas = None
-        for g in guards:
-            c = F.col(f"rest_{g}") >= F.lit(st[f"m_{g}"])
-            feas = c if feas is None else feas & c
-        outs.append(agg.withColumn("feasible", feas))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res
+    total = df.agg(F.sum(amount)).collect()[0][0] or 0.0
+    d = df.select(key, score, amount, *guards).withColumn("mu", F.explode(F.array(*[F.lit(float(m)) for m in mus])))
+    d = d.withColumn("__pen", F.col(score) - F.col("mu") * z)
+    cum = prefix_agg(d, "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, by=["mu"])
+    cum = cum.withColumn("__sel", F.col(f"{amount}_cum") < share * total)
+    agg = cum.groupBy("mu").agg(
+        F.avg(F.when(F.col("__sel"), F.col(score))).alias("mean_score_selected"),
+        *[F.avg(F.when(~F.col("__sel"), F.col(g))).alias(f"rest_{g}") for g in guards])
+    feas = None
+    for g in guards:
+        c = F.col(f"rest_{g}") >= F.lit(st[f"m_{g}"])
+        feas = c if feas is None else feas & c
+    return agg.withColumn("feasible", feas)
 
 
 def late_vs_population(sched: DataFrame, pays: DataFrame, bureau: DataFrame, n: int, key: str = "loan_id",
