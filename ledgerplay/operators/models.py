@@ -33,7 +33,7 @@ def linear_regression(train: DataFrame, y: str, xs: Sequence[str]) -> PipelineMo
     return Pipeline(stages=[_assemble(xs), LinearRegression(featuresCol="features", labelCol=y, solver="normal")]).fit(train)
 
 
-def poly2_pipeline(train: DataFrame, y: str, xs: Sequence[str]) -> PipelineModel:
+def poly2_regression(train: DataFrame, y: str, xs: Sequence[str]) -> PipelineModel:
     """Degree-2 expansion + regression."""
     return Pipeline(stages=[_assemble(xs, "raw"), PolynomialExpansion(degree=2, inputCol="raw", outputCol="features"),
                             LinearRegression(featuresCol="features", labelCol=y, solver="normal")]).fit(train)

@@ -33,7 +33,7 @@ def ml_m14_linear_regression(spark, d):
 @register("ml_m15_poly2")
 def ml_m15_poly2(spark, d):
     tr, te = _split(houses(spark, d), "Id")
-    return finish(ML.poly2_pipeline(tr, "SalePrice", HX).transform(te).select("Id", "prediction"), 4)
+    return finish(ML.poly2_regression(tr, "SalePrice", HX).transform(te).select("Id", "prediction"), 4)
 
 
 @register("ml_m16_lasso")
