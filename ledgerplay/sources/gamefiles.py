@@ -145,8 +145,10 @@ def parse_battle_rows(lines: DataFrame, text_col: str = "value") -> DataFrame:
     p1_end = h.index("player_1_name") + len("player_1_name")
     p2_end = h.index("player_2_name") + len("player_2_name")
     tail = r"^\s*([012])\s+(Player 1 Wins|Player 2 Wins|Tie)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\S+)\s*$"
-    rows = lines.where(v.rlike(r"^\d+\s") & (F.length(v) > p2_end))
     rest = F.substring(v, p2_end + 1, 1 << 20)
+    # only lines whose tail has the battle columns (other printed tables also
+    # start with a number)
+    rows = lines.where(v.rlike(r"^\d+\s") & (F.length(v) > p2_end) & rest.rlike(tail))
     g = lambda i: F.regexp_extract(rest, tail, i)
     head = F.substring(v, 1, p1_end)
     return rows.select(
