@@ -52,6 +52,9 @@ def range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, out: str
     tmp = f"{out}_in"
     d = df.withColumn(tmp, F.col(col).cast("double"))
     inner = _edges(d, tmp, n_buckets) if edges is None else sorted(set(float(e) for e in edges if e is not None))
+    if not inner:
+        # one range (one bucket requested, or an empty table): nothing to cut
+        return d.withColumn(out, F.lit(0.0)).drop(tmp)
     splits = [float("-inf")] + inner + [float("inf")]
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return b.transform(d).drop(tmp)
@@ -64,6 +67,8 @@ def _group_bucket(df: DataFrame, key: str, by: Sequence[str], n_buckets: int) ->
     groups is not bounded in general, so AQE picks the join (broadcast when the
     runtime size is small).
     """
+    if n_buckets <= 1:
+        return df.withColumn(_B, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = df.groupBy(*by).agg(F.percentile_approx(key, probs, 1000).alias("__edges"))
     j = df.join(edges, list(by), "left")
