@@ -15,7 +15,7 @@ def _plan(df):
 
 def _names():
     import __spark_entry__ as E
-    return sorted(E.queries())
+    return sorted(E.REGISTRY)
 
 
 @pytest.mark.parametrize("name", _names())
