@@ -35,7 +35,6 @@ SHINGLE = 3
 SIMILAR = (85, 100)  # linked if SIMILAR[1] * intersection >= SIMILAR[0] * union
 HALVES = 16
 ROWS = 3
-FIRST_LEADERS = 1
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -104,26 +103,22 @@ def _verify(width: int, similar: tuple[int, int]):
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     """Smallest reachable label per node: ``labels`` (node, label), ``links`` (a, b) between labels.
 
-    Each step takes the least label among a label's neighbours and then jumps
-    along the pointers; it ends when nothing changes.  Only changed-row counts
-    reach the driver.
+    Each step takes the least label in a label's neighbourhood and jumps one
+    pointer further; it ends when nothing changes.  Only "did anything change"
+    reaches the driver.
     """
     edges = materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    if not edges.limit(1).count():
+    root = materialize(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("p")))
+    if root.isEmpty():
         return labels
-    root = materialize(edges.select(F.col("a").alias("v")).distinct().withColumn("p", F.col("v")))
-    while True:
-        near = edges.join(root.withColumnRenamed("v", "b"), "b").groupBy("a").agg(F.min("p").alias("m"))
-        step = root.join(near, root["v"] == near["a"], "left").select("v", "p", F.least("p", F.coalesce("m", "p")).alias("q"))
-        # hook: the old parent learns of the smaller label, too
-        hook = step.groupBy("p").agg(F.min("q").alias("hq"))
-        step = step.join(hook, "p").select("v", F.col("p").alias("old"), F.least("q", "hq").alias("q"))
-        jump = step.select(F.col("v").alias("q"), F.col("q").alias("far"))
-        after = step.join(jump, "q", "left").select("v", "old", F.least("q", F.coalesce("far", "q")).alias("p"))
-        after = materialize(after)
+    changed = True
+    while changed:
+        heard = edges.join(root.withColumnRenamed("v", "b"), "b").select(F.col("a").alias("v"), "p", F.lit(None).cast("long").alias("old"))
+        step = heard.union(root.select("v", "p", F.col("p").alias("old"))).groupBy("v").agg(F.min("p").alias("q"), F.max("old").alias("old"))
+        far = step.select(F.col("v").alias("q"), F.col("q").alias("far"))
+        after = materialize(step.join(far, "q").select("v", F.least("q", "far").alias("p"), "old"))
+        changed = not after.where("p <> old").isEmpty()
         root = after.select("v", "p")
-        if not after.where("p <> old").limit(1).count():
-            break
     return labels.join(root.withColumnRenamed("v", "label"), "label", "left").select("node", F.coalesce("p", "label").alias("label"))
 
 
@@ -147,61 +142,54 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
                .withColumn("node", F.monotonically_increasing_id()))
     classes = materialize(classes)  # from here on node is fixed
 
-    half = lambda name, at: classes.select("node", F.explode(F.slice("keys", at, halves)).alias(name))
-
-    def shared(name: str, at: int) -> DataFrame:
-        each = half(name, at)
-        often = each.groupBy(name).agg(F.count("*").alias("c")).where("c > 1").select(name)
-        return each.join(often, name)
-
-    a_keys = shared("ka", 1).groupBy("node").agg(F.collect_list("ka").alias("ka"))  # at most ``halves`` per class
-    b_keys = shared("kb", halves + 1).groupBy("node").agg(F.collect_list("kb").alias("kb"))
-    paired = a_keys.join(b_keys, "node").select("node", F.explode("ka").alias("ka"), "kb").select("node", "ka", F.explode("kb").alias("kb"))
+    each = classes.select("node", F.posexplode("keys").alias("i", "key"))
+    often = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    own = each.join(often, "key").groupBy("node").agg(F.collect_list(F.struct("i", "key")).alias("k"))  # at most 2 * halves per class
+    side = lambda keep: F.transform(F.filter("k", keep), lambda x: x["key"])
+    paired = (own.select("node", side(lambda x: x["i"] < halves).alias("ka"), side(lambda x: x["i"] >= halves).alias("kb"))
+              .select("node", F.explode("ka").alias("ka"), "kb").select("node", "ka", F.explode("kb").alias("kb")))
     member = paired.select("node", F.xxhash64("ka", "kb").alias("t"))
     sized = member.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
     tables = materialize(member.join(sized, "t").select("t", "node", "c"))
     # classes that share most tables lead first: the original of a family of variants has the most
     weight = tables.groupBy("node").agg(F.sum("c").alias("weight"))
-    tables = materialize(tables.drop("c").join(weight, "node").select("t", "node", F.struct((-F.col("weight")).alias("w"), F.col("node").alias("n")).alias("turn")))
-    involved = weight.select("node")
-    texts = materialize(_texts(base, classes.join(involved, "node")))
-    sizes = classes.select("node", "n")
-    labels = materialize(involved.withColumn("label", F.col("node")))
-    tried = None
-    links = None
-    leaders, open_ = FIRST_LEADERS, tables
+    turns = weight.join(classes.select("node", "n", "rep"), "node").select("node", F.struct((-F.col("weight")).alias("w"), F.col("node").alias("node"), "n").alias("turn"), "rep")
+    turns = materialize(turns)
+    texts = materialize(_texts(base, turns))
+    open_ = tables.select("t", "node").join(turns.select("node", "turn"), "node").select("t", "turn")
+    labels = turns.select("node", F.col("node").alias("label"))
+    links, leaders = None, 1
+    low, high = similar
     while True:
-        open_ = open_.join(labels, "node")
+        open_ = open_.withColumn("node", F.col("turn.node")).join(labels, "node").drop("node")
         mixed = open_.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t")
         open_ = materialize(open_.join(mixed, "t"))
-        if not open_.limit(1).count():
+        if open_.isEmpty():
             break
-        turn = Window.partitionBy("t").orderBy("turn")
-        lead = open_.withColumn("k", F.row_number().over(turn)).where(F.col("k") <= leaders) if leaders > 1 else \
-            open_.groupBy("t").agg(F.min("turn").alias("turn"), F.min_by("label", "turn").alias("label"), F.min_by("node", "turn").alias("node"))
-        lead = lead.select("t", F.col("node").alias("a"), F.col("label").alias("la"), F.col("turn").alias("ta"))
-        pairs = (open_.join(lead, "t").where((F.col("label") != F.col("la")) & (F.col("turn") > F.col("ta")))
-                 .select("a", F.col("node").alias("b")).distinct())
-        low, high = similar
-        pairs = (pairs.join(sizes.withColumnRenamed("node", "a").withColumnRenamed("n", "na"), "a").join(sizes.withColumnRenamed("node", "b").withColumnRenamed("n", "nb"), "b")
-                 .where(F.least("na", "nb") * high >= F.greatest("na", "nb") * low).select("a", "b"))  # else the sizes rule a link out
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
+        if leaders == 1:
+            lead = open_.groupBy("t").agg(F.min(F.struct("turn", "label")).alias("l")).select("t", F.col("l.turn").alias("lt"), F.col("l.label").alias("ll"))
+        else:
+            first = Window.partitionBy("t").orderBy("turn")
+            lead = (open_.withColumn("k", F.row_number().over(first)).where(F.col("k") <= leaders)
+                    .select("t", F.col("turn").alias("lt"), F.col("label").alias("ll")))
+        pairs = (open_.join(lead, "t").where((F.col("label") != F.col("ll")) & (F.col("turn") > F.col("lt")))
+                 .where(F.least("turn.n", "lt.n") * high >= F.greatest("turn.n", "lt.n") * low)  # else the sizes rule a link out
+                 .select(F.col("lt.node").alias("a"), F.col("turn.node").alias("b")).distinct())
         ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
                  .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a"))
         confirmed = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
         links = confirmed if links is None else links.union(confirmed)
-        tried = pairs if tried is None else materialize(tried.union(pairs))
-        named = confirmed.join(labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la"), "a").join(labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb"), "b")
-        labels = materialize(components(named.select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
-        # leaders have met every member of their table: they leave it, but their label still counts through linked members
-        open_ = open_.drop("label").join(lead.select("t", F.col("a").alias("node")), ["t", "node"], "left_anti")
-        leaders *= 4
+        at = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la")
+        bt = labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb")
+        labels = materialize(components(confirmed.join(at, "a").join(bt, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
+        # leaders have met every other member of their table, so they leave it
+        open_ = open_.join(lead.select("t", F.col("lt").alias("turn")), ["t", "turn"], "left_anti").select("t", "turn")
+        leaders *= 64
     spread = classes.select("node", "first_id", "d1", "d2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = spread.groupBy("label").agg(F.min("first_id").alias("component_id"))
     n_links = None
     if links is not None:
+        links = links.distinct()
         ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
         n_links = ends.groupBy("node").agg(F.count("*").alias("n_links"))
         spread = spread.join(n_links, "node", "left")
