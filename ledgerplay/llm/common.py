@@ -52,6 +52,29 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        offsets, data = text_buffer(batch.column(1))
+        for i, j in slices(offsets):
+            z = [pack_text(data[a:b].tobytes()) for a, b in zip(offsets[i:j], offsets[i + 1:j + 1])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(z, pa.binary())], names=["doc_id", "th", "z"])
+
+
+def packed_texts(base: DataFrame) -> DataFrame:
+    """(doc_id, text, th) -> (doc_id, th, z): texts compressed before a shuffle that moves them all."""
+    return base.select("doc_id", "text", "th").mapInArrow(_pack_texts, "doc_id long, th long, z binary")
+
+
+def pack_text(raw: bytes) -> bytes:
+    """Length and zstd frame of a text."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_text(z: bytes) -> bytes:
+    n = int.from_bytes(z[:8], "little")
+    return pa.decompress(z[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b""
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (xor-shift-multiply rounds)."""
     x = x.astype(np.uint64, copy=True)

@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerplay.llm.common import id_text, materialize, mix64, odd_constants, powers, rolling, signed, slices, text_buffer
+from ledgerplay.llm.common import (
+    id_text, materialize, mix64, odd_constants, packed_texts, powers, rolling, signed, text_buffer, unpack_text,
+)
 from ledgerplay.llm.common import _BYTE_CODE, _separators  # byte codes of the word hash
 
 RUN = 3
@@ -89,8 +91,8 @@ def _apply(run: int):
     def work(batches):
         for batch in batches:
             cols: list[list] = [[], [], []]
-            for text, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
-                raw = (text or "").encode()
+            for packed, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
+                raw = unpack_text(packed)
                 h, full, bounds = line_hashes(np.frombuffer(raw, dtype=np.uint8))
                 drop = np.zeros(len(bounds), dtype=bool)
                 if hit.is_valid:
@@ -123,5 +125,5 @@ def remove_repeated_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id
     owner = runs.groupBy("w1", "w2").agg(F.min(place).alias("own"), F.max(place).alias("last")).where("own < last").select("w1", "w2", "own")
     later = runs.join(owner, ["w1", "w2"]).where(F.struct("doc_id", "at") > F.col("own"))
     hits = later.groupBy("doc_id", "th").agg(F.collect_set("at").alias("hit"))  # run starts of one document
-    return base.join(hits, ["doc_id", "th"], "left").select("doc_id", "th", "text", "hit").mapInArrow(
+    return packed_texts(base).join(hits, ["doc_id", "th"], "left").select("doc_id", "th", "z", "hit").mapInArrow(
         _apply(run), "doc_id long, n_lines long, n_removed long, kept_text string")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import (
-    id_text, materialize, mix64, odd_constants, rolling, set_digest, signed, text_buffer, to_signed, words_by_row,
+    id_text, materialize, mix64, odd_constants, packed_texts, rolling, set_digest, signed, to_signed, unpack_text, word_hashes, words_by_row,
 )
 
 SHINGLE = 3
@@ -63,8 +63,10 @@ def _signatures(width: int, halves: int, rows: int):
                         for f, factor in enumerate(factors):
                             low = np.minimum.reduceat(flat * factor, starts)
                             keys[full, f // rows] = mix64(keys[full, f // rows] + low)
-                        keys += np.arange(2 * halves, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # a table has its own keys
+                        keys += np.arange(2 * halves, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # each half has its own keys
                         keys = mix64(keys.ravel()).reshape(keys.shape)
+                        keys &= ~np.uint64(1)  # the last bit names the collection
+                        keys[:, halves:] |= np.uint64(1)
                 flat_keys = pa.array(signed(keys.ravel()))
                 bounds = pa.array(np.arange(0, keys.size + 1, 2 * halves, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(sizes), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
@@ -74,29 +76,26 @@ def _signatures(width: int, halves: int, rows: int):
 
 def _verify(width: int, similar: tuple[int, int]):
     """Rows (a, b, text of a, text of b) -> confirmed (a, b); the sets of one leader are made once per run of rows."""
-    def sets_of(texts: pa.Array) -> list[np.ndarray]:
+    def sets_of(packed: list[bytes]) -> list[np.ndarray]:
         out = []
-        for _, _, h, _, _, bound, _ in words_by_row(texts, lower=True):
-            out += [shingles(h[a:b], width) for a, b in zip(bound[:-1], bound[1:])]
+        for z in packed:
+            h, _, _ = word_hashes(np.frombuffer(unpack_text(z), dtype=np.uint8), np.zeros(1, np.int64), lower=True)
+            out.append(shingles(h, width))
         return out
 
     def run(batches):
         for batch in batches:
-            offsets, _ = text_buffer(batch.column(3))
-            at = 0
-            while at < batch.num_rows:  # bounded text at once
-                end = max(at + 1, min(batch.num_rows, int(np.searchsorted(offsets, offsets[at] + (4 << 20)))))
-                part = batch.slice(at, end - at)
-                leaders = part.column(0).to_pylist()
-                new = [k for k in range(len(leaders)) if not k or leaders[k] != leaders[k - 1]]
-                lead = dict(zip((leaders[k] for k in new), sets_of(part.column(2).take(pa.array(new)))))
-                ok = []
-                for a, s in zip(leaders, sets_of(part.column(3))):
-                    both = len(np.intersect1d(lead[a], s, assume_unique=True))
-                    ok.append(similar[1] * both >= similar[0] * (len(lead[a]) + len(s) - both))
+            for at in range(0, batch.num_rows, 64):  # bounded text at once
+                part = batch.slice(at, 64)
+                leaders, packed = part.column(0).to_pylist(), part.column(2)
+                lead, ok = (None, None), []
+                for k, (a, s) in enumerate(zip(leaders, sets_of(part.column(3).to_pylist()))):
+                    if lead[0] != a:
+                        lead = (a, sets_of([packed[k].as_py()])[0])
+                    both = len(np.intersect1d(lead[1], s, assume_unique=True))
+                    ok.append(similar[1] * both >= similar[0] * (len(lead[1]) + len(s) - both))
                 keep = pa.array(np.flatnonzero(ok))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(keep), part.column(1).take(keep)], names=["a", "b"])
-                at = end
     return run
 
 
@@ -142,11 +141,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
                .withColumn("node", F.monotonically_increasing_id()))
     classes = materialize(classes)  # from here on node is fixed
 
-    each = classes.select("node", F.posexplode("keys").alias("i", "key"))
+    each = classes.select("node", F.explode("keys").alias("key"))
     often = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    own = each.join(often, "key").groupBy("node").agg(F.collect_list(F.struct("i", "key")).alias("k"))  # at most 2 * halves per class
-    side = lambda keep: F.transform(F.filter("k", keep), lambda x: x["key"])
-    paired = (own.select("node", side(lambda x: x["i"] < halves).alias("ka"), side(lambda x: x["i"] >= halves).alias("kb"))
+    own = each.join(often, "key").groupBy("node").agg(F.collect_list("key").alias("k"))  # at most 2 * halves per class
+    side = lambda which: F.filter("k", lambda x: x.bitwiseAND(F.lit(1)) == which)
+    paired = (own.select("node", side(0).alias("ka"), side(1).alias("kb"))
               .select("node", F.explode("ka").alias("ka"), "kb").select("node", "ka", F.explode("kb").alias("kb")))
     member = paired.select("node", F.xxhash64("ka", "kb").alias("t"))
     sized = member.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
@@ -175,8 +174,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
         pairs = (open_.join(lead, "t").where((F.col("label") != F.col("ll")) & (F.col("turn") > F.col("lt")))
                  .where(F.least("turn.n", "lt.n") * high >= F.greatest("turn.n", "lt.n") * low)  # else the sizes rule a link out
                  .select(F.col("lt.node").alias("a"), F.col("turn.node").alias("b")).distinct())
-        ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-                 .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a"))
+        ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("tb")), "b")
+                 .join(texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), "a"))
         confirmed = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
         links = confirmed if links is None else links.union(confirmed)
         at = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la")
@@ -184,7 +183,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
         labels = materialize(components(confirmed.join(at, "a").join(bt, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
         # leaders have met every other member of their table, so they leave it
         open_ = open_.join(lead.select("t", F.col("lt").alias("turn")), ["t", "turn"], "left_anti").select("t", "turn")
-        leaders *= 64
+        leaders *= 4
     spread = classes.select("node", "first_id", "d1", "d2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = spread.groupBy("label").agg(F.min("first_id").alias("component_id"))
     n_links = None
@@ -221,7 +220,8 @@ def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _texts(base: DataFrame, classes: DataFrame) -> DataFrame:
-    """One text per class: that of its representative row."""
+    """One packed text per class: that of its representative row."""
     rep = classes.select("node", F.col("rep.doc_id").alias("rid"), F.col("rep.th").alias("rth"))
-    found = base.join(rep, (base["th"] == rep["rth"]) & base["doc_id"].eqNullSafe(rep["rid"]))
-    return found.select("node", "text").dropDuplicates(["node"])
+    packed = packed_texts(base)
+    found = packed.join(rep, (packed["th"] == rep["rth"]) & packed["doc_id"].eqNullSafe(rep["rid"]))
+    return found.select("node", "z").dropDuplicates(["node"])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import (
-    id_text, materialize, mix64, odd_constants, rolling, set_digest, shuffle_partitions, signed, to_signed, word_hashes, words_by_row,
+    id_text, materialize, mix64, odd_constants, packed_texts, rolling, set_digest, shuffle_partitions, signed, to_signed, unpack_text, word_hashes, words_by_row,
 )
 
 WIDTH = 50
@@ -112,11 +112,11 @@ def _locate(width: int, phrase: int):
         held = {(i, t): p for i, t, p in zip(right["doc_id"], right["th"], right["phrases"])}
         hashes, chosen = {}, []
         seen: set[int] = set()
-        for no, (doc_id, th, text) in enumerate(zip(left["doc_id"], left["th"], left["text"])):
+        for no, (doc_id, th, packed) in enumerate(zip(left["doc_id"], left["th"], left["z"])):
             recurring = held.get((doc_id, th))
             if recurring is None:
                 continue
-            raw = text.encode()
+            raw = unpack_text(packed)
             w, s, e = word_hashes(np.frombuffer(raw, dtype=np.uint8), np.zeros(1, np.int64))
             hashes[no] = (w, s, e, raw)
             grams = rolling(w, phrase)
@@ -127,7 +127,7 @@ def _locate(width: int, phrase: int):
                 if g not in seen:  # the phrase itself, as words, goes into the automaton
                     seen.add(g)
                     chosen.append(w[k:k + phrase])
-        out = {"doc_id": [], "th": [], "n_bytes": [], "text_z": [], "starts": [], "w1": [], "w2": []}
+        out = {"doc_id": [], "th": [], "z": [], "starts": [], "w1": [], "w2": []}
         if chosen:
             vocabulary = np.unique(np.concatenate(chosen))
             number = lambda w: np.where(vocabulary[(k := np.minimum(np.searchsorted(vocabulary, w), len(vocabulary) - 1))] == w, k + 1, 0)
@@ -145,8 +145,7 @@ def _locate(width: int, phrase: int):
                 d1, d2 = window_digests(w, width)
                 out["doc_id"].append(left["doc_id"].iloc[no])
                 out["th"].append(left["th"].iloc[no])
-                out["n_bytes"].append(len(raw))
-                out["text_z"].append(pa.compress(raw, codec="zstd", asbytes=True))
+                out["z"].append(left["z"].iloc[no])
                 out["starts"].append(starts.astype(np.int32))
                 out["w1"].append(signed(d1[starts]))
                 out["w2"].append(signed(d2[starts]))
@@ -158,9 +157,8 @@ def _cut(width: int):
     def run(batches):
         for batch in batches:
             cols: list[list] = [[], [], []]
-            size = batch.column(batch.schema.names.index("n_bytes")).to_pylist()
-            for text_z, n_bytes, hit in zip(batch.column(2).to_pylist(), size, batch.column(3)):
-                raw = pa.decompress(text_z, decompressed_size=n_bytes, codec="zstd", asbytes=True) if n_bytes else b""
+            for packed, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
+                raw = unpack_text(packed)
                 w, s, e = word_hashes(np.frombuffer(raw, dtype=np.uint8), np.zeros(1, np.int64))
                 edge = np.zeros(len(w) + 1, dtype=np.int64)
                 at = np.asarray(hit.values, dtype=np.int64)
@@ -198,15 +196,16 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, phrase: int = PHRASE, sh
 
     shards = max(shuffle_partitions(docs), 1 + int((base.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // shard_bytes))
     shard = F.pmod(F.xxhash64("doc_id", "th"), F.lit(shards)).alias("shard")
-    left = base.where(F.col("doc_id").isNotNull()).select("doc_id", "th", "text", shard).dropDuplicates(["doc_id", "th"]) if _repeats(marks) else \
-        base.where(F.col("doc_id").isNotNull()).select("doc_id", "th", "text", shard)
+    left = packed_texts(base.where(F.col("doc_id").isNotNull())).withColumn("shard", shard)
+    if _repeats(marks):
+        left = left.dropDuplicates(["doc_id", "th"])
     found = left.groupBy("shard").cogroup(held.select("doc_id", "th", "phrases", shard).groupBy("shard")).applyInPandas(
-        _locate(width, phrase), "doc_id long, th long, n_bytes long, text_z binary, starts array<int>, w1 array<long>, w2 array<long>")
+        _locate(width, phrase), "doc_id long, th long, z binary, starts array<int>, w1 array<long>, w2 array<long>")
     found = materialize(found)
     windows = found.select("doc_id", "th", F.explode(F.arrays_zip("starts", "w1", "w2")).alias("x")).select("doc_id", "th", "x.starts", "x.w1", "x.w2")
     owner = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("own"), F.max("doc_id").alias("other")).where("own < other").select("w1", "w2", "own")
     hits = windows.join(owner, ["w1", "w2"]).where("doc_id > own").groupBy("doc_id", "th").agg(F.collect_list("starts").alias("hit"))  # windows of one document
-    cut = found.select("doc_id", "th", "text_z", "n_bytes").join(hits, ["doc_id", "th"]).select("doc_id", "th", "text_z", "hit", "n_bytes") \
+    cut = found.select("doc_id", "th", "z").join(hits, ["doc_id", "th"]).select("doc_id", "th", "z", "hit") \
         .mapInArrow(_cut(width), "doc_id long, th long, n_removed long, sha string, kept_text string")
     copies = known.where("doc_id > first_id").select("doc_id", "th", F.lit(True).alias("copy")).dropDuplicates(["doc_id", "th"])
     out = (marks.select("doc_id", "th", "n_words", "sha").join(cut.withColumnRenamed("sha", "cut_sha"), ["doc_id", "th"], "left").join(copies, ["doc_id", "th"], "left"))
