@@ -10,21 +10,23 @@ probability 1 - 5e-7 (5-word sets at 0.8: 1 - 2e-5; more halves raise it).
 1. Equal sets are one class (by a 128-bit digest); the rest works on classes.
 2. A half-key that only one class has cannot be part of a shared table key, so
    keys are paired only from half-keys that at least two classes share.
-3. Candidates of a table are checked against leaders: in each round every table
-   names leaders, the other members not yet in a leader's group are compared with
-   them on the full sets, and found links join the groups.  A table is done when
-   its members are all one group or every member has been a leader; so no pair of
-   an unfinished table is left out, and a group of thousands of copies costs one
-   comparison per member rather than all pairs.
-4. Groups are found by label propagation over the confirmed links (min label per
+3. Every table's leader (the class that shares most tables) is compared with the
+   other members on the full sets; a group of thousands of copies of one text costs
+   one comparison per member and table leader.
+4. Tables whose members are then not all one group go on: members that cannot be
+   linked to any other (too many shingles that no other open class has; an exact
+   bound) leave, the rest falls into families of tables that share members, and a
+   family's blocks are compared with each other.  No pair of a table is left out.
+5. Groups are found by label propagation over the confirmed links (min label per
    neighbourhood and pointer jumping), in DataFrames only.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import (
@@ -35,6 +37,7 @@ SHINGLE = 3
 SIMILAR = (85, 100)  # linked if SIMILAR[1] * intersection >= SIMILAR[0] * union
 HALVES = 16
 ROWS = 3
+BLOCK = 256  # members of an unresolved family that a task compares at once with as many others
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -155,45 +158,41 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
     turns = weight.join(classes.select("node", "n", "rep"), "node").select("node", F.struct((-F.col("weight")).alias("w"), F.col("node").alias("node"), "n").alias("turn"), "rep")
     turns = materialize(turns)
     texts = materialize(_texts(base, turns))
-    open_ = tables.select("t", "node").join(turns.select("node", "turn"), "node").select("t", "turn")
     labels = turns.select("node", F.col("node").alias("label"))
-    links, leaders = None, 1
     low, high = similar
-    while True:
-        open_ = open_.withColumn("node", F.col("turn.node")).join(labels, "node").drop("node")
-        mixed = open_.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t")
-        open_ = materialize(open_.join(mixed, "t"))
-        if open_.isEmpty():
-            break
-        if leaders == 1:
-            lead = open_.groupBy("t").agg(F.min(F.struct("turn", "label")).alias("l")).select("t", F.col("l.turn").alias("lt"), F.col("l.label").alias("ll"))
-        else:
-            first = Window.partitionBy("t").orderBy("turn")
-            lead = (open_.withColumn("k", F.row_number().over(first)).where(F.col("k") <= leaders)
-                    .select("t", F.col("turn").alias("lt"), F.col("label").alias("ll")))
-        pairs = (open_.join(lead, "t").where((F.col("label") != F.col("ll")) & (F.col("turn") > F.col("lt")))
-                 .where(F.least("turn.n", "lt.n") * high >= F.greatest("turn.n", "lt.n") * low)  # else the sizes rule a link out
-                 .select(F.col("lt.node").alias("a"), F.col("turn.node").alias("b")).distinct())
-        ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("tb")), "b")
-                 .join(texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), "a"))
-        confirmed = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
-        links = confirmed if links is None else links.union(confirmed)
+
+    # every table's leader against the other members
+    open_ = tables.select("t", "node").join(turns.select("node", "turn"), "node")
+    lead = open_.groupBy("t").agg(F.min("turn").alias("lt"))
+    pairs = (open_.join(lead, "t").where(F.col("turn.node") != F.col("lt.node"))
+             .where(F.least("turn.n", "lt.n") * high >= F.greatest("turn.n", "lt.n") * low)  # else the sizes rule a link out
+             .select(F.col("lt.node").alias("a"), F.col("node").alias("b")).distinct())
+    ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("tb")), "b")
+             .join(texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), "a"))
+    links = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
+    labels = materialize(components(links, labels))
+
+    # tables whose members are not all one group: what can still be linked, in families
+    open_ = open_.select("t", "node", F.col("turn.n").alias("n")).join(labels, "node")
+    mixed = open_.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t")
+    open_ = materialize(open_.join(mixed, "t"))
+    if not open_.isEmpty():
+        alone = _alone(open_.select("node").distinct().join(texts, "node"), shingle)
+        open_ = materialize(_possible(open_, materialize(alone), similar))
+        first = open_.groupBy("t").agg(F.min("node").alias("a"))
+        bonds = open_.join(first, "t").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+        left = materialize(open_.select("node", "label", "n", "r").distinct())
+        family = components(bonds, left.select("node", F.col("node").alias("label"))).withColumnRenamed("label", "family")
+        more = materialize(_within_families(left.join(family, "node").join(texts, "node"), shingle, similar))
+        links = links.union(more)
         at = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la")
         bt = labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb")
-        labels = materialize(components(confirmed.join(at, "a").join(bt, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
-        # leaders have met every other member of their table, so they leave it
-        open_ = open_.join(lead.select("t", F.col("lt").alias("turn")), ["t", "turn"], "left_anti").select("t", "turn")
-        leaders *= 4
+        labels = materialize(components(more.join(at, "a").join(bt, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
     spread = classes.select("node", "first_id", "d1", "d2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = spread.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    n_links = None
-    if links is not None:
-        links = links.distinct()
-        ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-        n_links = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-        spread = spread.join(n_links, "node", "left")
-    else:
-        spread = spread.withColumn("n_links", F.lit(0).cast("long"))
+    links = links.distinct()
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
+    spread = spread.join(ends.groupBy("node").agg(F.count("*").alias("n_links")), "node", "left")
     known = spread.join(ids, "label").select("d1", "d2", F.col("label").alias("group"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = marks.select("doc_id", "th", "n", "d1", "d2").join(known, ["d1", "d2"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -219,6 +218,73 @@ def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return stay.unionByName(tagged.where(~words)).drop("__text_hash")
 
 
+def _alone(texts: DataFrame, width: int) -> DataFrame:
+    """(node, alone): how many shingles of a class no other class of ``texts`` has."""
+    def run(batches):
+        for batch in batches:
+            for node, z in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h, _, _ = word_hashes(np.frombuffer(unpack_text(z), dtype=np.uint8), np.zeros(1, np.int64), lower=True)
+                x = signed(shingles(h, width))
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(np.full(len(x), node))], names=["s", "node"])
+
+    each = texts.select("node", "z").mapInArrow(run, "s long, node long")
+    return each.groupBy("s").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last").groupBy("node").agg(F.count("*").alias("alone"))
+
+
+def _possible(open_: DataFrame, alone: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Table members that can still be linked to some member of their table.
+
+    Shingles that no other open class has are in no intersection, so two sets of
+    n and m shingles with r and q others meet in at most min(r, q).  For each
+    table the greatest r of every set size is enough to test a member against all
+    others; a member that fails for every size has no partner there.  This is
+    exact: it only drops pairs whose similarity cannot reach the threshold.
+    """
+    low, high = similar
+    own = open_.join(alone, "node", "left").withColumn("r", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    sizes = own.groupBy("t", F.col("n").alias("m")).agg(F.max("r").alias("q")).groupBy("t").agg(F.collect_list(F.struct("m", "q")).alias("others"))  # distinct set sizes of a table
+    both = lambda o: F.least(F.col("r"), o["q"])
+    meets = F.exists("others", lambda o: both(o) * high >= (F.col("n") + o["m"] - both(o)) * low)
+    return own.join(sizes, "t").where(meets).select("t", "node", "label", "n", "r")
+
+
+def _within_families(members: DataFrame, width: int, similar: tuple[int, int]) -> DataFrame:
+    """Links (a, b) between members (node, label, n, r, family, z) of unequal labels.
+
+    A family is dealt into blocks of about ``BLOCK`` members; a task compares two
+    blocks, skipping pairs that are already in one group or that their sizes and
+    unshared shingles rule out.  Pairs are never rows; only links are.
+    """
+    low, high = similar
+
+    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node").reset_index(drop=True)
+        _, i, j = key
+        sets = [shingles(word_hashes(np.frombuffer(unpack_text(z), dtype=np.uint8), np.zeros(1, np.int64), lower=True)[0], width) for z in pdf["z"]]
+        n, r, block, node = (pdf[c].to_numpy() for c in ("n", "r", "b", "node"))
+        group = pdf["label"].to_numpy().copy()
+        found = []
+        for x in range(len(pdf)):
+            both = np.minimum(r[x], r[x + 1:])
+            ok = (both * high >= (n[x] + n[x + 1:] - both) * low) & (group[x + 1:] != group[x])
+            if i != j:
+                ok &= block[x + 1:] != block[x]
+            for y in x + 1 + np.flatnonzero(ok):
+                if group[x] != group[y]:
+                    m = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if m * high >= (len(sets[x]) + len(sets[y]) - m) * low:
+                        found.append((node[x], node[y]))
+                        group[group == group[y]] = group[x]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    size = members.groupBy("family").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    dealt = (members.join(size.select("family", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks")), "family")
+             .withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")))
+             .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("family", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"), "b", "node", "label", "n", "r", "z"))
+    return dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def _texts(base: DataFrame, classes: DataFrame) -> DataFrame:
     """One packed text per class: that of its representative row."""
     rep = classes.select("node", F.col("rep.doc_id").alias("rid"), F.col("rep.th").alias("rth"))
