@@ -14,10 +14,11 @@ ERFC_COEFFS = (
     -1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
     0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277,
 )
-# Multiplier of the portable split hash (Knuth's multiplicative constant) and
-# the modulus that keeps the product inside BIGINT.
-HASH_MULT = 2654435761
-HASH_MOD = 1000003
+# Portable hash: two primes below 2^31 (so products stay inside BIGINT) and odd
+# multipliers; 5 is prime to HASH_P - 1, so x^5 permutes the residues.
+HASH_P = 2147483647
+HASH_Q = 2147483629
+HASH_MULTIPLIERS = (1103515245, 1013904223, 1140671485, 1664525, 22695477, 134775813)
 # ---------------------------------------------------------------------------
 
 
@@ -42,12 +43,18 @@ def norm_pdf_sql(x: str) -> str:
     return f"(exp(-0.5*({x})*({x}))/sqrt(2.0*pi()))"
 
 
+def norm_sf_sql(x: str) -> str:
+    """1 - Phi(x) without the cancellation of 1 - cdf: tails keep their digits."""
+    e = _erfc_pos_sql(f"(abs({x})/sqrt(2.0))")
+    return f"(CASE WHEN ({x}) IS NULL THEN NULL WHEN ({x}) >= 0 THEN 0.5*{e} ELSE 1.0-0.5*{e} END)"
+
+
 def norm_cdf(c) -> Column:
     return F.expr(norm_cdf_sql(_sql(c)))
 
 
 def norm_sf(c) -> Column:
-    return F.lit(1.0) - norm_cdf(c)
+    return F.expr(norm_sf_sql(_sql(c)))
 
 
 def norm_pdf(c) -> Column:
@@ -91,10 +98,26 @@ def rnd(c, d: int = 6) -> Column:
     return F.round(col.cast("double"), d) + F.lit(0.0)
 
 
+def hash31_sql(*keys: str) -> str:
+    """Portable hash of up to three integers into [0, HASH_P): the same in any SQL engine.
+
+    Each key enters by its residues to two primes, so all 62 low bits count; the
+    fifth power breaks the linear order of consecutive keys.
+    """
+    terms = []
+    for n, key in enumerate(keys):
+        k = f"CAST({key} AS BIGINT)"
+        for m, p in zip(HASH_MULTIPLIERS[2 * n:2 * n + 2], (HASH_P, HASH_Q)):
+            terms.append(f"((({k}) % {p} + {p}) % {p}) * {m} % {HASH_P}")
+    x = f"(({' + '.join(terms)} + 12345) % {HASH_P})"
+    x2 = f"({x} * {x} % {HASH_P})"
+    x4 = f"({x2} * {x2} % {HASH_P})"
+    return f"(({x4} * {x} % {HASH_P}) * {HASH_MULTIPLIERS[0]} % {HASH_P})"
+
+
 def unit_hash_sql(key: str, seed: int = 0) -> str:
-    """Portable hash of an integer key into [0, 1): same value in any SQL engine."""
-    k = f"((({key}) % {HASH_MOD} + {HASH_MOD}) % {HASH_MOD})"
-    return f"((({k}) * {HASH_MULT} + {int(seed)}) % 10000) / 10000.0"
+    """Portable hash of an integer key into [0, 1), about 2^31 values."""
+    return f"({hash31_sql(key, str(int(seed)))} / {HASH_P}.0)"
 
 
 def unit_hash(key, seed: int = 0) -> Column:

@@ -175,6 +175,8 @@ def sqrt_bins(df: DataFrame, col: str) -> int:
 def box_stats(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (last value inside the fences) and outlier count."""
     q1, q2, q3 = exact_quantiles(df.select(F.col(col).cast("double").alias(col)), col, [0.25, 0.5, 0.75])
+    if q1 is None:  # no value at all: no quartiles, no outliers
+        return df.sparkSession.createDataFrame([(None,) * 5 + (0,)], "q1 double, median double, q3 double, whisker_low double, whisker_high double, n_outliers long")
     lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     x = F.col(col)
     return df.agg(
@@ -280,11 +282,11 @@ def rmse(df: DataFrame, y: str, yhat: str | Column) -> DataFrame:
 
 
 def r2(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
-    """1 - SSE/SST from one pass of sums (SST = sum(y^2) - n*mean^2)."""
+    """1 - SSE/SST in one pass; SST is the centred n * var_pop(y)."""
     yc, pc = F.col(y), F.col(yhat)
     sse = F.sum((yc - pc) * (yc - pc))
     n = F.count(y)
-    sst = F.sum(yc * yc) - F.sum(yc) * F.sum(yc) / n
+    sst = F.var_pop(yc) * n
     return df.groupBy(*by).agg((1 - sse / sst).alias("r2"), n.alias("n"))
 
 

@@ -20,8 +20,8 @@ from pyspark.sql.types import DoubleType
 from ledgerplay.functions.formulas import annualize, pmt  # noqa: F401  (F1, F2 re-exported)
 
 # --- fixed values -------------------------------------------------------------
-IRR_LO, IRR_HI = -0.9999, 10.0   # monthly bracket; NPV is decreasing on it
-IRR_STEPS = 100                  # bisection steps (width 1e-30 after 100 halvings)
+IRR_LO, IRR_HI = -0.9999, 1e6    # monthly bracket; NPV is decreasing on it
+IRR_STEPS = 100                  # bisection steps (width 1e-24 after 100 halvings)
 # -------------------------------------------------------------------------------
 
 

@@ -178,6 +178,8 @@ def iqr_fences(df: DataFrame, col: str | Column, k: float = 1.5) -> tuple[float,
     """Q1, Q3 and the two fences, by exact distributed quantiles."""
     d = df.select((F.col(col) if isinstance(col, str) else col).cast("double").alias("__v"))
     q1, q3 = exact_quantiles(d, "__v", [0.25, 0.75])
+    if q1 is None:  # no value at all: nothing is outside
+        return None, None, float("-inf"), float("inf")
     iqr = q3 - q1
     return q1, q3, q1 - k * iqr, q3 + k * iqr
 

@@ -14,15 +14,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerplay.functions.formulas import HASH_MOD, HASH_MULT, norm_ppf
+from ledgerplay.functions.formulas import hash31_sql, norm_ppf
 from ledgerplay.operators.prefix import grouped_quantiles, prefix_agg
 
 
 def p_value(z: Column, alternative: str = "two-sided") -> Column:
     if alternative == "two-sided":
-        return F.lit(2.0) * (F.lit(1.0) - norm_cdf_col(F.abs(z)))
+        return F.lit(2.0) * norm_cdf_col(-F.abs(z))  # not 1 - cdf, which is 0 far out
     if alternative == "larger":
-        return F.lit(1.0) - norm_cdf_col(z)
+        return norm_cdf_col(-z)
     if alternative == "smaller":
         return norm_cdf_col(z)
     raise ValueError(alternative)
@@ -153,6 +153,8 @@ def ks_2samp(df: DataFrame, group: str, col: str, a, b) -> DataFrame:
         F.count_if(g == a).cast("double").alias("ca"), F.count_if(g == b).cast("double").alias("cb"))
     tot = per.agg(F.sum("ca"), F.sum("cb")).collect()[0]
     na, nb = float(tot[0] or 0), float(tot[1] or 0)
+    if not na or not nb:  # an empty sample: no statistic
+        return df.sparkSession.createDataFrame([(None, na, nb, None)], "d double, n_a double, n_b double, p_value double")
     cum = prefix_agg(per, "v", ["ca", "cb"])
     d = cum.agg(F.max(F.abs(F.col("ca_cum") / na - F.col("cb_cum") / nb)).alias("d"))
     ne = na * nb / (na + nb)
@@ -180,8 +182,8 @@ def qq_normal(df: DataFrame, col: str, n: int = 100) -> DataFrame:
 
 
 def draw_index_sql(rep: str, i: str, n_rows: str, seed: int = 0) -> str:
-    """Portable draw of a row index in [0, N) for (rep, i)."""
-    return f"(((({rep}) * 100003 + ({i})) % {HASH_MOD}) * {HASH_MULT} + {int(seed)}) % ({n_rows})"
+    """Portable draw of a row index in [0, N) for (rep, i): 62 hash bits, so every row can be drawn."""
+    return f"({hash31_sql(rep, i, str(2 * int(seed)))} * 2147483648 + {hash31_sql(rep, i, str(2 * int(seed) + 1))}) % ({n_rows})"
 
 
 def bootstrap_means(df: DataFrame, col: str, order: str, n: int, k: int, seed: int = 0) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerplay.functions.formulas import norm_cdf_sql
+from ledgerplay.functions.formulas import norm_cdf_sql, norm_sf_sql
 
 
 def round_half_away(c, digits: int = 6):
@@ -41,7 +41,7 @@ def z2_sql(n1: str, x1: str, n2: str, x2: str) -> str:
 
 
 def p2_sql(z: str) -> str:
-    return f"(2.0*(1.0-{phi(f'abs({z})')}))"
+    return f"(2.0*{norm_sf_sql(f'abs({z})')})"
 
 
 LAST_OFFER_SQL = """last_offer AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id

@@ -164,7 +164,7 @@ def m11_bootstrap_means(spark, d):
 g AS (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS s2 FROM f),
 h AS (SELECT *, slope / sqrt(s2 / sxx) AS t FROM g)""") + f"""SELECT "BldgType", n, {r6('slope')} AS slope, {r6('intercept')} AS intercept, {r6('r2')} AS r2,
   {r6('sqrt(s2 / sxx)')} AS se_slope, {r6('sqrt(s2 * (1.0 / n + xbar * xbar / sxx))')} AS se_intercept, {r6('t')} AS t_slope,
-  {r6(f"2.0 * (1.0 - {phi('abs(t)')})")} AS p_slope FROM h""")
+  {r6(f"2.0 * {phi('-abs(t)')}")} AS p_slope FROM h""")
 def m12_ols_one(spark, d):
     r = M.ols_one(houses(spark, d), "SalePrice", "GrLivArea", ["BldgType"])
     return finish(r.select("BldgType", "n", "slope", "intercept", "r2", "se_slope", "se_intercept", "t_slope", "p_slope"))

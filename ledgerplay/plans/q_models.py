@@ -74,7 +74,7 @@ def _irr_features(spark, d):
     from ledgerplay.operators import cashflow as C
     from ledgerplay.plans.q_payments import loan_cf, scored
     irr = C.loan_irr(loan_cf(spark, d)).where(F.col("irr").isNotNull())
-    return scored(spark, d).join(irr, "loan_id").withColumn("irr_pct", F.least(F.col("irr") * 100, F.lit(100.0)))
+    return scored(spark, d).join(irr, "loan_id").withColumn("irr_pct", F.col("irr") * 100)
 
 
 @register("ml_m24_gbt_irr")

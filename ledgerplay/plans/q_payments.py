@@ -235,7 +235,7 @@ per AS (SELECT mob, town, CAST(count(*) AS DOUBLE) AS n_a, CAST(count_if(late) A
 t AS (SELECT *, sum(n_a) OVER (PARTITION BY mob) - n_a AS n_b, sum(x_a) OVER (PARTITION BY mob) - x_a AS x_b FROM per),
 tz AS (SELECT *, CASE WHEN (x_a + x_b) / (n_a + n_b) * (1 - (x_a + x_b) / (n_a + n_b)) * (1.0 / n_a + 1.0 / n_b) > 0
   THEN (x_a / n_a - x_b / n_b) / sqrt((x_a + x_b) / (n_a + n_b) * (1 - (x_a + x_b) / (n_a + n_b)) * (1.0 / n_a + 1.0 / n_b)) END AS z FROM t),
-tp AS (SELECT *, 1.0 - """ + phi("z") + """ AS p_value FROM tz),
+tp AS (SELECT *, """ + phi("-z") + """ AS p_value FROM tz),
 r AS (SELECT *, row_number() OVER (ORDER BY p_value, mob, town) AS i, count(*) OVER () AS m FROM tp WHERE p_value IS NOT NULL),
 k AS (SELECT max(CASE WHEN p_value <= i / m * 0.05 THEN i END) AS kmax FROM r)"""
 

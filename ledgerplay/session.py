@@ -52,20 +52,20 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = N
     """Set the runtime SQL settings of ``CLUSTER_CONF`` (static ones belong in the
     platform's session builder)."""
     for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001  (static configs cannot change at runtime)
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a fresh scratch folder is
-    set; on a cluster the platform's shared folder is always used.
+    Only a local session that names none gets a fresh scratch folder; on a
+    cluster the setting is required, for no machine's own folder is shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerplay-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -28,6 +28,7 @@ def parse_maps(maps: DataFrame, file_col: str = "file", text_col: str = "text")
 
     ``#`` starts a comment; blank lines are skipped; planet_id is the 0-based
     order of ``P`` lines in the file; one malformed line rejects the whole file.
+    Coordinates are doubles in any notation, all other fields whole numbers.
     """
     lines = maps.select(file_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
     body = F.trim(F.split(F.col("line"), COMMENT, 2)[0])
@@ -35,10 +36,9 @@ def parse_maps(maps: DataFrame, file_col: str = "file", text_col: str = "text")
     toks = F.split(F.col("body"), r"\s+")
     lines = lines.withColumn("tok", toks).withColumn("kind", F.col("tok")[0])
     num = lambda i: F.expr(f"try_cast(tok[{i}] AS DOUBLE)")
-    ok_p = (F.col("kind") == "P") & (F.size("tok") == PLANET_TOKENS) & F.forall(
-        F.slice("tok", 2, PLANET_TOKENS - 1), lambda t: t.rlike(r"^-?[0-9.]+$"))
-    ok_f = (F.col("kind") == "F") & (F.size("tok") == FLEET_TOKENS) & F.forall(
-        F.slice("tok", 2, FLEET_TOKENS - 1), lambda t: t.rlike(r"^-?[0-9.]+$"))
+    whole = lambda start, n: F.forall(F.slice("tok", start, n), lambda t: t.rlike(r"^[+-]?[0-9]+$"))
+    ok_p = (F.col("kind") == "P") & (F.size("tok") == PLANET_TOKENS) & num(1).isNotNull() & num(2).isNotNull() & whole(4, PLANET_TOKENS - 3)
+    ok_f = (F.col("kind") == "F") & (F.size("tok") == FLEET_TOKENS) & whole(2, FLEET_TOKENS - 1)
     lines = lines.withColumn("ok", ok_p | ok_f)
     good = lines.groupBy(file_col).agg(F.bool_and("ok").alias("__good")).where("__good").select(file_col)
     valid = lines.join(good, file_col, "left_semi")

@@ -128,3 +128,48 @@ def test_average_rank_ties(spark):
     df = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 20.0), (4, 30.0)], "k int, v double")
     r = {x.k: x.rank for x in W.average_rank(df, "v").collect()}
     assert r == {1: 1.0, 2: 2.5, 3: 2.5, 4: 4.0}
+
+
+def test_upper_tail_keeps_its_digits(spark):
+    from pyspark.sql import functions as F
+    from ledgerplay.operators.stats import p_value
+    r = spark.createDataFrame([(9.0,), (-9.0,)], "z double").select(p_value(F.col("z"), "larger").alias("p")).collect()
+    assert abs(r[0].p / 2.2571768e-19 - 1) < 0.01 and r[1].p == 1.0
+
+
+def test_r2_of_a_shifted_target(spark):
+    from pyspark.sql import functions as F
+    from ledgerplay.operators.aggregates import r2
+    rows = [(float(i % 7), float(i % 7) + (0.01 if i % 2 else -0.01)) for i in range(700)]
+    df = spark.createDataFrame(rows, "y double, p double")
+    a = r2(df, "y", "p").first().r2
+    b = r2(df.select((F.col("y") + 1e6).alias("y"), (F.col("p") + 1e6).alias("p")), "y", "p").first().r2
+    assert a < 1 and abs(a - b) < 1e-6
+
+
+def test_portable_hash_spreads_keys(spark):
+    from pyspark.sql import functions as F
+    from ledgerplay.functions.formulas import unit_hash
+    from ledgerplay.operators.stats import draw_index_sql
+    h = spark.range(200_000).select(unit_hash("id").alias("h"), unit_hash("id", 1).alias("g"))
+    r = h.agg(F.countDistinct("h").alias("n"), F.avg("h").alias("m"), F.corr("h", "g").alias("c"), F.max("h").alias("x")).first()
+    assert r.n > 199_000 and abs(r.m - 0.5) < 0.01 and abs(r.c) < 0.02 and r.x < 1
+    d = spark.range(300_000).select(F.expr(draw_index_sql("id % 3", "id div 3", "5000000")).alias("d")).agg(F.countDistinct("d").alias("n"), F.max("d").alias("x")).first()
+    assert d.n > 285_000 and d.x < 5_000_000
+
+
+def test_high_irr_has_a_root(spark):
+    from ledgerplay.operators.cashflow import loan_irr
+    cf = spark.createDataFrame([(1, 0, -100.0), (1, 1, 2000.0)], "loan_id long, period int, cf double")
+    assert abs(loan_irr(cf).first().irr - 19.0) < 1e-9
+
+
+def test_samples_without_values(spark):
+    from ledgerplay.operators.aggregates import box_stats
+    from ledgerplay.operators.clean import count_outliers, drop_iqr_outliers
+    from ledgerplay.operators.stats import ks_2samp
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None)], "g string, v double, nothing double")
+    assert ks_2samp(df, "g", "v", "a", "b").first().p_value is None
+    assert box_stats(df, "nothing").first().n_outliers == 0
+    assert drop_iqr_outliers(df, "nothing").count() == 2
+    assert count_outliers(df, "nothing", log=False).first().n_low == 0
