@@ -117,7 +117,7 @@ def hash31_sql(*keys: str) -> str:
 
 def unit_hash_sql(key: str, seed: int = 0) -> str:
     """Portable hash of an integer key into [0, 1), about 2^31 values."""
-    return f"({hash31_sql(key, str(int(seed)))} / {HASH_P}.0)"
+    return f"(CAST({hash31_sql(key, str(int(seed)))} AS DOUBLE) / {HASH_P})"
 
 
 def unit_hash(key, seed: int = 0) -> Column:

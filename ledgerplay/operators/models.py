@@ -181,7 +181,7 @@ def learning_curve(df: DataFrame, y: str, x: str, key: str, sizes: Sequence[int]
     from ledgerplay.operators.prefix import prefix_agg
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(key, x, y)
     per_rep = base.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-    per_rep = per_rep.withColumn("__h", F.expr(f"{hash31_sql(f'`{key}`', 'rep')} / {HASH_P}.0"))  # an order of its own per rep
+    per_rep = per_rep.withColumn("__h", F.expr(f"CAST({hash31_sql(f'`{key}`', 'rep')} AS DOUBLE) / {HASH_P}"))  # an order of its own per rep
     per_rep = per_rep.withColumn("__one", F.lit(1.0))
     ranked = prefix_agg(per_rep, "__h", ["__one"], tie_cols=[key], by=["rep"])
     s = ranked.withColumn("size", F.explode(F.array(*[F.lit(int(n)) for n in sizes]))).where(F.col("__one_cum") <= F.col("size"))
