@@ -10,9 +10,9 @@ probability 1 - 5e-7 (5-word sets at 0.8: 1 - 2e-5; more halves raise it).
 1. Equal sets are one class (by a 128-bit digest); the rest works on classes.
 2. A half-key that only one class has cannot be part of a shared table key, so
    keys are paired only from half-keys that at least two classes share.
-3. Every table's leader (the class that shares most tables) is compared with the
-   other members on the full sets; a group of thousands of copies of one text costs
-   one comparison per member and table leader.
+3. Every class is compared, on the full sets, with the first leader of its tables
+   (a table's leader is its class that shares most tables); a group of thousands of
+   copies of one text costs one comparison per member.
 4. Tables whose members are then not all one group go on: members that cannot be
    linked to any other (too many shingles that no other open class has; an exact
    bound) leave, the rest falls into families of tables that share members, and a
@@ -161,19 +161,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
     labels = turns.select("node", F.col("node").alias("label"))
     low, high = similar
 
-    # every table's leader against the other members
+    # every class against the first leader of its tables
     open_ = tables.select("t", "node").join(turns.select("node", "turn"), "node")
     lead = open_.groupBy("t").agg(F.min("turn").alias("lt"))
-    pairs = (open_.join(lead, "t").where(F.col("turn.node") != F.col("lt.node"))
-             .where(F.least("turn.n", "lt.n") * high >= F.greatest("turn.n", "lt.n") * low)  # else the sizes rule a link out
-             .select(F.col("lt.node").alias("a"), F.col("node").alias("b")).distinct())
+    pairs = (open_.select("t", "node").join(lead, "t").groupBy("node").agg(F.min("lt").alias("lt")).join(turns.select("node", "turn.n"), "node").where(F.col("node") != F.col("lt.node"))
+             .where(F.least("n", "lt.n") * high >= F.greatest("n", "lt.n") * low)  # else the sizes rule a link out
+             .select(F.col("lt.node").alias("a"), F.col("node").alias("b")))
     ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("tb")), "b")
              .join(texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), "a"))
     links = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
     labels = materialize(components(links, labels))
 
     # tables whose members are not all one group: what can still be linked, in families
-    open_ = open_.select("t", "node", F.col("turn.n").alias("n")).join(labels, "node")
+    open_ = tables.select("t", "node").join(labels.join(turns.select("node", "turn.n"), "node"), "node")
     mixed = open_.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t")
     open_ = materialize(open_.join(mixed, "t"))
     if not open_.isEmpty():
