@@ -37,6 +37,7 @@ SHINGLE = 3
 SIMILAR = (85, 100)  # linked if SIMILAR[1] * intersection >= SIMILAR[0] * union
 HALVES = 16
 ROWS = 3
+ROWS_PER_PARTITION = 50_000  # links per partition while groups are found
 BLOCK = 256  # members of an unresolved family that a task compares at once with as many others
 
 
@@ -110,15 +111,18 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     reaches the driver.
     """
     edges = materialize(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    root = materialize(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("p")))
-    if root.isEmpty():
+    n = edges.count()
+    if not n:
         return labels
+    parts = 1 + n // ROWS_PER_PARTITION  # few rows in many partitions would make more files than data
+    edges = edges.coalesce(parts)
+    root = materialize(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("p")).coalesce(parts))
     changed = True
     while changed:
         heard = edges.join(root.withColumnRenamed("v", "b"), "b").select(F.col("a").alias("v"), "p", F.lit(None).cast("long").alias("old"))
-        step = heard.union(root.select("v", "p", F.col("p").alias("old"))).groupBy("v").agg(F.min("p").alias("q"), F.max("old").alias("old"))
+        step = heard.union(root.select("v", "p", F.col("p").alias("old"))).groupBy("v").agg(F.min("p").alias("q"), F.max("old").alias("old")).coalesce(parts)
         far = step.select(F.col("v").alias("q"), F.col("q").alias("far"))
-        after = materialize(step.join(far, "q").select("v", F.least("q", "far").alias("p"), "old"))
+        after = materialize(step.join(far, "q").select("v", F.least("q", "far").alias("p"), "old").coalesce(parts))
         changed = not after.where("p <> old").isEmpty()
         root = after.select("v", "p")
     return labels.join(root.withColumnRenamed("v", "label"), "label", "left").select("node", F.coalesce("p", "label").alias("label"))
