@@ -37,7 +37,8 @@ SHINGLE = 3
 SIMILAR = (85, 100)  # linked if SIMILAR[1] * intersection >= SIMILAR[0] * union
 HALVES = 16
 ROWS = 3
-ROWS_PER_PARTITION = 50_000  # links per partition while groups are found
+ROWS_PER_PARTITION = 50_000  # rows of keys, links and labels per partition (no texts)
+BROADCAST_ROWS = 100_000  # tables of a few numbers per class are broadcast up to this count, else shuffled
 BLOCK = 256  # members of an unresolved family that a task compares at once with as many others
 
 
@@ -103,6 +104,16 @@ def _verify(width: int, similar: tuple[int, int]):
     return run
 
 
+def _parts(rows: int) -> int:
+    """Few rows in many partitions would make more files than data."""
+    return 1 + rows // ROWS_PER_PARTITION
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """A counted table of a few numbers per row: broadcast if it is small, else left to a shuffle join."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     """Smallest reachable label per node: ``labels`` (node, label), ``links`` (a, b) between labels.
 
@@ -114,18 +125,18 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     n = edges.count()
     if not n:
         return labels
-    parts = 1 + n // ROWS_PER_PARTITION  # few rows in many partitions would make more files than data
+    parts = _parts(n)
     edges = edges.coalesce(parts)
     root = materialize(edges.groupBy(F.col("a").alias("v")).agg(F.least(F.col("v"), F.min("b")).alias("p")).coalesce(parts))
     changed = True
     while changed:
-        heard = edges.join(root.withColumnRenamed("v", "b"), "b").select(F.col("a").alias("v"), "p", F.lit(None).cast("long").alias("old"))
+        heard = edges.join(root.withColumnRenamed("v", "b"), "b").select(F.col("a").alias("v"), "p", F.lit(None).cast("long").alias("old")).coalesce(parts)
         step = heard.union(root.select("v", "p", F.col("p").alias("old"))).groupBy("v").agg(F.min("p").alias("q"), F.max("old").alias("old")).coalesce(parts)
         far = step.select(F.col("v").alias("q"), F.col("q").alias("far"))
         after = materialize(step.join(far, "q").select("v", F.least("q", "far").alias("p"), "old").coalesce(parts))
         changed = not after.where("p <> old").isEmpty()
         root = after.select("v", "p")
-    return labels.join(root.withColumnRenamed("v", "label"), "label", "left").select("node", F.coalesce("p", "label").alias("label"))
+    return labels.join(_small(root.withColumnRenamed("v", "label"), n), "label", "left").select("node", F.coalesce("p", "label").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR, halves: int = HALVES, rows: int = ROWS,
@@ -147,56 +158,70 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
     classes = (marks.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "th")).alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = materialize(classes)  # from here on node is fixed
-
-    each = classes.select("node", F.explode("keys").alias("key"))
+    n_classes = classes.count()
+    key_parts = _parts(2 * halves * n_classes)
+    each = classes.coalesce(key_parts).select("node", F.explode("keys").alias("key"))
+    classes = classes.coalesce(_parts(n_classes))
     often = each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    own = each.join(often, "key").groupBy("node").agg(F.collect_list("key").alias("k"))  # at most 2 * halves per class
+    own = each.join(often, "key").coalesce(key_parts).groupBy("node").agg(F.collect_list("key").alias("k")).coalesce(key_parts)  # at most 2 * halves per class
     side = lambda which: F.filter("k", lambda x: x.bitwiseAND(F.lit(1)) == which)
     paired = (own.select("node", side(0).alias("ka"), side(1).alias("kb"))
               .select("node", F.explode("ka").alias("ka"), "kb").select("node", "ka", F.explode("kb").alias("kb")))
     member = paired.select("node", F.xxhash64("ka", "kb").alias("t"))
     sized = member.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
     tables = materialize(member.join(sized, "t").select("t", "node", "c"))
+    table_parts = _parts(tables.count())
+    tables = tables.coalesce(table_parts)
     # classes that share most tables lead first: the original of a family of variants has the most
-    weight = tables.groupBy("node").agg(F.sum("c").alias("weight"))
+    weight = tables.groupBy("node").agg(F.sum("c").alias("weight")).coalesce(_parts(n_classes))
     turns = weight.join(classes.select("node", "n", "rep"), "node").select("node", F.struct((-F.col("weight")).alias("w"), F.col("node").alias("node"), "n").alias("turn"), "rep")
-    turns = materialize(turns)
-    texts = materialize(_texts(base, turns))
+    turns = materialize(turns.coalesce(_parts(n_classes)))
+    n_turns = turns.count()
+    turns = turns.coalesce(_parts(n_turns))
+    texts = materialize(_texts(base, turns, n_turns))
     labels = turns.select("node", F.col("node").alias("label"))
     low, high = similar
 
     # every class against the first leader of its tables
-    open_ = tables.select("t", "node").join(turns.select("node", "turn"), "node")
+    open_ = tables.select("t", "node").join(_small(turns.select("node", "turn"), n_turns), "node")
     lead = open_.groupBy("t").agg(F.min("turn").alias("lt"))
-    pairs = (open_.select("t", "node").join(lead, "t").groupBy("node").agg(F.min("lt").alias("lt")).join(turns.select("node", "turn.n"), "node").where(F.col("node") != F.col("lt.node"))
+    best = tables.select("t", "node").join(lead, "t").coalesce(table_parts).groupBy("node").agg(F.min("lt").alias("lt"))
+    pairs = (best.join(_small(turns.select("node", "turn.n"), n_turns), "node").where(F.col("node") != F.col("lt.node"))
              .where(F.least("n", "lt.n") * high >= F.greatest("n", "lt.n") * low)  # else the sizes rule a link out
              .select(F.col("lt.node").alias("a"), F.col("node").alias("b")))
     ready = (pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("tb")), "b")
              .join(texts.select(F.col("node").alias("a"), F.col("z").alias("ta")), "a"))
     links = materialize(ready.select("a", "b", "ta", "tb").mapInArrow(_verify(shingle, similar), "a long, b long"))
+    links = links.coalesce(_parts(n_turns))
     labels = materialize(components(links, labels))
 
     # tables whose members are not all one group: what can still be linked, in families
-    open_ = tables.select("t", "node").join(labels.join(turns.select("node", "turn.n"), "node"), "node")
+    numbered = labels.join(_small(turns.select("node", "turn.n"), n_turns), "node")
+    open_ = tables.select("t", "node").join(_small(numbered, n_turns), "node")
     mixed = open_.groupBy("t").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("t")
     open_ = materialize(open_.join(mixed, "t"))
     if not open_.isEmpty():
-        alone = _alone(open_.select("node").distinct().join(texts, "node"), shingle)
-        open_ = materialize(_possible(open_, materialize(alone), similar))
+        open_ = open_.coalesce(_parts(open_.count()))
+        alone = _alone(texts.join(_small(open_.select("node").distinct(), n_turns), "node", "left_semi"), shingle)
+        alone = _small(materialize(alone.coalesce(_parts(n_turns))), n_turns)
+        open_ = materialize(_possible(open_, alone, similar))
+        open_ = open_.coalesce(_parts(open_.count()))
         first = open_.groupBy("t").agg(F.min("node").alias("a"))
         bonds = open_.join(first, "t").select("a", F.col("node").alias("b")).where("a <> b").distinct()
-        left = materialize(open_.select("node", "label", "n", "r").distinct())
+        left = materialize(open_.select("node", "label", "n", "r").distinct().coalesce(_parts(n_turns)))
         family = components(bonds, left.select("node", F.col("node").alias("label"))).withColumnRenamed("label", "family")
         more = materialize(_within_families(left.join(family, "node").join(texts, "node"), shingle, similar))
+        more = more.coalesce(_parts(n_turns))
         links = links.union(more)
-        at = labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la")
-        bt = labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb")
+        at = _small(labels.withColumnRenamed("node", "a").withColumnRenamed("label", "la"), n_turns)
+        bt = _small(labels.withColumnRenamed("node", "b").withColumnRenamed("label", "lb"), n_turns)
         labels = materialize(components(more.join(at, "a").join(bt, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")), labels))
-    spread = classes.select("node", "first_id", "d1", "d2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    spread = classes.select("node", "first_id", "d1", "d2").join(_small(labels, n_turns), "node", "left").withColumn("label", F.coalesce("label", "node")).coalesce(_parts(n_classes))
     ids = spread.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    links = links.distinct()
+    links = links.distinct().coalesce(_parts(n_turns))
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
-    spread = spread.join(ends.groupBy("node").agg(F.count("*").alias("n_links")), "node", "left")
+    ends = ends.groupBy("node").agg(F.count("*").alias("n_links")).coalesce(_parts(n_turns))
+    spread = spread.join(_small(ends, n_turns), "node", "left")
     known = spread.join(ids, "label").select("d1", "d2", F.col("label").alias("group"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     out = marks.select("doc_id", "th", "n", "d1", "d2").join(known, ["d1", "d2"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -289,9 +314,10 @@ def _within_families(members: DataFrame, width: int, similar: tuple[int, int]) -
     return dealt.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def _texts(base: DataFrame, classes: DataFrame) -> DataFrame:
+def _texts(base: DataFrame, classes: DataFrame, n_classes: int) -> DataFrame:
     """One packed text per class: that of its representative row."""
     rep = classes.select("node", F.col("rep.doc_id").alias("rid"), F.col("rep.th").alias("rth"))
-    packed = packed_texts(base)
+    packed = packed_texts(base.where("text <> ''"))
+    rep = _small(rep, n_classes)
     found = packed.join(rep, (packed["th"] == rep["rth"]) & packed["doc_id"].eqNullSafe(rep["rid"]))
     return found.select("node", "z").dropDuplicates(["node"])
