@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerplay.operators.prefix import exact_quantiles, grouped_quantiles
+from ledgerplay.operators.prefix import exact_quantiles, grouped_quantiles, join_null_safe
 
 
 def _c(c: str | Column) -> Column:
@@ -43,7 +43,7 @@ def value_shares(df: DataFrame, col: str, dropna: bool = True, by: Sequence[str]
         total = cnt.agg(F.sum("n")).collect()[0][0] or 0
         return cnt.withColumn("share", F.col("n") / F.lit(float(total)))
     tot = cnt.groupBy(*by).agg(F.sum("n").alias("__t"))
-    return cnt.join(tot, list(by)).withColumn("share", F.col("n") / F.col("__t")).drop("__t")
+    return join_null_safe(cnt, tot, list(by)).withColumn("share", F.col("n") / F.col("__t")).drop("__t")
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
@@ -85,7 +85,7 @@ def group_stat(df: DataFrame, key: str | Sequence[str], col: str, stat: str = "m
     n = df.groupBy(*keys).agg(F.count(col).alias("n"))
     if stat == "median":
         med = grouped_quantiles(df, col, [0.5], keys).select(*keys, F.col("value").alias("median"))
-        return n.join(med, keys, "left")
+        return join_null_safe(n, med, keys, "left")
     f = {"mean": F.avg(col), "std": F.stddev_samp(col)}[stat]
     return df.groupBy(*keys).agg(f.alias(stat), F.count(col).alias("n"))
 
@@ -158,7 +158,7 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, density:
         keys = counts.select(*by).distinct()
         # grid of bins per group = group keys expanded by the fixed bin list
         grid = keys.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    out = grid.join(counts, [*by, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    out = join_null_safe(grid, counts, [*by, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)))
     out = out.withColumn("left", F.lit(lo) + F.col("bin") * width).withColumn("right", F.lit(lo) + (F.col("bin") + 1) * width)
     if density:
         w = Window.partitionBy(*by) if by else Window.partitionBy()
@@ -199,7 +199,7 @@ def kde_grid(df: DataFrame, col: str, grid: Sequence[float], bw: float, by: Sequ
     if by:
         # one row per class: bounded by the number of classes
         stats = base.groupBy(*by).agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"), F.count(col).alias("__n"))
-        d = base.join(F.broadcast(stats), list(by), "inner")
+        d = join_null_safe(base, stats, list(by))
     else:
         lo_, hi_, n_ = base.agg(F.min(col), F.max(col), F.count(col)).collect()[0]
         d = base.withColumns({"__lo": F.lit(lo_), "__hi": F.lit(hi_), "__n": F.lit(n_)})

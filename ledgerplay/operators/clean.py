@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerplay.functions.formulas import rnd
-from ledgerplay.operators.prefix import exact_quantiles
+from ledgerplay.operators.prefix import exact_quantiles, join_null_safe
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -159,7 +159,7 @@ def fill_group_stat(df: DataFrame, fit: DataFrame, key: str, col: str, stat: str
     else:
         from ledgerplay.operators.prefix import grouped_quantiles
         stats = grouped_quantiles(fit, col, [0.5], [key]).select(key, F.col("value").alias("__fill"))
-    return df.join(stats, key, "left").withColumn(col, F.coalesce(F.col(col), F.col("__fill"))).drop("__fill")
+    return join_null_safe(df, stats, [key], "left").withColumn(col, F.coalesce(F.col(col), F.col("__fill"))).drop("__fill")
 
 
 def fill_mode(df: DataFrame, fit: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import unit_hash
-from ledgerplay.operators.prefix import prefix_agg
+from ledgerplay.operators.prefix import join_null_safe, prefix_agg
 
 
 def standardize(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -47,7 +47,7 @@ def split_stratified(df: DataFrame, y: str, key: str, frac: float = 0.75, seed:
     d = df.withColumn("__h", unit_hash(key, seed)).withColumn("__one", F.lit(1.0))
     cum = prefix_agg(d, "__h", ["__one"], inclusive=True, tie_cols=[key], by=[y])
     n = df.groupBy(y).agg(F.count(F.lit(1)).alias("__n"))
-    j = cum.join(F.broadcast(n), y)
+    j = join_null_safe(cum, n, [y])
     return j.withColumn(out, F.when(F.col("__one_cum") <= F.round(F.col("__n") * frac), "train").otherwise("test")).drop(
         "__h", "__one", "__one_cum", "__n")
 

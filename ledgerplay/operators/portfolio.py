@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerplay.operators import cashflow as C
 from ledgerplay.operators import stats as M
 from ledgerplay.operators import windows as W
-from ledgerplay.operators.prefix import prefix_agg
+from ledgerplay.operators.prefix import join_null_safe, prefix_agg
 
 
 def volume_irr_curve(binned: DataFrame, cf: DataFrame, bin_col: str = "bin", key: str = "loan_id",
@@ -143,7 +143,7 @@ def balance_selection(df: DataFrame, bin_cols: Sequence[str], score: str, amount
     by = list(bin_cols)
     tot = df.groupBy(*by).agg(F.sum(amount).alias("__tot"))
     cum = prefix_agg(df, score, [amount], desc=True, tie_cols=[key], inclusive=False, by=by)
-    return cum.join(tot, by).where(F.col(f"{amount}_cum") < share * F.col("__tot")).drop(f"{amount}_cum", "__tot")
+    return join_null_safe(cum, tot, by).where(F.col(f"{amount}_cum") < share * F.col("__tot")).drop(f"{amount}_cum", "__tot")
 
 
 def constrained_selection(df: DataFrame, score: str, amount: str, share: float, guards: Sequence[str],

@@ -22,6 +22,16 @@ _B = "__range_bucket"
 _G = "__one_group"
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL (NULL is a group of its own);
+    the result has the columns of ``left`` and the further ones of ``right``."""
+    r = right.withColumnsRenamed({k: f"__r_{i}" for i, k in enumerate(keys)})
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{i}"))
+    return left.join(r, cond, how).drop(*[f"__r_{i}" for i in range(len(keys))])
+
+
 def _edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = df.approxQuantile(col, probs, 0.001) if probs else []
@@ -71,9 +81,10 @@ def _group_bucket(df: DataFrame, key: str, by: Sequence[str], n_buckets: int) ->
         return df.withColumn(_B, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = df.groupBy(*by).agg(F.percentile_approx(key, probs, 1000).alias("__edges"))
-    j = df.join(edges, list(by), "left")
+    j = join_null_safe(df, edges, list(by), "left")
     x = F.col(key)
-    return j.withColumn(_B, F.size(F.filter(F.array_distinct("__edges"), lambda e: e < x))).drop("__edges")
+    below = F.size(F.filter(F.coalesce(F.array_distinct("__edges"), F.array().cast("array<double>")), lambda e: e < x))
+    return j.withColumn(_B, F.when(x.isNull(), n_buckets).otherwise(below)).drop("__edges")  # NULL keys come last
 
 
 def prefix_agg(
@@ -118,7 +129,7 @@ def prefix_agg(
         .rowsBetween(Window.unboundedPreceding, inner_end)
     )
     # (groups x buckets) rows: broadcast by AQE when small, else a shuffle join
-    res = d.join(off if by else F.broadcast(off), [*by, _B], "left")
+    res = join_null_safe(d, off, [*by, _B], "left") if by else d.join(F.broadcast(off), _B, "left")
     for c in cols:
         inner = agg(c).over(wi)
         if how == "sum":
@@ -160,11 +171,11 @@ def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence
     # one row per group with at most 2*len(qs) ranks (AQE picks the join)
     need = targets.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("__lo", "__hi")))).alias("__ks"))
     start = F.col("n_cum") - F.col("n")
-    src = cum.join(need, by, "inner")
+    src = join_null_safe(cum, need, by)
     hits = src.select(*by, col, F.explode(F.filter("__ks", lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
     # at most 2*len(qs) order statistics per group: one small map per group
     stats = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", F.col(col).cast("double")))).alias("__m"))
-    res = targets.join(stats, by, "left")
+    res = join_null_safe(targets, stats, by, "left")
     vlo = F.element_at("__m", F.col("__lo"))
     vhi = F.element_at("__m", F.col("__hi"))
     val = vlo + F.col("__frac") * (vhi - vlo)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import hash31_sql, norm_ppf
-from ledgerplay.operators.prefix import grouped_quantiles, prefix_agg
+from ledgerplay.operators.prefix import grouped_quantiles, join_null_safe, prefix_agg
 
 
 def p_value(z: Column, alternative: str = "two-sided") -> Column:
@@ -263,7 +263,7 @@ def ols_intervals(df: DataFrame, y: str, x: str, level: float = 0.95, by: Sequen
     """
     fit = ols_one(df, y, x, by).select(*by, "slope", "intercept", "sigma2", "n", "sxx", "xbar")
     z = norm_ppf(0.5 + level / 2)
-    j = df.join(fit, list(by), "inner") if by else df.withColumns(
+    j = join_null_safe(df, fit, list(by)) if by else df.withColumns(
         {k: F.lit(v) for k, v in fit.collect()[0].asDict().items()})
     fitted = F.col("intercept") + F.col("slope") * F.col(x)
     half = z * F.sqrt(F.col("sigma2") * (1 + 1 / F.col("n") + (F.col(x) - F.col("xbar")) ** 2 / F.col("sxx")))

@@ -8,6 +8,9 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerplay.operators.aggregates import group_stat, value_shares
+from ledgerplay.operators.features import split_stratified
+from ledgerplay.operators.portfolio import balance_selection
 from ledgerplay.operators.prefix import exact_quantiles, prefix_agg
 
 VALUES = st.lists(st.one_of(st.none(), st.integers(-50, 50).map(float)), min_size=1, max_size=120)
@@ -41,3 +44,22 @@ def test_quantiles_equal_sorted_interpolation(spark, vals, qs):
         lo = math.floor(pos)
         hi = min(lo + 1, len(s) - 1)
         assert abs(g - (s[lo] + (pos - lo) * (s[hi] - s[lo]))) < 1e-9
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(vals=VALUES, buckets=st.integers(2, 9))
+def test_prefix_with_null_groups_and_null_keys_equals_window(spark, vals, buckets):
+    rows = [(i, ("a", "b", None)[i % 3], v, float(i % 7)) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "k int, g string, s double, v double")
+    got = {r.k: r.v_cum for r in prefix_agg(df, "s", ["v"], tie_cols=["k"], n_buckets=buckets, by=["g"]).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("s").asc_nulls_last(), "k").rowsBetween(Window.unboundedPreceding, 0)
+    assert got == {r.k: r.c for r in df.withColumn("c", F.sum("v").over(w)).collect()}
+
+
+def test_null_is_a_group_of_its_own(spark):
+    df = spark.createDataFrame([(i, ("a", None)[i % 2], float(i)) for i in range(40)], "k int, g string, x double")
+    assert {(r.g, r.n, r.median) for r in group_stat(df, "g", "x", "median").collect()} == {("a", 20, 19.0), (None, 20, 20.0)}
+    assert {(r.g, r.set, r["count"]) for r in split_stratified(df, "g", "k").groupBy("g", "set").count().collect()} == {
+        (g, t, n) for g in ("a", None) for t, n in (("train", 15), ("test", 5))}
+    assert balance_selection(df.withColumn("one", F.lit(1.0)), ["g"], "x", "one", 0.5, key="k").groupBy("g").count().count() == 2
+    assert {(r.g, r.share) for r in value_shares(df.withColumn("c", F.lit("c")), "c", by=["g"]).collect()} == {("a", 1.0), (None, 1.0)}
