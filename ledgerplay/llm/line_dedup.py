@@ -14,6 +14,9 @@ earlier place: in a document with a smaller id, or further up in the same one.
    extended run is confirmed by a 128-bit digest, whose earliest place owns it.
    Adjacent confirmed runs chain into maximal repeated passages of any length.
 4. All places but the owner lose the covered lines.
+
+``remove_repeated_content`` sets the guarantee by content instead: every repeated
+run, down to a single line, whose trimmed lines hold ``min_bytes`` bytes together.
 """
 
 from __future__ import annotations
@@ -29,11 +32,14 @@ from ledgerplay.llm.common import (
 from ledgerplay.llm.common import _BYTE_CODE, _separators  # byte codes of the word hash
 
 RUN = 3
+MIN_BYTES = 40
+HOT_SHARE = 1000  # runs with more than 1/1000 of all places are at most 1000 and are broadcast
 _LANES = [int(x) for x in odd_constants(2, 7_007)]
 
 
-def line_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every non-blank trimmed line, its line number, and the bounds (n, 2) of all lines."""
+def line_hashes(buf: np.ndarray, sizes: bool = False) -> tuple[np.ndarray, ...]:
+    """Hash of every non-blank trimmed line, its line number, and the bounds (n, 2) of all lines;
+    with ``sizes`` also the bytes of the trimmed lines."""
     cuts = np.flatnonzero(buf == 10)
     bounds = np.column_stack([np.r_[0, cuts + 1], np.r_[cuts, len(buf)]])
     solid = np.flatnonzero(~_separators(buf))
@@ -45,7 +51,7 @@ def line_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         np.cumsum(_BYTE_CODE[buf] * up[:len(buf)], dtype=np.uint64, out=c[1:])
         h = mix64((c[e] - c[s]) * down[s] + (e - s).astype(np.uint64))
-    return h, full, bounds
+    return (h, full, bounds, e - s) if sizes else (h, full, bounds)
 
 
 def fingerprints(h: np.ndarray, run: int) -> list[tuple[int, int, int]]:
@@ -87,25 +93,40 @@ def _select(run: int):
     return work
 
 
+def _kept(raw: bytes, starts: np.ndarray | None, n: np.ndarray | int) -> tuple[int, int, str]:
+    """Non-blank lines, removed lines and what stays of a text without the runs of ``n`` lines at ``starts``."""
+    h, full, bounds = line_hashes(np.frombuffer(raw, dtype=np.uint8))
+    drop = np.zeros(len(bounds), dtype=bool)
+    if starts is not None:
+        step = np.zeros(len(full) + 1, dtype=np.int64)
+        np.add.at(step, starts, 1)
+        np.add.at(step, starts + n, -1)
+        drop[full[np.cumsum(step)[:-1] > 0]] = True
+    return len(h), int(drop.sum()), b"\n".join(raw[a:b] for (a, b), d in zip(bounds.tolist(), drop.tolist()) if not d).decode()
+
+
+def _kept_batch(batch: pa.RecordBatch, kept: list[tuple[int, int, str]]) -> pa.RecordBatch:
+    n, gone, text = ([x[i] for x in kept] for i in range(3))
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(text, pa.string())],
+                                      names=["doc_id", "n_lines", "n_removed", "kept_text"])
+
+
+def _ints(hit) -> np.ndarray | None:
+    return np.asarray(hit.values, dtype=np.int64) if hit.is_valid else None
+
+
 def _apply(run: int):
     def work(batches):
         for batch in batches:
-            cols: list[list] = [[], [], []]
-            for packed, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
-                raw = unpack_text(packed)
-                h, full, bounds = line_hashes(np.frombuffer(raw, dtype=np.uint8))
-                drop = np.zeros(len(bounds), dtype=bool)
-                if hit.is_valid:
-                    starts = np.asarray(hit.values, dtype=np.int64)
-                    drop[full[np.unique(starts[:, None] + np.arange(run))]] = True
-                cols[0].append(len(h))
-                cols[1].append(int(drop.sum()))
-                cols[2].append(b"\n".join(raw[a:b] for (a, b), d in zip(bounds.tolist(), drop.tolist()) if not d).decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())],
-                                             names=["doc_id", "n_lines", "n_removed", "kept_text"])
+            yield _kept_batch(batch, [_kept(unpack_text(z), _ints(hit), run) for z, hit in zip(batch.column(2).to_pylist(), batch.column(3))])
     return work
 
 
+def _apply_spans(batches):
+    for batch in batches:
+        yield _kept_batch(batch, [_kept(unpack_text(z), _ints(at), _ints(n)) for z, at, n in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4))])
+
+
 def remove_repeated_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_lines (non-blank), n_removed, kept_text.
 
@@ -127,3 +148,66 @@ def remove_repeated_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id
     hits = later.groupBy("doc_id", "th").agg(F.collect_set("at").alias("hit"))  # run starts of one document
     return packed_texts(base).join(hits, ["doc_id", "th"], "left").select("doc_id", "th", "z", "hit").mapInArrow(
         _apply(run), "doc_id long, n_lines long, n_removed long, kept_text string")
+
+
+def spans(size: np.ndarray, min_bytes: int) -> np.ndarray:
+    """(start, length) of the shortest run of ``min_bytes`` bytes from every line and to every line.
+
+    A line of any repeated run of that size also lies in one of these inside it.
+    """
+    n = len(size)
+    c = np.r_[0, np.cumsum(size)]
+    i = np.arange(n)
+    last = np.searchsorted(c, c[:-1] + min_bytes)  # first end that holds enough
+    first = np.searchsorted(c, c[1:] - min_bytes, side="right") - 1  # last start that holds enough
+    a, b = last <= n, first >= 0
+    key = np.unique(np.r_[i[a] * (n + 1) + last[a] - i[a], first[b] * n + i[b] + 1])  # start * (n + 1) + length
+    return np.column_stack([key // (n + 1), key % (n + 1)])
+
+
+def _spans(min_bytes: int):
+    """-> digests of the runs of a document that hold enough."""
+    def work(batches):
+        for batch in batches:
+            offsets, data = text_buffer(batch.column(1))
+            many, at, n, w1, w2 = [], [], [], [], []
+            for x, y in zip(offsets[:-1], offsets[1:]):
+                h, _full, _bounds, size = line_hashes(data[x:y], sizes=True)
+                run = spans(size, min_bytes)
+                start, k = run[:, 0], run[:, 1]
+                many.append(len(run))
+                at.append(start)
+                n.append(k)
+                with np.errstate(over="ignore"):
+                    for lane, v, w in zip(_LANES, (h, mix64(h)), (w1, w2)):
+                        up, down = powers(len(h) + 1, lane)
+                        c = np.zeros(len(h) + 1, dtype=np.uint64)
+                        np.cumsum(v * up[:len(h)], dtype=np.uint64, out=c[1:])
+                        w.append(mix64((c[start + k] - c[start]) * down[start] + k.astype(np.uint64)))
+            if many:
+                row = pa.array(np.repeat(np.arange(len(many)), many))
+                w1, w2 = (pa.array(signed(np.concatenate(w))) for w in (w1, w2))
+                at, n = (pa.array(np.concatenate(v).astype(np.int32)) for v in (at, n))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(2).take(row), at, n, w1, w2], names=["doc_id", "th", "at", "n", "w1", "w2"])
+    return work
+
+
+def remove_repeated_content(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Like ``remove_repeated_lines``, for all repeated runs of one or more lines that hold ``min_bytes`` bytes.
+
+    Bytes are those of the trimmed lines, without line ends.  Null ids, repeated
+    rows and empty tables as there.
+    """
+    base = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    runs = materialize(base.where(F.col("doc_id").isNotNull()).mapInArrow(_spans(min_bytes), "doc_id long, th long, at int, n int, w1 long, w2 long"))
+    place = F.struct("doc_id", "at")
+    owner = materialize(runs.groupBy("w1", "w2").agg(F.min(place).alias("own"), F.max(place).alias("last"), F.count("*").alias("places")).where("own < last").drop("last"))
+    many = max(1, runs.count() // HOT_SHARE)
+    hot, cold = owner.where(F.col("places") > many).drop("places"), owner.where(F.col("places") <= many).drop("places")
+    # a run with many places never meets in one task: its places stay where they are
+    common = runs.join(F.broadcast(hot), ["w1", "w2"], "left")
+    later = (common.where(F.col("own").isNotNull()).unionByName(common.where(F.col("own").isNull()).drop("own").join(cold, ["w1", "w2"]))
+             .where(F.struct("doc_id", "at") > F.col("own")))
+    hits = later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("at", "n")).alias("hit"))
+    return packed_texts(base).join(hits, ["doc_id", "th"], "left").select("doc_id", "th", "z", F.transform("hit", lambda x: x["at"]).alias("at"), F.transform("hit", lambda x: x["n"]).alias("n")).mapInArrow(
+        _apply_spans, "doc_id long, n_lines long, n_removed long, kept_text string")

@@ -47,6 +47,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_line_dedup_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_repeated_content(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -93,6 +98,24 @@ FROM raw LEFT JOIN (SELECT doc_id, count(*) AS n FROM full_line GROUP BY doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone_line GROUP BY doc_id) g USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+# every run of lines of a document that holds 40 bytes, without any choice among them
+OP3_CONTENT_SQL = """
+WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+line AS (SELECT doc_id, generate_subscripts(ls, 1) AS no, unnest(ls) AS l FROM raw),
+full_line AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos FROM
+  (SELECT doc_id, no, trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM line) WHERE k <> ''),
+seq AS (SELECT doc_id, list(k ORDER BY pos) AS ks, list(strlen(k) ORDER BY pos) AS bs FROM full_line GROUP BY doc_id),
+pos AS (SELECT *, unnest(range(1, len(ks) + 1)) AS a FROM seq),
+run AS (SELECT doc_id, a, z, ks[a:z] AS key FROM (SELECT *, unnest(range(a, len(ks) + 1)) AS z FROM pos) WHERE list_sum(bs[a:z]) >= 40),
+ranked AS (SELECT doc_id, a, z, row_number() OVER (PARTITION BY key ORDER BY doc_id, a) AS r FROM run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, z + 1)) AS pos FROM ranked WHERE r > 1),
+gone_line AS (SELECT f.doc_id, f.no FROM full_line f JOIN gone USING (doc_id, pos)),
+kept AS (SELECT doc_id, string_agg(l, chr(10) ORDER BY no) AS t FROM line ANTI JOIN gone_line USING (doc_id, no) GROUP BY doc_id)
+SELECT raw.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM raw LEFT JOIN (SELECT doc_id, count(*) AS n FROM full_line GROUP BY doc_id) n USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone_line GROUP BY doc_id) g USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
@@ -131,6 +154,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_token_counts": (op1_token_counts, None),
     "op2_language_id": (op2_language_id, None),
     "op3_line_dedup": (op3_line_dedup, OP3_SQL),
+    "op3_line_dedup_by_content": (op3_line_dedup_by_content, OP3_CONTENT_SQL),
     "op4_packed_sequences": (op4_packed_sequences, None),
     "op5_quality": (op5_quality, None),
     "op6_decontamination": (op6_decontamination, None),
