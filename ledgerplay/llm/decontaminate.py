@@ -10,11 +10,14 @@ words, so a question with other numbers, names or units has the same template:
 * tokens: slots, and runs of letters or digits; all punctuation is dropped.
 
 Windows of ``window`` template tokens of the benchmark are hash-joined with those
-of every document.  Matches on one diagonal (document place minus item place) are
-an alignment; it counts if it covers at least ``coverage`` of the item's windows
-and its slots are consistent: each value of the item is always replaced by the
-same value in the document.  Windows with fewer than ``literals`` plain words are
-too general and are not used.
+of every document.  Matches on neighbouring diagonals (document place minus item
+place, at most ``shift`` apart; 2 * shift - 1 in one band at most) are an alignment,
+so inserted, dropped or split tokens do not part it; a window counts once, on the
+diagonal with most hits.  An alignment counts if it covers at least ``coverage`` of
+the item's windows, or if ``passage`` consecutive tokens match on one diagonal, and
+if its slots are consistent: inside the windows that hit, each value of the item is
+always replaced by the same value in the document.  Windows with fewer than
+``literals`` plain words are too general and are not used.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from ledgerplay.llm.common import materialize
 WINDOW = 8
 LITERALS = 3
 COVERAGE = 0.5
+SHIFT = 8
+PASSAGE = 13
 BROADCAST_WINDOWS = 200_000  # benchmark windows up to which the hash join may broadcast; beyond, both sides shuffle
 
 # --- fixed values -----------------------------------------------------------
@@ -49,17 +54,21 @@ def template(text: Column, values: bool) -> Column:
     return F.regexp_extract_all(F.lower(s), F.lit(TOKEN), F.lit(0))
 
 
-def _windows(tokens: str, size: int, literals: int) -> Column:
-    """array<struct<at, key>> of the windows of ``size`` tokens, null keys left out."""
-    n = F.size(tokens)
-    plain = lambda w: F.size(F.filter(w, lambda x: ~x.startswith("\x01"))) >= literals
-    starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    each = F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(tokens, i, size).alias("w")))
-    return F.transform(F.filter(each, lambda x: plain(x["w"])), lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["w"]).alias("key")))
+def _windows(rows: DataFrame, keep: list[str], sizes: list[int], literals: int) -> DataFrame:
+    """``keep``, at, len, key: the windows of each of ``sizes`` tokens of the column ``t`` with enough plain words."""
+    slot = lambda x: x.startswith("\x01")
+    rows = rows.select(*keep, F.transform("t", lambda x: F.xxhash64(x)).alias("h"), F.transform("t", lambda x: F.when(slot(x), 0).otherwise(1)).alias("plain"))
+    # outer: no filter is inferred that would tokenise every text a second time
+    at = rows.select("*", F.explode_outer(F.when(F.size("h") >= sizes[0], F.sequence(F.lit(1), F.size("h") - sizes[0] + 1))).alias("at")).where("at IS NOT NULL")
+    words = lambda n: F.size(F.array_remove(F.slice("plain", F.col("at"), n), 0)) >= min(literals, n)
+    keys = [F.when((F.col("at") + n - 1 <= F.size("h")) & words(n), F.struct(F.lit(n).alias("len"), F.xxhash64(F.slice("h", F.col("at"), n), F.lit(n)).alias("key"))) for n in sizes]
+    found = at.select(*keep, "at", (F.explode_outer(F.array(*keys)) if len(keys) > 1 else keys[0]).alias("x")).where("x IS NOT NULL")
+    return found.select(*keep, "at", "x.len", "x.key")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, coverage: float = COVERAGE,
-                 id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+                 shift: int = SHIFT, passage: int = PASSAGE) -> DataFrame:
     """One row per contaminated document and benchmark item.
 
     doc_id, item_id, n_windows (of the item), n_hit (of them in the document, on
@@ -67,45 +76,58 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     (the slots hold the item's own values).
 
     Items with fewer than ``window`` tokens are one window; items without a usable
-    window match nothing.  Null texts and empty tables match nothing.  Rows that
-    share an id (also null) are judged together; repeated rows change nothing.
+    window match nothing.  Null texts and empty tables match nothing.  Items are
+    judged by (id, text), also with a null id, and an id gives its best row.
+    Documents that share an id (also null) are judged together; repeated rows
+    change nothing.
     """
-    item_tokens = materialize(benchmark.select(F.col(item_col).alias("item_id"), template(F.col(item_text), False).alias("t"), template(F.col(item_text), True).alias("v"))
+    item_tokens = materialize(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
+                              .select("item_id", F.struct("item_id", "text").alias("it"), template(F.col("text"), False).alias("t"), template(F.col("text"), True).alias("v"))
+                              .withColumn("item", F.xxhash64(F.col("item_id").isNull(), "it")).drop("it")
                               .withColumn("len", F.least(F.size("t"), F.lit(window))).where("len > 0"))
     lengths = sorted(r["len"] for r in item_tokens.select("len").distinct().collect())  # 1..window
     item_windows = None
     for size in lengths:
-        w = item_tokens.where(F.col("len") == size).select("item_id", F.explode(_windows("t", size, min(literals, size))).alias("x")).select(
-            "item_id", F.col("x.at").alias("item_at"), F.xxhash64("x.key", F.lit(size)).alias("key"))
+        w = _windows(item_tokens.where(F.col("len") == size), ["item"], [size], literals).withColumnRenamed("at", "item_at")
         item_windows = w if item_windows is None else item_windows.union(w)
     schema = "doc_id long, item_id long, n_windows long, n_hit long, coverage double, n_slots long, same_values boolean"
     if item_windows is None:
         return docs.sparkSession.createDataFrame([], schema)
-    item_windows = materialize(item_windows.distinct())
-    n_windows = item_windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    item_windows = materialize(item_windows)
+    n_windows = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
     small = item_windows.count() <= BROADCAST_WINDOWS
 
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    tokens = own.where("text IS NOT NULL").select("doc_id", template(F.col("text"), False).alias("t"))
-    tagged = lambda k: lambda x: F.struct(x["at"].alias("at"), F.xxhash64(x["key"], F.lit(k)).alias("key"))
-    parts = [F.transform(_windows("t", size, min(literals, size)), tagged(size)) for size in lengths]
-    each = tokens.select("doc_id", F.explode(parts[0] if len(parts) == 1 else F.concat(*parts)).alias("x")).select("doc_id", F.col("x.at").alias("at"), F.col("x.key").alias("key"))
-    hits = each.join(F.broadcast(item_windows) if small else item_windows, "key").select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
-    aligned = (hits.groupBy("doc_id", "item_id", "shift").agg(F.countDistinct("item_at").alias("n_hit"), F.min("item_at").alias("from"), F.max("item_at").alias("to"))
-               .join(n_windows, "item_id").where(F.col("n_hit") >= F.ceil(F.lit(coverage) * F.col("n_windows"))))
+    each = _windows(own.where("text IS NOT NULL").select("doc_id", template(F.col("text"), False).alias("t")), ["doc_id"], lengths, literals).select("doc_id", "at", "key")
+    hits = each.join(F.broadcast(item_windows) if small else item_windows, "key").select("doc_id", "item", "len", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
+    diagonals = hits.groupBy("doc_id", "item", "len", "shift").agg(F.sort_array(F.collect_set("item_at")).alias("ats"))
+    # longest stretch of matching tokens: windows that overlap or touch
+    grow = lambda a, x: F.struct(F.when(x <= a["last"] + F.col("len"), a["from"]).otherwise(x).alias("from"), x.alias("last"))
+    stretch = lambda a, x: F.struct(grow(a, x)["from"].alias("from"), x.alias("last"), F.greatest(a["most"], x - grow(a, x)["from"] + F.col("len")).alias("most"))
+    first = F.struct(F.get("ats", F.lit(0)).alias("from"), F.get("ats", F.lit(0)).alias("last"), F.lit(0).alias("most"))
+    band = F.floor(F.col("shift") / F.lit(shift))
+    pieces = (diagonals.withColumn("tokens", F.aggregate("ats", first, stretch)["most"])
+              .withColumn("band", F.explode(F.array(band, band + 1)))
+              .groupBy("doc_id", "item", "len", "band").agg(F.max("tokens").alias("tokens"), F.array_sort(F.collect_list(F.struct((-F.size("ats")).alias("n"), "shift", "ats"))).alias("pieces")))
+    new = lambda a, p: F.array_except(p["ats"], F.transform(a, lambda x: x["at"]))
+    placed = F.aggregate("pieces", F.expr("CAST(array() AS array<struct<at: int, shift: int>>)"),
+                         lambda a, p: F.concat(a, F.transform(new(a, p), lambda x: F.struct(x.alias("at"), p["shift"].alias("shift")))))
+    aligned = (pieces.withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("pieces", lambda p: p["ats"]))))).join(n_windows, "item")
+               .where((F.col("n_hit") >= F.ceil(F.lit(coverage) * F.col("n_windows"))) | (F.col("tokens") >= passage))
+               .select("doc_id", "item", "len", "n_windows", "n_hit", placed.alias("placed")))
     aligned = materialize(aligned)
 
-    # slots of the aligned stretch, item value against document value
+    # slots of the windows that hit, item value against document value
     named = aligned.select("doc_id").distinct()
     valued = own.join(named, own["doc_id"].eqNullSafe(named["doc_id"]), "left_semi").where("text IS NOT NULL").select("doc_id", template(F.col("text"), True).alias("dv"))
     a, d = aligned.alias("a"), valued.alias("d")
-    both = a.join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id"))).join(item_tokens.select("item_id", "v", "len").alias("i"), F.col("a.item_id") == F.col("i.item_id"))
-    span = F.col("to") - F.col("from") + F.col("len")
-    item_part, doc_part = F.slice("v", F.col("from"), span), F.slice("dv", F.col("from") + F.col("shift"), span)
+    both = a.join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id"))).join(item_tokens.select("item", "item_id", "v").alias("i"), F.col("a.item") == F.col("i.item"))
+    places = F.array_distinct(F.flatten(F.transform("placed", lambda w: F.transform(
+        F.sequence(w["at"], w["at"] + F.col("len") - 1), lambda k: F.struct(k.alias("at"), w["shift"].alias("shift"))))))
     # pairs are matched where both sides have the same type of slot at the same place
-    pairs = F.filter(F.zip_with(item_part, doc_part, lambda x, y: F.struct(x.alias("x"), y.alias("y"))),
+    pairs = F.filter(F.transform(places, lambda k: F.struct(F.get("v", k["at"] - 1).alias("x"), F.get("dv", k["at"] + k["shift"] - 1).alias("y"))),
                      lambda p: p["x"].startswith("\x01") & (F.substring(p["x"], 1, 2) == F.substring(p["y"], 1, 2)))
-    judged = both.select("a.doc_id", "a.item_id", "n_windows", "n_hit", "shift", F.array_distinct(pairs).alias("p"))
+    judged = both.select("a.doc_id", "i.item_id", "n_windows", "n_hit", F.array_distinct(pairs).alias("p"))
     # consistent: as many distinct pairs as distinct item values
     ok = judged.where(F.size("p") == F.size(F.array_distinct(F.transform("p", lambda p: p["x"]))))
     best = ok.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_hit", F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"),
