@@ -3,11 +3,15 @@
 Numbers (with their units) and names become typed slots, everything else lower-case
 words, so a question with other numbers, names or units has the same template:
 
-* number: digits with inner ``. , : /``, followed by an optional unit of ``UNITS``,
-  which is a slot of its own (empty if there is none);
+* number: digits with inner ``. , : /`` and an optional unit of ``UNITS``, one slot;
 * name: a capitalised word run inside a sentence, i.e. after a lower-case letter,
-  an optional ``, ; :`` and one space;
-* tokens: slots, and runs of letters or digits; all punctuation is dropped.
+  an optional ``, ; :`` and one space; in a second view every capitalised word run,
+  also at the start of a sentence, after a line break, number or quote;
+* tokens: slots, and runs of letters or digits; all punctuation is dropped, and any
+  white space is one space.
+
+Each view has windows of its own.  An item without a usable window in either one
+gets a third view, in which numbers and signs of arithmetic are plain words.
 
 Windows of ``window`` template tokens of the benchmark are hash-joined with those
 of every document.  Matches on neighbouring diagonals (document place minus item
@@ -22,6 +26,8 @@ always replaced by the same value in the document.  Windows with fewer than
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,30 +44,38 @@ BROADCAST_WINDOWS = 200_000  # benchmark windows up to which the hash join may b
 # Units that may follow a number:
 UNITS = ("km", "cm", "mm", "kg", "mg", "ml", "m", "g", "l", "s", "h", "min", "hours", "hour", "minutes", "seconds", "days", "day", "weeks", "years",
          "meters", "metres", "miles", "feet", "inches", "liters", "litres", "grams", "pounds", "dollars", "euros", "cents", "percent")
-NUMBER = r"([0-9]+(?:[.,:/][0-9]+)*)( ?(?:%|(?:" + "|".join(UNITS) + r")\b))?"
+NUMBER = r"([0-9]+(?:[.,:/][0-9]+)*)(?: ?(%|(?:" + "|".join(UNITS) + r")\b))?"
 NAME = r"(\p{Ll}[,;:]? )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+ANY_NAME = r"(?<![\p{L}\p{N}])\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*"
+SPACE = r"[\s\p{Z}]+"
 TOKEN = r"\x01[^\x03]*\x03|[\p{L}\p{N}]+"
+EXACT_TOKEN = r"[\p{L}\p{N}]+|[-+*/=<>^%]"
+INNER, ALL, EXACT = 0, 1, 2  # views: names inside sentences, all names, no slots
 # ----------------------------------------------------------------------------
 
 
-def template(text: Column, values: bool) -> Column:
-    """Template tokens of a text; slots are ``\\x01n..\\x03`` (number), ``\\x01u..\\x03`` (unit)
+def template(text: Column, values: bool, view: int = INNER) -> Column:
+    """Template tokens of a text in a view; slots are ``\\x01n..\\x03`` (number with unit)
     and ``\\x01p..\\x03`` (name), with their values inside if ``values``."""
-    s = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01\x03]", " ")
-    one, two = ("$1", "$2") if values else ("", "")
-    s = F.regexp_replace(s, NAME, "$1\x01p" + two + "\x03")
-    s = F.regexp_replace(s, NUMBER, f"\x01n{one}\x03\x01u{two}\x03")
+    s = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x01\x03]", " "), SPACE, " ")
+    if view == EXACT:
+        return F.regexp_extract_all(F.lower(s), F.lit(EXACT_TOKEN), F.lit(0))
+    if view == ALL:
+        s = F.regexp_replace(s, ANY_NAME, "\x01p" + ("$0" if values else "") + "\x03")
+    else:
+        s = F.regexp_replace(s, NAME, "$1\x01p" + ("$2" if values else "") + "\x03")
+    s = F.regexp_replace(s, NUMBER, "\x01n" + ("$1 $2" if values else "") + "\x03")
     return F.regexp_extract_all(F.lower(s), F.lit(TOKEN), F.lit(0))
 
 
-def _windows(rows: DataFrame, keep: list[str], sizes: list[int], literals: int) -> DataFrame:
+def _windows(rows: DataFrame, keep: list[str], sizes: list[int], literals: int, view: int) -> DataFrame:
     """``keep``, at, len, key: the windows of each of ``sizes`` tokens of the column ``t`` with enough plain words."""
     slot = lambda x: x.startswith("\x01")
     rows = rows.select(*keep, F.transform("t", lambda x: F.xxhash64(x)).alias("h"), F.transform("t", lambda x: F.when(slot(x), 0).otherwise(1)).alias("plain"))
     # outer: no filter is inferred that would tokenise every text a second time
     at = rows.select("*", F.explode_outer(F.when(F.size("h") >= sizes[0], F.sequence(F.lit(1), F.size("h") - sizes[0] + 1))).alias("at")).where("at IS NOT NULL")
     words = lambda n: F.size(F.array_remove(F.slice("plain", F.col("at"), n), 0)) >= min(literals, n)
-    keys = [F.when((F.col("at") + n - 1 <= F.size("h")) & words(n), F.struct(F.lit(n).alias("len"), F.xxhash64(F.slice("h", F.col("at"), n), F.lit(n)).alias("key"))) for n in sizes]
+    keys = [F.when((F.col("at") + n - 1 <= F.size("h")) & words(n), F.struct(F.lit(n).alias("len"), F.xxhash64(F.slice("h", F.col("at"), n), F.lit(n), F.lit(view)).alias("key"))) for n in sizes]
     found = at.select(*keep, "at", (F.explode_outer(F.array(*keys)) if len(keys) > 1 else keys[0]).alias("x")).where("x IS NOT NULL")
     return found.select(*keep, "at", "x.len", "x.key")
 
@@ -72,33 +86,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     """One row per contaminated document and benchmark item.
 
     doc_id, item_id, n_windows (of the item), n_hit (of them in the document, on
-    the best consistent alignment), coverage, n_slots (values compared), same_values
+    the best consistent alignment, of the first view if it has one), coverage, n_slots (values compared), same_values
     (the slots hold the item's own values).
 
     Items with fewer than ``window`` tokens are one window; items without a usable
-    window match nothing.  Null texts and empty tables match nothing.  Items are
+    window in the views with slots are matched with their own numbers if they have
+    ``literals`` tokens, else they match nothing.  Null texts and empty tables match nothing.  Items are
     judged by (id, text), also with a null id, and an id gives its best row.
     Documents that share an id (also null) are judged together; repeated rows
     change nothing.
     """
-    item_tokens = materialize(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
-                              .select("item_id", F.struct("item_id", "text").alias("it"), template(F.col("text"), False).alias("t"), template(F.col("text"), True).alias("v"))
-                              .withColumn("item", F.xxhash64(F.col("item_id").isNull(), "it")).drop("it")
-                              .withColumn("len", F.least(F.size("t"), F.lit(window))).where("len > 0"))
-    lengths = sorted(r["len"] for r in item_tokens.select("len").distinct().collect())  # 1..window
-    item_windows = None
-    for size in lengths:
-        w = _windows(item_tokens.where(F.col("len") == size), ["item"], [size], literals).withColumnRenamed("at", "item_at")
-        item_windows = w if item_windows is None else item_windows.union(w)
+    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).where("text IS NOT NULL").distinct()
+    views = F.array(*[F.struct(F.lit(k).alias("view"), template(F.col("text"), False, k).alias("t"), template(F.col("text"), True, k).alias("v")) for k in (INNER, ALL, EXACT)])
+    item_tokens = materialize(items.select("item_id", F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("base"), F.explode(views).alias("x"))
+                              .select("item_id", "base", F.xxhash64("base", "x.view").alias("item"), "x.*")
+                              .withColumn("len", F.least(F.size("t"), F.lit(window)))
+                              .where((F.col("len") > 0) & ((F.col("view") != EXACT) | (F.col("len") >= literals))))
+    lengths: dict[int, list[int]] = {}  # of each view, 1..window
+    for r in sorted(item_tokens.select("view", "len").distinct().collect()):
+        lengths.setdefault(r["view"], []).append(r["len"])
     schema = "doc_id long, item_id long, n_windows long, n_hit long, coverage double, n_slots long, same_values boolean"
-    if item_windows is None:
+    if not lengths:
+        return docs.sparkSession.createDataFrame([], schema)
+    each = [_windows(item_tokens.where((F.col("len") == size) & (F.col("view") == view)), ["base", "item", "view"], [size], literals, view)
+            for view, sizes in lengths.items() for size in sizes]
+    item_windows = materialize(reduce(DataFrame.union, each).withColumnRenamed("at", "item_at"))
+    slotted = item_windows.where(F.col("view") != EXACT).select("base").distinct()
+    exact = item_windows.where(F.col("view") == EXACT).join(slotted, "base", "left_anti").select(item_windows.columns)
+    item_windows = materialize(item_windows.where(F.col("view") != EXACT).union(exact).drop("base"))
+    used = {r["view"]: sorted(r["sizes"]) for r in item_windows.groupBy("view").agg(F.collect_set("len").alias("sizes")).collect()}
+    if not used:
         return docs.sparkSession.createDataFrame([], schema)
-    item_windows = materialize(item_windows)
+    item_windows = item_windows.drop("view")
     n_windows = item_windows.groupBy("item").agg(F.count("*").alias("n_windows"))
     small = item_windows.count() <= BROADCAST_WINDOWS
 
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    each = _windows(own.where("text IS NOT NULL").select("doc_id", template(F.col("text"), False).alias("t")), ["doc_id"], lengths, literals).select("doc_id", "at", "key")
+    texts = own.where("text IS NOT NULL")
+    each = reduce(DataFrame.union, [_windows(texts.select("doc_id", template(F.col("text"), False, view).alias("t")), ["doc_id"], sizes, literals, view)
+                                    for view, sizes in used.items()]).select("doc_id", "at", "key")
     hits = each.join(F.broadcast(item_windows) if small else item_windows, "key").select("doc_id", "item", "len", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
     diagonals = hits.groupBy("doc_id", "item", "len", "shift").agg(F.sort_array(F.collect_set("item_at")).alias("ats"))
     # longest stretch of matching tokens: windows that overlap or touch
@@ -119,18 +145,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
 
     # slots of the windows that hit, item value against document value
     named = aligned.select("doc_id").distinct()
-    valued = own.join(named, own["doc_id"].eqNullSafe(named["doc_id"]), "left_semi").where("text IS NOT NULL").select("doc_id", template(F.col("text"), True).alias("dv"))
+    seen = F.explode(F.array(*[F.struct(F.lit(view).alias("view"), template(F.col("text"), True, view).alias("dv")) for view in used]))
+    valued = texts.join(named, texts["doc_id"].eqNullSafe(named["doc_id"]), "left_semi").select("doc_id", seen.alias("x")).select("doc_id", "x.*")
     a, d = aligned.alias("a"), valued.alias("d")
-    both = a.join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id"))).join(item_tokens.select("item", "item_id", "v").alias("i"), F.col("a.item") == F.col("i.item"))
+    both = (a.join(item_tokens.select("item", "item_id", "view", "v").alias("i"), F.col("a.item") == F.col("i.item"))
+            .join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.view") == F.col("d.view"))))
     places = F.array_distinct(F.flatten(F.transform("placed", lambda w: F.transform(
         F.sequence(w["at"], w["at"] + F.col("len") - 1), lambda k: F.struct(k.alias("at"), w["shift"].alias("shift"))))))
     # pairs are matched where both sides have the same type of slot at the same place
     pairs = F.filter(F.transform(places, lambda k: F.struct(F.get("v", k["at"] - 1).alias("x"), F.get("dv", k["at"] + k["shift"] - 1).alias("y"))),
                      lambda p: p["x"].startswith("\x01") & (F.substring(p["x"], 1, 2) == F.substring(p["y"], 1, 2)))
-    judged = both.select("a.doc_id", "i.item_id", "n_windows", "n_hit", F.array_distinct(pairs).alias("p"))
+    judged = both.select("a.doc_id", "i.item_id", (F.col("i.view") == INNER).alias("inner"), "n_windows", "n_hit", F.array_distinct(pairs).alias("p"))
     # consistent: as many distinct pairs as distinct item values
     ok = judged.where(F.size("p") == F.size(F.array_distinct(F.transform("p", lambda p: p["x"]))))
-    best = ok.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_hit", F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"),
+    best = ok.groupBy("doc_id", "item_id").agg(F.max(F.struct("inner", "n_hit", F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"),
                                                             F.forall("p", lambda p: p["x"] == p["y"]).alias("same"))).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"), F.col("b.n_hit").cast("long").alias("n_hit"),
                        (F.col("b.n_hit") / F.col("b.n_windows")).alias("coverage"), F.col("b.n_slots").cast("long").alias("n_slots"), F.col("b.same").alias("same_values"))

@@ -31,3 +31,21 @@ def test_items_of_one_id_and_without_id(spark):
     other = "completely different words are used here to ask which colour the painter takes for the wall of the house"
     items = [(1, ITEM), (1, other), (None, other + " again")]
     assert found(spark, items, [other, ITEM, other + " again"]) == {(0, 1), (0, None), (1, 1), (2, 1), (2, None)}
+
+
+def test_questions_of_numbers_are_matched_as_they_are(spark):
+    items = [(1, "Compute 15 * 23 + 47 - 8."), (2, "What is 12 + 37 * 4 - 9 / 3?"), (3, "7")]
+    texts = ["He said: compute 15*23 + 47 - 8. Then he left.", "so what is\n12 + 37 * 4 - 9 / 3 ?", "compute 16 * 23 + 47 - 8", "7 days and 7 nights"]
+    assert found(spark, items, texts) == {(0, 1), (1, 2)}
+
+
+def test_names_at_the_start_of_sentences_are_slots(spark):
+    item = "Tom has 3 apples. Tom buys 5 pears. Tom eats 2 of them. How many does Tom have now?"
+    new = item.replace("Tom", "Eva")
+    texts = ["Before it. " + new, new.replace(". ", ".\n"), new.replace("does Eva", "does\nEva"), "\"" + new + "\"", item.replace("Tom", "Eva", 1)]
+    assert found(spark, [(1, item)], texts) >= {(0, 1), (1, 1), (2, 1), (3, 1)}
+
+
+def test_a_number_and_its_unit_are_one_token(spark):
+    item = "the truck drives 12 km to the mill and 7 km to the town, then it takes 3 pears to a shop"
+    assert found(spark, [(1, item)], [item.replace("12 km", "12"), item.replace("12 km", "5 miles").replace("7 km", "9"), item.replace("12 km", "12km")]) == {(0, 1), (1, 1), (2, 1)}
