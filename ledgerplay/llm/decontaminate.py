@@ -19,8 +19,10 @@ place, at most ``shift`` apart; 2 * shift - 1 in one band at most) are an alignm
 so inserted, dropped or split tokens do not part it; a window counts once, on the
 diagonal with most hits.  An alignment counts if it covers at least ``coverage`` of
 the item's windows, or if ``passage`` consecutive tokens match on one diagonal, and
-if its slots are consistent: inside the windows that hit, each value of the item is
-always replaced by the same value in the document.  Windows with fewer than
+if its slots are consistent: inside the windows that hit, no value of the item stays
+at one place and changes at another, and at least half of the slots have the most
+frequent replacement of their value (one value may stand for two quantities).
+Windows with fewer than
 ``literals`` plain words are too general and are not used.
 """
 
@@ -155,9 +157,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     # pairs are matched where both sides have the same type of slot at the same place
     pairs = F.filter(F.transform(places, lambda k: F.struct(F.get("v", k["at"] - 1).alias("x"), F.get("dv", k["at"] + k["shift"] - 1).alias("y"))),
                      lambda p: p["x"].startswith("\x01") & (F.substring(p["x"], 1, 2) == F.substring(p["y"], 1, 2)))
-    judged = both.select("a.doc_id", "i.item_id", (F.col("i.view") == INNER).alias("inner"), "n_windows", "n_hit", F.array_distinct(pairs).alias("p"))
-    # consistent: as many distinct pairs as distinct item values
-    ok = judged.where(F.size("p") == F.size(F.array_distinct(F.transform("p", lambda p: p["x"]))))
+    judged = both.select("a.doc_id", "i.item_id", (F.col("i.view") == INNER).alias("inner"), "n_windows", "n_hit", F.array_distinct(pairs).alias("p"), pairs.alias("all"))
+    changed = lambda q: q["x"] != q["y"]
+    stays = F.transform(F.filter("p", lambda q: ~changed(q)), lambda q: q["x"])
+    mixed = F.exists("p", lambda q: changed(q) & F.array_contains(stays, q["x"]))
+    # slots per distinct pair, and of them the most per item value
+    counted = judged.withColumn("c", F.transform("p", lambda q: F.struct(q["x"].alias("x"), F.size(F.filter("all", lambda r: r == q)).alias("n"))))
+    most = F.transform(F.array_distinct(F.transform("p", lambda q: q["x"])), lambda x: F.array_max(F.transform(F.filter("c", lambda q: q["x"] == x), lambda q: q["n"])))
+    ok = counted.where(~mixed & (2 * F.aggregate(most, F.lit(0), lambda n, k: n + k) >= F.size("all")))
     best = ok.groupBy("doc_id", "item_id").agg(F.max(F.struct("inner", "n_hit", F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"),
                                                             F.forall("p", lambda p: p["x"] == p["y"]).alias("same"))).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"), F.col("b.n_hit").cast("long").alias("n_hit"),

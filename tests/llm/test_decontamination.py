@@ -49,3 +49,15 @@ def test_names_at_the_start_of_sentences_are_slots(spark):
 def test_a_number_and_its_unit_are_one_token(spark):
     item = "the truck drives 12 km to the mill and 7 km to the town, then it takes 3 pears to a shop"
     assert found(spark, [(1, item)], [item.replace("12 km", "12"), item.replace("12 km", "5 miles").replace("7 km", "9"), item.replace("12 km", "12km")]) == {(0, 1), (1, 1), (2, 1)}
+
+
+def test_one_value_may_stand_for_two_quantities(spark):
+    item = "the old farmer picks 3 apples from the tree and then 3 pears from the garden before the cart arrives"
+    far = "the old farmer picks 4 apples from the tree and then 7 pears from the garden before the cart arrives"
+    assert found(spark, [(1, item)], [far, far + " with 3 men"]) == {(0, 1), (1, 1)}
+
+
+def test_slots_outside_the_windows_that_hit_are_not_compared(spark):
+    item = ("the old farmer picks 3 apples from the tall tree behind the house near a small river , then 3 quick brown foxes jump far away , "
+            "and later the same farmer sells 9 of his best apples to the miller who lives next door")
+    assert found(spark, [(1, item)], [item.replace("then 3 quick brown foxes jump far away", "some 8 lazy yellow cats sleep right here")]) == {(0, 1)}
