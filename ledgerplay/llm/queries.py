@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerplay.llm import decontaminate, language_id, line_dedup, mixing, near_dup, packing, quality, substring_dedup, token_counts, topk
+from ledgerplay.llm import decontaminate, exact_dedup, language_id, line_dedup, merkle, mixing, near_dup, packing, prefix_trie, quality, substring_dedup, token_counts, topk
 
 # --- fixed values -----------------------------------------------------------
 WORD = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKENIZER = "byte_bpe_50k.json"
 # ----------------------------------------------------------------------------
 
@@ -82,6 +83,20 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.prove(table(spark, sf_dir, "documents"), F.translate("text", UPPER, LOWER), crc_mod(5) == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.with_shared_heads(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie_nodes(turns).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 OP3_SQL = """
 WITH raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 line AS (SELECT doc_id, generate_subscripts(ls, 1) AS no, unnest(ls) AS l FROM raw),
@@ -150,6 +165,73 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
 """
 
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n_points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+k AS (SELECT norm, first(doc_id ORDER BY n_points DESC, doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM t JOIN k USING (norm)
+"""
+
+
+def _crc32_sql(number: str) -> str:
+    """CRC-32 of the decimal text of ``number``: bytes folded in, eight shifts each."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {byte}), 4294967295)"
+
+
+def _merkle_sql(levels: int = 5) -> str:
+    """Level by level with window and list functions, ``levels`` levels per tree (16^levels leaves)."""
+    def leaf(text: str) -> str:
+        part = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+        return "sha256(" + " || ".join(part.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str, base: str) -> list[str]:
+        # {name}0(tree, pos, d) ... : one table per level; {name}l{k}: every node with its siblings
+        out = [f"{name}0 AS ({base})"]
+        for k in range(levels):
+            low = f"{name}{k}"
+            out.append(f"{low}s AS (SELECT tree, pos, d, count(*) OVER (PARTITION BY tree) AS n, list(d) OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM {low})")
+            out.append(f"{low}p AS (SELECT tree, pos, CASE WHEN n > 1 THEN array_to_string(run[1:pos % 16], '') END AS b, CASE WHEN n > 1 THEN array_to_string(run[pos % 16 + 2:], '') END AS a FROM {low}s)")
+            out.append(f"{name}{k + 1} AS (SELECT tree, pos // 16 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(array_to_string(any_value(run), '')) ELSE any_value(d) END AS d FROM {low}s GROUP BY tree, pos // 16)")
+        return out
+
+    def path(node: str, name: str, pos: str, tree_key: str, n: int) -> str:
+        return " ".join(f"LEFT JOIN {name}{k}p {node}{k} ON {node}{k}.tree IS NOT DISTINCT FROM {tree_key} AND {node}{k}.pos = {pos} // {16 ** k}" for k in range(n))
+
+    changed = f"translate(text, '{UPPER}', '{LOWER}')"
+    ctes = [f"leaf AS (SELECT doc_id, coalesce('s' || source, '-') AS tree, {leaf('text')} AS d, CASE WHEN {_crc32_sql('doc_id')} % 5 = 0 THEN {leaf(changed)} END AS t FROM documents)",
+            "leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS pos FROM leaf)"]
+    ctes += tree("x", "SELECT tree, pos, d FROM leaves")
+    ctes += [f"subs AS (SELECT tree AS name, d, row_number() OVER (ORDER BY tree) - 1 AS pos FROM x{levels})"]
+    ctes += tree("y", "SELECT '' AS tree, pos, d FROM subs")
+    steps = [f"i{k}" for k in range(levels)] + [f"o{k}" for k in range(levels)]
+    ctes.append("paths AS (SELECT l.doc_id, l.d AS leaf, l.t, s.d AS subroot, " + ", ".join(f"{s}.b AS {s}b, {s}.a AS {s}a" for s in steps)
+                + " FROM leaves l JOIN subs s ON s.name = l.tree " + path("i", "x", "l.pos", "l.tree", levels) + " " + path("o", "y", "s.pos", "''", levels) + ")")
+    at = "coalesce(t, leaf)"
+    for k, s in enumerate(steps):
+        ctes.append(f"f{k} AS (SELECT *, CASE WHEN {s}b IS NULL THEN {at} ELSE sha256({s}b || {at} || {s}a) END AS v{k} FROM {'paths' if k == 0 else f'f{k - 1}'})")
+        at = f"v{k}"
+    proof = " || ".join(f"coalesce({s}b || {s}a, '')" for s in steps)
+    return ("WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, leaf, subroot, r.d AS root, sha256({proof}) AS proof_sha256, {at} AS folded_root, {at} = r.d AS verified"
+            + f" FROM f{len(steps) - 1}, y{levels} r")
+
+
+OP13_SQL = f"""
+WITH turns AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS e, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32)) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(e ORDER BY p) AS es, {_crc32_sql('conv_id')} % 6 AS h FROM turns GROUP BY conv_id),
+conv AS (SELECT c.conv_id, list_concat(coalesce(b.es[1:c.h], []), c.es[c.h + 1:]) AS es FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+step AS (SELECT conv_id, es, unnest(range(0, len(es) + 1)) AS depth FROM conv),
+node AS (SELECT es[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(es) = depth), '')) AS ends_sha256 FROM step GROUP BY 1, 2),
+child AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (SELECT n.*, coalesce(c.n, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.path[n.depth].t) END AS saved FROM node n LEFT JOIN child c USING (path)),
+up AS (SELECT path[1:k] AS path, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM full_node)),
+total AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN total t USING (path) LEFT JOIN node p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_token_counts": (op1_token_counts, None),
     "op2_language_id": (op2_language_id, None),
@@ -162,4 +244,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixture": (op8_mixture, None),
     "op9_substring_dedup": (op9_substring_dedup, OP9_SQL),
     "op10_top_k": (op10_top_k, OP10_SQL),
+    "op11_exact_dedup": (op11_exact_dedup, OP11_SQL),
+    "op12_merkle_manifest": (op12_merkle_manifest, _merkle_sql()),
+    "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
 }
