@@ -179,7 +179,7 @@ def prove(docs: DataFrame, tampered_text: Column | None = None, is_tampered: Col
         tampered = F.when(is_tampered, leaf_digest([tampered_text if f == text_col else F.col(f) for f in fields]))
     leaves = docs.select(F.coalesce(F.concat(F.lit("s"), F.col(tree_col)), F.lit("-")).alias("tree"), F.col(id_col).cast("long").alias("doc_id"),
                          leaf_digest([F.col(f) for f in fields]).alias("digest"), tampered.alias("tampered"))
-    leaves = place(leaves, ["doc_id", "digest"], folder)
+    leaves = place(folder.store(leaves), ["doc_id", "digest"], folder)  # stored first: cutting the ranges reads the digests, not the texts again
     rounds = climb(leaves, folder)
     subroots = rounds[-1].select("tree", F.col("digest").alias("subroot"))
     # the subroots are the nodes of one more tree, in order of the trees' names
