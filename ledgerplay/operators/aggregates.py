@@ -55,28 +55,21 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (n-1), min, quartiles, max per column.
 
-    Moments in one aggregate pass; quartiles are exact distributed order
-    statistics (no task holds a column's value map).
+    The columns become groups of one long table, so all quartiles are one set of
+    distributed order statistics (no task holds a column's values).
     """
-    mom = []
-    for c in cols:
-        mom += [F.count(c).cast("double").alias(f"{c}|count"), F.avg(c).alias(f"{c}|mean"),
-                F.stddev_samp(c).alias(f"{c}|std"), F.min(c).cast("double").alias(f"{c}|min"),
-                F.max(c).cast("double").alias(f"{c}|max")]
-    m = df.agg(*mom).collect()[0]
-    rows = []
-    for c in cols:
-        q25, q50, q75 = exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.25, 0.5, 0.75])
-        rows.append((c, m[f"{c}|count"], m[f"{c}|mean"], m[f"{c}|std"], m[f"{c}|min"], q25, q50, q75, m[f"{c}|max"]))
-    return df.sparkSession.createDataFrame(rows, "column string, count double, mean double, std double, min double, "
-                                                 "q25 double, q50 double, q75 double, max double")
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")).select("s.*")
+    moments = long.groupBy("column").agg(F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+                                         F.min("v").alias("min"), F.max("v").alias("max"))
+    at = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+    quart = grouped_quantiles(long, "v", list(at), ["column"]).groupBy("column").agg(
+        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(name) for q, name in at.items()])
+    return moments.join(quart, "column", "left").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles, exact and distributed (order statistics)."""
-    vals = exact_quantiles(df, col, list(qs))
-    spark = df.sparkSession
-    return spark.createDataFrame([(float(q), v) for q, v in zip(qs, vals)], "q double, value double")
+    return grouped_quantiles(df, col, list(qs))
 
 
 def group_stat(df: DataFrame, key: str | Sequence[str], col: str, stat: str = "mean") -> DataFrame:
@@ -237,14 +230,14 @@ def payments_wide(pays: DataFrame, id_col: str, num_col: str, value_col: str, nu
 def late_count(loans: DataFrame, pays: DataFrame, id_col: str, pmt_col: str, n: int, share: float = 0.95) -> DataFrame:
     """Months 1..n whose payment is missing or below ``share`` of the schedule.
 
-    Long form: each loan is expanded by the fixed month list (generator, no
-    join), then left-joined to its summed payments on (id, mob).
+    n less the months that were paid: payments are summed per (id, month) and meet
+    their loan once, without a grid of loans and months; join and count share one
+    partitioning on the id.
     """
-    per = pays.groupBy(id_col, "mob").agg(F.sum("paid").alias("paid"))
-    grid = loans.select(id_col, pmt_col).withColumn("mob", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    j = grid.join(per, [id_col, "mob"], "left")
-    late = F.col("paid").isNull() | (F.col("paid") < share * F.col(pmt_col))
-    return j.groupBy(id_col).agg(F.count_if(late).alias("n_late"))
+    months = pays.where(F.col("mob").between(1, n)).groupBy(id_col, "mob").agg(F.sum("paid").alias("paid"))
+    j = loans.select(id_col, pmt_col).join(months, id_col, "left")
+    paid = F.col("paid").isNotNull() & ~F.coalesce(F.col("paid") < share * F.col(pmt_col), F.lit(False))
+    return j.groupBy(id_col).agg((F.lit(n).cast("long") - F.count_if(paid)).alias("n_late"))
 
 
 def late_distribution(late: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.functions.formulas import unit_hash
-from ledgerplay.operators.prefix import join_null_safe, prefix_agg
+from ledgerplay.operators.prefix import prefix_agg
 
 
 def standardize(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -41,15 +41,13 @@ def split_random(df: DataFrame, key: str, frac: float = 0.75, seed: int = 0, out
 def split_stratified(df: DataFrame, y: str, key: str, frac: float = 0.75, seed: int = 0, out: str = "set") -> DataFrame:
     """Within each class, the first round(frac * n_class) rows in hash order are 'train'.
 
-    Position in hash order comes from running counts per class (range-bucketed),
-    so a class holding most rows is not sorted in one task.
+    Position in hash order comes from running counts by ranges of (class, hash, key),
+    so a class holding most rows is spread over many tasks.
     """
     d = df.withColumn("__h", unit_hash(key, seed)).withColumn("__one", F.lit(1.0))
-    cum = prefix_agg(d, "__h", ["__one"], inclusive=True, tie_cols=[key], by=[y])
-    n = df.groupBy(y).agg(F.count(F.lit(1)).alias("__n"))
-    j = join_null_safe(cum, n, [y])
-    return j.withColumn(out, F.when(F.col("__one_cum") <= F.round(F.col("__n") * frac), "train").otherwise("test")).drop(
-        "__h", "__one", "__one_cum", "__n")
+    cum = prefix_agg(d, "__h", ["__one"], inclusive=True, tie_cols=[key], by=[y], total_suffix="_all")
+    return cum.withColumn(out, F.when(F.col("__one_cum") <= F.round(F.col("__one_all") * frac), "train").otherwise("test")).drop(
+        "__h", "__one", "__one_cum", "__one_all")
 
 
 def split_by_date(df: DataFrame, col: str, cut: str, out: str = "set") -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerplay.operators.prefix import prefix_agg
+
 SNAP = ["game_id", "turn"]
 
 
@@ -60,10 +62,10 @@ def standings_by(sides: DataFrame, by: Sequence[str]) -> DataFrame:
 def rank_standings(st: DataFrame, tie: str = "player_name") -> DataFrame:
     """Rank 1..n by points (descending), ties broken by ``tie``.
 
-    One row per player: an ordered window over the standings table (small).
+    Running count over ranges of (points, tie): any number of players.
     """
-    w = Window.orderBy(F.col("points").desc(), F.col(tie))
-    return st.withColumn("rank", F.row_number().over(w))
+    ranked = prefix_agg(st.withColumn("__one", F.lit(1)), "points", ["__one"], desc=True, tie_cols=[tie])
+    return ranked.withColumn("rank", F.col("__one_cum").cast("int")).drop("__one", "__one_cum")
 
 
 def head_to_head(sides: DataFrame, player: str) -> DataFrame:
@@ -234,9 +236,8 @@ def validate_orders(orders: DataFrame, planets: DataFrame, order: Sequence[str]
                    F.col("num_ships").alias("src_ships"))
     dst = p.select(*SNAP, F.col("planet_id").alias("destination_planet_id"), F.lit(True).alias("dst_ok"))
     j = orders.join(src, [*SNAP, "source_planet_id"], "left").join(dst, [*SNAP, "destination_planet_id"], "left")
-    # running ships sent per source in order sequence: range-bucketed per
-    # (snapshot, source), so one busy source is not sorted in one task
-    from ledgerplay.operators.prefix import prefix_agg
+    # running ships sent per source in order sequence: by ranges of
+    # (snapshot, source, sequence), so one busy source is not sorted in one task
     j = prefix_agg(j.withColumn("__ns", F.col("num_ships").cast("double")), order[0], ["__ns"],
                    tie_cols=list(order[1:]), by=[*SNAP, "source_planet_id"])
     j = j.withColumn("__sent", F.col("__ns_cum")).drop("__ns", "__ns_cum")

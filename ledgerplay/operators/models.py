@@ -21,6 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerplay.operators.prefix import prefix_agg
 from ledgerplay.session import cut_lineage
 
 
@@ -172,13 +173,12 @@ def learning_curve(df: DataFrame, y: str, x: str, key: str, sizes: Sequence[int]
     """Mean test R^2 by training size over resamples, closed form (one regressor).
 
     Sample (size, rep) = the ``size`` rows with the smallest hash of (key, rep);
-    positions come from running counts per rep (range-bucketed).  One aggregate
+    positions come from running counts by ranges of (rep, hash, key).  One aggregate
     fits every sample; the test R^2 of every fit follows from six test sums
     (SSE expands into sums of y, x, xy, x^2, y^2), so no test row is paired
     with any sample.
     """
     from ledgerplay.functions.formulas import HASH_P, hash31_sql
-    from ledgerplay.operators.prefix import prefix_agg
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(key, x, y)
     per_rep = base.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
     per_rep = per_rep.withColumn("__h", F.expr(f"CAST({hash31_sql(f'`{key}`', 'rep')} AS DOUBLE) / {HASH_P}"))  # an order of its own per rep

@@ -17,6 +17,7 @@ from ledgerplay.operators import cashflow as C
 from ledgerplay.operators import stats as M
 from ledgerplay.operators import windows as W
 from ledgerplay.operators.prefix import join_null_safe, prefix_agg
+from ledgerplay.session import cut_lineage
 
 
 def volume_irr_curve(binned: DataFrame, cf: DataFrame, bin_col: str = "bin", key: str = "loan_id",
@@ -140,10 +141,8 @@ def discount_sweep(pool: DataFrame, pays: DataFrame, discounts: Sequence[float],
 def balance_selection(df: DataFrame, bin_cols: Sequence[str], score: str, amount: str, share: float,
                       key: str = "loan_id") -> DataFrame:
     """the best ``share`` of volume inside every joint bin (distributions kept)."""
-    by = list(bin_cols)
-    tot = df.groupBy(*by).agg(F.sum(amount).alias("__tot"))
-    cum = prefix_agg(df, score, [amount], desc=True, tie_cols=[key], inclusive=False, by=by)
-    return join_null_safe(cum, tot, by).where(F.col(f"{amount}_cum") < share * F.col("__tot")).drop(f"{amount}_cum", "__tot")
+    cum = prefix_agg(df, score, [amount], desc=True, tie_cols=[key], inclusive=False, by=list(bin_cols), total_suffix="_all")
+    return cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).drop(f"{amount}_cum", f"{amount}_all")
 
 
 def constrained_selection(df: DataFrame, score: str, amount: str, share: float, guards: Sequence[str],
@@ -177,13 +176,15 @@ def late_vs_population(sched: DataFrame, pays: DataFrame, bureau: DataFrame, n:
                        share: float = 0.95, alpha: float = 0.05) -> DataFrame:
     """M7: per month and town, is the late share higher than in the other towns?
     One-sided pooled z test per (month, town), then the step-up correction."""
-    per = pays.groupBy(key, "mob").agg(F.sum("paid").alias("paid"))
-    grid = sched.select(key, "id", "monthly_pmt").withColumn("mob", F.explode(F.sequence(F.lit(1), F.lit(n))))
-    j = grid.join(per, [key, "mob"], "left").join(bureau.select("id", "town"), "id", "inner")
-    j = j.withColumn("late", F.col("paid").isNull() | (F.col("paid") < share * F.col("monthly_pmt")))
-    t = j.groupBy("mob", "town").agg(F.count(F.lit(1)).cast("double").alias("n_a"), F.count_if("late").cast("double").alias("x_a"))
-    w = Window.partitionBy("mob")
-    t = t.withColumn("n_b", F.sum("n_a").over(w) - F.col("n_a")).withColumn("x_b", F.sum("x_a").over(w) - F.col("x_a"))
+    # a loan is late in a month unless its payments of the month reach the share: counting the
+    # loans that paid needs only rows of the payment table, no grid of loans and months
+    town = cut_lineage(sched.select(key, "id", "monthly_pmt").join(bureau.select("id", "town"), "id").select(key, "monthly_pmt", "town"))
+    months = pays.where(F.col("mob").between(1, n)).groupBy(key, "mob").agg(F.sum("paid").alias("paid"))
+    paid = months.where(F.col("paid").isNotNull()).join(town, key).where(~F.coalesce(F.col("paid") < share * F.col("monthly_pmt"), F.lit(False)))
+    paid = paid.groupBy("town", "mob").agg(F.count(F.lit(1)).cast("double").alias("paid"))
+    loans = town.groupBy("town").agg(F.count(F.lit(1)).cast("double").alias("n_a")).withColumn("mob", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    t = join_null_safe(loans, paid, ["town", "mob"], "left").withColumn("x_a", F.col("n_a") - F.coalesce("paid", F.lit(0.0)))
+    all_towns = t.groupBy("mob").agg(F.sum("n_a").alias("__n"), F.sum("x_a").alias("__x"))  # one row per month
+    t = t.join(F.broadcast(all_towns), "mob").withColumns({"n_b": F.col("__n") - F.col("n_a"), "x_b": F.col("__x") - F.col("x_a")})
     t = M.two_sample(t, F.col("n_a"), F.col("x_a"), F.col("n_b"), F.col("x_b"), "larger").where(F.col("p_value").isNotNull())
-    t = t.withColumn("__tie", F.col("mob") * 1000 + F.dense_rank().over(Window.orderBy("town")))
-    return M.benjamini_hochberg(t, alpha=alpha, tie="__tie").select("mob", "town", "n_a", "x_a", "z", "p_value", "reject_bh")
+    return M.benjamini_hochberg(t, alpha=alpha, tie=["mob", "town"]).select("mob", "town", "n_a", "x_a", "z", "p_value", "reject_bh")

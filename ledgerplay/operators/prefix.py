@@ -1,25 +1,23 @@
 """Scalable running aggregates and exact order statistics.
 
-A ``Window`` ordered over a whole table runs in one task.  Here the ordered
-table (already reduced to one row per distinct order value by the caller) is
-cut into value ranges by edges taken from an approximate quantile sketch (a
-bounded array collected to the driver); per-range totals form a small table
-whose running totals are broadcast back as offsets; the exact running value is
-the offset plus a running value inside the range (a window partitioned by
-range).  The result is exact; only the cut points are approximate.
+A ``Window`` ordered over a whole table runs in one task.  Here the table is
+range-partitioned on the composite key (group, order value, tie columns) in the
+columns' own types and materialised once; the totals of each (group, partition)
+form a small table whose running totals are the offsets; the exact running value
+is the offset plus a running value inside the partition.  One order value, or one
+group, may hold most rows: its rows are spread by the tie columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-_B = "__range_bucket"
-_G = "__one_group"
+from ledgerplay.session import cut_lineage
+
+_P = "__range_part"
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -32,59 +30,15 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"__r_{i}" for i in range(len(keys))])
 
 
-def _edges(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(col, probs, 0.001) if probs else []
-    out: list[float] = []
-    for q in qs:
-        if q is not None and (not out or q > out[-1]):
-            out.append(float(q))
-    return out
-
-
-def default_buckets(df: DataFrame) -> int:
-    """Value ranges for one ordered table: the session's shuffle parallelism, so
-    the per-range windows use the whole cluster (8 locally, thousands on a
-    cluster) while the offset table stays one small row per range."""
-    try:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_BUCKETS)))
-    except ValueError:
-        n = DEFAULT_BUCKETS
-    return max(8, min(n, 100_000))
-
-
-def range_bucket(df: DataFrame, col: str, n_buckets: int | None = None, out: str = _B,
-                 edges: Sequence[float] | None = None) -> DataFrame:
-    """Bucket id by value range of a numeric column (binary search in the JVM).
-
-    ``edges`` (ascending inner cut points) may be given when already known."""
-    n_buckets = n_buckets or default_buckets(df)
-    tmp = f"{out}_in"
-    d = df.withColumn(tmp, F.col(col).cast("double"))
-    inner = _edges(d, tmp, n_buckets) if edges is None else sorted(set(float(e) for e in edges if e is not None))
-    if not inner:
-        # one range (one bucket requested, or an empty table): nothing to cut
-        return d.withColumn(out, F.lit(0.0)).drop(tmp)
-    splits = [float("-inf")] + inner + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(d).drop(tmp)
-
-
-def _group_bucket(df: DataFrame, key: str, by: Sequence[str], n_buckets: int) -> DataFrame:
-    """Bucket id by value range inside each group (edges from a grouped sketch).
-
-    The edge table has one row per group (n_buckets values each); the number of
-    groups is not bounded in general, so AQE picks the join (broadcast when the
-    runtime size is small).
-    """
-    if n_buckets <= 1:
-        return df.withColumn(_B, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.groupBy(*by).agg(F.percentile_approx(key, probs, 1000).alias("__edges"))
-    j = join_null_safe(df, edges, list(by), "left")
-    x = F.col(key)
-    below = F.size(F.filter(F.coalesce(F.array_distinct("__edges"), F.array().cast("array<double>")), lambda e: e < x))
-    return j.withColumn(_B, F.when(x.isNull(), n_buckets).otherwise(below)).drop("__edges")  # NULL keys come last
+def range_parts(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
+    """Rows range-partitioned on (by..., order...) with their partition number,
+    materialised in the shared checkpoint folder.
+
+    Without ``n_parts`` the session's shuffle parallelism cuts the ranges and AQE
+    merges small ones, so a small table gets few."""
+    keys = [F.col(k) for k in by] + list(order)
+    cut = df.repartitionByRange(n_parts, *keys) if n_parts else df.repartitionByRange(*keys)
+    return cut_lineage(cut.withColumn(_P, F.spark_partition_id()))
 
 
 def prefix_agg(
@@ -98,46 +52,40 @@ def prefix_agg(
     n_buckets: int | None = None,
     suffix: str = "_cum",
     by: Sequence[str] = (),
-    edges: Sequence[float] | None = None,
+    total_suffix: str | None = None,
 ) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``cols`` in order of ``order_col`` (per ``by``).
+    """Running ``sum`` or ``max`` of ``cols`` in order of ``order_col`` (per ``by``; NULL is a
+    group of its own, NULL order values come last).
 
     ``inclusive=False`` gives the value over the rows strictly before.  Adds
-    ``<col><suffix>`` columns.  Rows with equal ``order_col`` are ordered by
-    ``tie_cols``.  Exact; no task ever holds more than one value range.
+    ``<col><suffix>`` columns, and with ``total_suffix`` the value over the whole group.
+    Rows with equal ``order_col`` are ordered by ``tie_cols``.  Exact; no task ever
+    holds more than one range of (group, order value, ties).
     """
     by = list(by)
-    key = "__order_key"
-    d = df.withColumn(key, (-F.col(order_col) if desc else F.col(order_col)).cast("double"))
-    # one group: edges are a bounded literal (a constant join key would be
-    # folded by the optimizer into a nested-loop join)
-    # per group: up to 64 ranges (the sketch per group costs one probe per range)
-    if by:
-        d = _group_bucket(d, key, by, n_buckets or min(64, default_buckets(df)))
-    else:
-        d = range_bucket(d, key, n_buckets, edges=None if edges is None else [(-e if desc else e) for e in edges])
+    first = F.col(order_col).desc_nulls_last() if desc else F.col(order_col).asc_nulls_last()
+    order = [first, *[F.col(t) for t in tie_cols]]
+    d = range_parts(df, order, by, n_buckets)
     agg = F.sum if how == "sum" else F.max
-    zero = F.lit(0.0) if how == "sum" else F.lit(None)
-    tot = d.groupBy(*by, _B).agg(*[agg(c).alias(f"{c}__t") for c in cols])
-    wb = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    # (groups x buckets) rows: small
-    off = tot.select(*by, _B, *[agg(f"{c}__t").over(wb).alias(f"{c}__o") for c in cols])
-    inner_end = Window.currentRow if inclusive else -1
-    wi = (
-        Window.partitionBy(*by, _B)
-        .orderBy(F.col(key).asc_nulls_last(), *[F.col(t) for t in tie_cols])
-        .rowsBetween(Window.unboundedPreceding, inner_end)
-    )
-    # (groups x buckets) rows: broadcast by AQE when small, else a shuffle join
-    res = join_null_safe(d, off, [*by, _B], "left") if by else d.join(F.broadcast(off), _B, "left")
+    tot = d.groupBy(*by, _P).agg(*[agg(c).alias(f"{c}__t") for c in cols])
+    # a group has at most one row per partition here, and a partition few groups or a whole one each
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    off = [agg(f"{c}__t").over(earlier).alias(f"{c}__o") for c in cols]
+    if total_suffix:
+        off += [agg(f"{c}__t").over(group).alias(f"{c}{total_suffix}") for c in cols]
+    off = tot.select(*by, _P, *off)
+    inner = Window.partitionBy(*by, _P).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    running = d.withColumns({f"{c}__i": agg(c).over(inner) for c in cols})
+    # one group: at most one row per partition, broadcast; else AQE picks the join
+    res = join_null_safe(running, off, [*by, _P], "left") if by else running.join(F.broadcast(off), _P, "left")
+    value = {}
     for c in cols:
-        inner = agg(c).over(wi)
         if how == "sum":
-            val = F.coalesce(F.col(f"{c}__o"), zero) + F.coalesce(inner, zero)
+            value[f"{c}{suffix}"] = F.coalesce(F.col(f"{c}__o"), F.lit(0.0)) + F.coalesce(F.col(f"{c}__i"), F.lit(0.0))
         else:
-            val = F.greatest(F.col(f"{c}__o"), inner)
-        res = res.withColumn(f"{c}{suffix}", val)
-    return res.drop(key, _B, *[f"{c}__o" for c in cols])
+            value[f"{c}{suffix}"] = F.greatest(F.col(f"{c}__o"), F.col(f"{c}__i"))
+    return res.withColumns(value).drop(_P, *[f"{c}__{x}" for c in cols for x in "oi"])
 
 
 def value_counts(df: DataFrame, col: str, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -146,86 +94,47 @@ def value_counts(df: DataFrame, col: str, weight: str | None = None, by: Sequenc
     return df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.sum(w).cast("double").alias("n"))
 
 
-def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (),
-                      n_buckets: int | None = None, materialize: bool = True) -> DataFrame:
+def grouped_quantiles(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (type 7) per group: (by..., q, value).
 
-    Distributed order statistics: distinct values with counts, running counts
-    (range-bucketed), then each group's needed ranks are picked with a
-    table of target positions (one short row per group) - no task holds a
-    whole group.  For
-    one group the bounded rank list and order statistics pass the driver.
+    Distributed order statistics: distinct values with running counts and the
+    group's total; a value that covers one of the (at most two) ranks a quantile
+    needs gives a row, and one aggregate per (group, q) interpolates.  No task holds
+    a whole group and nothing passes the driver.  One group always has a row
+    per q (NULL for no values).
     """
     by = list(by)
-    if not by:
-        return _global_quantiles(df, col, qs, n_buckets, materialize)
-    vc = value_counts(df, col, by=by)
-    cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=n_buckets, by=by)
-    tot = vc.groupBy(*by).agg(F.sum("n").alias("__N"))
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    targets = tot.select(*by, F.explode(qarr).alias("q"), "__N").withColumn(
-        "__pos", F.col("q") * (F.col("__N") - 1)).withColumn(
-        "__lo", F.floor("__pos").cast("long")).withColumn(
-        "__hi", F.least(F.col("__lo") + 1, F.col("__N").cast("long") - 1)).withColumn(
-        "__frac", F.col("__pos") - F.col("__lo"))
-    # one row per group with at most 2*len(qs) ranks (AQE picks the join)
-    need = targets.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("__lo", "__hi")))).alias("__ks"))
-    start = F.col("n_cum") - F.col("n")
-    src = join_null_safe(cum, need, by)
-    hits = src.select(*by, col, F.explode(F.filter("__ks", lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
-    # at most 2*len(qs) order statistics per group: one small map per group
-    stats = hits.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", F.col(col).cast("double")))).alias("__m"))
-    res = join_null_safe(targets, stats, by, "left")
-    vlo = F.element_at("__m", F.col("__lo"))
-    vhi = F.element_at("__m", F.col("__hi"))
-    val = vlo + F.col("__frac") * (vhi - vlo)
-    return res.select(*by, "q", val.cast("double").alias("value"))
-
-
-def _global_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None,
-                      materialize: bool = True) -> DataFrame:
-    """One group.  Value counts are materialised once in the shared checkpoint
-    folder (later passes read two columns instead of re-running the input plan;
-    skipped when the caller's input is already materialised).  One aggregate
-    gives the total and the range cut points; one more pass gives the order
-    statistics.  Only bounded values reach the driver."""
-    from ledgerplay.session import cut_lineage
-    vc = value_counts(df, col)
-    if materialize:
-        vc = cut_lineage(vc)
-    nb = n_buckets or default_buckets(df)
-    probs = [i / nb for i in range(1, nb)]
-    row = vc.agg(F.sum("n").alias("t"), F.percentile_approx(F.col(col).cast("double"), probs, 1000).alias("e")).collect()[0]
-    total, cuts = row["t"], row["e"] or []
-    spark = df.sparkSession
-    if not total:
-        return spark.createDataFrame([(float(q), None) for q in qs], "q double, value double")
-    n = int(total)
-    plan = []
-    for q in qs:
-        pos = float(q) * (n - 1)
-        lo = int(pos // 1)
-        plan.append((float(q), lo, min(lo + 1, n - 1), pos - lo))
-    ks = sorted({k for _, a, b, _ in plan for k in (a, b)})
-    cum = prefix_agg(vc, col, ["n"], inclusive=True, n_buckets=nb, edges=cuts)
-    start = F.col("n_cum") - F.col("n")
-    hits = cum.select(col, F.explode(F.filter(F.lit(ks).cast("array<long>"),
-                                              lambda k: (start <= k) & (k < F.col("n_cum")))).alias("__k"))
-    got = {r["__k"]: float(r[col]) for r in hits.collect()}
-    rows = [(q, got[a] + fr * (got[b] - got[a])) for q, a, b, fr in plan]
-    return spark.createDataFrame(rows, "q double, value double")
+    cum = prefix_agg(value_counts(df, col, by=by), col, ["n"], n_buckets=n_buckets, by=by, total_suffix="_all")
+    start, end = F.col("n_cum") - F.col("n"), F.col("n_cum")
+
+    def rank(q: Column) -> Column:
+        at = q * (F.col("n_all") - 1)
+        low = F.floor(at).cast("double")
+        return F.struct(q.alias("q"), low.alias("lo"), F.least(low + 1, F.col("n_all") - 1).alias("hi"), (at - low).alias("frac"))
+
+    def covers(k: Column) -> Column:
+        return (start <= k) & (k < end)
+
+    ranks = F.transform(F.array(*[F.lit(float(q)) for q in dict.fromkeys(qs)]), rank)
+    hits = cum.select(*by, F.col(col).cast("double").alias("__v"), F.explode(F.filter(ranks, lambda r: covers(r["lo"]) | covers(r["hi"]))).alias("r"), start.alias("__s"), end.alias("__e"))
+    inside = lambda k: (F.col("__s") <= F.col(k)) & (F.col(k) < F.col("__e"))
+    low, high = (F.max(F.when(inside(k), F.col("__v"))) for k in ("r.lo", "r.hi"))
+    got = hits.groupBy(*by, F.col("r.q").alias("q")).agg((low + F.max("r.frac") * (high - low)).alias("value"))
+    if by:
+        return got
+    every = df.sparkSession.createDataFrame([(float(q),) for q in dict.fromkeys(qs)], "q double")
+    return every.join(F.broadcast(got), "q", "left")
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], n_buckets: int | None = None) -> list[float | None]:
     """Global exact quantiles; only len(qs) rows reach the driver."""
-    rows = grouped_quantiles(df, col, qs, (), n_buckets).collect()
-    got = {r["q"]: r["value"] for r in rows}
+    got = {r["q"]: r["value"] for r in grouped_quantiles(df, col, qs, (), n_buckets).collect()}
     return [got.get(float(q)) for q in qs]
 
 
-def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = (), materialize: bool = True) -> DataFrame:
+def quantile_edges(df: DataFrame, col: str, q: int, by: Sequence[str] = ()) -> DataFrame:
     """Edges of ``q`` quantile bins per group: (by..., edges array, ascending, duplicates dropped)."""
     qs = [i / q for i in range(q + 1)]
-    gq = grouped_quantiles(df, col, qs, by, materialize=materialize)
+    gq = grouped_quantiles(df, col, qs, by)
     return gq.groupBy(*by).agg(
         F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda s: s["value"])).alias("edges"))

@@ -33,16 +33,27 @@ def norm_cdf_col(c: Column) -> Column:
     return _phi(c)
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once and named: expressions that need it many
+    times stay small when the optimizer moves them (a filter on p would repeat all of z)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _phi(c: Column) -> Column:
     # erfc Chebyshev fit with the argument as a Column
     from ledgerplay.functions.formulas import ERFC_COEFFS
-    z = F.abs(c) / math.sqrt(2.0)
-    t = 1.0 / (1.0 + 0.5 * z)
-    poly = F.lit(ERFC_COEFFS[-1])
-    for k in reversed(ERFC_COEFFS[:-1]):
-        poly = F.lit(k) + t * poly
-    e = t * F.exp(-z * z + poly)
-    return F.when(c.isNull(), None).when(c >= 0, 1.0 - 0.5 * e).otherwise(0.5 * e)
+
+    def tail(z: Column) -> Column:
+        def fit(t: Column) -> Column:
+            poly = F.lit(ERFC_COEFFS[-1])
+            for k in reversed(ERFC_COEFFS[:-1]):
+                poly = F.lit(k) + t * poly
+            return t * F.exp(-z * z + poly)
+        return let(1.0 / (1.0 + 0.5 * z), fit)
+
+    def signed(x: Column) -> Column:
+        return let(tail(F.abs(x) / math.sqrt(2.0)), lambda e: F.when(x.isNull(), None).when(x >= 0, 1.0 - 0.5 * e).otherwise(0.5 * e))
+    return let(c, signed)
 
 
 def prop_ztest_1(df: DataFrame, flag: str, p0: float, alternative: str = "two-sided",
@@ -123,46 +134,42 @@ def fwer(alpha: float, m: int) -> float:
     return 1 - (1 - alpha) ** m
 
 
-def benjamini_hochberg(tests: DataFrame, p_col: str = "p_value", alpha: float = 0.05, tie: str | None = None) -> DataFrame:
+def benjamini_hochberg(tests: DataFrame, p_col: str = "p_value", alpha: float = 0.05, tie: str | Sequence[str] | None = None) -> DataFrame:
     """M6: step-up rule; reject all ranks <= the largest i with p(i) <= i/m*alpha.
 
-    Adjusted p = min over j >= i of p(j)*m/j, capped at 1.  The table holds one
-    row per test (small); ranks come from one ordered window over it.
+    Adjusted p = min over j >= i of p(j)*m/j, capped at 1.  Ranks and the running
+    extremes from the last rank down come from ranges of (p, tie), so any number of
+    tests (one per month and town) is spread over tasks.
     """
-    order = [F.col(p_col)] + ([F.col(tie)] if tie else [])
-    w = Window.orderBy(*order)
-    all_ = Window.partitionBy()
-    t = tests.withColumn("__i", F.row_number().over(w)).withColumn("__m", F.count(F.lit(1)).over(all_))
-    t = t.withColumn("__ok", F.when(F.col(p_col) <= F.col("__i") / F.col("__m") * alpha, F.col("__i")))
-    t = t.withColumn("__kmax", F.max("__ok").over(all_))
-    rev = Window.orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = t.withColumn("p_adj_bh", F.least(F.lit(1.0), F.min(F.col(p_col) * F.col("__m") / F.col("__i")).over(rev)))
-    t = t.withColumn("reject_bh", F.coalesce(F.col("__i") <= F.col("__kmax"), F.lit(False)))
-    return t.drop("__i", "__m", "__ok", "__kmax")
+    ties = [tie] if isinstance(tie, str) else list(tie or [])
+    t = prefix_agg(tests.withColumn("__one", F.lit(1)), p_col, ["__one"], tie_cols=ties, total_suffix="_all")
+    i, m, p = F.col("__one_cum"), F.col("__one_all"), F.col(p_col)
+    # over the ranks from the last one down to i: any rank that passes, and the least p * m / j
+    t = t.withColumns({"__ok": F.when(p <= i / m * alpha, 1).otherwise(0), "__adj": -p * m / i})
+    t = prefix_agg(t, "__one_cum", ["__ok", "__adj"], how="max", desc=True)
+    t = t.withColumns({"p_adj_bh": F.least(F.lit(1.0), -F.col("__adj_cum")), "reject_bh": F.col("__ok_cum") == 1})
+    return t.drop("__one", "__one_cum", "__one_all", "__ok", "__adj", "__ok_cum", "__adj_cum")
 
 
 def ks_2samp(df: DataFrame, group: str, col: str, a, b) -> DataFrame:
     """M8: two-sample Kolmogorov-Smirnov D and its asymptotic p-value.
 
-    Per distinct value: counts of each sample; running sums by the range-bucket
-    scheme give both ECDFs; D = max |F_a - F_b|.
-    p = Q_KS(sqrt(ne)+0.12+0.11/sqrt(ne)) * D) with the alternating series.
+    Per distinct value: counts of each sample; running sums and totals by ranges
+    give both ECDFs; D = max |F_a - F_b| (NULL when a sample is empty).
+    p = Q_KS((sqrt(ne) + 0.12 + 0.11/sqrt(ne)) * D) with the alternating series.
     """
     g = F.col(group)
     per = df.where(F.col(col).isNotNull() & g.isin(a, b)).groupBy(F.col(col).alias("v")).agg(
         F.count_if(g == a).cast("double").alias("ca"), F.count_if(g == b).cast("double").alias("cb"))
-    tot = per.agg(F.sum("ca"), F.sum("cb")).collect()[0]
-    na, nb = float(tot[0] or 0), float(tot[1] or 0)
-    if not na or not nb:  # an empty sample: no statistic
-        return df.sparkSession.createDataFrame([(None, na, nb, None)], "d double, n_a double, n_b double, p_value double")
-    cum = prefix_agg(per, "v", ["ca", "cb"])
-    d = cum.agg(F.max(F.abs(F.col("ca_cum") / na - F.col("cb_cum") / nb)).alias("d"))
-    ne = na * nb / (na + nb)
-    lam = (math.sqrt(ne) + 0.12 + 0.11 / math.sqrt(ne)) * F.col("d")
+    cum = prefix_agg(per, "v", ["ca", "cb"], total_suffix="_all")
+    gap = F.abs(F.col("ca_cum") / F.nullif("ca_all", F.lit(0.0)) - F.col("cb_cum") / F.nullif("cb_all", F.lit(0.0)))
+    d = cum.agg(F.max(gap).alias("d"), F.coalesce(F.max("ca_all"), F.lit(0.0)).alias("n_a"), F.coalesce(F.max("cb_all"), F.lit(0.0)).alias("n_b"))
+    ne = F.col("n_a") * F.col("n_b") / F.nullif(F.col("n_a") + F.col("n_b"), F.lit(0.0))
+    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(F.nullif(ne, F.lit(0.0)))) * F.col("d")
     terms = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam))
     p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * terms))
-    return d.withColumns({"n_a": F.lit(na), "n_b": F.lit(nb), "p_value": F.when(F.col("d") > 0, p).otherwise(F.lit(1.0))})
+    return d.withColumn("p_value", F.when(F.col("d") > 0, p).when(F.col("d") == 0, F.lit(1.0)))
 
 
 def qq_points(df: DataFrame, group: str, col: str, a, b, n: int = 100) -> DataFrame:
@@ -189,7 +196,7 @@ def draw_index_sql(rep: str, i: str, n_rows: str, seed: int = 0) -> str:
 def bootstrap_means(df: DataFrame, col: str, order: str, n: int, k: int, seed: int = 0) -> DataFrame:
     """K resamples of n draws with replacement; one mean per resample.
 
-    Rows get a dense index by running count over ``order`` (range-bucketed);
+    Rows get a dense index by running count over ranges of ``order``;
     draws are generated (rep, i) -> hashed index, then equi-joined to the values.
     """
     vals = df.where(F.col(col).isNotNull()).select(order, col).withColumn("__one", F.lit(1.0))

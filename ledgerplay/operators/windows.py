@@ -2,7 +2,7 @@
 
 No operator orders a whole raw table in one window: "last row per key" is an
 aggregate (``max`` of a struct, reduced map-side), and running totals over a
-whole table go through ``prefix.prefix_agg`` (range-bucketed, exact).
+whole table go through ``prefix.prefix_agg`` (composite-key ranges, exact).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerplay.operators.joins import bin_join, broadcast_if_small, edges_index
 from ledgerplay.operators.prefix import prefix_agg, quantile_edges, value_counts
+from ledgerplay.session import cut_lineage
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: str, tie: str) -> DataFrame:
@@ -66,12 +67,9 @@ def _bin_multi(df: DataFrame, col: str, edges: DataFrame, out: str, by: Sequence
     return j.withColumn(out, edges_index(F.col(col), F.col("edges"))).drop("edges")
 
 
-def nested_qcut(df: DataFrame, c1: str, q1: int, c2: str, q2: int, apply_to: DataFrame | None = None,
-                materialized: bool = False) -> DataFrame:
-    """Bins of c1, then bins of c2 inside each c1 bin; ``apply_to`` gets the same edges.
-
-    ``materialized`` tells that ``df`` is already a checkpoint (no second copy)."""
-    e1 = quantile_edges(df, c1, q1, materialize=not materialized)
+def nested_qcut(df: DataFrame, c1: str, q1: int, c2: str, q2: int, apply_to: DataFrame | None = None) -> DataFrame:
+    """Bins of c1, then bins of c2 inside each c1 bin; ``apply_to`` gets the same edges."""
+    e1 = quantile_edges(df, c1, q1)
     ref = bin_join(df, c1, e1, "bin1")
     e2 = quantile_edges(ref.where(F.col("bin1").isNotNull()), c2, q2, ["bin1"])
     target = bin_join(apply_to if apply_to is not None else df, c1, e1, "bin1")
@@ -90,12 +88,11 @@ def cumulative_by_bin(df: DataFrame, bin_col: str, cols: Sequence[str], desc: bo
 def top_by_volume(df: DataFrame, score: str, amount: str, share: float, id_col: str) -> DataFrame:
     """Best rows by score (ties: smaller id first) until ``share`` of total volume.
 
-    A row is taken when the volume strictly before it is below share*total.
-    Exact running sum by the range-bucket scheme.
+    A row is taken when the volume strictly before it is below share*total.  Ranges are
+    cut on (score, id), so rows of one score may fill many tasks.
     """
-    total = df.agg(F.sum(amount)).collect()[0][0] or 0.0
-    cum = prefix_agg(df.select(id_col, score, amount), score, [amount], desc=True, tie_cols=[id_col], inclusive=False)
-    return cum.where(F.col(f"{amount}_cum") < share * total).drop(f"{amount}_cum")
+    cum = prefix_agg(df.select(id_col, score, amount), score, [amount], desc=True, tie_cols=[id_col], inclusive=False, total_suffix="_all")
+    return cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).drop(f"{amount}_cum", f"{amount}_all")
 
 
 def average_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
@@ -109,6 +106,7 @@ def average_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     """Pearson correlation of the average ranks (complete rows only)."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    d = cut_lineage(d.select(a, b))  # read by two rankings and the join
     r = average_rank(average_rank(d, a, "__ra"), b, "__rb")
     return r.agg(F.corr("__ra", "__rb").alias("spearman"))
 
@@ -122,12 +120,8 @@ def roc_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> Data
     yc = F.col(y).cast("int")
     per = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("threshold")).agg(
         F.sum(yc).cast("double").alias("tp"), F.sum(1 - yc).cast("double").alias("fp"))
-    cum = prefix_agg(per, "threshold", ["tp", "fp"], desc=True, by=by)
-    tot = per.groupBy(*by).agg(F.sum("tp").alias("__P"), F.sum("fp").alias("__N"))
-    out = cum.join(tot, by, "left") if by else cum.withColumns(
-        dict(zip(["__P", "__N"], [F.lit(v) for v in per.agg(F.sum("tp"), F.sum("fp")).collect()[0]])))
-    return out.select(*by, "threshold", (F.col("tp_cum") / F.col("__P")).alias("tpr"),
-                      (F.col("fp_cum") / F.col("__N")).alias("fpr"))
+    cum = prefix_agg(per, "threshold", ["tp", "fp"], desc=True, by=by, total_suffix="_all")
+    return cum.select(*by, "threshold", (F.col("tp_cum") / F.col("tp_all")).alias("tpr"), (F.col("fp_cum") / F.col("fp_all")).alias("fpr"))
 
 
 def auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -172,11 +166,11 @@ def is_monotonic(df: DataFrame, order: str, col: str, decimals: int | None = Non
 def ordinal_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """0-based position of the value among the sorted distinct values.
 
-    The category table (one row per category, bounded) is ranked and joined back.
+    The distinct values are ranked by ranges in their own type (any number of
+    categories) and materialised, then joined back (broadcast while their number is small).
     """
-    cats = df.select(col).where(F.col(col).isNotNull()).distinct()
-    # one row per category (a bounded domain): a single ordered window is fine
-    ranked = cats.withColumn("__code", F.row_number().over(Window.orderBy(col)) - 1)
+    cats = df.select(col).where(F.col(col).isNotNull()).distinct().withColumn("__one", F.lit(1))
+    ranked = cut_lineage(prefix_agg(cats, col, ["__one"], inclusive=False).select(col, F.col("__one_cum").cast("int").alias("__code")))
     return df.join(broadcast_if_small(ranked), col, "left").withColumnRenamed("__code", out or f"{col}_code")
 
 

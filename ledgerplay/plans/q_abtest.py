@@ -117,7 +117,7 @@ def segments(spark, d):
     # the population is scanned by every quantile pass and by the binning:
     # materialise it once in the shared checkpoint folder
     e = cut_lineage(P.range_to_null(enriched(spark, d, ["offer_accepted", "requested_amount"]), "credit_score", 0, 10000))
-    binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10, materialized=True)
+    binned = W.nested_qcut(e, "credit_score", 10, "requested_amount", 10)
     return binned.where(F.col("bin1").isNotNull() & F.col("bin2").isNotNull())
 
 
@@ -170,7 +170,7 @@ FROM r, k""")
 def m5_m6_corrections(spark, d):
     t = seg_tests(spark, d).where(F.col("p_value").isNotNull()).select("bin1", "bin2", "p_value")
     t = M.bonferroni(t)
-    t = M.benjamini_hochberg(t.withColumn("__tie", F.col("bin1") * 100 + F.col("bin2")), tie="__tie").drop("__tie")
+    t = M.benjamini_hochberg(t, tie=["bin1", "bin2"])
     return finish(t)
 
 
