@@ -8,22 +8,27 @@ window whose word sequence also starts in a document with a smaller id.
    Two equal windows choose the same phrase at the same place, so a phrase that
    recurs is in every recurring window.  Exact copies of a whole word sequence
    are settled by their digest and only their first document goes on.
-2. Automata.  Documents are dealt into shards of about ``shard_bytes`` of text;
-   a shard's Aho-Corasick automaton (pyahocorasick, over word numbers) holds the
-   recurring phrases its own documents can contain, so automata stay small however
-   many phrases recur overall.  Its documents stream through it; every occurrence
-   of a phrase names the windows around it.
-3. Passages.  Those windows are confirmed by 128-bit digests: the first document
-   of each digest keeps it, all others lose the words it covers.
-
-Counting first documents is a partial aggregation, and the join back is an
-ordinary equi-join on the digest, so a passage that a third of all documents hold
-is neither gathered in one task nor paired.
+2. Patterns.  The words of every recurring phrase are read from the first document
+   that holds it.  Documents without a recurring phrase can lose nothing and are not
+   moved; the others are dealt into shards of about ``shard_bytes`` of text.
+3. Automata.  Each shard compiles the patterns of the recurring phrases of its
+   documents into an Aho-Corasick automaton (pyahocorasick, over word numbers) and
+   streams its documents through it; every occurrence of a phrase, at any place, names
+   the windows around it.  Nothing else locates passages.
+4. Passages.  Those windows are confirmed by 128-bit digests: the first document of
+   each digest keeps it, all others lose the words it covers.
+
+Counting first documents is a partial aggregation.  Digests with more than
+1/``HOT_SHARE`` of all windows (fewer than ``HOT_SHARE`` of them, whatever the input)
+are broadcast to the windows, the others meet them in a shuffle join, so a passage that
+a third of all documents hold is neither gathered in one task nor paired.  Tables that
+are read twice are Parquet files in the shared folder.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -32,12 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import (
-    id_text, materialize, mix64, odd_constants, packed_texts, rolling, set_digest, shuffle_partitions, signed, to_signed, unpack_text, word_hashes, words_by_row,
+    id_text, mix64, odd_constants, packed_texts, rolling, set_digest, shuffle_partitions, signed, to_signed, unpack_text, word_hashes, words_by_row,
 )
+from ledgerplay.session import checkpoint_dir
 
 WIDTH = 50
 PHRASE = 10
 SHARD_BYTES = 8 << 20
+HOT_SHARE = 2000
+BROADCAST_ROWS = 1_000_000  # counted ids (16 bytes each) that are broadcast to the text scan; beyond, texts move without that filter
 _LANES = [int(x) for x in odd_constants(2, 9_001)]
 
 
@@ -106,33 +114,34 @@ def _automaton(patterns: list[tuple[int, ...]]):
     return a
 
 
+def _patterns(phrase: int):
+    """(compressed text, phrases it is first for) -> (phrase, its words)."""
+    def run(batches):
+        for batch in batches:
+            found, words = [], []
+            for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1)):
+                w, _, _ = word_hashes(np.frombuffer(unpack_text(packed), dtype=np.uint8), np.zeros(1, np.int64))
+                grams = rolling(w, phrase)
+                want, order = np.unique(np.asarray(wanted.values, dtype=np.int64).view(np.uint64)), np.argsort(grams, kind="stable")
+                at = order[np.searchsorted(grams, want, sorter=order)]
+                found.append(signed(want))
+                words += [signed(w[k:k + phrase]) for k in at.tolist()]
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(words, pa.list_(pa.int64()))], names=["phrase", "words"])
+    return run
+
+
 def _locate(width: int, phrase: int):
-    """(documents of a shard, their recurring phrases) -> windows around every occurrence."""
+    """(documents of a shard, words of their recurring phrases) -> windows around every occurrence."""
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        held = {(i, t): p for i, t, p in zip(right["doc_id"], right["th"], right["phrases"])}
-        hashes, chosen = {}, []
-        seen: set[int] = set()
-        for no, (doc_id, th, packed) in enumerate(zip(left["doc_id"], left["th"], left["z"])):
-            recurring = held.get((doc_id, th))
-            if recurring is None:
-                continue
-            raw = unpack_text(packed)
-            w, s, e = word_hashes(np.frombuffer(raw, dtype=np.uint8), np.zeros(1, np.int64))
-            hashes[no] = (w, s, e, raw)
-            grams = rolling(w, phrase)
-            want = np.asarray(recurring, dtype=np.int64).view(np.uint64)
-            at = np.flatnonzero(np.isin(grams, want))
-            for k in at.tolist():
-                g = int(grams[k])
-                if g not in seen:  # the phrase itself, as words, goes into the automaton
-                    seen.add(g)
-                    chosen.append(w[k:k + phrase])
         out = {"doc_id": [], "th": [], "z": [], "starts": [], "w1": [], "w2": []}
-        if chosen:
-            vocabulary = np.unique(np.concatenate(chosen))
+        if len(right):
+            patterns = [np.asarray(p, dtype=np.int64).view(np.uint64) for p in right["words"]]
+            vocabulary = np.unique(np.concatenate(patterns))
             number = lambda w: np.where(vocabulary[(k := np.minimum(np.searchsorted(vocabulary, w), len(vocabulary) - 1))] == w, k + 1, 0)
-            automaton = _automaton([tuple(number(p).tolist()) for p in chosen])
-            for no, (w, s, e, raw) in hashes.items():
+            automaton = _automaton([tuple(number(p).tolist()) for p in patterns])
+            for doc_id, th, packed in zip(left["doc_id"], left["th"], left["z"]):
+                w, _, _ = word_hashes(np.frombuffer(unpack_text(packed), dtype=np.uint8), np.zeros(1, np.int64))
                 if len(w) < width:
                     continue
                 ends = np.array([x[0] for x in automaton.iter(tuple(number(w).tolist()))], dtype=np.int64)
@@ -143,9 +152,9 @@ def _locate(width: int, phrase: int):
                 np.add.at(edge, np.minimum(ends - phrase + 2, len(w)), -1)
                 starts = np.flatnonzero(np.cumsum(edge)[:len(w) - width + 1] > 0)
                 d1, d2 = window_digests(w, width)
-                out["doc_id"].append(left["doc_id"].iloc[no])
-                out["th"].append(left["th"].iloc[no])
-                out["z"].append(left["z"].iloc[no])
+                out["doc_id"].append(doc_id)
+                out["th"].append(th)
+                out["z"].append(packed)
                 out["starts"].append(starts.astype(np.int32))
                 out["w1"].append(signed(d1[starts]))
                 out["w2"].append(signed(d2[starts]))
@@ -184,27 +193,48 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, phrase: int = PHRASE, sh
     so they stay unless a smaller id holds their windows.  An empty table gives
     an empty table.
     """
+    spark = docs.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/substring-dedup-{uuid.uuid4().hex}"
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     base = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
-    marks = materialize(base.mapInArrow(_marks(width, phrase), "doc_id long, th long, n_words long, d1 long, d2 long, phrases array<long>, sha string"))
+    marks = store(base.mapInArrow(_marks(width, phrase), "doc_id long, th long, n_words long, d1 long, d2 long, phrases array<long>, sha string"), "marks")
     long_ = marks.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= width))
     first = long_.groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"))
-    known = materialize(long_.join(first, ["d1", "d2"]))
+    known = long_.select("doc_id", "th", "d1", "d2", "phrases").join(first, ["d1", "d2"])
     alone = known.where("doc_id = first_id").select("doc_id", "th", "phrases").dropDuplicates(["doc_id", "th"])
     each = alone.select("doc_id", "th", F.explode("phrases").alias("phrase"))
-    recurring = each.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("phrase")
-    held = each.join(recurring, "phrase").groupBy("doc_id", "th").agg(F.collect_list("phrase").alias("phrases"))  # at most a document's own phrases
-
+    # the first document of each recurring phrase, by (id, text)
+    recurring = each.groupBy("phrase").agg(F.min(F.struct("doc_id", "th")).alias("o"), F.max("doc_id").alias("b")).where("o.doc_id < b").select("phrase", "o.doc_id", "o.th")
+    recurring = store(recurring, "recurring")
     shards = max(shuffle_partitions(docs), 1 + int((base.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // shard_bytes))
     shard = F.pmod(F.xxhash64("doc_id", "th"), F.lit(shards)).alias("shard")
-    left = packed_texts(base.where(F.col("doc_id").isNotNull())).withColumn("shard", shard)
+    held = store(each.join(recurring.select("phrase"), "phrase").select("doc_id", "th", "phrase", shard), "held")
+    holders = held.select("doc_id", "th").distinct()
+    texts = base.where(F.col("doc_id").isNotNull())
+    if holders.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(holders), ["doc_id", "th"], "left_semi")
+    owners = recurring.groupBy("doc_id", "th").agg(F.collect_list("phrase").alias("phrases"))  # at most a document's own phrases
+    if recurring.count() <= BROADCAST_ROWS:
+        owners = F.broadcast(owners)
+    patterns = packed_texts(texts).join(owners, ["doc_id", "th"]).select("z", "phrases").mapInArrow(_patterns(phrase), "phrase long, words array<long>").dropDuplicates(["phrase"])
+    needed = held.select("shard", "phrase").distinct().join(patterns, "phrase")  # a phrase at most once per shard
+    left = packed_texts(texts).withColumn("shard", shard)
     if _repeats(marks):
         left = left.dropDuplicates(["doc_id", "th"])
-    found = left.groupBy("shard").cogroup(held.select("doc_id", "th", "phrases", shard).groupBy("shard")).applyInPandas(
+    found = left.groupBy("shard").cogroup(needed.select("shard", "words").groupBy("shard")).applyInPandas(
         _locate(width, phrase), "doc_id long, th long, z binary, starts array<int>, w1 array<long>, w2 array<long>")
-    found = materialize(found)
+    found = store(found, "found")
     windows = found.select("doc_id", "th", F.explode(F.arrays_zip("starts", "w1", "w2")).alias("x")).select("doc_id", "th", "x.starts", "x.w1", "x.w2")
-    owner = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("own"), F.max("doc_id").alias("other")).where("own < other").select("w1", "w2", "own")
-    hits = windows.join(owner, ["w1", "w2"]).where("doc_id > own").groupBy("doc_id", "th").agg(F.collect_list("starts").alias("hit"))  # windows of one document
+    owner = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("own"), F.max("doc_id").alias("other"), F.count("*").alias("c")).where("own < other").select("w1", "w2", "own", "c")
+    owner = store(owner, "owner")
+    many = (found.agg(F.sum(F.size("starts"))).first()[0] or 0) // HOT_SHARE
+    hot, rest = F.broadcast(owner.where(F.col("c") > many)), owner.where(F.col("c") <= many)
+    hits = windows.join(hot, ["w1", "w2"]).unionByName(windows.join(hot, ["w1", "w2"], "left_anti").join(rest, ["w1", "w2"]))
+    hits = hits.where("doc_id > own").groupBy("doc_id", "th").agg(F.collect_list("starts").alias("hit"))  # windows of one document
     cut = found.select("doc_id", "th", "z").join(hits, ["doc_id", "th"]).select("doc_id", "th", "z", "hit") \
         .mapInArrow(_cut(width), "doc_id long, th long, n_removed long, sha string, kept_text string")
     copies = known.where("doc_id > first_id").select("doc_id", "th", F.lit(True).alias("copy")).dropDuplicates(["doc_id", "th"])
