@@ -43,7 +43,8 @@ from ledgerplay.session import checkpoint_dir
 
 WIDTH = 50
 PHRASE = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+ROW_GROUP = 16 << 20  # bytes a task holds while it writes a file
 HOT_SHARE = 2000
 BROADCAST_ROWS = 1_000_000  # counted ids (16 bytes each) that are broadcast to the text scan; beyond, texts move without that filter
 _LANES = [int(x) for x in odd_constants(2, 9_001)]
@@ -197,7 +198,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, phrase: int = PHRASE, sh
     folder = f"{checkpoint_dir(spark).rstrip('/')}/substring-dedup-{uuid.uuid4().hex}"
 
     def store(df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     base = id_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
