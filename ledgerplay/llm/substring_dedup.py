@@ -46,6 +46,7 @@ PHRASE = 10
 SHARD_BYTES = 4 << 20
 ROW_GROUP = 16 << 20  # bytes a task holds while it writes a file
 HOT_SHARE = 2000
+CUT_ROWS = 256  # documents whose texts a task holds unpacked
 BROADCAST_ROWS = 1_000_000  # counted ids (16 bytes each) that are broadcast to the text scan; beyond, texts move without that filter
 _LANES = [int(x) for x in odd_constants(2, 9_001)]
 
@@ -118,7 +119,7 @@ def _automaton(patterns: list[tuple[int, ...]]):
 def _patterns(phrase: int):
     """(compressed text, phrases it is first for) -> (phrase, its words)."""
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, CUT_ROWS) for b in batches for i in range(0, b.num_rows, CUT_ROWS)):
             found, words = [], []
             for packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1)):
                 w, _, _ = word_hashes(np.frombuffer(unpack_text(packed), dtype=np.uint8), np.zeros(1, np.int64))
@@ -165,7 +166,7 @@ def _locate(width: int, phrase: int):
 
 def _cut(width: int):
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, CUT_ROWS) for b in batches for i in range(0, b.num_rows, CUT_ROWS)):
             cols: list[list] = [[], [], []]
             for packed, hit in zip(batch.column(2).to_pylist(), batch.column(3)):
                 raw = unpack_text(packed)
