@@ -139,6 +139,36 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     return labels.join(_small(root.withColumnRenamed("v", "label"), n), "label", "left").select("node", F.coalesce("p", "label").alias("label"))
 
 
+def families(members: DataFrame, n_nodes: int) -> DataFrame:
+    """(node, family) of ``members`` (t, node): nodes are one family if a chain of common tables joins them.
+
+    Contraction: every label merges into the least label of its tables, chains of merges
+    are followed to their end, and tables whose members agree are done.  A round has
+    one row per (table, label), never one per pair of nodes, and at most one merge
+    per label; labels of a family at least halve, so there are few rounds.
+    """
+    parts = _parts(n_nodes)
+    pairs = members.select("t", F.col("node").alias("label"))
+    labels = materialize(members.select("node").distinct().withColumn("family", F.col("node")).coalesce(parts))
+    while True:
+        mixed = pairs.groupBy("t").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("t", "low")
+        pairs = materialize(pairs.join(mixed, "t"))
+        merge = materialize(pairs.groupBy("label").agg(F.min("low").alias("into")).coalesce(parts))
+        if merge.isEmpty():
+            return labels
+        moving = True
+        while moving:
+            ahead = merge.select(F.col("label").alias("into"), F.col("into").alias("end"))
+            after = materialize(merge.join(_small(ahead, n_nodes), "into").select("label", F.col("end").alias("into"), (F.col("end") < F.col("into")).alias("moved")).coalesce(parts))
+            moving = not after.where("moved").isEmpty()
+            merge = after.select("label", "into")
+        small = _small(merge.withColumnsRenamed({"label": "family", "into": "merged"}), n_nodes)
+        labels = materialize(labels.join(small, "family", "left").select("node", F.coalesce("merged", "family").alias("family")).coalesce(parts))
+        pairs = pairs.select("t", "label").join(_small(merge, n_nodes), "label").select("t", F.col("into").alias("label")).distinct()
+        pairs = materialize(pairs)
+        pairs = pairs.coalesce(_parts(pairs.count()))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int, int] = SIMILAR, halves: int = HALVES, rows: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, n_links, group, th
@@ -206,10 +236,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: tuple[int,
         alone = _small(materialize(alone.coalesce(_parts(n_turns))), n_turns)
         open_ = materialize(_possible(open_, alone, similar))
         open_ = open_.coalesce(_parts(open_.count()))
-        first = open_.groupBy("t").agg(F.min("node").alias("a"))
-        bonds = open_.join(first, "t").select("a", F.col("node").alias("b")).where("a <> b").distinct()
         left = materialize(open_.select("node", "label", "n", "r").distinct().coalesce(_parts(n_turns)))
-        family = components(bonds, left.select("node", F.col("node").alias("label"))).withColumnRenamed("label", "family")
+        family = _small(families(open_.select("t", "node"), n_turns), n_turns)
         more = materialize(_within_families(left.join(family, "node").join(texts, "node"), shingle, similar))
         more = more.coalesce(_parts(n_turns))
         links = links.union(more)
