@@ -61,3 +61,16 @@ def test_slots_outside_the_windows_that_hit_are_not_compared(spark):
     item = ("the old farmer picks 3 apples from the tall tree behind the house near a small river , then 3 quick brown foxes jump far away , "
             "and later the same farmer sells 9 of his best apples to the miller who lives next door")
     assert found(spark, [(1, item)], [item.replace("then 3 quick brown foxes jump far away", "some 8 lazy yellow cats sleep right here")]) == {(0, 1)}
+
+
+def test_one_edited_number_does_not_hide_a_question(spark):
+    item = "a box holds 2 red balls and 2 blue balls and a child draws two of them without looking into the box"
+    assert found(spark, [(1, item)], [item.replace("2 blue", "3 blue"), item]) == {(0, 1), (1, 1)}
+
+
+def test_clean_documents_that_share_an_id_stay(spark):
+    from ledgerplay.llm import decontaminate as C
+    rows = [(None, ITEM), (None, "a clean text without any id"), (7, "x " + ITEM), (7, "another clean text of the same id"), (8, "clean"), (8, None)]
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    left = C.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left) == sorted((str(a), str(b)) for a, b in (rows[1], rows[3], rows[4], rows[5]))

@@ -163,8 +163,8 @@ def test_decontamination_templates(spark, docs, empty):
     d = spark.createDataFrame([(1, "Before it. " + item + " after"), (2, new), (3, broken), (4, "nothing of that kind is here at all, no item"), (5, None), (6, ""), (None, new), (7, new), (7, new),
                                (8, "He said it. Short item (four) words!")], "doc_id long, text string").withColumn("key", F.lit(1))
     got = {(r["doc_id"], r["item_id"], r["same_values"]) for r in C.contaminated(d, bench).collect()}
-    assert got == {(1, 1, True), (2, 1, False), (None, 1, False), (7, 1, False), (8, 4, True)}
-    assert sorted(r["doc_id"] for r in C.drop_contaminated(d, bench).collect()) == [3, 4, 5, 6]
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (None, 1, False), (7, 1, False), (8, 4, True)}  # 3: one edited number hides nothing
+    assert sorted(r["doc_id"] for r in C.drop_contaminated(d, bench).collect()) == [4, 5, 6]
     assert C.contaminated(empty, bench).count() == 0 and C.contaminated(d, bench.limit(0)).count() == 0
 
 
