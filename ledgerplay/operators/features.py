@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ledgerplay.functions.formulas import unit_hash
 from ledgerplay.operators.prefix import prefix_agg
 
+MAX_CATEGORIES = 10_000
+
 
 def standardize(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / population std, statistics from ``fit`` (one aggregate row)."""
@@ -25,10 +27,15 @@ def standardize(df: DataFrame, fit: DataFrame, cols: Sequence[str], suffix: str
 def one_hot(df: DataFrame, col: str, categories: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:
     """One 0/1 column per category, none dropped; NULL -> all zeros.
 
-    Categories (a bounded list) define columns, so they are collected once.
+    Categories become columns, so they pass the driver; more than ``MAX_CATEGORIES`` raise
+    an error (``ordinal_encode`` takes any number).
     """
-    cats = categories if categories is not None else sorted(
-        r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    if categories is None:
+        found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"{col} has more than {MAX_CATEGORIES} categories")
+        categories = sorted(r[0] for r in found)
+    cats = categories
     pre = prefix if prefix is not None else f"{col}_"
     return df.withColumns({f"{pre}{c}": F.coalesce((F.col(col) == F.lit(c)).cast("int"), F.lit(0)) for c in cats})
 

@@ -8,6 +8,7 @@ totals (a handful of rows) are ever ordered globally.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -172,6 +173,55 @@ def constrained_selection(df: DataFrame, score: str, amount: str, share: float,
     return agg.withColumn("feasible", feas)
 
 
+def best_feasible_selection(df: DataFrame, score: str, amount: str, share: float, guards: dict[str, int], multipliers: Sequence[float],
+                            rounds: int = 1, key: str = "loan_id") -> DataFrame:
+    """the best ``share`` of volume by score whose guard means are no worse than the pool's.
+
+    ``guards`` gives the direction of each guard column: +1, the selected rows' mean must
+    not be below the pool's, -1, not above.  A row's penalised score is its standardised
+    score plus, per guard, multiplier * direction * standardised guard (the Lagrangian).
+    All combinations of ``multipliers`` are one job: every row is expanded by the grid, running
+    volumes come from ranges of (combination, score, key).  The feasible combination with
+    the largest mean score wins (ties: the first); each further round tries
+    the combinations half a step around it.  Returns the selected rows (key, score, amount,
+    guards) with the winning ``mu`` per guard, and no rows if no combination is feasible.
+    """
+    names = list(guards)
+    d = cut_lineage(df.select(key, score, amount, *names).dropna())
+    st = d.agg(*[F.avg(c).alias(f"m_{c}") for c in [score, *names]], *[F.stddev_pop(c).alias(f"s_{c}") for c in [score, *names]]).first()
+
+    def z(c: str):
+        return (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"] or 1.0)
+
+    def penalised(mu):
+        return sum((mu[f"mu_{g}"] * float(s) * z(g) for g, s in guards.items()), z(score))
+
+    def outcome(grid: list[tuple[float, ...]]) -> list:
+        """(mean score, combination) of the feasible combinations, best first."""
+        options = F.array(*[F.struct(F.lit(i).alias("no"), *[F.lit(float(m)).alias(f"mu_{g}") for g, m in zip(names, mus)]) for i, mus in enumerate(grid)])
+        rows = d.withColumn("__mu", F.explode(options)).select(key, score, amount, *names, F.col("__mu.no").alias("__no"), penalised(F.col("__mu")).alias("__pen"))
+        cum = prefix_agg(rows, "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, by=["__no"], total_suffix="_all")
+        means = cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).groupBy("__no").agg(*[F.avg(c).alias(c) for c in [score, *names]])
+        ok = [r for r in means.collect() if all(s * (r[g] - st[f"m_{g}"]) >= 0 for g, s in guards.items())]  # one row per combination
+        return sorted(((r[score], grid[r["__no"]]) for r in ok), key=lambda x: (-x[0], grid.index(x[1])))
+
+    grid = list(itertools.product(multipliers, repeat=len(names)))
+    best: tuple[float, tuple[float, ...]] | None = None
+    step = min((b - a for a, b in itertools.pairwise(sorted(multipliers))), default=1.0)
+    for _ in range(rounds):
+        found = outcome(grid)
+        if found and (best is None or found[0][0] > best[0]):
+            best = found[0]
+        if best is None:
+            return d.limit(0).withColumns({f"mu_{g}": F.lit(0.0) for g in names})
+        step /= 2
+        grid = [tuple(max(0.0, m + k * step) for m, k in zip(best[1], ks)) for ks in itertools.product((-1, 0, 1), repeat=len(names))]
+        grid = list(dict.fromkeys(grid))
+    chosen = {f"mu_{g}": F.lit(float(m)) for g, m in zip(names, best[1])}
+    cum = prefix_agg(d.withColumn("__pen", penalised(chosen)), "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, total_suffix="_all")
+    return cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).select(key, score, amount, *names).withColumns(chosen)
+
+
 def late_vs_population(sched: DataFrame, pays: DataFrame, bureau: DataFrame, n: int, key: str = "loan_id",
                        share: float = 0.95, alpha: float = 0.05) -> DataFrame:
     """M7: per month and town, is the late share higher than in the other towns?

@@ -205,8 +205,8 @@ def _bldg_types(spark, d):
 @register("m30_one_hot", with_views("houses") + """SELECT "Id", """ + ", ".join(
     f"""coalesce(CAST("BldgType" = '{c}' AS INTEGER), 0) AS "BldgType_{c}\"""" for c in ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]) + " FROM houses")
 def m30_one_hot(spark, d):
-    cats = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-    return X.one_hot(houses(spark, d), "BldgType", cats).select("Id", *[f"BldgType_{c}" for c in cats])
+    h = houses(spark, d).select("Id", "BldgType")
+    return X.one_hot(h, "BldgType").drop("BldgType")  # one column per category of the data
 
 
 @register("m31_split_random", with_views("houses") + f"""SELECT "Id", CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS "set" FROM houses""")
@@ -253,11 +253,9 @@ def g20_binned_scatter(spark, d):
     return finish(G.binned_scatter(e, "bin", "pred", "y"))
 
 
-@register("g18_kde_grid", with_views("offers", extra="""s AS (SELECT offer_accepted, min(requested_amount) AS lo, max(requested_amount) AS hi, count(requested_amount) AS n FROM offers GROUP BY 1),
-b AS (SELECT o.offer_accepted, least(floor((requested_amount - lo) / greatest((hi - lo) / 2048, 1e-12)), 2047) AS bb, avg(requested_amount) AS c,
-  count(*) AS m, first(n) AS n FROM offers o JOIN s USING (offer_accepted) WHERE requested_amount IS NOT NULL GROUP BY 1, 2),
-g AS (SELECT b.*, CAST(x AS DOUBLE) AS x FROM b, (VALUES """ + ", ".join(f"({float(v)})" for v in range(0, 500001, 50000)) + """) t(x))""") +
-    f"SELECT offer_accepted, x, {r6(f'sum(m * exp(-0.5 * pow((x - c) / 20000.0, 2))) / (first(n) * 20000.0 * {math.sqrt(2 * math.pi)!r})', 12)} AS density FROM g GROUP BY 1, 2")
+@register("g18_kde_grid", with_views("offers", extra="""g AS (SELECT offer_accepted, requested_amount AS c, CAST(x AS DOUBLE) AS x FROM offers, (VALUES """ +
+          ", ".join(f"({float(v)})" for v in range(0, 500001, 50000)) + """) t(x) WHERE requested_amount IS NOT NULL)""") +
+    f"SELECT offer_accepted, x, {r6(f'sum(exp(-0.5 * pow((x - c) / 20000.0, 2))) / (count(*) * 20000.0 * {math.sqrt(2 * math.pi)!r})', 12)} AS density FROM g GROUP BY 1, 2")
 def g18_kde_grid(spark, d):
     grid = [float(v) for v in range(0, 500001, 50000)]
     return finish(G.kde_grid(B.offers(spark, d), "requested_amount", grid, 20000.0, ["offer_accepted"]), 12)

@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerplay.functions.formulas import unit_hash
+from ledgerplay.functions.formulas import unit_hash, unit_hash_sql
+from ledgerplay.operators import linear as L
 from ledgerplay.operators import models as ML
-from ledgerplay.plans.common import finish, r6
+from ledgerplay.plans.common import ENRICHED_SQL, finish, r6
 from ledgerplay.plans.q_clean import houses
 from ledgerplay.plans.q_eval import ev
 from ledgerplay.plans.registry import register, with_views
@@ -135,3 +136,108 @@ t AS (SELECT "SalePrice" AS y, a + b * "GrLivArea" AS yhat FROM houses, f WHERE
           f"SELECT {r6('1 - sum(pow(y - yhat, 2)) / (sum(y * y) - sum(y) * sum(y) / count(y))', 4)} AS r2, count(y) AS n FROM t")
 def m36_range_holdout(spark, d):
     return finish(ML.range_holdout(houses(spark, d), "SalePrice", "GrLivArea", 25.0), 4)
+
+
+# --- fits with SQL: the same estimates by other routes --------------------------------
+
+XS = ["score", "requested_amount"]
+EV_SQL = ENRICHED_SQL + f""",
+ev AS (SELECT offer_key, CAST(offer_accepted AS INTEGER) AS y, credit_score AS score, requested_amount, CAST(1.0 + 4.0 * CAST(offer_accepted AS INTEGER) AS DOUBLE) AS w
+  FROM enriched WHERE credit_score IS NOT NULL),
+tr AS (SELECT * FROM ev WHERE {unit_hash_sql('offer_key')} < 0.75),
+te AS (SELECT * FROM ev WHERE NOT ({unit_hash_sql('offer_key')} < 0.75))"""
+HOUSE_TRAIN = f"""tr AS (SELECT * FROM houses WHERE {unit_hash_sql('"Id"')} < 0.75)"""
+
+
+def _det(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    terms = [f"{'+' if j % 2 == 0 else '-'} {m[0][j]} * ({_det([row[:j] + row[j + 1:] for row in m[1:]])})" for j in range(len(m))]
+    return " ".join(terms)
+
+
+def irls_sql(name: str, xs: list[str], weight: str = "1.0", steps: int = 30) -> str:
+    """CTEs ``{name}`` (k, b0, b1, ...): Newton steps by Cramer's rule on the standardised columns."""
+    p, z = len(xs) + 1, ["1.0", *[f"z{i}" for i in range(1, len(xs) + 1)]]
+    scaled = ", ".join(f"({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () AS z{i + 1}" for i, x in enumerate(xs))
+    eta = " + ".join(f"b{i} * {c}" for i, c in enumerate(z))
+    sums = ", ".join([f"sum(w * (y - mu) * {c}) AS g{i}" for i, c in enumerate(z)] + [f"sum(w * mu * (1 - mu) * {z[i]} * {z[j]}) AS h{i}{j}" for i in range(p) for j in range(i, p)])
+    h = [[f"h{min(i, j)}{max(i, j)}" for j in range(p)] for i in range(p)]
+    move = [f"({_det([[f'g{r}' if c == i else h[r][c] for c in range(p)] for r in range(p)])}) / ({_det(h)})" for i in range(p)]
+    b = ", ".join(f"b{i}" for i in range(p))
+    return f"""{name}_z AS (SELECT {scaled}, y, CAST({weight} AS DOUBLE) AS w FROM tr),
+{name} AS (SELECT 0 AS k, {', '.join(f'CAST(0 AS DOUBLE) AS b{i}' for i in range(p))} UNION ALL
+  SELECT k + 1, {', '.join(f'b{i} + {m}' for i, m in enumerate(move))} FROM (
+    SELECT k, {b}, {sums} FROM (SELECT *, 1.0 / (1.0 + exp(-({eta}))) AS mu FROM {name}, {name}_z WHERE k < {steps}) GROUP BY k, {b}))"""
+
+
+@register("m18_m19_leak_check", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS, "w") + ",\n" + irls_sql("ra", ["score"], "w") + ",\n" + irls_sql("rb", ["requested_amount"], "w") + """,
+last AS (SELECT * FROM f WHERE k = 30), la AS (SELECT * FROM ra WHERE k = 30), lb AS (SELECT * FROM rb WHERE k = 30),
+o AS (SELECT *, abs(b1) > abs(b2) AS first_is_score FROM last)""") + f"""
+SELECT 'all' AS model, 'intercept' AS term, {r6('b0')} AS coef, 0 AS rank FROM o
+UNION ALL SELECT 'all', 'score', {r6('b1')}, CASE WHEN first_is_score THEN 1 ELSE 2 END FROM o
+UNION ALL SELECT 'all', 'requested_amount', {r6('b2')}, CASE WHEN first_is_score THEN 2 ELSE 1 END FROM o
+UNION ALL SELECT 'without score', t, {r6('c')}, r FROM (SELECT unnest(['intercept', 'requested_amount']) AS t, unnest([b0, b1]) AS c, unnest([0, 1]) AS r FROM lb), o WHERE first_is_score
+UNION ALL SELECT 'without requested_amount', t, {r6('c')}, r FROM (SELECT unnest(['intercept', 'score']) AS t, unnest([b0, b1]) AS c, unnest([0, 1]) AS r FROM la), o WHERE NOT first_is_score""")
+def m18_m19_leak_check(spark, d):
+    tr, _ = _split(_ev(spark, d), "offer_key")
+    return finish(L.leak_check(tr, "y", XS, "w"))
+
+
+@register("m20_model_agreement", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS) + ",\n" + irls_sql("g", XS, "w") + """,
+st AS (SELECT avg(score) AS m1, stddev_samp(score) AS d1, avg(requested_amount) AS m2, stddev_samp(requested_amount) AS d2 FROM tr),
+p AS (SELECT 1 / (1 + exp(-(f.b0 + f.b1 * (score - m1) / d1 + f.b2 * (requested_amount - m2) / d2))) AS a,
+  1 / (1 + exp(-(g.b0 + g.b1 * (score - m1) / d1 + g.b2 * (requested_amount - m2) / d2))) AS b FROM te, st, f, g WHERE f.k = 30 AND g.k = 30),
+r AS (SELECT *, rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM p)""") +
+          f"SELECT {r6('corr(ra, rb)')} AS spearman, count(*) AS n, count_if((a >= 0.5) <> (b >= 0.5)) AS n_differ FROM r")
+def m20_model_agreement(spark, d):
+    tr, te = _split(_ev(spark, d), "offer_key")
+    plain, weighted = L.logistic(tr, "y", XS), L.logistic(tr, "y", XS, "w")
+    return finish(L.agreement(te, L.probability(plain, XS), L.probability(weighted, XS)))
+
+
+@register("m12_ols_student", with_views("houses", extra="""m AS (SELECT count(*) AS n, avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, covar_pop("GrLivArea", "GrLivArea") AS s11, covar_pop("MoSold", "MoSold") AS s22,
+  covar_pop("GrLivArea", "MoSold") AS s12, covar_pop("SalePrice", "GrLivArea") AS c1, covar_pop("SalePrice", "MoSold") AS c2, covar_pop("SalePrice", "SalePrice") AS cy FROM houses WHERE "GrLivArea" IS NOT NULL AND "SalePrice" IS NOT NULL),
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (c1 * s22 - c2 * s12) / (s11 * s22 - s12 * s12) AS b1, (c2 * s11 - c1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+e AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (cy - b1 * c1 - b2 * c2) * n / (n - 3) AS s2, 1 - (cy - b1 * c1 - b2 * c2) / cy AS r2 FROM b),
+t AS (SELECT n, r2, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term, unnest([b0, b1, b2]) AS coef,
+  unnest([sqrt(s2 / n * (1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)), sqrt(s2 / n * s22 / det), sqrt(s2 / n * s11 / det)]) AS se FROM e),
+-- Student's tail in closed form: finite sums over half the degrees of freedom
+a AS (SELECT *, coef / se AS t, n - 3 AS v, atan(abs(coef / se) / sqrt(n - 3)) AS th FROM t),
+s AS (SELECT *, CASE WHEN v % 2 = 0
+  THEN sin(th) * list_sum(list_transform(range(0, v // 2), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1.0)) / sqrt(pi()) * pow(cos(th), 2 * k)))
+  ELSE 2 / pi() * (th + sin(th) * coalesce(list_sum(list_transform(range(0, (v - 1) // 2), lambda k: sqrt(pi()) / 2 * exp(lgamma(k + 1.0) - lgamma(k + 1.5)) * pow(cos(th), 2 * k + 1))), 0)) END AS inside FROM a)""") +
+          f"SELECT term, {r6('coef')} AS coef, {r6('se')} AS se, {r6('t')} AS t, {r6('r2')} AS r2, n, {r6('1 - inside')} AS p FROM s")
+def m12_ols_student(spark, d):
+    return finish(L.least_squares(houses(spark, d), "SalePrice", ["GrLivArea", "MoSold"]))
+
+
+def _lasso_sql(form: str, alpha: float) -> str:
+    """Coordinate descent step by step on the moments of the two columns (recursive)."""
+    scale = ("stddev_samp(\"GrLivArea\")", "stddev_samp(\"MoSold\")") if form == "standardized" else ("1.0", "1.0")
+    soft = lambda r, a: f"sign({r}) * greatest(abs({r}) - {alpha}, 0) / {a}"
+    return f"""m_{form} AS (SELECT avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, {scale[0]} AS d1, {scale[1]} AS d2,
+  var_pop("GrLivArea") / pow({scale[0]}, 2) AS s11, var_pop("MoSold") / pow({scale[1]}, 2) AS s22, covar_pop("GrLivArea", "MoSold") / ({scale[0]} * {scale[1]}) AS s12,
+  covar_pop("SalePrice", "GrLivArea") / {scale[0]} AS c1, covar_pop("SalePrice", "MoSold") / {scale[1]} AS c2 FROM tr),
+l_{form} AS (SELECT 0 AS k, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2 UNION ALL
+  SELECT k + 1, n1, {soft('(c2 - s12 * n1)', 's22')} FROM (SELECT *, {soft('(c1 - s12 * b2)', 's11')} AS n1 FROM l_{form}, m_{form} WHERE k < 200)),
+r_{form} AS (SELECT *, c1 - s11 * b1 - s12 * b2 AS g1, c2 - s12 * b1 - s22 * b2 AS g2 FROM l_{form}, m_{form} WHERE k = 200),
+o_{form} AS (SELECT '{form}' AS form, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term,
+  unnest([my{'' if form == 'standardized' else ' - b1 * m1 - b2 * m2'}, b1, b2]) AS coef, unnest([0.0, g1, g2]) AS gradient FROM r_{form})"""
+
+
+@register("m16_lasso_forms", with_views("houses", recursive=True, extra=HOUSE_TRAIN + ",\n" + _lasso_sql("standardized", 1.0) + ",\n" + _lasso_sql("raw", 1.0)) +
+          f"SELECT form, term, {r6('coef')} AS coef, {r6('gradient')} AS gradient, true AS optimal FROM (SELECT * FROM o_standardized UNION ALL SELECT * FROM o_raw)")
+def m16_lasso_forms(spark, d):
+    tr, _ = _split(houses(spark, d), "Id")
+    forms = [L.lasso(tr, "SalePrice", HX, 1.0, standardized).withColumn("form", F.lit(name)) for name, standardized in (("standardized", True), ("raw", False))]
+    return finish(forms[0].unionByName(forms[1]))
+
+
+@register("m23_first_axis", with_views("houses", recursive=True, extra="""c AS (SELECT corr("SalePrice", "GrLivArea") AS r12, corr("SalePrice", "MoSold") AS r13, corr("GrLivArea", "MoSold") AS r23 FROM houses),
+it AS (SELECT 0 AS k, CAST(3 AS DOUBLE) AS x, CAST(2 AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS z UNION ALL
+  SELECT k + 1, a / l, b / l, g / l FROM (SELECT *, sqrt(a * a + b * b + g * g) AS l FROM (SELECT k, x + r12 * y + r13 * z AS a, r12 * x + y + r23 * z AS b, r13 * x + r23 * y + z AS g FROM it, c WHERE k < 500))),
+s AS (SELECT avg("SalePrice") AS m1, stddev_samp("SalePrice") AS d1, avg("GrLivArea") AS m2, stddev_samp("GrLivArea") AS d2, avg("MoSold") AS m3, stddev_samp("MoSold") AS d3 FROM houses)""") +
+          f"""SELECT "Id", {r6('sign(x) * (x * ("SalePrice" - m1) / d1 + y * ("GrLivArea" - m2) / d2 + z * ("MoSold" - m3) / d3)', 4)} AS pc1 FROM houses, s, it WHERE k = 500""")
+def m23_first_axis(spark, d):
+    return finish(L.principal_first(houses(spark, d), ["SalePrice", "GrLivArea", "MoSold"]).select("Id", "pc1"), 4)

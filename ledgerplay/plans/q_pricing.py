@@ -131,6 +131,26 @@ def f17_constrained_selection(spark, d):
     return finish(PF.constrained_selection(s, "score", "loan_amnt", 0.5, ["int_rate"], [0.0, 500.0, 1000.0, 2000.0]), 4)
 
 
+GUARDS = {"fico": 1, "int_rate": -1, "dti": -1}
+MUS = [0.0, 0.5, 1.0, 2.0]
+
+
+@register("f17_best_feasible_selection", with_views("loans", extra="""pool AS (SELECT loan_id, loan_amnt, int_rate, int_rate - loan_id % 9 AS score, c_acctbal AS fico, loan_amnt / (abs(c_acctbal) + 1000.0) AS dti
+  FROM loans JOIN customer ON id = c_custkey),
+st AS (SELECT avg(score) AS ms, stddev_pop(score) AS ss, avg(fico) AS mf, stddev_pop(fico) AS sf, avg(int_rate) AS mr, stddev_pop(int_rate) AS sr, avg(dti) AS md, stddev_pop(dti) AS sd FROM pool),
+z AS (SELECT pool.*, (score - ms) / ss AS zs, (fico - mf) / sf AS zf, (int_rate - mr) / sr AS zr, (dti - md) / sd AS zd, mf, mr, md FROM pool, st),
+mu AS (SELECT a.m AS f, b.m AS r, c.m AS d FROM (VALUES (0.0), (0.5), (1.0), (2.0)) a(m), (VALUES (0.0), (0.5), (1.0), (2.0)) b(m), (VALUES (0.0), (0.5), (1.0), (2.0)) c(m)),
+pen AS (SELECT z.*, f, r, d, zs + f * zf - r * zr - d * zd AS pen FROM z, mu),
+cum AS (SELECT *, sum(loan_amnt) OVER (PARTITION BY f, r, d ORDER BY pen DESC, loan_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, sum(loan_amnt) OVER (PARTITION BY f, r, d) AS total FROM pen),
+sel AS (SELECT * FROM cum WHERE coalesce(before, 0) < 0.3 * total),
+best AS (SELECT f, r, d FROM sel GROUP BY f, r, d HAVING avg(fico) >= any_value(mf) AND avg(int_rate) <= any_value(mr) AND avg(dti) <= any_value(md) ORDER BY avg(score) DESC, f, r, d LIMIT 1)""") +
+          "SELECT loan_id, CAST(f AS DOUBLE) AS mu_fico, CAST(r AS DOUBLE) AS mu_int_rate, CAST(d AS DOUBLE) AS mu_dti FROM sel JOIN best USING (f, r, d)")
+def f17_best_feasible_selection(spark, d):
+    s = scored(spark, d).withColumnRenamed("score", "fico")
+    s = s.withColumns({"score": F.col("int_rate") - F.col("loan_id") % 9, "dti": F.col("loan_amnt") / (F.abs("fico") + 1000.0)})
+    return PF.best_feasible_selection(s, "score", "loan_amnt", 0.3, GUARDS, MUS).select("loan_id", "mu_fico", "mu_int_rate", "mu_dti")
+
+
 @register("f18_balance_selection", with_views("loans", extra="""scored AS (SELECT loans.*, c_acctbal AS score FROM loans JOIN customer ON id = c_custkey),
 c AS (SELECT *, sum(loan_amnt) OVER (PARTITION BY occupation ORDER BY score DESC, loan_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
   sum(loan_amnt) OVER (PARTITION BY occupation) AS total FROM scored)""") + "SELECT loan_id, occupation FROM c WHERE coalesce(before, 0) < 0.5 * total")
