@@ -175,9 +175,10 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
     # slots per distinct pair, and of them the most per item value
     counted = judged.withColumn("c", F.transform("p", lambda q: F.struct(q["x"].alias("x"), F.size(F.filter("all", lambda r: r == q)).alias("n"))))
     most = F.transform(F.array_distinct(F.transform("p", lambda q: q["x"])), lambda x: F.array_max(F.transform(F.filter("c", lambda q: q["x"] == x), lambda q: q["n"])))
-    ok = counted.where((2 * F.aggregate(most, F.lit(0), lambda n, k: n + k) >= F.size("all")))
-    return ok.groupBy("doc_id", "th", "item_id").agg(F.max(F.struct("inner", F.col("n_hit").cast("long").alias("n_hit"), F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"),
-                                                                     F.forall("p", lambda p: p["x"] == p["y"]).alias("same"))).alias("b"))
+    # judged inside the aggregate: as a filter the condition would be moved below and all slots compared anew for each use
+    ok = 2 * F.aggregate(most, F.lit(0), lambda n, k: n + k) >= F.size("all")
+    b = F.struct("inner", F.col("n_hit").cast("long").alias("n_hit"), F.col("n_windows").alias("n_windows"), F.size("p").alias("n_slots"), F.forall("p", lambda p: p["x"] == p["y"]).alias("same"))
+    return counted.groupBy("doc_id", "th", "item_id").agg(F.max(F.when(ok, b)).alias("b")).where("b IS NOT NULL")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
