@@ -38,6 +38,7 @@ LITERALS = 3
 COVERAGE = 0.5
 SHIFT = 8
 PASSAGE = 13
+BROADCAST_DOCS = 500_000  # documents with an alignment (three numbers each) up to which they are broadcast to the scan of the texts
 BROADCAST_WINDOWS = 200_000  # benchmark windows up to which the hash join may broadcast; beyond, both sides shuffle
 
 # --- fixed values -----------------------------------------------------------
@@ -160,9 +161,11 @@ def _judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literal
 
     # slots of the windows that hit, item value against document value
     named = aligned.join(item_tokens.select("item", "view"), "item").select("doc_id", "th", "view").distinct().groupBy("doc_id", "th").agg(F.collect_set("view").alias("wanted"))
-    same = texts["doc_id"].eqNullSafe(named["doc_id"]) & (texts["th"] == named["th"])
+    named = materialize(named.withColumnsRenamed({"doc_id": "__id", "th": "__th"}))
+    few = named.count() <= BROADCAST_DOCS  # counted; beyond, the texts meet them in a shuffle join
+    found = own.withColumn("th", F.xxhash64("text")).join(F.broadcast(named) if few else named, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
     values = F.array(*[F.when(F.array_contains("wanted", view), F.struct(F.lit(view).alias("view"), template(F.col("s"), True, view).alias("dv"))) for view in used])
-    valued = texts.join(named, same).select(texts["doc_id"], texts["th"], F.explode(F.array_compact(values)).alias("x")).select("doc_id", "th", "x.*")
+    valued = found.select("doc_id", "th", "wanted", spaced(F.col("text")).alias("s")).select("doc_id", "th", F.explode(F.array_compact(values)).alias("x")).select("doc_id", "th", "x.*")
     a, d = aligned.alias("a"), valued.alias("d")
     both = (a.join(item_tokens.select("item", "item_id", "view", "v").alias("i"), F.col("a.item") == F.col("i.item"))
             .join(d, F.col("a.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("a.th") == F.col("d.th")) & (F.col("i.view") == F.col("d.view"))))
