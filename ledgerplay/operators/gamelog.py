@@ -180,6 +180,19 @@ def turn_series(planets: DataFrame, fleets: DataFrame) -> DataFrame:
     return wide.withColumn("first_wipeout_turn", F.min(dead).over(Window.partitionBy("game_id")))
 
 
+def leader_spans(series: DataFrame, game: str = "game_id") -> DataFrame:
+    """Maximal runs of turns with one leader: (game, span, leader, first_turn, last_turn, turns).
+
+    A change of leader, or a missing turn, starts a new span; spans count from 0.
+    The window is one game long, and a game has a bounded number of turns.
+    """
+    w = Window.partitionBy(game).orderBy("turn")
+    cut = ~((F.lag("leader").over(w) == F.col("leader")) & (F.lag("turn").over(w) + 1 == F.col("turn")))
+    marked = series.select(game, "turn", "leader", F.coalesce(cut, F.lit(False)).cast("int").alias("__cut"))
+    spans = marked.withColumn("span", F.sum("__cut").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return spans.groupBy(game, "span", "leader").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count(F.lit(1)).alias("turns"))
+
+
 def new_threats(fleets: DataFrame, planets: DataFrame, me: int = 1) -> DataFrame:
     """Enemy fleets launched this turn (total = remaining + 1) at own planets."""
     own = planets.where(F.col("owner") == me).select(*SNAP, F.col("planet_id").alias("destination_planet_id"))

@@ -18,6 +18,7 @@ RATE_LO, RATE_SPAN = 5, 26   # yearly rate in percent: 5 .. 30
 PLAYER_MOD = 100         # second player id = l_partkey % 100
 PLANETS_PER_GAME = 10    # planets: game_id = vec_id DIV 10 (a game has 10 planets at every scale)
 GAMES = 50               # fleets fly in games 0..49 (embeddings has >= 500 rows at every scale)
+TURNS = 6                # turns per game of the multi-turn views, whose games grow with embeddings
 # -----------------------------------------------------------------------------
 
 
@@ -198,3 +199,40 @@ FLEETS_SQL = f"""fleets AS (SELECT l_orderkey % {GAMES} AS game_id, 0 AS turn, l
   (l_orderkey % {GAMES}) * {PLANETS_PER_GAME} + l_partkey % 10 AS destination_planet_id,
   CAST(l_linenumber + l_orderkey % 3 AS INTEGER) AS total_trip_length, CAST(l_linenumber - 1 AS INTEGER) AS turns_remaining
   FROM lineitem)"""
+
+
+def planet_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Planet states over ``TURNS`` turns: owners change as turns go by, owned planets grow."""
+    p = planets(spark, d).select("game_id", "planet_id", "owner", "num_ships", "growth_rate", "x", "y",
+                                 F.explode(F.sequence(F.lit(0), F.lit(TURNS - 1))).alias("turn"))
+    owner = ((F.col("owner") + F.floor((F.col("planet_id") + F.col("turn")) / 3)) % 3).cast("int")
+    ships = F.col("num_ships") + F.when(owner != 0, F.col("growth_rate") * F.col("turn")).otherwise(0)
+    return p.withColumns({"owner": owner, "num_ships": ships.cast("int")})
+
+
+PLANET_TURNS_SQL = f"""planet_turns AS (SELECT game_id, CAST(t.range AS INTEGER) AS turn, planet_id,
+  CAST((owner + (planet_id + t.range) // 3) % 3 AS INTEGER) AS owner, growth_rate, x, y,
+  CAST(num_ships + CASE WHEN (owner + (planet_id + t.range) // 3) % 3 <> 0 THEN growth_rate * t.range ELSE 0 END AS INTEGER) AS num_ships FROM planets, range(0, {TURNS}) t)"""
+
+
+def fleet_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Every fleet on each turn of its flight; the games are those of ``embeddings``, however many."""
+    last = read_table(spark, d, "embeddings", ["vec_id"]).agg(F.max("vec_id")).first()[0]
+    games = (last or 0) // PLANETS_PER_GAME + 1
+    li = read_table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"])
+    start, trip = F.col("l_linenumber") % 3, 1 + F.col("l_orderkey") % 4
+    flight = li.withColumns({"game_id": F.col("l_orderkey") % games, "start": start.cast("int"), "trip": trip.cast("int")})
+    flight = flight.withColumn("turn", F.explode(F.sequence(F.col("start"), F.least(F.col("start") + F.col("trip"), F.lit(TURNS)) - 1)))
+    return flight.select(
+        "game_id", "turn", (F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("fleet_id"),
+        (1 + F.col("l_suppkey") % 2).cast("int").alias("owner"), F.col("l_quantity").cast("int").alias("num_ships"),
+        (F.col("l_suppkey") % PLANETS_PER_GAME).cast("int").alias("source_planet_id"),
+        (F.col("l_partkey") % PLANETS_PER_GAME).cast("int").alias("destination_planet_id"),
+        F.col("trip").alias("total_trip_length"), (F.col("trip") - (F.col("turn") - F.col("start"))).alias("turns_remaining"))
+
+
+FLEET_TURNS_SQL = f"""fleet_turns AS (SELECT l_orderkey % (SELECT max(vec_id) // {PLANETS_PER_GAME} + 1 FROM embeddings) AS game_id, CAST(t.range AS INTEGER) AS turn,
+  l_orderkey * 16 + l_linenumber AS fleet_id, CAST(1 + l_suppkey % 2 AS INTEGER) AS owner, CAST(l_quantity AS INTEGER) AS num_ships,
+  CAST(l_suppkey % {PLANETS_PER_GAME} AS INTEGER) AS source_planet_id, CAST(l_partkey % {PLANETS_PER_GAME} AS INTEGER) AS destination_planet_id,
+  CAST(1 + l_orderkey % 4 AS INTEGER) AS total_trip_length, CAST(1 + l_orderkey % 4 - (t.range - l_linenumber % 3) AS INTEGER) AS turns_remaining
+  FROM lineitem, range(0, {TURNS}) t WHERE t.range >= l_linenumber % 3 AND t.range < l_linenumber % 3 + 1 + l_orderkey % 4)"""

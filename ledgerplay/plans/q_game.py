@@ -209,9 +209,7 @@ def s6_parse_maps(spark, d):
   CAST(row_number() OVER (PARTITION BY game_id ORDER BY planet_id) - 1 AS INTEGER) AS planet_id, owner, num_ships FROM planets""")
 def s7_decode_replays(spark, d):
     p = B.planets(spark, d)
-    rep = GF.render_replays(p, p.limit(0).select("game_id", "turn", F.lit(0).alias("fleet_id"), "owner", "num_ships",
-                                                  F.lit(0).alias("source_planet_id"), F.lit(0).alias("destination_planet_id"),
-                                                  F.lit(0).alias("total_trip_length"), F.lit(0).alias("turns_remaining")))
+    rep = GF.render_replays(p, B.fleet_turns(spark, d).where("turn = 0"))
     _maps, states, _fl = GF.decode_replays(rep)
     return states.withColumn("planet_id", F.col("planet_id").cast("int")).withColumn("turn", F.col("turn").cast("int"))
 

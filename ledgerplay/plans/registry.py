@@ -20,6 +20,8 @@ VIEW_SQL = {
     "battles": B.BATTLES_SQL,
     "planets": B.PLANETS_SQL,
     "fleets": B.FLEETS_SQL,
+    "planet_turns": B.PLANET_TURNS_SQL,
+    "fleet_turns": B.FLEET_TURNS_SQL,
 }
 
 

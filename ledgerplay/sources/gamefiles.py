@@ -61,55 +61,79 @@ def render_maps(planets: DataFrame, game_col: str = "game_id") -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("planet_id", line.alias("l")))), lambda s: s["l"]), "\n").alias("text"))
 
 
+def replay_rows(battles: DataFrame, id_col: str = "battle_id", text_col: str = "description_for_display") -> DataFrame:
+    """Replay string -> (id, seq, text): the map at seq 0, turn k at seq k + 1."""
+    parts = battles.select(id_col, F.split(F.col(text_col), r"\|", 2).alias("p"))
+    pieces = F.concat(F.array(F.get("p", F.lit(0))), F.coalesce(F.split(F.get("p", F.lit(1)), ":"), F.array().cast("array<string>")))
+    return parts.select(id_col, F.posexplode(pieces).alias("seq", "text"))
+
+
+def decode_replay_rows(rows: DataFrame, id_col: str = "battle_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S7 on one row per turn: (id, seq, text) -> (map planets, planet states per turn, fleets per turn).
+
+    Seq 0 holds the map ``x,y,owner,ships,growth:...``; seq k + 1 holds turn k:
+    ``owner.ships`` per planet in map order, then ``owner.ships.src.dst.total.remaining``
+    per fleet.  A turn is the largest text of one row, however long the game is; the only
+    thing a turn needs from the map is its number of planets.  Fields that are no numbers
+    become null, rows of games without a map give no states.
+    """
+    field = lambda i, kind="int": F.expr(f"try_cast(get(t, {i}) AS {kind})")
+    header = rows.where(F.col("seq") == 0)
+    maps = header.select(id_col, F.posexplode(F.split("text", ":")).alias("planet_id", "d")).select(id_col, "planet_id", F.split("d", ",").alias("t"))
+    maps = maps.select(id_col, "planet_id", field(0, "double").alias("x"), field(1, "double").alias("y"), field(2).alias("owner"),
+                       field(3).alias("num_ships"), field(4).alias("growth_rate"))
+    n_planets = header.groupBy(id_col).agg(F.max(F.size(F.split("text", ":"))).alias("__np"))
+    items = (rows.where(F.col("seq") > 0).join(n_planets, id_col)
+             .select(id_col, (F.col("seq") - 1).alias("turn"), "__np", F.posexplode(F.split("text", ",")).alias("pos", "it"))
+             .withColumn("t", F.split("it", r"\.")))
+    states = items.where(F.col("pos") < F.col("__np")).select(
+        id_col, "turn", F.col("pos").alias("planet_id"), field(0).alias("owner"), field(1).alias("num_ships"))
+    fleets = items.where((F.col("pos") >= F.col("__np")) & (F.size("t") == 6)).select(
+        id_col, "turn", (F.col("pos") - F.col("__np")).alias("fleet_seq"), field(0).alias("owner"), field(1).alias("num_ships"),
+        field(2).alias("source_planet_id"), field(3).alias("destination_planet_id"),
+        field(4).alias("total_trip_length"), field(5).alias("turns_remaining"))
+    return maps, states, fleets
+
+
 def decode_replays(battles: DataFrame, id_col: str = "battle_id", text_col: str = "description_for_display"
                    ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Replay string -> (map planets, planet states per turn, fleets per turn).
+    """Replay string ``map|turn:turn:...`` -> (map planets, planet states per turn, fleets per turn)."""
+    return decode_replay_rows(replay_rows(battles, id_col, text_col), id_col)
+
+
+def _joined(rows: DataFrame, keys: list[str], order: list[str], piece: str, sep: str, out: str) -> DataFrame:
+    """The texts of a group in order, as one text."""
+    texts = F.array_sort(F.collect_list(F.struct(*order, piece)))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(texts, lambda s: s[piece]), sep).alias(out))
+
 
-    Format: ``x,y,owner,ships,growth:...|turn:turn:...``; a turn lists
-    ``owner.ships`` per planet in map order, then
-    ``owner.ships.src.dst.total.remaining`` per fleet.
+def render_replay_rows(planets: DataFrame, fleets: DataFrame) -> DataFrame:
+    """Snapshot tables -> (battle_id, seq, text), one row per turn and the map (of turn 0) first.
+
+    Planets stand in planet_id order, fleets behind them in fleet_id order
+    (equal ids by their text).  Fleets of turns without planets have no row.
     """
-    parts = battles.select(id_col, F.split(F.col(text_col), r"\|", 2).alias("p"))
-    maps = parts.select(id_col, F.posexplode(F.split(F.col("p")[0], ":")).alias("planet_id", "d")).select(
-        id_col, "planet_id", F.split("d", ",").alias("t"))
-    maps = maps.select(id_col, "planet_id", F.col("t")[0].cast("double").alias("x"), F.col("t")[1].cast("double").alias("y"),
-                       F.col("t")[2].cast("int").alias("owner"), F.col("t")[3].cast("int").alias("num_ships"),
-                       F.col("t")[4].cast("int").alias("growth_rate"))
-    n_planets = maps.groupBy(id_col).agg(F.count(F.lit(1)).alias("__np"))
-    turns = parts.select(id_col, F.posexplode(F.split(F.col("p")[1], ":")).alias("turn", "d"))
-    items = turns.select(id_col, "turn", F.posexplode(F.split("d", ",")).alias("pos", "it")).withColumn(
-        "f", F.split("it", r"\."))
-    items = items.join(n_planets, id_col, "left")
-    states = items.where(F.col("pos") < F.col("__np")).select(
-        id_col, "turn", F.col("pos").alias("planet_id"), F.col("f")[0].cast("int").alias("owner"),
-        F.col("f")[1].cast("int").alias("num_ships"))
-    fl = items.where((F.col("pos") >= F.col("__np")) & (F.size("f") == 6)).select(
-        id_col, "turn", (F.col("pos") - F.col("__np")).alias("fleet_seq"), F.col("f")[0].cast("int").alias("owner"),
-        F.col("f")[1].cast("int").alias("num_ships"), F.col("f")[2].cast("int").alias("source_planet_id"),
-        F.col("f")[3].cast("int").alias("destination_planet_id"), F.col("f")[4].cast("int").alias("total_trip_length"),
-        F.col("f")[5].cast("int").alias("turns_remaining"))
-    return maps, states, fl
+    at = F.col("turn") + 1
+    header = planets.where(F.col("turn") == 0).select(
+        F.col("game_id").alias("battle_id"), F.lit(0).alias("seq"), F.lit(0).alias("kind"), F.col("planet_id").cast("long").alias("at"),
+        F.format_string("%s,%s,%d,%d,%d", F.col("x").cast("string"), F.col("y").cast("string"), "owner", "num_ships", "growth_rate").alias("piece"))
+    states = planets.select(F.col("game_id").alias("battle_id"), at.alias("seq"), F.lit(0).alias("kind"), F.col("planet_id").cast("long").alias("at"),
+                            F.format_string("%d.%d", "owner", "num_ships").alias("piece"))
+    flights = fleets.select(F.col("game_id").alias("battle_id"), at.alias("seq"), F.lit(1).alias("kind"), F.col("fleet_id").cast("long").alias("at"),
+                            F.format_string("%d.%d.%d.%d.%d.%d", "owner", "num_ships", "source_planet_id", "destination_planet_id",
+                                            "total_trip_length", "turns_remaining").alias("piece"))
+    turns = _joined(states.unionByName(flights).join(states.select("battle_id", "seq").distinct(), ["battle_id", "seq"], "left_semi"),
+                    ["battle_id", "seq"], ["kind", "at"], "piece", ",", "text")
+    return _joined(header, ["battle_id", "seq"], ["kind", "at"], "piece", ":", "text").unionByName(turns)
 
 
 def render_replays(planets: DataFrame, fleets: DataFrame) -> DataFrame:
-    """Replay string per game from snapshot tables (one turn per snapshot turn)."""
-    mp = planets.where(F.col("turn") == 0).groupBy("game_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("planet_id", F.format_string(
-            "%s,%s,%d,%d,%d", F.col("x").cast("string"), F.col("y").cast("string"), "owner", "num_ships", "growth_rate").alias("s")))),
-        lambda s: s["s"]), ":").alias("map_desc"))
-    pt = planets.groupBy("game_id", "turn").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("planet_id", F.format_string("%d.%d", "owner", "num_ships").alias("s")))),
-        lambda s: s["s"]), ",").alias("pd"))
-    ft = fleets.groupBy("game_id", "turn").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("fleet_id", F.format_string(
-            "%d.%d.%d.%d.%d.%d", "owner", "num_ships", "source_planet_id", "destination_planet_id",
-            "total_trip_length", "turns_remaining").alias("s")))), lambda s: s["s"]), ",").alias("fd"))
-    t = pt.join(ft, ["game_id", "turn"], "left").withColumn(
-        "td", F.when(F.col("fd").isNull(), F.col("pd")).otherwise(F.concat_ws(",", "pd", "fd")))
-    turns = t.groupBy("game_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("turn", "td"))), lambda s: s["td"]), ":").alias("turns_desc"))
-    return mp.join(turns, "game_id").select(F.col("game_id").alias("battle_id"),
-                                            F.concat_ws("|", "map_desc", "turns_desc").alias("description_for_display"))
+    """Replay string per game from snapshot tables (one turn per snapshot turn); the whole game
+    is one string, so long games are better kept as ``render_replay_rows``."""
+    rows = render_replay_rows(planets, fleets)
+    header = rows.where("seq = 0").select("battle_id", F.col("text").alias("map_desc"))
+    turns = _joined(rows.where("seq > 0"), ["battle_id"], ["seq"], "text", ":", "turns_desc")
+    return header.join(turns, "battle_id").select("battle_id", F.concat_ws("|", "map_desc", "turns_desc").alias("description_for_display"))
 
 
 def parse_console_log(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -145,7 +169,7 @@ def parse_battle_rows(lines: DataFrame, text_col: str = "value") -> DataFrame:
     p1_end = h.index("player_1_name") + len("player_1_name")
     p2_end = h.index("player_2_name") + len("player_2_name")
     tail = r"^\s*([012])\s+(Player 1 Wins|Player 2 Wins|Tie)\s+(\d+)\s+(\d+)\s+(\d+)\s+(\S+)\s*$"
-    rest = F.substring(v, p2_end + 1, 1 << 20)
+    rest = F.expr(f"substring(`{text_col}`, {p2_end + 1})")  # to the end of the line
     # only lines whose tail has the battle columns (other printed tables also
     # start with a number)
     rows = lines.where(v.rlike(r"^\d+\s") & (F.length(v) > p2_end) & rest.rlike(tail))
