@@ -160,9 +160,10 @@ FROM w LEFT JOIN kept USING (doc_id)
 OP10_SQL = """
 WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
-p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+q AS (SELECT DISTINCT vec_id AS query_id, e AS qe FROM v WHERE vec_id % 20 = 0),
+p AS (SELECT query_id, qe, c.vec_id, CAST(list_dot_product(qe, c.e) AS BIGINT) AS score FROM q JOIN v c ON c.vec_id <> query_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM
-  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
+  (SELECT *, row_number() OVER (PARTITION BY query_id, qe ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 20
 """
 
 OP11_SQL = r"""

@@ -24,22 +24,33 @@ from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import materialize, workers_import_package
 
-PIVOTS = 16
+PIVOTS = (16, 1_024)  # fewest and most; between them an eighth of the root of the number of vectors
 ANNULI = 4
-PIVOT_SAMPLE = 4_096  # rows from which pivots and cut points are chosen (in expectation); every row is indexed
+PIVOT_SAMPLE = 4_096  # rows from which pivots and cut points are chosen (in expectation, 8 per pivot at least); every row is indexed
 CHUNK_ROWS = 4_096
 QUERY_BLOCK = 4_096
 FIRST_CELLS = 2  # cells expanded before the k-th best score is first used
+BOUND_ROWS = 512  # queries whose bounds of all cells are held at once
 
 
 def _matrix(column, dim: int) -> np.ndarray:
     """int64 matrix of long arrays, padded with zeros."""
+    if not len(column):
+        return np.zeros((0, dim), dtype=np.int64)
+    sizes = np.fromiter((len(v) for v in column), dtype=np.int64, count=len(column))
+    flat = np.concatenate([np.asarray(v, dtype=np.int64) for v in column])
+    if (sizes == dim).all():
+        return flat.reshape(len(column), dim)
     out = np.zeros((len(column), dim), dtype=np.int64)
-    for i, v in enumerate(column):
-        out[i, :len(v)] = v
+    out[np.arange(dim)[None, :] < sizes[:, None]] = flat
     return out
 
 
+def pivot_count(n: int) -> int:
+    """Pivots for ``n`` vectors."""
+    return min(PIVOTS[1], max(PIVOTS[0], math.isqrt(n) // 8))
+
+
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer products: in doubles while every partial sum fits 53 bits."""
     if len(q) and len(x) and float(np.abs(q).max()) * float(np.abs(x).max()) * max(1, q.shape[1]) < 2 ** 53:
@@ -72,8 +83,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     scores go to the smaller vec_id (null last).  Vectors that are null or hold a
     null or non-finite component take no part; vectors of unequal length are
     compared as if padded with zeros.  Scores are exact below 2^63.  A repeated
-    row is a candidate of its own; a repeated query row gets its own result rows.
-    An empty table gives an empty result.
+    row is a candidate of its own; equal query rows (id and vector) are one query, and
+    rows of one id with different vectors are queries of their own.  An empty table
+    gives an empty result.
     """
     spark = vectors.sparkSession
     workers_import_package(spark)
@@ -87,10 +99,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     if not n_all:
         return spark.createDataFrame([], schema)
 
+    n_pivots = pivot_count(n_all)
+    wanted = max(PIVOT_SAMPLE, 8 * n_pivots)
     share = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) / float(1 << 30)
-    picked = base.where(share < min(1.0, PIVOT_SAMPLE / n_all)).orderBy("vec_id", "v").select("v").collect() or base.limit(1).select("v").collect()
+    picked = base.where(share < min(1.0, wanted / n_all)).orderBy("vec_id", "v").select("v").collect() or base.limit(1).select("v").collect()
     sample = _matrix([r["v"] for r in picked], dim)
-    pivots = choose_pivots(sample, PIVOTS)
+    pivots = choose_pivots(sample, n_pivots)
     gaps = _distances(sample, pivots)
     home = gaps.argmin(1)
     levels = np.arange(1, ANNULI) / ANNULI
@@ -107,9 +121,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
                                 "norm2": (x.astype(np.float64) ** 2).sum(1)})
 
     index = materialize(base.mapInPandas(key, "vec_id long, v array<long>, cell long, r double, norm2 double"))
-    cells = index.groupBy("cell").agg(F.count("*").alias("n"), F.min("r").alias("inner"), F.max("r").alias("outer"), F.max("norm2").alias("norm2")).toPandas()  # PIVOTS * ANNULI rows
+    cells = index.groupBy("cell").agg(F.count("*").alias("n"), F.min("r").alias("inner"), F.max("r").alias("outer"), F.max("norm2").alias("norm2")).toPandas()  # n_pivots * ANNULI rows
     cells = cells.sort_values("cell").reset_index(drop=True)
-    chunks = F.create_map(*[F.lit(int(x)) for c, n in zip(cells["cell"], cells["n"]) for x in (c, -(-n // CHUNK_ROWS))])
+    chunks = F.broadcast(spark.createDataFrame([(int(c), int(-(-n // CHUNK_ROWS))) for c, n in zip(cells["cell"], cells["n"])], "cell long, chunks int"))
     cell_no, inner, outer, norm2 = (cells[c].to_numpy() for c in ("cell", "inner", "outer", "norm2"))
 
     def bounds(q: np.ndarray) -> np.ndarray:
@@ -121,24 +135,27 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
         best = np.minimum(by_gap, np.sqrt(q2 * norm2[None, :]))
         return best + 1e-9 * (q2 + norm2[None, :]) + 1e-6
 
-    queries = index.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.xxhash64("v").alias("qh"))
+    queries = index.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.xxhash64("v").alias("qh")).dropDuplicates(["query_id", "qv"])
 
     def expand(first: bool):
         def run(batches):
             for pdf in batches:
                 q = _matrix(pdf["qv"], dim)
-                b = bounds(q)
-                order = np.argsort(-b, axis=1, kind="stable")
+                least = pdf["least"].to_numpy()
                 rows, which = [], []
-                for i in range(len(q)):
-                    if first:
-                        take = order[i, :FIRST_CELLS]
-                    else:
-                        rest = order[i, FIRST_CELLS:]
-                        take = rest[b[i, rest] >= pdf["least"].iloc[i]]  # sorted: all behind the first excluded one are excluded too
-                    rows += [i] * len(take)
-                    which += [int(cell_no[c]) for c in take]
-                yield pdf.iloc[rows].assign(cell=which)
+                for at in range(0, len(q), BOUND_ROWS):
+                    b = bounds(q[at:at + BOUND_ROWS])
+                    order = np.argsort(-b, axis=1, kind="stable")
+                    for i in range(len(b)):
+                        if first:
+                            take = order[i, :FIRST_CELLS]
+                        else:
+                            rest = order[i, FIRST_CELLS:]
+                            take = rest[b[i, rest] >= least[at + i]]  # sorted: all behind the first excluded one are excluded too
+                        rows.append(np.full(len(take), at + i))
+                        which.append(cell_no[take])
+                if rows:
+                    yield pdf.iloc[np.concatenate(rows)].assign(cell=np.concatenate(which))
         return run
 
     def score(key_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -164,15 +181,14 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
     def search(asked: DataFrame, first: bool) -> DataFrame:
         """Best rows of every (query, cell) pair that ``expand`` names."""
         pairs = asked.mapInPandas(expand(first), "query_id long, qv array<long>, qh long, least double, cell long")
-        pairs = materialize(pairs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.element_at(chunks, F.col("cell")).cast("int") - 1))))
-        per_cell = pairs.where("chunk = 0").groupBy("cell").agg(F.count("*").alias("n")).collect()  # PIVOTS * ANNULI rows
-        if not per_cell:
-            return spark.createDataFrame([], "query_id long, qh long, vec_id long, score long")
-        blocks = F.create_map(*[F.lit(int(x)) for r in per_cell for x in (r["cell"], -(-r["n"] // QUERY_BLOCK))])
-        right = pairs.withColumn("block", F.pmod(F.xxhash64("query_id", "qh"), F.element_at(blocks, F.col("cell"))))
-        left = (index.where(F.col("cell").isin([r["cell"] for r in per_cell])).select("vec_id", "v", "cell")
-                .withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(chunks, F.col("cell"))).cast("int"))
-                .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(blocks, F.col("cell")).cast("long") - 1))))
+        pairs = materialize(pairs.join(chunks, "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+        per_cell = pairs.where("chunk = 0").groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))
+        # one row per cell that is asked for, n_pivots * ANNULI at most
+        blocks = F.broadcast(spark.createDataFrame([tuple(r) for r in per_cell.collect()], "cell long, blocks long"))
+        right = pairs.join(blocks, "cell").withColumn("block", F.expr("pmod(xxhash64(query_id, qh), blocks)")).drop("chunks", "blocks")
+        left = (index.select("vec_id", "v", "cell").join(blocks, "cell").join(chunks, "cell")
+                .select("vec_id", "v", "cell", F.expr("CAST(pmod(xxhash64(vec_id, v), chunks) AS INT)").alias("chunk"),
+                        F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block")))
         keys = ["cell", "chunk", "block"]
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, "query_id long, qh long, vec_id long, score long")
 

@@ -289,3 +289,23 @@ def test_top_k_equals_brute_force(spark):
     assert sorted((tuple(r) for r in K.top_k(df, F.col("vec_id") % 20 == 0).collect()), key=key) == sorted(want, key=key)
     assert K.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert K.top_k(df.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_top_k_repeated_queries_and_candidates(spark):
+    from ledgerplay.llm import topk as K
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=3 if i % 4 else 2)]) for i in range(1, 60)]
+    asked = (20, [0.5, -0.25, 1.0])
+    rows = [r for r in rows if r[0] not in (20, 40)] + [asked, asked, (20, [-1.0, 0.0, 0.0]), (7, [2.0, 2.0, 2.0]), (7, [2.0, 2.0, 2.0])]
+    got = K.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).collect()
+    cells = lambda v: [int(np.floor(64 * x)) for x in v] + [0] * (3 - len(v))
+    want = []
+    for vector in (asked[1], [-1.0, 0.0, 0.0]):  # equal rows are one query, other vectors of the id are their own
+        scored = sorted((-sum(a * b for a, b in zip(cells(vector), cells(v))), i) for i, v in rows if i != 20)
+        want += [(20, rank + 1, i, -score) for rank, (score, i) in enumerate(scored[:5])]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_top_k_pivots_grow_with_the_table():
+    from ledgerplay.llm import topk as K
+    assert [K.pivot_count(n) for n in (1, 10_000, 1_000_000, 10 ** 12)] == [16, 16, 125, 1024]
