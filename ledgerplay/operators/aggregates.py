@@ -287,6 +287,19 @@ def selection_profile(df: DataFrame, flag: str, cols: Sequence[str]) -> DataFram
     return df.rollup(F.col(flag).alias("selected")).agg(*aggs)
 
 
+def selection_quantiles(df: DataFrame, flag: str, cols: Sequence[str], qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact quantiles of ``cols`` for selected rows, the rest, and the whole pool.
+
+    Rows (scope, column, q, value); scope is selected / rest / all, a NULL flag counts in
+    ``all`` only.  All scopes and columns are groups of one distributed order statistic.
+    """
+    own = F.when(F.col(flag), "selected").when(~F.col(flag), "rest")
+    scopes = F.filter(F.array(F.lit("all"), own), lambda s: s.isNotNull())
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
+    long = df.select(F.explode(scopes).alias("scope"), values.alias("s")).select("scope", F.explode("s").alias("s")).select("scope", "s.column", "s.v")
+    return grouped_quantiles(long.where(F.col("v").isNotNull()), "v", list(qs), ["scope", "column"])
+
+
 def bias_check(before: DataFrame, after: DataFrame, flag: str) -> DataFrame:
     """Rate of a flag in two row sets, side by side (one pass over both)."""
     u = before.select(F.col(flag).cast("double").alias("__f"), F.lit(0).alias("__s")).unionByName(

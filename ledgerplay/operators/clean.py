@@ -163,9 +163,14 @@ def fill_group_stat(df: DataFrame, fit: DataFrame, key: str, col: str, stat: str
 
 
 def fill_mode(df: DataFrame, fit: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL -> most common value of ``fit`` (smallest on ties)."""
-    row = fit.agg(*[F.mode(c, deterministic=True).alias(c) for c in cols]).collect()[0]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[c])) for c in cols})
+    """NULL -> most common value of ``fit`` (smallest on ties; a column without values stays NULL).
+
+    Values are counted across the cluster first, so no task holds them all."""
+    fill = {}
+    for c in cols:
+        n = fit.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        fill[c] = n.agg(F.min_by("v", F.struct(-F.col("n"), F.col("v")))).first()[0]
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(fill[c])) for c in cols})
 
 
 def fill_mean(df: DataFrame, fit: DataFrame, col: str) -> DataFrame:
@@ -190,6 +195,13 @@ def drop_iqr_outliers(df: DataFrame, col: str, k: float = 1.5, slack: float = 0.
     return df.where(F.col(col).isNull() | (F.col(col) <= hi + slack))
 
 
+def outlier_share(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
+    """P20: upper fence, rows above it, and their share of the rows with a value (one row)."""
+    _, _, _, hi = iqr_fences(df, col, k)
+    above, n = F.count_if(F.col(col) > hi), F.count(col)
+    return df.agg(F.lit(hi).cast("double").alias("fence"), above.alias("n_above"), F.when(n > 0, above / n).alias("share"))
+
+
 def count_outliers(df: DataFrame, col: str, k: float = 1.5, log: bool = True) -> DataFrame:
     """Counts below Q1-k*IQR and above Q3+k*IQR (on ln of positive values)."""
     expr = F.when(F.col(col) > 0, F.ln(col)) if log else F.col(col)

@@ -8,6 +8,8 @@ except model parameters.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,11 +20,11 @@ from pyspark.ml.feature import PCA, PolynomialExpansion, StandardScaler, VectorA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerplay.operators.prefix import prefix_agg
-from ledgerplay.session import cut_lineage
+from ledgerplay.session import checkpoint_dir, cut_lineage
 
 
 def _assemble(cols: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -63,7 +65,6 @@ def logistic(train: DataFrame, y: str, xs: Sequence[str], weight: str | None = N
 
 def coefficients(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     """Coefficients with names, largest |coef| first (a small table)."""
-    from pyspark.sql import SparkSession
     m = model.stages[-1]
     coefs = list(m.coefficients.toArray()) if hasattr(m, "coefficients") else list(m.featureImportances.toArray())
     spark = SparkSession.getActiveSession()
@@ -115,6 +116,45 @@ def gbt_regression(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str],
     return model, list(tr), list(te)
 
 
+def tree_nodes(model: PipelineModel) -> DataFrame:
+    """T4: the fitted trees as a table (tree, node, feature, gain, rows, prediction), one row per node.
+
+    ``feature`` (the column's name) and ``gain`` (impurity taken away) are null at leaves;
+    ``rows`` is the weight of the training rows that reached the node.  The rows are read
+    back from the model's own store below the shared folder.
+    """
+    spark = SparkSession.getActiveSession()
+    path = os.path.join(checkpoint_dir(spark), "ledgerplay-models", uuid.uuid4().hex)
+    model.stages[-1].write().save(path)
+    names = F.array(*[F.lit(c) for c in model.stages[0].getInputCols()])
+    n, leaf = "nodeData", F.col("nodeData.leftChild") < 0
+    return spark.read.parquet(os.path.join(path, "data")).select(
+        F.col("treeID").alias("tree"), F.col(f"{n}.id").alias("node"), F.when(~leaf, F.get(names, F.col(f"{n}.split.featureIndex"))).alias("feature"),
+        F.when(~leaf, F.col(f"{n}.gain")).alias("gain"), F.col(f"{n}.rawCount").cast("double").alias("rows"), F.col(f"{n}.prediction").alias("prediction"))
+
+
+def importances(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """T4: (feature, importance, splits) from the nodes of fitted trees.
+
+    The gain of a split counts with the rows it divides; the sums over all trees are scaled
+    to 1 (later trees of a boosted model, which have less to gain, count for less).  Columns
+    never split on have importance 0; without any split all have.
+    """
+    gain = nodes.where(F.col("feature").isNotNull()).groupBy("feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("g"), F.count(F.lit(1)).alias("splits"))
+    every = nodes.sparkSession.createDataFrame([(c,) for c in names], "feature string").join(gain, "feature", "left")
+    total = F.sum("g").over(Window.partitionBy())  # one row per column of the model
+    return every.select("feature", F.when(total > 0, F.coalesce("g", F.lit(0.0)) / total).otherwise(0.0).alias("importance"),
+                        F.coalesce("splits", F.lit(0).cast("long")).alias("splits"))
+
+
+def loss_per_round(model: PipelineModel, train: DataFrame, test: DataFrame, loss: str) -> DataFrame:
+    """(round, train_loss, test_loss) of boosted trees, one row per round."""
+    first, trees = model.stages[0], model.stages[-1]
+    call = lambda d: trees.evaluateEachIteration(first.transform(d), *([loss] if loss == "squared" else []))
+    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(call(train), call(test)))]
+    return train.sparkSession.createDataFrame(rows, "round int, train_loss double, test_loss double")
+
+
 def grid_cv(train: DataFrame, y: str, xs: Sequence[str], depths: Sequence[int], folds: int = 3, seed: int = 7):
     """K-fold grid search on the training set only (folds evaluated in parallel)."""
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=10, seed=seed)

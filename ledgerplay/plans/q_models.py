@@ -99,6 +99,22 @@ def ml_m26_gbt_activation(spark, d):
     return finish(ML.predict_proba(m, te).select("offer_key", "p1"), 4)
 
 
+IRR_COLS = ["loan_amnt", "int_rate", "score"]
+
+
+@register("ml_t4_m24_importances")
+def ml_t4_m24_importances(spark, d):
+    tr, te = _split(_irr_features(spark, d), "loan_id")
+    model, _, _ = ML.gbt_regression(tr, te, "irr_pct", IRR_COLS, iters=10)
+    return finish(ML.importances(ML.tree_nodes(model), IRR_COLS))
+
+
+@register("ml_m26_loss_per_round")
+def ml_m26_loss_per_round(spark, d):
+    tr, te = _split(_ev(spark, d), "offer_key")
+    return finish(ML.loss_per_round(ML.gbt_classifier(tr, "y", XS, iters=10), tr, te, "logistic"))
+
+
 @register("ml_m27_binned_logistic")
 def ml_m27_binned_logistic(spark, d):
     e = _ev(spark, d).withColumn("x", F.col("requested_amount") / 100000.0)
