@@ -106,16 +106,15 @@ def scenario_grid(df: DataFrame, **values: Sequence) -> DataFrame:
 def rate_lookup(loans: DataFrame, preds_wide: DataFrame, id_col: str, rate_col: str, prefix: str = "irr_") -> DataFrame:
     """Prediction at the loan's rate rounded to an integer.
 
-    ``preds_wide`` has one column per integer rate (``irr_5`` ...); it is melted
-    to (id, rate, pred) and equi-joined on (id, round(rate)).
+    ``preds_wide`` has one column per integer rate (``irr_5`` ...).  The tables are
+    joined on the id alone, one row per loan, and the column is picked in the row
+    (null where no column has the rate).
     """
     cols = [c for c in preds_wide.columns if c.startswith(prefix)]
-    long = preds_wide.select(
-        id_col,
-        F.explode(F.array(*[F.struct(F.lit(int(c[len(prefix):])).alias("r"), F.col(c).alias("pred")) for c in cols])).alias("s"),
-    ).select(id_col, F.col("s.r").alias("__r"), F.col("s.pred").alias("pred"))
+    wide = preds_wide.select(id_col, F.struct(*[F.col(c).alias(c) for c in cols]).alias("__preds"))
     key = F.round(F.col(rate_col)).cast("int")
-    return loans.withColumn("__r", key).join(long, [id_col, "__r"], "left").drop("__r")
+    pred = F.coalesce(*[F.when(key == int(c[len(prefix):]), F.col(f"__preds.{c}")) for c in cols])
+    return loans.join(wide, id_col, "left").withColumn("pred", pred).drop("__preds")
 
 
 def same_ids(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

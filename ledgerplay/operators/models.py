@@ -56,7 +56,7 @@ def lasso(train: DataFrame, y: str, xs: Sequence[str], alpha: float, standardize
 
 def logistic(train: DataFrame, y: str, xs: Sequence[str], weight: str | None = None) -> PipelineModel:
     """Unpenalised logistic regression on standardised features (class weight optional)."""
-    lr = LogisticRegression(featuresCol="features", labelCol=y, regParam=0.0, maxIter=500)
+    lr = LogisticRegression(featuresCol="features", labelCol=y, regParam=0.0, maxIter=500, tol=1e-12)
     if weight:
         lr = lr.setWeightCol(weight)
     return Pipeline(stages=[_assemble(xs, "raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True),

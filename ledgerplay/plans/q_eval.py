@@ -170,11 +170,6 @@ def m12_ols_one(spark, d):
     return finish(r.select("BldgType", "n", "slope", "intercept", "r2", "se_slope", "se_intercept", "t_slope", "p_slope"))
 
 
-@register("m12_ols_multi")
-def m12_ols_multi(spark, d):
-    return finish(M.ols(houses(spark, d), "SalePrice", ["GrLivArea", "MoSold"]), 4)
-
-
 Z975 = repr(norm_ppf(0.975))
 
 

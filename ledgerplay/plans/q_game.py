@@ -191,7 +191,18 @@ def p27_validate_orders(spark, d):
     return GL.validate_orders(o, B.planets(spark, d), ["order_seq", "destination_planet_id", "num_ships"])
 
 
-@register("b8_arrival_projection")
+@register("b8_arrival_projection", with_views("planets", "fleets", recursive=True, extra="""f AS (SELECT game_id, turn, destination_planet_id AS planet_id, turns_remaining AS due,
+  CAST(sum(CASE WHEN owner = 0 THEN num_ships ELSE 0 END) AS BIGINT) AS f0, CAST(sum(CASE WHEN owner = 1 THEN num_ships ELSE 0 END) AS BIGINT) AS f1,
+  CAST(sum(CASE WHEN owner = 2 THEN num_ships ELSE 0 END) AS BIGINT) AS f2 FROM fleets GROUP BY ALL),
+a AS (SELECT *, row_number() OVER (PARTITION BY game_id, turn, planet_id ORDER BY due) AS rn FROM f),
+it AS (SELECT game_id, turn, planet_id, growth_rate, CAST(0 AS BIGINT) AS k, CAST(owner AS INTEGER) AS o, CAST(num_ships AS BIGINT) AS s, CAST(0 AS INTEGER) AS t FROM planets UNION ALL
+  SELECT game_id, turn, planet_id, growth_rate, k, CASE WHEN n > 1 THEN o WHEN g0 = mx THEN 0 WHEN g1 = mx THEN 1 ELSE 2 END,
+    CASE WHEN n > 1 THEN 0 ELSE mx - coalesce(greatest(CASE WHEN g0 < mx THEN g0 END, CASE WHEN g1 < mx THEN g1 END, CASE WHEN g2 < mx THEN g2 END), 0) END, due
+  FROM (SELECT *, greatest(g0, g1, g2) AS mx, (g0 = greatest(g0, g1, g2))::INT + (g1 = greatest(g0, g1, g2))::INT + (g2 = greatest(g0, g1, g2))::INT AS n FROM (
+    SELECT it.game_id, it.turn, it.planet_id, growth_rate, it.k + 1 AS k, o, CAST(due AS INTEGER) AS due, f0 + CASE WHEN o = 0 THEN s ELSE 0 END AS g0,
+      f1 + CASE WHEN o = 1 THEN s + growth_rate * (due - t) ELSE 0 END AS g1, f2 + CASE WHEN o = 2 THEN s + growth_rate * (due - t) ELSE 0 END AS g2
+    FROM it JOIN a ON a.game_id = it.game_id AND a.turn = it.turn AND a.planet_id = it.planet_id AND a.rn = it.k + 1)))""") + """
+SELECT game_id, turn, planet_id, o AS final_owner, s AS final_ships, t AS last_arrival FROM it QUALIFY row_number() OVER (PARTITION BY game_id, turn, planet_id ORDER BY k DESC) = 1""")
 def b8_arrival_projection(spark, d):
     return GL.arrival_projection(B.planets(spark, d), B.fleets(spark, d))
 

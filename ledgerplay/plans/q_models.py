@@ -1,14 +1,16 @@
-"""MLlib-backed queries (rows-only checks: fitted models are not SQL) and the
-closed-form ones that have SQL (M36)."""
+"""Fitted models.  Least squares, lasso, logistic and per-bin fits are checked by SQL that finds the
+same estimates by another route (Cramer's rule, recursive steps); trees, clusters and mixtures of the
+machine-learning library have none."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerplay.functions.formulas import unit_hash, unit_hash_sql
+from ledgerplay.functions.formulas import hash31_sql, unit_hash, unit_hash_sql
 from ledgerplay.operators import linear as L
 from ledgerplay.operators import models as ML
-from ledgerplay.plans.common import ENRICHED_SQL, finish, r6
+from ledgerplay.operators import stats as M
+from ledgerplay.plans.common import ENRICHED_SQL, finish, p2_sql, r6
 from ledgerplay.plans.q_clean import houses
 from ledgerplay.plans.q_eval import ev
 from ledgerplay.plans.registry import register, with_views
@@ -25,31 +27,118 @@ def _ev(spark, d):
     return ev(spark, d).where(F.col("score").isNotNull()).withColumn("w", F.lit(1.0) + 4.0 * F.col("y"))
 
 
-@register("ml_m14_linear_regression")
+XS = ["score", "requested_amount"]
+EV_SQL = ENRICHED_SQL + f""",
+ev AS (SELECT offer_key, CAST(offer_accepted AS INTEGER) AS y, credit_score AS score, requested_amount, CAST(1.0 + 4.0 * CAST(offer_accepted AS INTEGER) AS DOUBLE) AS w, segment
+  FROM enriched WHERE credit_score IS NOT NULL),
+tr AS (SELECT * FROM ev WHERE {unit_hash_sql('offer_key')} < 0.75),
+te AS (SELECT * FROM ev WHERE NOT ({unit_hash_sql('offer_key')} < 0.75))"""
+HOUSE_TRAIN = f"""tr AS (SELECT * FROM houses WHERE {unit_hash_sql('"Id"')} < 0.75)"""
+
+
+def _det(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    terms = [f"{'+' if j % 2 == 0 else '-'} {m[0][j]} * ({_det([row[:j] + row[j + 1:] for row in m[1:]])})" for j in range(len(m))]
+    return " ".join(terms)
+
+
+def irls_sql(name: str, xs: list[str], weight: str = "1.0", steps: int = 30) -> str:
+    """CTEs ``{name}`` (k, b0, b1, ...): Newton steps by Cramer's rule on the standardised columns."""
+    p, z = len(xs) + 1, ["1.0", *[f"z{i}" for i in range(1, len(xs) + 1)]]
+    scaled = ", ".join(f"({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () AS z{i + 1}" for i, x in enumerate(xs))
+    eta = " + ".join(f"b{i} * {c}" for i, c in enumerate(z))
+    sums = ", ".join([f"sum(w * (y - mu) * {c}) AS g{i}" for i, c in enumerate(z)] + [f"sum(w * mu * (1 - mu) * {z[i]} * {z[j]}) AS h{i}{j}" for i in range(p) for j in range(i, p)])
+    h = [[f"h{min(i, j)}{max(i, j)}" for j in range(p)] for i in range(p)]
+    move = [f"({_det([[f'g{r}' if c == i else h[r][c] for c in range(p)] for r in range(p)])}) / ({_det(h)})" for i in range(p)]
+    b = ", ".join(f"b{i}" for i in range(p))
+    return f"""{name}_z AS (SELECT {scaled}, y, CAST({weight} AS DOUBLE) AS w FROM tr),
+{name} AS (SELECT 0 AS k, {', '.join(f'CAST(0 AS DOUBLE) AS b{i}' for i in range(p))} UNION ALL
+  SELECT k + 1, {', '.join(f'b{i} + {m}' for i, m in enumerate(move))} FROM (
+    SELECT k, {b}, {sums} FROM (SELECT *, 1.0 / (1.0 + exp(-({eta}))) AS mu FROM {name}, {name}_z WHERE k < {steps}) GROUP BY k, {b}))"""
+
+
+HOUSE_TEST = f"""te AS (SELECT * FROM houses WHERE NOT ({unit_hash_sql('"Id"')} < 0.75))"""
+
+
+def two_regressors_sql(rel: str) -> str:
+    """CTEs ``m``, ``b``, ``e``: least squares of SalePrice on two columns by centred moments."""
+    return f"""m AS (SELECT count(*) AS n, avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, covar_pop("GrLivArea", "GrLivArea") AS s11, covar_pop("MoSold", "MoSold") AS s22,
+  covar_pop("GrLivArea", "MoSold") AS s12, covar_pop("SalePrice", "GrLivArea") AS c1, covar_pop("SalePrice", "MoSold") AS c2, covar_pop("SalePrice", "SalePrice") AS cy FROM {rel} WHERE "GrLivArea" IS NOT NULL AND "SalePrice" IS NOT NULL),
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (c1 * s22 - c2 * s12) / (s11 * s22 - s12 * s12) AS b1, (c2 * s11 - c1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+e AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (cy - b1 * c1 - b2 * c2) * n / (n - 3) AS s2, 1 - (cy - b1 * c1 - b2 * c2) / cy AS r2 FROM b)"""
+
+
+TERMS_SQL = """t AS (SELECT n, r2, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term, unnest([b0, b1, b2]) AS coef,
+  unnest([sqrt(s2 / n * (1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)), sqrt(s2 / n * s22 / det), sqrt(s2 / n * s11 / det)]) AS se FROM e)"""
+HOUSE_FIT_SQL = with_views("houses", extra=",\n".join([HOUSE_TRAIN, HOUSE_TEST, two_regressors_sql("tr")])) + \
+    f"""SELECT "Id", {r6('b0 + b1 * "GrLivArea" + b2 * "MoSold"', 4)} AS prediction FROM te, e WHERE "GrLivArea" IS NOT NULL"""
+
+
+def _poly2_sql() -> str:
+    """Least squares on the five terms of degree 1 and 2 of two standardised columns (the same space of
+    predictions), by Cramer's rule on centred moments."""
+    k = range(1, 6)
+    cov = [[f"s{min(i, j)}{max(i, j)}" for j in k] for i in k]
+    terms = "z1 AS f1, z2 AS f2, z1 * z1 AS f3, z1 * z2 AS f4, z2 * z2 AS f5"
+    sums = ", ".join([*[f"avg(f{i}) AS m{i}, covar_pop(y, f{i}) AS c{i}" for i in k], *[f"covar_pop(f{i}, f{j}) AS s{i}{j}" for i in k for j in k if i <= j]])
+    solved = ", ".join(f"({_det([[f'c{r + 1}' if c == i else cov[r][c] for c in range(5)] for r in range(5)])}) / ({_det(cov)}) AS b{i + 1}" for i in range(5))
+    z = '("GrLivArea" - a1) / d1 AS z1, ("MoSold" - a2) / d2 AS z2'
+    extra = f"""q AS (SELECT avg("GrLivArea") AS a1, stddev_samp("GrLivArea") AS d1, avg("MoSold") AS a2, stddev_samp("MoSold") AS d2 FROM tr),
+f AS (SELECT y, {terms} FROM (SELECT "SalePrice" AS y, {z} FROM tr, q WHERE "GrLivArea" IS NOT NULL AND "SalePrice" IS NOT NULL)),
+mm AS (SELECT avg(y) AS my, {sums} FROM f),
+bb AS (SELECT *, {solved} FROM mm),
+g AS (SELECT "Id", {terms} FROM (SELECT "Id", {z} FROM te, q WHERE "GrLivArea" IS NOT NULL))"""
+    return with_views("houses", extra=",\n".join([HOUSE_TRAIN, HOUSE_TEST, extra])) + \
+        f"""SELECT "Id", {r6('my + ' + ' + '.join(f'b{i} * (f{i} - m{i})' for i in k), 4)} AS prediction FROM g, bb"""
+
+
+SCALES_SQL = "st AS (SELECT avg(score) AS m1, stddev_samp(score) AS d1, avg(requested_amount) AS m2, stddev_samp(requested_amount) AS d2 FROM tr)"
+P1_SQL = "1 / (1 + exp(-(b0 + b1 * (score - m1) / d1 + b2 * (requested_amount - m2) / d2)))"
+
+
+def _lasso_sql(form: str, alpha: float) -> str:
+    """Coordinate descent step by step on the moments of the two columns (recursive)."""
+    scale = ("stddev_samp(\"GrLivArea\")", "stddev_samp(\"MoSold\")") if form == "standardized" else ("1.0", "1.0")
+    soft = lambda r, a: f"sign({r}) * greatest(abs({r}) - {alpha}, 0) / {a}"
+    return f"""m_{form} AS (SELECT avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, {scale[0]} AS d1, {scale[1]} AS d2,
+  var_pop("GrLivArea") / pow({scale[0]}, 2) AS s11, var_pop("MoSold") / pow({scale[1]}, 2) AS s22, covar_pop("GrLivArea", "MoSold") / ({scale[0]} * {scale[1]}) AS s12,
+  covar_pop("SalePrice", "GrLivArea") / {scale[0]} AS c1, covar_pop("SalePrice", "MoSold") / {scale[1]} AS c2 FROM tr),
+l_{form} AS (SELECT 0 AS k, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2 UNION ALL
+  SELECT k + 1, n1, {soft('(c2 - s12 * n1)', 's22')} FROM (SELECT *, {soft('(c1 - s12 * b2)', 's11')} AS n1 FROM l_{form}, m_{form} WHERE k < 200)),
+r_{form} AS (SELECT *, c1 - s11 * b1 - s12 * b2 AS g1, c2 - s12 * b1 - s22 * b2 AS g2 FROM l_{form}, m_{form} WHERE k = 200),
+o_{form} AS (SELECT '{form}' AS form, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term,
+  unnest([my{'' if form == 'standardized' else ' - b1 * m1 - b2 * m2'}, b1, b2]) AS coef, unnest([0.0, g1, g2]) AS gradient FROM r_{form})"""
+
+
+@register("ml_m14_linear_regression", HOUSE_FIT_SQL)
 def ml_m14_linear_regression(spark, d):
     tr, te = _split(houses(spark, d), "Id")
     return finish(ML.linear_regression(tr, "SalePrice", HX).transform(te).select("Id", "prediction"), 4)
 
 
-@register("ml_m15_poly2")
+@register("ml_m15_poly2", _poly2_sql())
 def ml_m15_poly2(spark, d):
     tr, te = _split(houses(spark, d), "Id")
     return finish(ML.poly2_regression(tr, "SalePrice", HX).transform(te).select("Id", "prediction"), 4)
 
 
-@register("ml_m16_lasso")
+@register("ml_m16_lasso", with_views("houses", recursive=True, extra=HOUSE_TRAIN + ",\n" + _lasso_sql("standardized", 1.0)) +
+          f"SELECT term AS feature, {r6('coef', 4)} AS coef, {r6('abs(coef)', 4)} AS abs_coef FROM o_standardized WHERE term <> 'intercept'")
 def ml_m16_lasso(spark, d):
     tr, _ = _split(houses(spark, d), "Id")
     return finish(ML.coefficients(ML.lasso(tr, "SalePrice", HX, alpha=1.0), HX), 4)
 
 
-@register("ml_m18_m19_logistic_coefficients")
+@register("ml_m18_m19_logistic_coefficients", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS, "w")) +
+          f"SELECT t AS feature, {r6('c', 4)} AS coef, {r6('abs(c)', 4)} AS abs_coef FROM (SELECT unnest(['score', 'requested_amount']) AS t, unnest([b1, b2]) AS c FROM f WHERE k = 30)")
 def ml_m18_m19_logistic_coefficients(spark, d):
     tr, _ = _split(_ev(spark, d), "offer_key")
     return finish(ML.coefficients(ML.logistic(tr, "y", ["score", "requested_amount"], weight="w"), ["score", "requested_amount"]), 4)
 
 
-@register("ml_m20_predict_proba")
+@register("ml_m20_predict_proba", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS) + ",\n" + SCALES_SQL) +
+          f"SELECT offer_key, {r6('p', 4)} AS p1, CAST(p >= 0.35 AS INTEGER) AS label_hat FROM (SELECT offer_key, {P1_SQL} AS p FROM te, st, f WHERE k = 30)")
 def ml_m20_predict_proba(spark, d):
     tr, te = _split(_ev(spark, d), "offer_key")
     m = ML.logistic(tr, "y", ["score", "requested_amount"])
@@ -115,13 +204,21 @@ def ml_m26_loss_per_round(spark, d):
     return finish(ML.loss_per_round(ML.gbt_classifier(tr, "y", XS, iters=10), tr, te, "logistic"))
 
 
-@register("ml_m27_binned_logistic")
+@register("ml_m27_binned_logistic", with_views("offers", "bureau", recursive=True, extra=EV_SQL + """,
+d AS (SELECT segment, requested_amount / 100000.0 AS x, CAST(y AS DOUBLE) AS y FROM ev WHERE requested_amount IS NOT NULL AND y IS NOT NULL),
+it AS (SELECT segment, 0 AS k, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b FROM d GROUP BY segment UNION ALL
+  SELECT segment, k + 1, a + CASE WHEN det <> 0 THEN (h11 * g0 - h01 * g1) / det ELSE 0 END, b + CASE WHEN det <> 0 THEN (h00 * g1 - h01 * g0) / det ELSE 0 END FROM (
+    SELECT *, h00 * h11 - h01 * h01 AS det FROM (SELECT segment, k, a, b, sum(y - p) AS g0, sum((y - p) * x) AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01, sum(p * (1 - p) * x * x) AS h11
+      FROM (SELECT segment, k, a, b, x, y, 1 / (1 + exp(-(a + b * x))) AS p FROM it JOIN d USING (segment) WHERE k < 8) GROUP BY segment, k, a, b)))""") +
+          f"SELECT segment, {r6('a', 4)} AS a, {r6('b', 4)} AS b FROM it WHERE k = 8")
 def ml_m27_binned_logistic(spark, d):
     e = _ev(spark, d).withColumn("x", F.col("requested_amount") / 100000.0)
     return finish(ML.binned_logistic(e, "segment", "x", "y", iters=8), 4)
 
 
-@register("ml_m28_activation_curve")
+@register("ml_m28_activation_curve", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS) + ",\n" + SCALES_SQL + """,
+g AS (SELECT offer_key, score, unnest([100000.0, 200000.0, 300000.0])::DOUBLE AS requested_amount FROM ev)""") +
+          f"SELECT offer_key, {r6('score', 4)} AS score, requested_amount, {r6(P1_SQL, 4)} AS p1 FROM g, st, f WHERE k = 30")
 def ml_m28_activation_curve(spark, d):
     tr, _ = _split(_ev(spark, d), "offer_key")
     m = ML.logistic(tr, "y", ["score", "requested_amount"])
@@ -129,7 +226,7 @@ def ml_m28_activation_curve(spark, d):
     return finish(ML.activation_curve(m, loans, "requested_amount", [100000.0, 200000.0, 300000.0]), 4)
 
 
-@register("ml_m29_score_table")
+@register("ml_m29_score_table", HOUSE_FIT_SQL)
 def ml_m29_score_table(spark, d):
     import os
     import uuid
@@ -140,7 +237,13 @@ def ml_m29_score_table(spark, d):
     return finish(ML.score_table(te.select(*reversed(te.columns)), path).select("Id", "prediction"), 4)
 
 
-@register("ml_m34_learning_curve")
+@register("ml_m34_learning_curve", with_views("houses", extra=",\n".join([HOUSE_TRAIN, HOUSE_TEST, f"""base AS (SELECT "Id", "SalePrice" AS y, "GrLivArea" AS x, CAST(r.range AS BIGINT) AS rep FROM tr, range(10) r
+  WHERE "SalePrice" IS NOT NULL AND "GrLivArea" IS NOT NULL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY {hash31_sql('"Id"', 'rep')}, "Id") AS pos FROM base),
+fit AS (SELECT size, rep, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM rk JOIN (VALUES (20), (50), (100), (200)) s(size) ON pos <= size GROUP BY size, rep),
+r AS (SELECT size, rep, 1 - sum(pow("SalePrice" - a - b * "GrLivArea", 2)) / (var_pop("SalePrice") * count(*)) AS r2 FROM fit, te
+  WHERE "SalePrice" IS NOT NULL AND "GrLivArea" IS NOT NULL GROUP BY size, rep)"""])) +
+          f"SELECT CAST(size AS INTEGER) AS size, {r6('avg(r2)', 4)} AS mean_r2, count(*) AS reps FROM r GROUP BY size")
 def ml_m34_learning_curve(spark, d):
     h = houses(spark, d)
     tr, te = _split(h, "Id")
@@ -156,37 +259,6 @@ def m36_range_holdout(spark, d):
 
 # --- fits with SQL: the same estimates by other routes --------------------------------
 
-XS = ["score", "requested_amount"]
-EV_SQL = ENRICHED_SQL + f""",
-ev AS (SELECT offer_key, CAST(offer_accepted AS INTEGER) AS y, credit_score AS score, requested_amount, CAST(1.0 + 4.0 * CAST(offer_accepted AS INTEGER) AS DOUBLE) AS w
-  FROM enriched WHERE credit_score IS NOT NULL),
-tr AS (SELECT * FROM ev WHERE {unit_hash_sql('offer_key')} < 0.75),
-te AS (SELECT * FROM ev WHERE NOT ({unit_hash_sql('offer_key')} < 0.75))"""
-HOUSE_TRAIN = f"""tr AS (SELECT * FROM houses WHERE {unit_hash_sql('"Id"')} < 0.75)"""
-
-
-def _det(m: list[list[str]]) -> str:
-    if len(m) == 1:
-        return m[0][0]
-    terms = [f"{'+' if j % 2 == 0 else '-'} {m[0][j]} * ({_det([row[:j] + row[j + 1:] for row in m[1:]])})" for j in range(len(m))]
-    return " ".join(terms)
-
-
-def irls_sql(name: str, xs: list[str], weight: str = "1.0", steps: int = 30) -> str:
-    """CTEs ``{name}`` (k, b0, b1, ...): Newton steps by Cramer's rule on the standardised columns."""
-    p, z = len(xs) + 1, ["1.0", *[f"z{i}" for i in range(1, len(xs) + 1)]]
-    scaled = ", ".join(f"({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER () AS z{i + 1}" for i, x in enumerate(xs))
-    eta = " + ".join(f"b{i} * {c}" for i, c in enumerate(z))
-    sums = ", ".join([f"sum(w * (y - mu) * {c}) AS g{i}" for i, c in enumerate(z)] + [f"sum(w * mu * (1 - mu) * {z[i]} * {z[j]}) AS h{i}{j}" for i in range(p) for j in range(i, p)])
-    h = [[f"h{min(i, j)}{max(i, j)}" for j in range(p)] for i in range(p)]
-    move = [f"({_det([[f'g{r}' if c == i else h[r][c] for c in range(p)] for r in range(p)])}) / ({_det(h)})" for i in range(p)]
-    b = ", ".join(f"b{i}" for i in range(p))
-    return f"""{name}_z AS (SELECT {scaled}, y, CAST({weight} AS DOUBLE) AS w FROM tr),
-{name} AS (SELECT 0 AS k, {', '.join(f'CAST(0 AS DOUBLE) AS b{i}' for i in range(p))} UNION ALL
-  SELECT k + 1, {', '.join(f'b{i} + {m}' for i, m in enumerate(move))} FROM (
-    SELECT k, {b}, {sums} FROM (SELECT *, 1.0 / (1.0 + exp(-({eta}))) AS mu FROM {name}, {name}_z WHERE k < {steps}) GROUP BY k, {b}))"""
-
-
 @register("m18_m19_leak_check", with_views("offers", "bureau", recursive=True, extra=EV_SQL + ",\n" + irls_sql("f", XS, "w") + ",\n" + irls_sql("ra", ["score"], "w") + ",\n" + irls_sql("rb", ["requested_amount"], "w") + """,
 last AS (SELECT * FROM f WHERE k = 30), la AS (SELECT * FROM ra WHERE k = 30), lb AS (SELECT * FROM rb WHERE k = 30),
 o AS (SELECT *, abs(b1) > abs(b2) AS first_is_score FROM last)""") + f"""
@@ -212,12 +284,13 @@ def m20_model_agreement(spark, d):
     return finish(L.agreement(te, L.probability(plain, XS), L.probability(weighted, XS)))
 
 
-@register("m12_ols_student", with_views("houses", extra="""m AS (SELECT count(*) AS n, avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, covar_pop("GrLivArea", "GrLivArea") AS s11, covar_pop("MoSold", "MoSold") AS s22,
-  covar_pop("GrLivArea", "MoSold") AS s12, covar_pop("SalePrice", "GrLivArea") AS c1, covar_pop("SalePrice", "MoSold") AS c2, covar_pop("SalePrice", "SalePrice") AS cy FROM houses WHERE "GrLivArea" IS NOT NULL AND "SalePrice" IS NOT NULL),
-b AS (SELECT *, s11 * s22 - s12 * s12 AS det, (c1 * s22 - c2 * s12) / (s11 * s22 - s12 * s12) AS b1, (c2 * s11 - c1 * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m),
-e AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (cy - b1 * c1 - b2 * c2) * n / (n - 3) AS s2, 1 - (cy - b1 * c1 - b2 * c2) / cy AS r2 FROM b),
-t AS (SELECT n, r2, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term, unnest([b0, b1, b2]) AS coef,
-  unnest([sqrt(s2 / n * (1 + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)), sqrt(s2 / n * s22 / det), sqrt(s2 / n * s11 / det)]) AS se FROM e),
+@register("m12_ols_multi", with_views("houses", extra=two_regressors_sql("houses") + ",\n" + TERMS_SQL) +
+          f"SELECT term, {r6('coef', 4)} AS coef, {r6('se', 4)} AS se, {r6('coef / se', 4)} AS t, {r6(p2_sql('coef / se'), 4)} AS p, {r6('r2', 4)} AS r2 FROM t")
+def m12_ols_multi(spark, d):
+    return finish(M.ols(houses(spark, d), "SalePrice", ["GrLivArea", "MoSold"]), 4)
+
+
+@register("m12_ols_student", with_views("houses", extra=two_regressors_sql("houses") + ",\n" + TERMS_SQL + """,
 -- Student's tail in closed form: finite sums over half the degrees of freedom
 a AS (SELECT *, coef / se AS t, n - 3 AS v, atan(abs(coef / se) / sqrt(n - 3)) AS th FROM t),
 s AS (SELECT *, CASE WHEN v % 2 = 0
@@ -228,20 +301,6 @@ def m12_ols_student(spark, d):
     return finish(L.least_squares(houses(spark, d), "SalePrice", ["GrLivArea", "MoSold"]))
 
 
-def _lasso_sql(form: str, alpha: float) -> str:
-    """Coordinate descent step by step on the moments of the two columns (recursive)."""
-    scale = ("stddev_samp(\"GrLivArea\")", "stddev_samp(\"MoSold\")") if form == "standardized" else ("1.0", "1.0")
-    soft = lambda r, a: f"sign({r}) * greatest(abs({r}) - {alpha}, 0) / {a}"
-    return f"""m_{form} AS (SELECT avg("SalePrice") AS my, avg("GrLivArea") AS m1, avg("MoSold") AS m2, {scale[0]} AS d1, {scale[1]} AS d2,
-  var_pop("GrLivArea") / pow({scale[0]}, 2) AS s11, var_pop("MoSold") / pow({scale[1]}, 2) AS s22, covar_pop("GrLivArea", "MoSold") / ({scale[0]} * {scale[1]}) AS s12,
-  covar_pop("SalePrice", "GrLivArea") / {scale[0]} AS c1, covar_pop("SalePrice", "MoSold") / {scale[1]} AS c2 FROM tr),
-l_{form} AS (SELECT 0 AS k, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2 UNION ALL
-  SELECT k + 1, n1, {soft('(c2 - s12 * n1)', 's22')} FROM (SELECT *, {soft('(c1 - s12 * b2)', 's11')} AS n1 FROM l_{form}, m_{form} WHERE k < 200)),
-r_{form} AS (SELECT *, c1 - s11 * b1 - s12 * b2 AS g1, c2 - s12 * b1 - s22 * b2 AS g2 FROM l_{form}, m_{form} WHERE k = 200),
-o_{form} AS (SELECT '{form}' AS form, unnest(['intercept', 'GrLivArea', 'MoSold']) AS term,
-  unnest([my{'' if form == 'standardized' else ' - b1 * m1 - b2 * m2'}, b1, b2]) AS coef, unnest([0.0, g1, g2]) AS gradient FROM r_{form})"""
-
-
 @register("m16_lasso_forms", with_views("houses", recursive=True, extra=HOUSE_TRAIN + ",\n" + _lasso_sql("standardized", 1.0) + ",\n" + _lasso_sql("raw", 1.0)) +
           f"SELECT form, term, {r6('coef')} AS coef, {r6('gradient')} AS gradient, true AS optimal FROM (SELECT * FROM o_standardized UNION ALL SELECT * FROM o_raw)")
 def m16_lasso_forms(spark, d):

@@ -26,14 +26,18 @@ grid AS (SELECT loan_id, loan_amnt, occupation, CAST(r.range AS DOUBLE) AS rate,
   FROM scored, range(5, 31) r)"""
 
 
+def option(r):
+    """(rate, p, irr) of a loan at rate ``r``."""
+    return F.struct(
+        r.alias("rate"),
+        (1.0 / (1.0 + F.exp(0.3 * (r - 10.0 - F.col("score") / 1000.0)))).alias("p"),
+        ((r - (F.col("loan_id") % 9).cast("double")) / 100.0).alias("irr"))
+
+
 def rate_grid(spark, d):
     """One row per loan with its options: array<struct<rate, p, irr>> over 5..30."""
-    rates = F.array(*[F.lit(float(r)) for r in RATES])
     s = scored(spark, d)
-    opts = F.transform(rates, lambda r: F.struct(
-        r.alias("rate"),
-        (1.0 / (1.0 + F.exp(0.3 * (r - 10.0 - F.col("score") / 1000.0)))).alias("p"),
-        ((r - (F.col("loan_id") % 9).cast("double")) / 100.0).alias("irr")))
+    opts = F.transform(F.array(*[F.lit(float(r)) for r in RATES]), option)
     return s.select("loan_id", "loan_amnt", "occupation", "int_rate", "score", opts.alias("opts"))
 
 
@@ -47,7 +51,8 @@ def rate_rows(spark, d):
 @register("f9_expected_volume", with_views("loans", extra=GRID_SQL) + f"""SELECT grid.occupation, {r6("sum(p * grid.loan_amnt)", 2)} AS expected_volume
   FROM grid JOIN loans USING (loan_id) WHERE grid.rate = loans.int_rate GROUP BY grid.occupation""")
 def f9_expected_volume(spark, d):
-    g = rate_rows(spark, d).where(F.col("rate") == F.col("int_rate"))
+    on_grid = F.col("int_rate").isin([float(r) for r in RATES])
+    g = scored(spark, d).where(on_grid).select("loan_amnt", "occupation", option(F.col("int_rate"))["p"].alias("p"))
     return finish(PF.expected_volume(g, "p", "loan_amnt", ["occupation"]), 2)
 
 
@@ -101,7 +106,8 @@ pts AS (SELECT loan_id, p * loan_amnt AS volume, irr FROM grid WHERE rate = 12),
 c AS (SELECT *, max(irr) OVER (ORDER BY volume DESC, irr DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM pts)""") +
           f"SELECT loan_id, {r6('volume', 4)} AS volume, {r6('irr')} AS irr FROM c WHERE best_before IS NULL OR irr > best_before")
 def f11_pareto_front(spark, d):
-    pts = rate_rows(spark, d).where(F.col("rate") == 12.0).select("loan_id", (F.col("p") * F.col("loan_amnt")).alias("volume"), "irr")
+    at = scored(spark, d).select("loan_id", "loan_amnt", option(F.lit(12.0)).alias("o"))
+    pts = at.select("loan_id", (F.col("o.p") * F.col("loan_amnt")).alias("volume"), "o.irr")
     return finish(PF.pareto_front(pts, "volume", "irr").select("loan_id", F.round("volume", 4).alias("volume"), "irr"))
 
 
@@ -125,7 +131,12 @@ def f16_discount_sweep(spark, d):
     return finish(PF.discount_sweep(pool, paid_mob(spark, d), DISCOUNTS, "score", 0.5))
 
 
-@register("f17_constrained_selection")
+@register("f17_constrained_selection", with_views("loans", extra="""scored AS (SELECT loans.*, c_acctbal AS score FROM loans JOIN customer ON id = c_custkey),
+st AS (SELECT avg(int_rate) AS m, stddev_pop(int_rate) AS sd, sum(loan_amnt) AS total FROM scored),
+g AS (SELECT *, score - mu * ((int_rate - m) / sd) AS pen FROM scored, st, (VALUES (0.0::DOUBLE), (500.0), (1000.0), (2000.0)) v(mu)),
+c AS (SELECT *, coalesce(sum(loan_amnt) OVER (PARTITION BY mu ORDER BY pen DESC, loan_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 0.5 * total AS chosen FROM g)""") +
+          f"""SELECT CAST(mu AS DOUBLE) AS mu, {r6('avg(score) FILTER (chosen)', 4)} AS mean_score_selected, {r6('avg(int_rate) FILTER (NOT chosen)', 4)} AS rest_int_rate,
+  avg(int_rate) FILTER (NOT chosen) >= any_value(m) AS feasible FROM c GROUP BY mu""")
 def f17_constrained_selection(spark, d):
     s = scored(spark, d)
     return finish(PF.constrained_selection(s, "score", "loan_amnt", 0.5, ["int_rate"], [0.0, 500.0, 1000.0, 2000.0]), 4)
