@@ -270,5 +270,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn, label_col: str = "
     """
     stats = materialize(document_statistics(docs))
     known = labels.select("doc_id", F.col(label_col).alias("label")).where("doc_id IS NOT NULL").where(learn).distinct()
-    rows = stats.join(known, "doc_id").select("stats", "label", F.col("doc_id").alias("pick"))
+    rows = materialize(stats.join(known, "doc_id").select("stats", "label", F.col("doc_id").alias("pick")))
     return predict(stats, fit(rows, max_labelled), threshold)
