@@ -176,17 +176,22 @@ def lasso(df: DataFrame, y: str, xs: Sequence[str], alpha: float, standardized:
     return df.sparkSession.createDataFrame(rows, "term string, coef double, gradient double, optimal boolean")
 
 
-def first_axis(df: DataFrame, cols: Sequence[str], rounds: int = 500) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Means, sample deviations and first principal axis of the standardised columns (power
-    iteration on the correlation matrix; first loading that is not 0 positive)."""
+def first_axis(df: DataFrame, cols: Sequence[str], rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Means, sample deviations and first principal axis of the standardised columns; first
+    loading that is not 0 positive.
+
+    Power iteration by squaring the correlation matrix: ``rounds`` squarings are 2^rounds steps,
+    so columns that are hardly correlated (nearly equal axes) converge too."""
     n, mean, cov = moments(df, cols)
     dev = np.sqrt(np.diag(cov))
     if not dev.all():
         raise ValueError("a constant column has no correlation")
-    corr, v = cov / np.outer(dev, dev), np.arange(len(cols), 0, -1.0)
+    power = cov / np.outer(dev, dev)
     for _ in range(rounds):
-        v = corr @ v
-        v /= np.sqrt(v @ v)
+        power = power @ power
+        power /= np.sqrt((power * power).sum())
+    v = power @ np.arange(len(cols), 0, -1.0)
+    v /= np.sqrt(v @ v)
     v *= np.sign(v[np.flatnonzero(np.abs(v) > 1e-12)[0]])
     return mean, dev * np.sqrt(n / max(1, n - 1)), v
 

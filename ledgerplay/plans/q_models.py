@@ -155,7 +155,18 @@ def ml_m22_kmeans_same_result(spark, d):
     return ML.kmeans_twice_agree(houses(spark, d), ["SalePrice", "GrLivArea"], 4, 11, "Id")
 
 
-@register("ml_m23_pca_first")
+FIRST_AXIS_SQL = with_views("houses", recursive=True, extra="""c AS (SELECT corr("SalePrice", "GrLivArea") AS r12, corr("SalePrice", "MoSold") AS r13, corr("GrLivArea", "MoSold") AS r23 FROM houses),
+q AS (SELECT 0 AS k, CAST(1 AS DOUBLE) AS a11, r12 AS a12, r13 AS a13, CAST(1 AS DOUBLE) AS a22, r23 AS a23, CAST(1 AS DOUBLE) AS a33 FROM c UNION ALL
+  SELECT k + 1, p11 / l, p12 / l, p13 / l, p22 / l, p23 / l, p33 / l FROM (SELECT *, sqrt(p11 * p11 + p22 * p22 + p33 * p33 + 2 * (p12 * p12 + p13 * p13 + p23 * p23)) AS l FROM (
+    SELECT k, a11 * a11 + a12 * a12 + a13 * a13 AS p11, a11 * a12 + a12 * a22 + a13 * a23 AS p12, a11 * a13 + a12 * a23 + a13 * a33 AS p13,
+      a12 * a12 + a22 * a22 + a23 * a23 AS p22, a12 * a13 + a22 * a23 + a23 * a33 AS p23, a13 * a13 + a23 * a23 + a33 * a33 AS p33 FROM q WHERE k < 50))),
+v AS (SELECT 3 * a11 + 2 * a12 + a13 AS x, 3 * a12 + 2 * a22 + a23 AS y, 3 * a13 + 2 * a23 + a33 AS z FROM q WHERE k = 50),
+it AS (SELECT x / sqrt(x * x + y * y + z * z) AS x, y / sqrt(x * x + y * y + z * z) AS y, z / sqrt(x * x + y * y + z * z) AS z FROM v),
+s AS (SELECT avg("SalePrice") AS m1, stddev_samp("SalePrice") AS d1, avg("GrLivArea") AS m2, stddev_samp("GrLivArea") AS d2, avg("MoSold") AS m3, stddev_samp("MoSold") AS d3 FROM houses)""") + \
+    f"""SELECT "Id", {r6('sign(x) * (x * ("SalePrice" - m1) / d1 + y * ("GrLivArea" - m2) / d2 + z * ("MoSold" - m3) / d3)', 4)} AS pc1 FROM houses, s, it"""
+
+
+@register("ml_m23_pca_first", FIRST_AXIS_SQL)
 def ml_m23_pca_first(spark, d):
     return finish(ML.pca_first(houses(spark, d), ["SalePrice", "GrLivArea", "MoSold"]).select("Id", "pc1"), 4)
 
@@ -309,10 +320,6 @@ def m16_lasso_forms(spark, d):
     return finish(forms[0].unionByName(forms[1]))
 
 
-@register("m23_first_axis", with_views("houses", recursive=True, extra="""c AS (SELECT corr("SalePrice", "GrLivArea") AS r12, corr("SalePrice", "MoSold") AS r13, corr("GrLivArea", "MoSold") AS r23 FROM houses),
-it AS (SELECT 0 AS k, CAST(3 AS DOUBLE) AS x, CAST(2 AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS z UNION ALL
-  SELECT k + 1, a / l, b / l, g / l FROM (SELECT *, sqrt(a * a + b * b + g * g) AS l FROM (SELECT k, x + r12 * y + r13 * z AS a, r12 * x + y + r23 * z AS b, r13 * x + r23 * y + z AS g FROM it, c WHERE k < 500))),
-s AS (SELECT avg("SalePrice") AS m1, stddev_samp("SalePrice") AS d1, avg("GrLivArea") AS m2, stddev_samp("GrLivArea") AS d2, avg("MoSold") AS m3, stddev_samp("MoSold") AS d3 FROM houses)""") +
-          f"""SELECT "Id", {r6('sign(x) * (x * ("SalePrice" - m1) / d1 + y * ("GrLivArea" - m2) / d2 + z * ("MoSold" - m3) / d3)', 4)} AS pc1 FROM houses, s, it WHERE k = 500""")
+@register("m23_first_axis", FIRST_AXIS_SQL)
 def m23_first_axis(spark, d):
     return finish(L.principal_first(houses(spark, d), ["SalePrice", "GrLivArea", "MoSold"]).select("Id", "pc1"), 4)

@@ -131,3 +131,14 @@ def test_selection_meets_its_guards_and_rounds_do_not_lose(spark):
         seen.append(s[2])
     assert seen[1] >= seen[0]
     assert best_feasible_selection(df, "score", "amount", 0.25, {"rate": -1, "fico": 1}, [0.0], 1).count() == 0  # greedy by score alone breaks a guard
+
+
+def test_first_axis_of_hardly_correlated_columns(spark):
+    """Largest roots 1.0005 and 1: plain power steps would need thousands."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(400, 3))
+    x -= x.mean(0)
+    x = x @ np.linalg.inv(np.linalg.cholesky(np.cov(x.T))).T  # exactly uncorrelated
+    x = x @ np.linalg.cholesky(np.array([[1, 0.0005, 0], [0.0005, 1, 0], [0, 0, 1]])).T
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double")
+    assert L.first_axis(df, ["a", "b", "c"])[2] == pytest.approx([np.sqrt(0.5), np.sqrt(0.5), 0.0], abs=1e-6)
