@@ -58,5 +58,6 @@ def test_importances_equal_the_models_own(spark):
     for name, want in zip(names, model.stages[-1].featureImportances.toArray()):
         assert abs(got[name] - want) < 1e-6
     table = ML.loss_per_round(model, df, df, "squared").orderBy("round").collect()
-    assert [r["train_loss"] for r in table] == train and [r["test_loss"] for r in table] == test
+    # partial sums merge in any order, so the last bits differ from run to run
+    assert [r["train_loss"] for r in table] == pytest.approx(train, rel=1e-12) and [r["test_loss"] for r in table] == pytest.approx(test, rel=1e-12)
     assert table[-1]["train_loss"] < table[0]["train_loss"]
