@@ -43,7 +43,8 @@ def qr_factor(df: DataFrame, cols: Sequence[str], shift: Sequence[float]) -> np.
         for pdf in batches:
             x = pdf[list(cols)].to_numpy(dtype=float) - np.asarray(shift)
             r = _triangle(np.vstack([r, np.column_stack([np.ones(len(x)), x])]))
-        yield pd.DataFrame({"part": [0] * len(r), "r": list(r)})
+        if len(r):  # a split without rows has no factor (and an empty column no list type)
+            yield pd.DataFrame({"part": [0] * len(r), "r": list(r)})
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         r = _triangle(np.vstack(pdf["r"].to_list()))
