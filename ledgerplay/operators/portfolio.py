@@ -9,10 +9,12 @@ totals (a handful of rows) are ever ordered globally.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerplay.operators import cashflow as C
 from ledgerplay.operators import stats as M
@@ -20,6 +22,9 @@ from ledgerplay.operators import windows as W
 from ledgerplay.operators.prefix import join_null_safe, prefix_agg
 from ledgerplay.session import cut_lineage
 
+BINS = 512  # ranges of one combination in one pass
+OPEN_SHARE = 0.25  # rows put in order, as a share of the table
+
 
 def volume_irr_curve(binned: DataFrame, cf: DataFrame, bin_col: str = "bin", key: str = "loan_id",
                      amount: str = "loan_amnt") -> DataFrame:
@@ -180,15 +185,26 @@ def best_feasible_selection(df: DataFrame, score: str, amount: str, share: float
     ``guards`` gives the direction of each guard column: +1, the selected rows' mean must
     not be below the pool's, -1, not above.  A row's penalised score is its standardised
     score plus, per guard, multiplier * direction * standardised guard (the Lagrangian).
-    All combinations of ``multipliers`` are one job: every row is expanded by the grid, running
-    volumes come from ranges of (combination, score, key).  The feasible combination with
+    All combinations of ``multipliers`` are one job.  A combination's selection ends at one row,
+    found without ordering the table once per combination: one aggregate gives the volume of ``BINS``
+    equal ranges of each combination's penalised score, the ranges above the end count whole, and the
+    range that holds the end is divided again (by the key, when all its rows have one score) until
+    the open ranges together hold at most ``OPEN_SHARE`` of the table's rows; only those are
+    put in order.  (Keys that are no numbers are not divided.  With negative amounts the running
+    volume may fall again, so all rows are put in order.)  The feasible combination with
     the largest mean score wins (ties: the first); each further round tries
     the combinations half a step around it.  Returns the selected rows (key, score, amount,
     guards) with the winning ``mu`` per guard, and no rows if no combination is feasible.
     """
     names = list(guards)
     d = cut_lineage(df.select(key, score, amount, *names).dropna())
-    st = d.agg(*[F.avg(c).alias(f"m_{c}") for c in [score, *names]], *[F.stddev_pop(c).alias(f"s_{c}") for c in [score, *names]]).first()
+    st = d.agg(F.count("*").alias("n"), F.sum(amount).alias("total"), F.min(amount).alias("least"), *[f(c).alias(f"{n}_{c}") for c in [score, *names] for n, f in
+               (("m", F.avg), ("s", F.stddev_pop), ("lo", F.min), ("hi", F.max))]).first()
+    target = share * st["total"] if st["n"] else 0.0
+    falling = bool(st["n"]) and st["least"] < 0
+    numeric = isinstance(d.schema[key].dataType, T.NumericType)
+    place = F.col(key).cast("double") if numeric else F.lit(0.0)
+    means = [score, *names]
 
     def z(c: str):
         return (F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"] or 1.0)
@@ -196,17 +212,64 @@ def best_feasible_selection(df: DataFrame, score: str, amount: str, share: float
     def penalised(mu):
         return sum((mu[f"mu_{g}"] * float(s) * z(g) for g, s in guards.items()), z(score))
 
+    def whole(no: int, mus: tuple[float, ...]) -> dict:
+        """A combination of which nothing is known: bounds of its penalised scores, all rows open."""
+        lo = hi = 0.0
+        for c, by in zip(means, [1.0, *[float(s) * m for s, m in zip(guards.values(), mus)]]):
+            ends = [by * (st[f"{e}_{c}"] - st[f"m_{c}"]) / (st[f"s_{c}"] or 1.0) for e in ("lo", "hi")]
+            lo, hi = lo + min(ends), hi + max(ends)
+        slack = 1e-9 * (1.0 + abs(lo) + abs(hi))  # the rows' own rounding
+        return {"no": no, "lo": lo - slack, "hi": hi + slack, "first": -math.inf, "last": math.inf, "n": st["n"], "above": {c: 0.0 for c in ["__n", amount, *means]}}
+
+    def open_rows(grid, state: list[dict]) -> DataFrame:
+        """The rows of every combination's open range, with __no and __pen."""
+        options = F.array(*[F.struct(F.lit(x["no"]).alias("no"), *[F.lit(float(m)).alias(f"mu_{g}") for g, m in zip(names, grid[x["no"]])],
+                                     *[F.lit(float(x[e])).alias(e) for e in ("lo", "hi", "first", "last")]) for x in state])
+        rows = d.withColumn("__mu", F.explode(options)).withColumn("__pen", penalised(F.col("__mu")))
+        return rows.where(F.col("__pen").between(F.col("__mu.lo"), F.col("__mu.hi")) & place.between(F.col("__mu.first"), F.col("__mu.last"))).withColumn("__no", F.col("__mu.no"))
+
+    def narrowed(grid, state: list[dict]) -> list[dict]:
+        """Each open range cut down to the one of its ``BINS`` parts that holds the end."""
+        at = F.when(F.col("__mu.hi") > F.col("__mu.lo"), (F.col("__mu.hi") - F.col("__pen")) / (F.col("__mu.hi") - F.col("__mu.lo")))
+        at = at.otherwise((place - F.col("__mu.first")) / (F.col("__mu.last") - F.col("__mu.first")))
+        sums = {"__n": F.count("*").cast("double"), **{c: F.sum(c).cast("double") for c in [amount, *means]}}
+        ends = {"lo": F.min("__pen"), "hi": F.max("__pen"), "first": F.min(place), "last": F.max(place)}
+        parts = open_rows(grid, state).groupBy("__no", F.least(F.floor(at * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(
+            *[v.alias(f"in_{c}") for c, v in sums.items()], *[v.alias(e) for e, v in ends.items()])
+        earlier = Window.partitionBy("__no").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # at most BINS rows each
+        known = F.create_map(*[F.lit(v) for x in state for v in (x["no"], float(x["above"][amount]))])
+        parts = parts.withColumns({f"before_{c}": F.coalesce(F.sum(f"in_{c}").over(earlier), F.lit(0.0)) for c in sums})
+        parts = parts.where(F.col(f"before_{amount}") + known[F.col("__no")] < target)
+        held = parts.groupBy("__no").agg(F.max_by(F.struct(*[c for c in parts.columns if c != "__no"]), "bin").alias("p")).collect()  # one row per combination
+        last = {r["__no"]: r["p"] for r in held}
+        return [{"no": x["no"], **{e: p[e] for e in ends}, "n": int(p["in___n"]), "above": {c: x["above"][c] + p[f"before_{c}"] for c in sums}}
+                for x in state for p in [last[x["no"]]]]
+
     def outcome(grid: list[tuple[float, ...]]) -> list:
-        """(mean score, combination) of the feasible combinations, best first."""
-        options = F.array(*[F.struct(F.lit(i).alias("no"), *[F.lit(float(m)).alias(f"mu_{g}") for g, m in zip(names, mus)]) for i, mus in enumerate(grid)])
-        rows = d.withColumn("__mu", F.explode(options)).select(key, score, amount, *names, F.col("__mu.no").alias("__no"), penalised(F.col("__mu")).alias("__pen"))
-        cum = prefix_agg(rows, "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, by=["__no"], total_suffix="_all")
-        means = cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).groupBy("__no").agg(*[F.avg(c).alias(c) for c in [score, *names]])
-        ok = [r for r in means.collect() if all(s * (r[g] - st[f"m_{g}"]) >= 0 for g, s in guards.items())]  # one row per combination
-        return sorted(((r[score], grid[r["__no"]]) for r in ok), key=lambda x: (-x[0], grid.index(x[1])))
+        """(mean score, combination, its last selected row) of the feasible combinations, best first."""
+        if not target > 0 and not falling:
+            return []
+        state = [whole(i, mus) for i, mus in enumerate(grid)]
+        while not falling and sum(x["n"] for x in state) > OPEN_SHARE * st["n"]:
+            wide = [x for x in state if x["hi"] > x["lo"] or (numeric and x["last"] > x["first"])]
+            if not wide:
+                break
+            cut = {x["no"]: x for x in narrowed(grid, wide)}
+            state = [cut.get(x["no"], x) for x in state]
+        cum = prefix_agg(open_rows(grid, state).select(key, amount, *means, "__no", "__pen"), "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, by=["__no"])
+        known = F.create_map(*[F.lit(v) for x in state for v in (x["no"], float(x["above"][amount]))])
+        picked = cum.where(F.col(f"{amount}_cum") + known[F.col("__no")] < target).groupBy("__no").agg(
+            F.count("*").alias("__n"), *[F.sum(c).alias(c) for c in means], F.max(F.struct((-F.col("__pen")).alias("p"), F.col(key).alias("k"))).alias("__end"))
+        found = []
+        for r in picked.collect():  # one row per combination
+            above = state[r["__no"]]["above"]
+            mean = {c: (above[c] + r[c]) / (above["__n"] + r["__n"]) for c in means}
+            if all(s * (mean[g] - st[f"m_{g}"]) >= 0 for g, s in guards.items()):
+                found.append((mean[score], grid[r["__no"]], (-r["__end"]["p"], r["__end"]["k"])))
+        return sorted(found, key=lambda x: (-x[0], grid.index(x[1])))
 
     grid = list(itertools.product(multipliers, repeat=len(names)))
-    best: tuple[float, tuple[float, ...]] | None = None
+    best: tuple[float, tuple[float, ...], tuple] | None = None
     step = min((b - a for a, b in itertools.pairwise(sorted(multipliers))), default=1.0)
     for _ in range(rounds):
         found = outcome(grid)
@@ -218,8 +281,14 @@ def best_feasible_selection(df: DataFrame, score: str, amount: str, share: float
         grid = [tuple(max(0.0, m + k * step) for m, k in zip(best[1], ks)) for ks in itertools.product((-1, 0, 1), repeat=len(names))]
         grid = list(dict.fromkeys(grid))
     chosen = {f"mu_{g}": F.lit(float(m)) for g, m in zip(names, best[1])}
-    cum = prefix_agg(d.withColumn("__pen", penalised(chosen)), "__pen", [amount], desc=True, tie_cols=[key], inclusive=False, total_suffix="_all")
-    return cum.where(F.col(f"{amount}_cum") < share * F.col(f"{amount}_all")).select(key, score, amount, *names).withColumns(chosen)
+    rows = d.withColumn("__pen", penalised(chosen))
+    if falling:
+        cum = prefix_agg(rows, "__pen", [amount], desc=True, tie_cols=[key], inclusive=False)
+        rows = cum.where(F.col(f"{amount}_cum") < target)
+    else:
+        pen, last = F.lit(best[2][0]), F.lit(best[2][1])
+        rows = rows.where((F.col("__pen") > pen) | ((F.col("__pen") == pen) & (F.col(key) <= last)))
+    return rows.select(key, score, amount, *names).withColumns(chosen)
 
 
 def late_vs_population(sched: DataFrame, pays: DataFrame, bureau: DataFrame, n: int, key: str = "loan_id",

@@ -1,5 +1,6 @@
 """Fits from distributed sums against numpy, and their defined failures."""
 
+import itertools
 import math
 
 import numpy as np
@@ -7,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerplay.operators import linear as L
+from ledgerplay.operators import portfolio
 from ledgerplay.operators.aggregates import kde_grid
 from ledgerplay.operators.features import one_hot
 from ledgerplay.operators.portfolio import best_feasible_selection
+from ledgerplay.operators.prefix import prefix_agg
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +143,42 @@ def test_selection_meets_its_guards_and_rounds_do_not_lose(spark):
     assert best_feasible_selection(df, "score", "amount", 0.25, {"rate": -1, "fico": 1}, [0.0], 1).count() == 0  # greedy by score alone breaks a guard
 
 
+def _best_by_sorting(rows, share, signs, mus):
+    """Every combination sorted whole: (combination, keys of its selection) of the best feasible one."""
+    m = np.array([r[1:2] + r[3:] for r in rows], dtype=float)
+    z = (m - m.mean(0)) / np.where(m.std(0) == 0, 1, m.std(0))
+    best = None
+    for mu in itertools.product(mus, repeat=len(signs)):
+        pen = z[:, 0]
+        for k, (w, s) in enumerate(zip(mu, signs), 1):
+            pen = pen + w * s * z[:, k]
+        order = sorted(range(len(rows)), key=lambda i: (-pen[i], rows[i][0]))
+        amounts = np.array([rows[i][2] for i in order])
+        taken = [i for i, before in zip(order, np.cumsum(amounts) - amounts) if before < share * amounts.sum()]
+        mean = m[taken].mean(0)
+        if all(s * (mean[k] - m[:, k].mean()) >= -1e-12 for k, s in enumerate(signs, 1)) and (best is None or mean[0] > best[2] + 1e-12):
+            best = (mu, {rows[i][0] for i in taken}, mean[0])
+    return best[:2]
+
+
+@pytest.mark.parametrize("kind", ["plain", "one score", "outlier", "negative amounts"])
+def test_selection_equals_sorting_every_combination(spark, monkeypatch, kind):
+    """And puts in order far fewer rows than combinations x rows, unless volumes can fall again."""
+    g = np.random.default_rng(8)
+    score = np.full(600, 2.0) if kind == "one score" else np.where(np.arange(600) == 7, 1e9, g.normal(size=600)) if kind == "outlier" else g.integers(0, 40, 600) / 4
+    amount = g.integers(-3 if kind == "negative amounts" else 1, 50, 600)
+    same = kind == "one score"
+    rows = [(int(k), float(s), float(a), 1.0 if same else float(r), 1.0 if same else float(f)) for k, s, a, r, f in
+            zip(g.permutation(600) * 3 - 500, score, amount, g.integers(0, 8, 600), g.integers(0, 90, 600))]
+    df = spark.createDataFrame(rows, "loan_id long, score double, amount double, rate double, fico double").repartition(3)
+    ordered = []
+    monkeypatch.setattr(portfolio, "prefix_agg", lambda d, *a, **k: ordered.append(d.count()) or prefix_agg(d, *a, **k))
+    got = best_feasible_selection(df, "score", "amount", 0.3, {"rate": -1, "fico": 1}, [0.0, 0.5, 2.0]).collect()
+    mu, keys = _best_by_sorting(rows, 0.3, (-1, 1), [0.0, 0.5, 2.0])
+    assert {r["loan_id"] for r in got} == keys and len(got) == len(keys) and {(r["mu_rate"], r["mu_fico"]) for r in got} == {mu}
+    assert kind == "negative amounts" or sum(ordered) <= 0.25 * 600
+
+
 def test_first_axis_of_hardly_correlated_columns(spark):
     """Largest roots 1.0005 and 1: plain power steps would need thousands."""
     rng = np.random.default_rng(12)
