@@ -74,7 +74,9 @@ LOG_HEADER = f"{'':>12}{'player_1_name':>20}{'player_2_name':>20}  winner  finis
   player_1_score, player_2_score, turns, 'map-' || CAST(battle_id AS VARCHAR) AS description_for_display FROM battles""")
 def s8_battle_rows(spark, d):
     b = B.battles(spark, d)
-    line = F.concat(F.rpad(F.col("battle_id").cast("string"), 12, " "), F.lpad("player_1_name", 20, " "), F.lpad("player_2_name", 20, " "),
-                    F.format_string("  %d  %s  %d  %d  %d  map-%d", "winner", "finish_state", "player_1_score", "player_2_score", "turns", "battle_id"))
-    printed = spark.createDataFrame([(LOG_HEADER,), ("",)], "value string").unionByName(b.select(line.alias("value"))).unionByName(b.select(F.col("finish_state").alias("value")))
+    text = lambda c: F.col(c).cast("string")
+    tail = [x for c in ("winner", "finish_state", "player_1_score", "player_2_score", "turns") for x in (F.lit("  "), text(c))]
+    line = F.concat(F.rpad(text("battle_id"), 12, " "), F.lpad("player_1_name", 20, " "), F.lpad("player_2_name", 20, " "), *tail, F.lit("  map-"), text("battle_id"))
+    # one scan; filters on exploded lines are not pushed below them, so each line is printed once
+    printed = spark.createDataFrame([(LOG_HEADER,), ("",)], "value string").unionByName(b.select(F.explode(F.array(line, "finish_state")).alias("value")))
     return GF.parse_battle_rows(printed)

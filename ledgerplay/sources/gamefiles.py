@@ -173,11 +173,15 @@ def parse_battle_rows(lines: DataFrame, text_col: str = "value") -> DataFrame:
     # only lines whose tail has the battle columns (other printed tables also
     # start with a number)
     rows = lines.where(v.rlike(r"^\d+\s") & (F.length(v) > p2_end) & rest.rlike(tail))
-    g = lambda i: F.regexp_extract(rest, tail, i)
+    # one match per line for all columns of the tail; only its last one may hold the separator
+    fields = F.split(F.regexp_replace(rest, tail, "\u0001".join(f"${i}" for i in range(1, 7))), "\u0001", 6)
     head = F.substring(v, 1, p1_end)
-    return rows.select(
+    rows = rows.select(
         F.regexp_extract(v, r"^(\d+)", 1).cast("long").alias("battle_id"),
         F.trim(F.regexp_replace(head, r"^\d+", "")).alias("player_1_name"),
-        F.trim(F.substring(v, p1_end + 1, p2_end - p1_end)).alias("player_2_name"),
+        F.trim(F.substring(v, p1_end + 1, p2_end - p1_end)).alias("player_2_name"), fields.alias("f"))
+    g = lambda i: F.get("f", F.lit(i - 1))
+    return rows.select(
+        "battle_id", "player_1_name", "player_2_name",
         g(1).try_cast("int").alias("winner"), g(2).alias("finish_state"), g(3).try_cast("int").alias("player_1_score"),
         g(4).try_cast("int").alias("player_2_score"), g(5).try_cast("int").alias("turns"), g(6).alias("description_for_display"))

@@ -51,3 +51,18 @@ def test_battle_row_keeps_a_very_long_description(spark):
     row = GF.parse_battle_rows(spark.createDataFrame([(header,), (line,), ("8 planets left",)], "value string")).collect()
     assert len(row) == 1 and row[0]["player_1_name"] == "Ann Bee" and row[0]["turns"] == 41
     assert row[0]["description_for_display"] == long
+
+
+def test_battle_lines_are_printed_once(spark):
+    """Filters of the parser pushed below the printing would print every line again for each of them."""
+    from ledgerplay.plans.q_turns import s8_battle_rows
+    df = s8_battle_rows(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rpad(") == 1 and plan.count("FileScan") == 1
+
+
+def test_battle_row_description_may_hold_the_separator(spark):
+    header = f"{'':>8}{'player_1_name':>20}{'player_2_name':>20} rest"
+    lines = [f"{'7':<8}{'Ann':>20}{'Cy':>20} 0  Tie  3  99999999999  41  a\u0001$1\u0001b  ", f"{'8':<8}{'Ann':>20}{'Cy':>20} 1 Tie\u00013 9 41 m"]
+    rows = GF.parse_battle_rows(spark.createDataFrame([(x,) for x in [header, *lines]], "value string")).collect()
+    assert [tuple(r) for r in rows] == [(7, "Ann", "Cy", 0, "Tie", 3, None, 41, "a\u0001$1\u0001b")]
