@@ -31,6 +31,12 @@ def _assemble(cols: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip")
 
 
+def _stored(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns a fit reads, stored once: a boosted fit passes over them many times, and folds
+    drawn by row (train and validation apart) must see the rows in one order."""
+    return cut_lineage(df.select(*dict.fromkeys(cols)))
+
+
 def linear_regression(train: DataFrame, y: str, xs: Sequence[str]) -> PipelineModel:
     """Least squares on the given features."""
     return Pipeline(stages=[_assemble(xs), LinearRegression(featuresCol="features", labelCol=y, solver="normal")]).fit(train)
@@ -108,6 +114,7 @@ def pca_first(df: DataFrame, cols: Sequence[str], out: str = "pc1") -> DataFrame
 def gbt_regression(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], iters: int = 20,
                    depth: int = 3, seed: int = 7) -> tuple[PipelineModel, list[float], list[float]]:
     """Boosted trees; train and test loss after each round."""
+    train, test = (_stored(d, [y, *xs]) for d in (train, test))
     model = Pipeline(stages=[_assemble(xs), GBTRegressor(featuresCol="features", labelCol=y, maxIter=iters,
                                                          maxDepth=depth, seed=seed)]).fit(train)
     gbt = model.stages[-1]
@@ -162,12 +169,12 @@ def grid_cv(train: DataFrame, y: str, xs: Sequence[str], depths: Sequence[int],
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=y, metricName="rmse"),
                         numFolds=folds, seed=seed, parallelism=min(4, len(grid)))
-    return cv.fit(train)
+    return cv.fit(_stored(train, [y, *xs]))
 
 
 def gbt_classifier(train: DataFrame, y: str, xs: Sequence[str], iters: int = 20, seed: int = 7) -> PipelineModel:
     """Boosted-tree classifier."""
-    return Pipeline(stages=[_assemble(xs), GBTClassifier(featuresCol="features", labelCol=y, maxIter=iters, seed=seed)]).fit(train)
+    return Pipeline(stages=[_assemble(xs), GBTClassifier(featuresCol="features", labelCol=y, maxIter=iters, seed=seed)]).fit(_stored(train, [y, *xs]))
 
 
 def binned_logistic(df: DataFrame, bin_col: str, x: str, y: str, iters: int = 25) -> DataFrame:

@@ -1,6 +1,7 @@
 """Second forms of operators on hand cases; tree tables against the fitted model."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerplay.operators import aggregates as G
 from ledgerplay.operators import clean as P
@@ -61,3 +62,14 @@ def test_importances_equal_the_models_own(spark):
     # partial sums merge in any order, so the last bits differ from run to run
     assert [r["train_loss"] for r in table] == pytest.approx(train, rel=1e-12) and [r["test_loss"] for r in table] == pytest.approx(test, rel=1e-12)
     assert table[-1]["train_loss"] < table[0]["train_loss"]
+
+
+def test_boosted_fits_compute_their_rows_once(spark):
+    """Folds, parameters and trees are many passes; the features behind them are joins and root searches."""
+    seen = spark.sparkContext.accumulator(0)
+    mark = F.udf(lambda x: (seen.add(1), float(x))[1], "double").asNondeterministic()
+    df = spark.range(0, 120, 1, 2).select(mark("id").alias("a"), (F.col("id") % 7).cast("double").alias("y"), F.lit("x").alias("unused"))
+    cv = ML.grid_cv(df, "y", ["a"], [1, 2], folds=2)
+    assert len(cv.avgMetrics) == 2 and seen.value == 120
+    ML.gbt_regression(df, df, "y", ["a"], iters=2)
+    assert seen.value == 120 + 2 * 120
