@@ -203,11 +203,11 @@ def word_hashes(buf: np.ndarray, first: np.ndarray, lower: bool = False) -> tupl
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def words_by_row(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each slice of rows: first row, end row, word hashes, word starts, word ends,
-    word count bounds of the rows (length rows + 1), the slice's bytes."""
+def words_by_row(column: pa.Array, lower: bool = False, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each slice of rows (of about ``limit`` text bytes): first row, end row, word hashes, word
+    starts, word ends, word count bounds of the rows (length rows + 1), the slice's bytes."""
     offsets, data = text_buffer(column)
-    for i, j in slices(offsets):
+    for i, j in slices(offsets, limit):
         a, b = int(offsets[i]), int(offsets[j])
         buf, first = data[a:b], offsets[i:j + 1] - a
         if b > a:

@@ -45,6 +45,7 @@ WIDTH = 50
 PHRASE = 10
 SHARD_BYTES = 4 << 20
 ROW_GROUP = 16 << 20  # bytes a task holds while it writes a file
+MARK_BYTES = 1 << 18  # text hashed at once: its arrays take some 40 times that, and workers keep about as much when idle
 HOT_SHARE = 2000
 CUT_ROWS = 256  # documents whose texts a task holds unpacked
 BROADCAST_ROWS = 1_000_000  # counted ids (16 bytes each) that are broadcast to the text scan; beyond, texts move without that filter
@@ -87,7 +88,7 @@ def joined_sha256(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> str:
 def _marks(width: int, phrase: int):
     def run(batches):
         for batch in batches:
-            for i, j, h, s, e, bound, buf in words_by_row(batch.column(1)):
+            for i, j, h, s, e, bound, buf in words_by_row(batch.column(1), limit=MARK_BYTES):
                 raw = buf.tobytes()
                 cols: list[list] = [[], [], [], [], []]
                 for a, b in zip(bound[:-1], bound[1:]):

@@ -309,3 +309,14 @@ def test_top_k_repeated_queries_and_candidates(spark):
 def test_top_k_pivots_grow_with_the_table():
     from ledgerplay.llm import topk as K
     assert [K.pivot_count(n) for n in (1, 10_000, 1_000_000, 10 ** 12)] == [16, 16, 125, 1024]
+
+
+def test_marks_hash_texts_in_small_slices():
+    """A worker's arrays take some 40 times the text hashed at once; a batch of many texts must not be one slice."""
+    import pyarrow as pa
+    from ledgerplay.llm import substring_dedup as S
+    texts = [f"word{i} " * 400 for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts), pa.array([0] * 400, pa.int64())], names=["doc_id", "text", "th"])
+    out = list(S._marks(50, 10)([batch]))
+    assert sum(map(len, texts)) > 1 << 20 and max(sum(len(texts[i]) for i in b.column(0).to_pylist()) for b in out) <= 1 << 18
+    assert [i for b in out for i in b.column(0).to_pylist()] == list(range(400)) and all(n == 400 for b in out for n in b.column(2).to_pylist())
