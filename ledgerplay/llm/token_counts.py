@@ -15,6 +15,11 @@ splitting from there on is that of the document.  So both chunks can be joined
 there.  If the overlap holds no common boundary (one very long pre-token, such
 as an unbroken run of letters), the chunk and the overlap are doubled and the
 alignment is tried again, up to the rest of the document.
+
+As nothing crosses a pre-token, the tokens of a short text are those of its pre-tokens, and the
+library encodes each distinct pre-token once per worker (``MEMO`` of them are kept).  They are cut by
+the byte-level pattern over the code points below ``PLAIN_END``, whose classes are listed one by
+one; texts with other characters or with a special string are encoded whole.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +42,17 @@ CHUNK_CHARS = 16_384
 OVERLAP_CHARS = 256
 OVER_LIMIT = 512  # tokens
 BATCH_BYTES = 1 << 19  # text handed to the library at once
+MEMO = 200_000  # pre-tokens whose counts a worker keeps
+PLAIN_END = 0x250  # Latin letters: classes that no Unicode version changes
+
+
+def _class(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(PLAIN_END) if unicodedata.category(chr(c))[0] == kind)
+
+
+_SPACE = r"\t-\r \x85\xa0"  # White_Space below PLAIN_END
+PRE_TOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_class('L')}]+| ?[{_class('N')}]+| ?[^{_SPACE}{_class('L')}{_class('N')}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+NOT_PLAIN = re.compile(f"[^\\x00-\\u{PLAIN_END - 1:04x}]")
 
 
 @functools.lru_cache(maxsize=4)
@@ -98,6 +116,30 @@ def count_long(text: str, tokenizer, longest_special: int, chunk_chars: int = CH
             size, overlap = size * 2, min(overlap * 2, size * 2 - 1)
 
 
+@functools.lru_cache(maxsize=4)
+def _memo(name: str) -> tuple[dict[str, int], re.Pattern | None]:
+    """Known counts of pre-tokens, and the pattern of texts that must be encoded whole (None: all)."""
+    cfg = json.loads(load_tokenizer(name)[0].to_str())
+    if not cfg["pre_tokenizer"].get("use_regex", True):
+        return {}, None
+    special = [re.escape(t["content"]) for t in cfg.get("added_tokens") or []]
+    return {}, re.compile("|".join([NOT_PLAIN.pattern, *special]))
+
+
+def count_short(texts: list[str], name: str) -> list[int]:
+    """Number of tokens of each text."""
+    tok = load_tokenizer(name)[0]
+    memo, whole = _memo(name)
+    cut = [None if whole is None or whole.search(t) else PRE_TOKEN.findall(t) for t in texts]
+    new = list(set().union(*[p for p in cut if p is not None]).difference(memo))
+    if len(memo) + len(new) > MEMO:
+        memo.clear()
+        new = list(set().union(*[p for p in cut if p is not None]))
+    memo.update(zip(new, map(len, tok.encode_batch_fast(new, add_special_tokens=False))))
+    rest = iter(tok.encode_batch_fast([t for t, p in zip(texts, cut) if p is None], add_special_tokens=False))
+    return [len(next(rest)) if p is None else sum(map(memo.__getitem__, p)) for p in cut]
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch], name: str, chunk_chars: int, overlap_chars: int) -> Iterator[pa.RecordBatch]:
     tok, special = load_tokenizer(name)
     for batch in batches:
@@ -108,8 +150,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch], name: str, chunk_chars: in
         for i, j in slices(offsets, BATCH_BYTES):
             texts = batch.column(1).slice(i, j - i).to_pylist()
             short = [k for k, t in enumerate(texts) if len(t) <= chunk_chars]
-            for k, e in zip(short, tok.encode_batch_fast([texts[k] for k in short], add_special_tokens=False)):
-                counts[i + k] = len(e)
+            for k, n in zip(short, count_short([texts[k] for k in short], name)):
+                counts[i + k] = n
             for k, t in enumerate(texts):
                 if len(t) > chunk_chars:
                     counts[i + k], widened[i + k] = count_long(t, tok, special, chunk_chars, overlap_chars)

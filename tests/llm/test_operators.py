@@ -320,3 +320,19 @@ def test_marks_hash_texts_in_small_slices():
     out = list(S._marks(50, 10)([batch]))
     assert sum(map(len, texts)) > 1 << 20 and max(sum(len(texts[i]) for i in b.column(0).to_pylist()) for b in out) <= 1 << 18
     assert [i for b in out for i in b.column(0).to_pylist()] == list(range(400)) and all(n == 400 for b in out for n in b.column(2).to_pylist())
+
+
+def test_pre_tokens_are_cut_as_the_library_cuts_them(monkeypatch):
+    from ledgerplay.llm import token_counts as C
+    name = "byte_bpe_50k.json"
+    tok, _ = C.load_tokenizer(name)
+    chars = [chr(c) for c in range(C.PLAIN_END)]
+    texts = [x for c in chars for x in (f"a{c}b", f" {c}{c}'s 1{c}2", f"{c} {c}  x", f"!{c}\n {c}", f"'ll{c}\t{c}'d ")]
+    for x in texts:
+        assert [len(p) for p in C.PRE_TOKEN.findall(x)] == [b - a for _, (a, b) in tok.pre_tokenizer.pre_tokenize_str(x)], x
+    texts += ["", "   ", "x<|endoftext|>y", "<|endoftext|", "你好 12   z", "caf́e \U0001f600‍", "don't we've  I'LL", "'" * 9, " \u0085 \x1c\x1f x"] + ["word" + c for c in chars]
+    want = [len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    assert C.count_short(texts, name) == want
+    monkeypatch.setattr(C, "MEMO", 5)  # forgotten pre-tokens are encoded again
+    assert [n for x in texts[-700:] for n in C.count_short([x], name)] == want[-700:]
+    assert len(C._memo(name)[0]) <= 5
