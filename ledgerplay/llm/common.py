@@ -52,12 +52,18 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def release_buffers() -> None:
+    """Hand freed Arrow buffers back to the machine: an idle worker would keep them beside the next stage's JVM work."""
+    pa.default_memory_pool().release_unused()
+
+
 def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         offsets, data = text_buffer(batch.column(1))
         for i, j in slices(offsets):
             z = [pack_text(data[a:b].tobytes()) for a, b in zip(offsets[i:j], offsets[i + 1:j + 1])]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(z, pa.binary())], names=["doc_id", "th", "z"])
+    release_buffers()
 
 
 def packed_texts(base: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerplay.llm.common import (
-    id_text, mix64, odd_constants, packed_texts, rolling, set_digest, shuffle_partitions, signed, to_signed, unpack_text, word_hashes, words_by_row,
+    id_text, mix64, odd_constants, packed_texts, release_buffers, rolling, set_digest, shuffle_partitions, signed, to_signed, unpack_text, word_hashes, words_by_row,
 )
 from ledgerplay.session import checkpoint_dir
 
@@ -104,6 +104,7 @@ def _marks(width: int, phrase: int):
                     [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                      pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.string())],
                     names=["doc_id", "th", "n_words", "d1", "d2", "phrases", "sha"])
+        release_buffers()
     return run
 
 
@@ -131,6 +132,7 @@ def _patterns(phrase: int):
                 words += [signed(w[k:k + phrase]) for k in at.tolist()]
             if words:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(words, pa.list_(pa.int64()))], names=["phrase", "words"])
+        release_buffers()
     return run
 
 
@@ -161,6 +163,7 @@ def _locate(width: int, phrase: int):
                 out["starts"].append(starts.astype(np.int32))
                 out["w1"].append(signed(d1[starts]))
                 out["w2"].append(signed(d2[starts]))
+        release_buffers()
         return pd.DataFrame(out)
     return run
 
@@ -182,6 +185,7 @@ def _cut(width: int):
                 cols[2].append(b" ".join(raw[a:b] for a, b in zip(s[keep].tolist(), e[keep].tolist())).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())],
                                              names=["doc_id", "th", "n_removed", "sha", "kept_text"])
+        release_buffers()
     return run
 
 
