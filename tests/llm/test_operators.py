@@ -311,6 +311,95 @@ def test_top_k_pivots_grow_with_the_table():
     assert [K.pivot_count(n) for n in (1, 10_000, 1_000_000, 10 ** 12)] == [16, 16, 125, 1024]
 
 
+def top_k_by_hand(rows, asked, k):
+    """(query_id, rank, vec_id, score) over (id, integer vector) rows; Python integers."""
+    out = []
+    for q, v in asked:
+        best = sorted(((-sum(a * b for a, b in zip(v, x)), i is None, i or 0) for i, x in rows if i != q))[:k]
+        out += [(q, n + 1, None if none else i, -s) for n, (s, none, i) in enumerate(best)]
+    return out
+
+
+def test_top_k_stores_no_row_for_each_query_and_cell(spark, monkeypatch):
+    """Queries times cells, each row with a copy of its query: a worker's batch of them took over 1 GB at 600,000 vectors."""
+    from ledgerplay.llm import topk as K
+    n, dim = 6_000, 64
+    x = np.random.default_rng(5).normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    stored, materialize = [], K.materialize
+
+    def counted(table):
+        table = materialize(table)
+        stored.append(table.count())
+        return table
+
+    monkeypatch.setattr(K, "materialize", counted)
+    got = {tuple(r) for r in K.top_k(df, F.col("vec_id") % 20 == 0).collect()}
+    v = np.floor(x * 64).astype(np.int64)
+    assert len(got) == 300 * 20
+    for q in range(0, n, 400):
+        s = v @ v[q]
+        best = sorted((-int(s[i]), i) for i in range(n) if i != q)[:20]
+        assert {(q, rank + 1, i, -y) for rank, (y, i) in enumerate(best)} <= got
+    assert max(stored) == n  # the index; the queries are 300, their cells 64
+
+
+def test_top_k_in_many_slices_and_blocks(spark, monkeypatch):
+    """Cells in several slices, slices of several cells, blocks of few queries, and ties across all of them."""
+    from ledgerplay.llm import topk as K
+    monkeypatch.setattr(K, "SLICE_ROWS", 40)
+    monkeypatch.setattr(K, "BLOCK_BYTES", 4 * 7 * K.RESULT_BYTES)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-3, 4, 4).tolist()) for i in range(240)] + [(300 + i, [2, 2, 2, 2]) for i in range(150)] + [(None, [2, 2, 2, 2])] * 3 + [(451, [2, 2, 2, 2])] * 9
+    df = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in rows], "vec_id long, embedding array<double>").repartition(5)
+    got = sorted(tuple(r) for r in K.top_k(df, F.col("vec_id") % 10 == 0, k=7).collect())
+    assert got == sorted(top_k_by_hand(rows, [r for r in rows if r[0] is not None and r[0] % 10 == 0], 7))
+
+
+@pytest.mark.parametrize("size", [40, 10 ** 6, 10 ** 9])
+def test_top_k_stream_equals_brute_force(size):
+    """Products in floats of 24 and 53 bits and in 64-bit integers; batches cut anywhere; null and repeated ids, ties."""
+    import pyarrow as pa
+    from ledgerplay.llm import topk as K
+    rng = np.random.default_rng(size)
+    dim, k = 5, 6
+    x = rng.integers(-size, size + 1, (900, dim))
+    x[::7] = x[0]
+    ids = [None if i % 50 == 3 else int(i) // 2 for i in rng.permutation(900)]
+    pivots = x[:3]
+    d = K._distances(x, pivots)
+    cell, r = d.argmin(1) * K.ANNULI, d.min(1)
+    cell += (r > np.median(r)).astype(int)
+    order = np.argsort(cell, kind="stable")
+    names = np.unique(cell)
+    cells = K.Cells(pivots, names, *(np.array([f(y[cell == c]) for c in names]) for y, f in ((r, np.min), (r, np.max), (K._norm2(x), np.max))))
+    asked = list(range(0, 900, 9))
+    ask = pa.struct([("qh", pa.int64()), ("floor", pa.float64()), ("least", pa.int64()), ("least_id", pa.int64())])
+    rows = [(t, False, 0, ids[i], x[i].tobytes(), {"qh": i, "floor": -np.inf, "least": None, "least_id": None}) for t in (1, 2) for i in asked if i % 2 == t - 1]
+    rows += [(t, True, int(cell[i]), ids[i], x[i].tobytes(), None) for t in (1, 2) for i in order]
+    rows.sort(key=lambda y: y[:2])
+    kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.binary(), ask]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a:a + 130]), kinds)], names=list("abcdef")) for a in range(0, len(rows), 130)]
+    got = [tuple(y.values()) for b in K.searched(iter(batches), cells, k, dim, "int64") for y in b.to_pylist()]
+    plain = [(i, v.tolist()) for i, v in zip(ids, x)]
+    want = [(ids[i], i, v, s) for i in asked for _, _, v, s in top_k_by_hand(plain, [(ids[i], x[i].tolist())], k)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_top_k_slices_hold_every_cell_once():
+    from ledgerplay.llm import topk as K
+    rng = np.random.default_rng(2)
+    for n, rows in (([5], 2), ([1] * 50, 7), (rng.integers(1, 100, 200).tolist(), 60), ([1, 1, 900, 1, 2, 40], 50)):
+        first, parts, low, high = K.slices_of(np.array(n), rows)
+        held = [sorted(c for c in range(len(n)) if first[c] <= s < first[c] + parts[c]) for s in range(len(low))]
+        assert held == [list(range(a, b)) for a, b in zip(low, high)]
+        assert sorted({c for h in held for c in h}) == list(range(len(n))) and all(parts[h[0]] > 1 or sum(n[c] for c in h) <= 1.5 * rows for h in held)
+    blocks, slices = K.deal_out(15_000_000, 750_000, 64 + 20 * K.RESULT_BYTES, 6)
+    assert 750_000 / blocks * (64 + 20 * K.RESULT_BYTES) <= K.BLOCK_BYTES and 15_000_000 / slices <= K.SLICE_ROWS
+    assert K.deal_out(1, 1, 64, 8)[0] == 1
+
+
 def test_marks_hash_texts_in_small_slices():
     """A worker's arrays take some 40 times the text hashed at once; a batch of many texts must not be one slice."""
     import pyarrow as pa
