@@ -423,24 +423,24 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0, id_col
                 for rows, s, floors in wanted(batch, first):
                     for i in range(0, len(rows), 1 << 14):
                         r = pa.array(rows[i:i + (1 << 14)])
-                        task = s[i:i + (1 << 14)].astype(np.int64) * n_blocks + block[rows[i:i + (1 << 14)]]
+                        task = np.searchsorted(pairs, s[i:i + (1 << 14)].astype(np.int64) * n_blocks + block[rows[i:i + (1 << 14)]]).astype(np.int32)
                         yield pa.RecordBatch.from_arrays([pa.array(task), batch.column(0).take(r), batch.column(1).take(r), batch.column(2).take(r), pa.array(floors[i:i + (1 << 14)]),
                                                           batch.column(4).take(r), batch.column(5).take(r)], names=["task", "query_id", "qv", "qh", "floor", "least", "least_id"])
 
         columns = asked.select("query_id", "qv", "qh", "block", "least", "least_id")
-        dealt = columns.mapInArrow(tasks, "task long").distinct()
-        blocks = dealt.groupBy(F.expr(f"CAST(task DIV {n_blocks} AS INT)").alias("slice")).agg(F.collect_list("task").alias("tasks")).collect()  # a number for each task
-        n_tasks = sum(len(r["tasks"]) for r in blocks)
-        blocks = F.broadcast(spark.createDataFrame([(r["slice"], r["tasks"]) for r in blocks], "slice int, tasks array<long>"))
-        right = columns.mapInArrow(sent, "task long, query_id long, qv binary, qh long, floor double, least long, least_id long")
+        pairs = np.array(sorted(r["task"] for r in columns.mapInArrow(tasks, "task long").distinct().collect()), dtype=np.int64)  # a number for each task
+        of_slice = {int(s): np.flatnonzero(pairs // n_blocks == s).tolist() for s in np.unique(pairs // n_blocks)}
+        blocks = F.broadcast(spark.createDataFrame(list(of_slice.items()), "slice int, tasks array<int>"))
+        right = columns.mapInArrow(sent, "task int, query_id long, qv binary, qh long, floor double, least long, least_id long")
         right = right.select("task", F.lit(False).alias("is_vector"), F.lit(0).alias("cell"), F.col("query_id").alias("id"), F.col("qv").alias("v"), F.struct("qh", "floor", "least", "least_id").alias("ask"))
         left = index.join(where, "cell").withColumn("slice", F.col("first_slice") + F.pmod("deal", "parts")).join(blocks, "slice")
         left = left.select(F.explode("tasks").alias("task"), F.lit(True).alias("is_vector"), "cell", F.col("vec_id").alias("id"), "v", F.lit(None).cast(right.schema["ask"].dataType).alias("ask"))
-        rows = right.unionByName(left).repartition(max(1, n_tasks), "task").sortWithinPartitions("task", "is_vector", "cell")
+        rows = right.unionByName(left).repartitionById(len(pairs), "task").sortWithinPartitions("task", "is_vector", "cell")  # one task each
         return rows.mapInArrow(lambda batches: searched(batches, cells, k, dim, kind), "query_id long, qh long, vec_id long, score long")
 
     best = Window.partitionBy("query_id", "qh").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    top = lambda found: found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # dealt by query before they are ranked: a task's rows are best ones already, sorting them where they are made takes memory in vain
+    top = lambda found: found.repartition("query_id", "qh").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     nothing = F.lit(None).cast("long")
     start = top(search(queries.withColumns({"least": nothing, "least_id": nothing}), True))
     kth = start.where(F.col("rank") == k).select("query_id", "qh", F.col("score").alias("least"), F.col("vec_id").alias("least_id"))
